@@ -11,16 +11,43 @@ from tamiz.functions.columns import quoted
 from tamiz.session import materialise
 
 
-def running_totals(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+# Rows that one task may order.
+SMALL_ROWS = 1_000_000
+
+
+def running_totals(
+    df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str], at_most: int | None = None
+) -> DataFrame:
     """For rows unique in (group, order) add, for each column s of ``sums``,
 
     ``s_before`` (total of smaller rows of the group) and ``s_total`` (total of the group), and
     ``<order>_prev`` (the next smaller value of the group, NULL at its start).
 
-    Rows are spread by range, so that one large group spans many partitions. Per range and group one
-    summary row is kept (at most ranges + groups rows), whose running total is added to the total
-    inside the range.
+    Few rows (``at_most`` if the caller knows a bound, else counted) take a plain window per group. More
+    are spread by range, so that one large group spans many partitions.
     """
+    if at_most is None:
+        df = materialise(df, "totals")
+        at_most = df.count()
+    if at_most <= SMALL_ROWS:
+        return _by_window(df, group, order, sums)
+    return _by_range(df, group, order, sums)
+
+
+def _by_window(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+    whole = Window.partitionBy(*[quoted(g) for g in group])
+    smaller = whole.orderBy(quoted(order)).rowsBetween(Window.unboundedPreceding, -1)
+    return df.select(
+        "*",
+        F.lag(quoted(order)).over(whole.orderBy(quoted(order))).alias(f"{order}_prev"),
+        *[F.coalesce(F.sum(quoted(s)).over(smaller), F.lit(0)).alias(f"{s}_before") for s in sums],
+        *[F.sum(quoted(s)).over(whole).alias(f"{s}_total") for s in sums],
+    )
+
+
+def _by_range(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+    """Per range and group one summary row is kept (at most ranges + groups rows), whose running total is
+    added to the total inside the range."""
     ranged = df.repartitionByRange(*[quoted(g) for g in group], quoted(order))
     # Stored, so that every later use sees the same range numbers.
     ranged = materialise(ranged.withColumn("_range", F.spark_partition_id()), "ranges")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,20 +35,51 @@ def undersampling_quotas(counts: Mapping, strategy: str | float) -> dict:
     return {larger: quota}
 
 
+def _keep_quotas(df: DataFrame, key: str, group: str, seed: int, quotas_of) -> DataFrame:
+    """Rows of uncut groups, and of the others exactly their quota by smallest hash."""
+    hashed = row_hash(key, seed)
+    quotas: dict = {}
+
+    def remember(sizes: dict) -> dict:
+        quotas.update(quotas_of(sizes))
+        return quotas
+
+    sizes, cutoffs = smallest_hash_cutoffs(df, group, hashed, remember)
+    uncut = [c for c in sizes if c not in quotas]
+    return df.where(quoted(group).isin(uncut) | within_cutoff(group, hashed, cutoffs))
+
+
 def undersample(
     df: DataFrame, key: str, target: str = TARGET, strategy: str | float = NOT_MINORITY, seed: int = 42
 ) -> DataFrame:
     """Keep whole the classes that are not cut, and of the others exactly their quota, without replacement."""
-    counts = class_counts(df, target)
-    if not counts:
-        return df
-    quotas = undersampling_quotas(counts, strategy)
-    if not quotas:
-        return df.where(quoted(target).isNotNull())
-    hashed = row_hash(key, seed)
-    cutoffs = smallest_hash_cutoffs(df, target, hashed, quotas)
-    uncut = quoted(target).isNotNull() & ~quoted(target).isin(list(quotas))
-    return df.where(uncut | within_cutoff(target, hashed, cutoffs))
+    return _keep_quotas(
+        df, key, target, seed, lambda sizes: undersampling_quotas(sizes, strategy) if sizes else {}
+    )
+
+
+def undersample_splits(
+    df: DataFrame,
+    key: str,
+    target: str = TARGET,
+    strategy: str | float = NOT_MINORITY,
+    seed: int = 42,
+    split: str = "split",
+    balanced: Sequence[str] = ("train",),
+) -> DataFrame:
+    """Undersample each of the ``balanced`` parts by itself, with common scans; other parts stay whole."""
+    group = "_part_and_class"
+
+    def quotas_of(sizes: dict) -> dict:
+        out = {}
+        for part in balanced:
+            within = {c: n for c, n in sizes.items() if c.startswith(f"{part}|")}
+            if within:
+                out.update(undersampling_quotas(within, strategy))
+        return out
+
+    marked = df.withColumn(group, F.concat(quoted(split), F.lit("|"), quoted(target).cast("string")))
+    return _keep_quotas(marked, key, group, seed, quotas_of).drop(group)
 
 
 def balanced_weights(counts: Mapping) -> dict:

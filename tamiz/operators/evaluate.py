@@ -127,7 +127,7 @@ def multiclass_auc(
     classes = sorted(probabilities)
     cells = F.array(
         *[
-            F.struct(F.lit(c).cast("long").alias("of"), F.round(quoted(probabilities[c]), decimals).alias("score"))
+            F.struct(F.lit(c).cast("long").alias("of"), (F.rint(quoted(probabilities[c]) * 10.0**decimals) / 10.0**decimals).alias("score"))
             for c in classes
         ]
     )

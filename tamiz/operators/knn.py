@@ -15,20 +15,27 @@ Ties in distance go to the smaller training key; distances are compared at 9 dec
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamiz.functions import distances
 from tamiz.functions.columns import TARGET, feature_array, literal_array, quoted
+from tamiz.functions.distances import DECIMALS, Cells, matrix, nearest_in_block, nearest_in_cell, pair_distances
 from tamiz.functions.hashing import row_hash
 from tamiz.session import materialise
 
-DECIMALS = 9
+# The few functions that run in tasks travel with them: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(distances)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WEIGHTS = ("uniform", "distance")
 NEIGHBOURS = T.ArrayType(
     T.StructType(
@@ -61,68 +68,6 @@ class SearchLimits:
     block_queries: int = 16_384
 
 
-# ---------------------------------------------------------------- distances inside a task
-
-
-def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Arrow list column -> (rows, features)."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    if len(column) == 0:
-        return np.empty((0, 0))
-    out = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
-    if not np.isfinite(out).all():
-        raise ValueError("neighbour search needs features without missing or infinite values")
-    return out
-
-
-def pair_distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    """All distances between the rows of two blocks, one feature at a time."""
-    out = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        step = np.subtract.outer(a[:, j], b[:, j])
-        out += np.abs(step) if p == 1 else step * step
-    return out if p == 1 else np.sqrt(out)
-
-
-def _squared_by_product(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
-    """Squared Euclidean distances through a matrix product, with a bound of their error."""
-    na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
-    return na[:, None] + nb[None, :] - 2.0 * (a @ b.T), 1e-12 * float(na.max() + nb.max())
-
-
-def nearest_in_block(
-    queries: np.ndarray, train: np.ndarray, ids: np.ndarray, k: int, p: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query position, training position, rounded distance), the k nearest per query in rank order."""
-    parts = []
-    k = min(k, len(train))
-    tile = max(1, 2_000_000 // max(1, len(train)))
-    for start in range(0, len(queries) if k else 0, tile):
-        q = queries[start : start + tile]
-        if p == 2 and q.shape[1] > 8:
-            near, error = _squared_by_product(q, train)
-            kth = np.sqrt(np.maximum(np.partition(near, k - 1, axis=1)[:, k - 1], 0.0) + error)
-            # Everything that could round to the k-th distance; the exact distance decides below.
-            rows, cols = np.nonzero(near <= (np.square(kth + 2e-9) + 2 * error)[:, None])
-        else:
-            near = pair_distances(q, train, p)
-            kth = np.partition(near, k - 1, axis=1)[:, k - 1]
-            rows, cols = np.nonzero(near <= (kth * (1 + 1e-12) + 2e-9)[:, None])
-        step = q[rows] - train[cols]
-        exact = np.abs(step).sum(axis=1) if p == 1 else np.sqrt(np.square(step).sum(axis=1))
-        exact = np.round(exact, DECIMALS)
-        order = np.lexsort((ids[cols], exact, rows))
-        rows, cols, exact = rows[order], cols[order], exact[order]
-        first = np.searchsorted(rows, np.arange(len(q)))
-        keep = np.arange(len(rows)) - first[rows] < k
-        parts.append((rows[keep] + start, cols[keep], exact[keep]))
-    if not parts:
-        empty = np.empty(0, dtype=np.int64)
-        return empty, empty, np.empty(0)
-    return tuple(np.concatenate(x) for x in zip(*parts))
-
-
 # ---------------------------------------------------------------- direct form
 
 
@@ -162,34 +107,6 @@ def _direct(train: DataFrame, queries: DataFrame, k: int, p: int, n_train: int,
 # ---------------------------------------------------------------- partitioned form
 
 
-@dataclass(frozen=True)
-class Cells:
-    """Pivots and per-cell summaries, at most ``max_pivots`` rows."""
-
-    pivots: np.ndarray
-    counts: np.ndarray
-    radius: np.ndarray  # (cells, 2): smallest and largest distance to the pivot
-    kth: np.ndarray  # distance to the pivot within which the cell holds k rows; inf if it has fewer
-    low: np.ndarray  # bounding boxes
-    high: np.ndarray
-
-    def candidates(self, queries: np.ndarray, p: int) -> np.ndarray:
-        """(queries, cells) truth table: cells that can hold one of the k nearest rows."""
-        to_pivot = pair_distances(queries, self.pivots, p)
-        # Some cell holds k rows within this distance.
-        reach = (to_pivot + self.kth).min(axis=1)
-        bound = np.maximum(self.radius[:, 0] - to_pivot, to_pivot - self.radius[:, 1])
-        # A row of a cell is nearer to its own pivot than to the pivot nearest to the query.
-        np.maximum(bound, (to_pivot - to_pivot.min(axis=1, keepdims=True)) / 2, out=bound)
-        gap = np.zeros_like(bound)
-        for j in range(queries.shape[1]):
-            x = queries[:, j, None]
-            outside = np.maximum(np.maximum(self.low[:, j] - x, x - self.high[:, j]), 0.0)
-            gap += outside if p == 1 else outside * outside
-        np.maximum(bound, gap if p == 1 else np.sqrt(gap), out=bound)
-        return (bound <= (reach * (1 + 1e-9) + 1e-8)[:, None]) & (self.counts > 0)
-
-
 def distinct_points(train: DataFrame, k: int) -> DataFrame:
     """Of each group of equal feature vectors the k smallest keys: the others are never among the k nearest.
 
@@ -199,8 +116,7 @@ def distinct_points(train: DataFrame, k: int) -> DataFrame:
     return train.withColumn("_r", F.row_number().over(same)).where(F.col("_r") <= k).drop("_r")
 
 
-def _choose_pivots(train: DataFrame, n: int, limits: SearchLimits) -> np.ndarray:
-    width = len(train.select("features").first()[0])
+def _choose_pivots(train: DataFrame, n: int, width: int, limits: SearchLimits) -> np.ndarray:
     rows = limits.cell_rows if width <= 16 else limits.wide_cell_rows
     most = min(limits.max_pivots, max(1, limits.max_pivot_cells // max(1, width)))
     m = max(1, min(most, n // rows))
@@ -251,24 +167,30 @@ def _build_cells(train: DataFrame, pivots: np.ndarray, k: int, p: int) -> tuple[
     return placed, cells
 
 
-def _partitioned(train: DataFrame, queries: DataFrame, k: int, p: int, n: int, key: str, limits) -> DataFrame:
-    pivots = _choose_pivots(train, n, limits)
+def _partitioned(
+    train: DataFrame, queries: DataFrame, k: int, p: int, n: int, width: int, key: str, limits: SearchLimits
+) -> DataFrame:
+    pivots = _choose_pivots(train, n, width, limits)
     placed, cells = _build_cells(train, pivots, k, p)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = matrix(batch.column("features"))
-            step = max(1, 2_000_000 // len(pivots))
-            found = [cells.candidates(q[i : i + step], p) for i in range(0, len(q), step)]
-            rows, cols = np.nonzero(np.concatenate(found)) if found else (np.empty(0, int), np.empty(0, int))
+            reach, rows, cols = cells.route(q, p)
             offsets = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cols.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), batch.column("features"), lists], names=[key, "features", "cells"]
+                [batch.column(key), batch.column("features"), pa.array(reach), lists],
+                names=[key, "features", "reach", "cells"],
             )
 
     schema = T.StructType(
-        [queries.schema[key], queries.schema["features"], T.StructField("cells", T.ArrayType(T.IntegerType()))]
+        [
+            queries.schema[key],
+            queries.schema["features"],
+            T.StructField("reach", T.DoubleType()),
+            T.StructField("cells", T.ArrayType(T.IntegerType())),
+        ]
     )
     points = queries.select(quoted(key), "features")
     routed = materialise(points.mapInArrow(route, schema), "routed")
@@ -286,19 +208,28 @@ def _partitioned(train: DataFrame, queries: DataFrame, k: int, p: int, n: int, k
 
     left = (
         placed.where(q_of > 0)
-        .select("train_id", "label", "features", "cell", F.pmod(F.xxhash64("train_id"), t_of).alias("tb"), q_of.alias("n"))
-        .select("train_id", "label", "features", "cell", "tb", copies(F.col("n")).alias("qb"))
+        .withColumn("tb", F.pmod(F.xxhash64("train_id"), t_of))
+        .select("train_id", "label", "features", "r", "cell", "tb", copies(q_of).alias("qb"))
     )
     right = (
-        routed.select(quoted(key), "features", F.explode("cells").alias("cell"))
-        .select(quoted(key), "features", "cell", F.pmod(F.xxhash64(quoted(key)), q_of).alias("qb"), t_of.alias("n"))
-        .select(quoted(key), "features", "cell", copies(F.col("n")).alias("tb"), "qb")
+        routed.select(quoted(key), "features", "reach", F.explode("cells").alias("cell"))
+        .withColumn("qb", F.pmod(F.xxhash64(quoted(key)), q_of))
+        .select(quoted(key), "features", "reach", "cell", copies(t_of).alias("tb"), "qb")
     )
 
-    def search(rows: pa.Table, asked: pa.Table) -> pa.Table:
+    def search(block: tuple, rows: pa.Table, asked: pa.Table) -> pa.Table:
         ids = rows["train_id"].to_numpy().astype(np.int64)
         labels = rows["label"].to_numpy().astype(np.int64)
-        q, t, d = nearest_in_block(matrix(asked["features"]), matrix(rows["features"]), ids, k, p)
+        q, t, d = nearest_in_cell(
+            matrix(asked["features"]),
+            asked["reach"].to_numpy(),
+            matrix(rows["features"]),
+            rows["r"].to_numpy(),
+            ids,
+            pivots[block[0].as_py()],
+            k,
+            p,
+        )
         return pa.table(
             {
                 key: asked[key].take(pa.array(q)),
@@ -334,22 +265,25 @@ def nearest_neighbours(
     """
     if p not in (1, 2):
         raise ValueError(f"p is 1 (Manhattan) or 2 (Euclidean), not {p}")
-    n = train.count()
+    n, width = _size(train)
     if not 1 <= k <= n:
         raise ValueError(f"k = {k} neighbours asked of {n} training rows")
 
     def is_small(rows: int) -> bool:
-        if rows > limits.direct_rows:
-            return False
-        return rows * len(train.select("features").first()[0]) <= limits.direct_cells
+        return rows <= limits.direct_rows and rows * width <= limits.direct_cells
 
     if is_small(n):
         return _direct(train, queries, k, p, n, key, limits)
     points = materialise(distinct_points(train, k), "points")
-    n = points.count()
+    n, _ = _size(points)
     if is_small(n):
         return _direct(points, queries, k, p, n, key, limits)
-    return _partitioned(points, queries, k, p, n, key, limits)
+    return _partitioned(points, queries, k, p, n, width, key, limits)
+
+
+def _size(train: DataFrame) -> tuple[int, int]:
+    r = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width")).first()
+    return r["n"], r["width"] or 0
 
 
 # ---------------------------------------------------------------- vote

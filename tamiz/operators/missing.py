@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.functions.columns import columns_except, nan_to_null, quoted
-from tamiz.operators.statistics import ALL_ROWS, FeatureStats, collect_statistics, exact_median, mode
+from tamiz.operators.statistics import ALL_ROWS, FeatureStats, by_scope, collect_statistics, exact_median, mode
 
 # Names of the fill methods, and the text of the category made for missing cells.
 METHODS = ("MEAN", "MEDIAN", "MODE", "CONSTANT", "CREATE_CATEGORY")
@@ -50,16 +50,6 @@ def fitting_rows(df: DataFrame, scope: str, split: str | None) -> tuple[DataFram
     return (df, split) if scope == "per_split" else (df.where(quoted(split) == "train"), None)
 
 
-def by_scope(values: dict[str, object], split: str | None, sql_type: str) -> Column:
-    """A literal, or one literal per split."""
-    if ALL_ROWS in values:
-        return F.lit(values[ALL_ROWS]).cast(sql_type)
-    out = F.lit(None).cast(sql_type)
-    for name, value in values.items():
-        out = F.when(quoted(split) == name, F.lit(value).cast(sql_type)).otherwise(out)
-    return out
-
-
 @dataclass(frozen=True)
 class Imputer:
     """Fitted fill values: {feature: {scope: value}}. ``transform`` is a projection with literals."""

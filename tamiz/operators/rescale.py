@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.columns import columns_except, quoted
-from tamiz.operators.missing import Imputer, by_scope, fitting_rows
-from tamiz.operators.statistics import ALL_ROWS, FeatureStats, collect_statistics
+from tamiz.operators.missing import Imputer, fitting_rows
+from tamiz.operators.statistics import ALL_ROWS, FeatureStats, by_scope, collect_statistics
 
 # Names of the methods. MINMAX: (x - min) / (max - min). AVGSTD: (x - mean) / sample std.
 METHODS = ("MINMAX", "AVGSTD")

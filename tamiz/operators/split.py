@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.functions.columns import TARGET, quoted
 from tamiz.functions.hashing import hash_fraction_below, row_hash
-from tamiz.functions.labels import class_counts, lookup
+from tamiz.functions.labels import MAX_CLASSES, lookup
 
 PREFIX_STEP = 3
 # Rows of one class that one task may rank; a fuller hash range is cut finer first.
@@ -19,6 +19,8 @@ RANKED_ROWS = 200_000
 
 def stratified_quotas(counts: Mapping, dev_size: float) -> dict:
     """Rows per class of the smaller part: ceil(n * dev_size) in all, shared by largest remainder."""
+    if not counts:
+        raise ValueError("no rows with a class to split")
     n = sum(counts.values())
     total = math.ceil(round(n * dev_size, 9))
     small = [c for c, k in counts.items() if k < 2]
@@ -34,46 +36,69 @@ def stratified_quotas(counts: Mapping, dev_size: float) -> dict:
     return quotas
 
 
-def smallest_hash_cutoffs(df: DataFrame, target: str, hashed: Column, quotas: Mapping) -> dict:
-    """Per class the hash of its ``quota``-th smallest row, so that a plain filter takes exactly the quota.
+def smallest_hash_cutoffs(
+    df: DataFrame, target: str, hashed: Column, quotas_of: Callable[[dict], Mapping]
+) -> tuple[dict, dict]:
+    """(class sizes, cutoffs): per class the hash of its last accepted row, so that a plain filter takes
+    exactly the quota. ``quotas_of`` turns the class sizes into quotas.
 
-    Counts per hash prefix find the range with the last accepted row; only rows of that range are
-    ranked. No class is sorted, and the driver sees one row per class.
+    One scan counts rows per class and hash prefix; that gives the class sizes and the range of the last
+    accepted row. Only rows of that range are ranked. No class is sorted, and the driver sees one row
+    per class.
     """
-    rows = df.select(quoted(target).alias("c"), hashed.alias("h"))
-    todo = {c: q for c, q in quotas.items() if q > 0}
-    before = {c: 0 for c in todo}
-    prefix = {c: "" for c in todo}
-    cutoffs = {}
-    length = 0
+    rows = df.where(quoted(target).isNotNull()).select(quoted(target).alias("c"), hashed.alias("h"))
+
+    def prefix_counts(of: DataFrame, length: int) -> DataFrame:
+        """At most 16^PREFIX_STEP rows per class."""
+        return of.groupBy("c", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+
+    length = PREFIX_STEP
+    # Used twice, and quickly counted again should an executor be lost.
+    counts = prefix_counts(rows, length).persist()
+    try:
+        sizes = _class_sizes(counts)
+        quotas = quotas_of(sizes)
+        unfit = sorted(c for c, q in quotas.items() if q > sizes.get(c, 0))
+        if unfit:
+            raise ValueError(f"quota larger than the class: {unfit}")
+        todo = {c: q for c, q in quotas.items() if q > 0}
+        edge = _edges(counts, todo)
+    finally:
+        counts.unpersist()
+    cutoffs: dict = {}
     while todo:
-        length += PREFIX_STEP
-        left = {c: q - before[c] for c, q in todo.items()}
-        ranges = rows.where(F.col("c").isin(list(todo)))
-        if length > PREFIX_STEP:
-            ranges = ranges.where(F.substring("h", 1, length - PREFIX_STEP) == lookup(F.col("c"), prefix, "string"))
-        counts = ranges.groupBy("c", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        # At most 16^PREFIX_STEP rows per class.
-        order = Window.partitionBy("c").orderBy("p")
-        ends = counts.withColumn("end", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        wanted = lookup(F.col("c"), left, "long")
-        edge = ends.where((F.col("end") >= wanted) & (F.col("end") - F.col("n") < wanted)).collect()
-        if len(edge) < len(todo):
-            raise ValueError("a quota is larger than its class")
-        for r in edge:
-            before[r["c"]] += r["end"] - r["n"]
-            prefix[r["c"]] = r["p"]
+        # Rows still to accept inside the prefix of the last accepted row.
+        inside = {r["c"]: r["p"] for r in edge}
+        todo = {r["c"]: todo[r["c"]] - (r["end"] - r["n"]) for r in edge}
         ready = {r["c"] for r in edge if r["n"] <= RANKED_ROWS or length >= 30}
+        here = F.substring("h", 1, length) == lookup(F.col("c"), inside, "string")
         if ready:
-            ranked = rows.where(
-                F.col("c").isin(list(ready))
-                & (F.substring("h", 1, length) == lookup(F.col("c"), {c: prefix[c] for c in ready}, "string"))
-            ).withColumn("r", F.row_number().over(Window.partitionBy("c").orderBy("h")))
-            remaining = {c: todo[c] - before[c] for c in ready}
-            for r in ranked.where(F.col("r") == lookup(F.col("c"), remaining, "long")).collect():
+            order = Window.partitionBy("c").orderBy("h")
+            ranked = rows.where(F.col("c").isin(list(ready)) & here).withColumn("r", F.row_number().over(order))
+            for r in ranked.where(F.col("r") == lookup(F.col("c"), todo, "long")).collect():
                 cutoffs[r["c"]] = r["h"]
-                todo.pop(r["c"])
-    return cutoffs
+        todo = {c: q for c, q in todo.items() if c not in ready}
+        if todo:
+            length += PREFIX_STEP
+            edge = _edges(prefix_counts(rows.where(F.col("c").isin(list(todo)) & here), length), todo)
+    return sizes, cutoffs
+
+
+def _class_sizes(counts: DataFrame) -> dict:
+    rows = counts.groupBy("c").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return {r["c"]: r["n"] for r in sorted(rows, key=lambda r: r["c"])}
+
+
+def _edges(counts: DataFrame, wanted: Mapping) -> list:
+    """Per class the prefix (c, p, n, end) in which the running count reaches the wanted number of rows."""
+    if not wanted:
+        return []
+    so_far = Window.partitionBy("c").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+    ends = counts.where(F.col("c").isin(list(wanted))).withColumn("end", F.sum("n").over(so_far))
+    number = lookup(F.col("c"), wanted, "long")
+    return ends.where((F.col("end") >= number) & (F.col("end") - F.col("n") < number)).collect()
 
 
 def within_cutoff(target: str, hashed: Column, cutoffs: Mapping) -> Column:
@@ -87,8 +112,7 @@ def stratified_split(
     """Add ``split`` ('train' or 'dev') with exact class shares. Rows are chosen by hash of their key, so
     the result does not depend on the partition layout."""
     hashed = row_hash(key, seed)
-    quotas = stratified_quotas(class_counts(df, target), dev_size)
-    cutoffs = smallest_hash_cutoffs(df, target, hashed, quotas)
+    _, cutoffs = smallest_hash_cutoffs(df, target, hashed, lambda sizes: stratified_quotas(sizes, dev_size))
     chosen = within_cutoff(target, hashed, cutoffs)
     return df.withColumn(split, F.when(chosen, F.lit("dev")).otherwise(F.lit("train")))
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.columns import nan_to_null, quoted
+from tamiz.functions.labels import lookup
 from tamiz.functions.running import running_totals
 
 ALL_ROWS = "*"
@@ -116,25 +117,49 @@ def exact_median(df: DataFrame, features: Sequence[str], split: str | None = Non
     """(scope, feature, median), exact and interpolated, for any number of distinct values.
 
     A bounded quantile sketch gives a bracket that must hold the middle ranks (its rank error is at most
-    n / accuracy). Only values inside the bracket are counted one by one; smaller ones are one counter.
+    n / accuracy). Smaller values are only counted; the few inside the bracket are ordered.
     """
     margin = 2.0 / SKETCH_ACCURACY
-    long = unpivot(df, features, split, "double").where(F.col("value").isNotNull())
-    bracket = long.groupBy("scope", "feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", [0.5 - margin, 0.5 + margin], SKETCH_ACCURACY).alias("b"),
+    edges = [0.5 - margin, 0.5 + margin]
+    scope = _scope(split)
+    value = {c: nan_to_null(quoted(c).cast("double")) for c in features}
+    sketch = df.groupBy(scope).agg(
+        *[F.percentile_approx(value[c], edges, SKETCH_ACCURACY).alias(f"b_{i}") for i, c in enumerate(features)]
     )
-    # One row per scope and feature, as few as the sketches themselves.
-    inside = (
-        long.join(F.broadcast(bracket), ["scope", "feature"])
-        .where(F.col("value") <= F.col("b")[1])
-        .withColumn("value", F.when(F.col("value") >= F.col("b")[0], F.col("value")))
-        .groupBy("scope", "feature", "n", "value")
+    # One row per scope, two numbers per feature.
+    brackets = {r["scope"]: {c: r[f"b_{i}"] for i, c in enumerate(features)} for r in sketch.collect()}
+
+    def edge(c: str, side: int) -> Column:
+        return by_scope({k: v[c][side] if v[c] else None for k, v in brackets.items()}, split, "double")
+
+    inside = {c: value[c].between(edge(c, 0), edge(c, 1)) for c in features}
+    wide = df.groupBy(scope).agg(
+        *[F.count(value[c]).alias(f"n_{i}") for i, c in enumerate(features)],
+        *[F.count(F.when(value[c] < edge(c, 0), 1)).alias(f"below_{i}") for i, c in enumerate(features)],
+        *[F.count(F.when(inside[c], 1)).alias(f"inside_{i}") for i, c in enumerate(features)],
+    )
+    sizes = {
+        (r["scope"], c): (r[f"n_{i}"], r[f"below_{i}"], r[f"inside_{i}"])
+        for r in wide.collect()
+        for i, c in enumerate(features)
+        if r[f"n_{i}"]
+    }
+    cells = F.array(
+        *[F.when(inside[c], F.struct(F.lit(c).alias("feature"), value[c].alias("value"))) for c in features]
+    )
+    counted = (
+        df.select(scope, F.explode(F.array_compact(cells)).alias("cell"))
+        .groupBy("scope", "cell.feature", "cell.value")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    ranked = running_totals(inside, ["scope", "feature", "n"], "value", ["c"])
-    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    first, last = F.col("c_before") + 1, F.col("c_before") + F.col("c")
+    ranked = running_totals(
+        counted, ["scope", "feature"], "value", ["c"], sum(n_inside for _, _, n_inside in sizes.values())
+    )
+    place = F.concat_ws("|", "scope", "feature")
+    n = lookup(place, {f"{k}|{c}": v[0] for (k, c), v in sizes.items()}, "long")
+    below = lookup(place, {f"{k}|{c}": v[1] for (k, c), v in sizes.items()}, "long")
+    low, high = F.floor((n + 1) / 2), F.floor(n / 2) + 1
+    first, last = below + F.col("c_before") + 1, below + F.col("c_before") + F.col("c")
     return (
         ranked.where(((first <= low) & (low <= last)) | ((first <= high) & (high <= last)))
         .groupBy("scope", "feature")
@@ -142,6 +167,16 @@ def exact_median(df: DataFrame, features: Sequence[str], split: str | None = Non
     )
 
 
+def by_scope(values: Mapping[str, object], split: str | None, sql_type: str) -> Column:
+    """A literal, or one literal per split."""
+    if ALL_ROWS in values:
+        return F.lit(values[ALL_ROWS]).cast(sql_type)
+    out = F.lit(None).cast(sql_type)
+    for name, value in values.items():
+        out = F.when(quoted(split).cast("string") == name, F.lit(value).cast(sql_type)).otherwise(out)
+    return out
+
+
 def mode(df: DataFrame, features: Sequence[str], split: str | None, value_type: str) -> DataFrame:
     """(scope, feature, mode): most frequent value, the smallest one on a tie."""
     counts = (

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.columns import TARGET, feature_array, literal_array, quoted
 from tamiz.functions.labels import class_counts
-from tamiz.functions.running import running_totals
+from tamiz.functions.running import SMALL_ROWS, running_totals
 from tamiz.operators.balance import balanced_weights, with_class_weights
 
 # Impurities are compared at this many decimals, so that rounding noise decides no tie.
@@ -120,13 +120,14 @@ class ExactTree:
 
 
 def split_candidates(
-    rows: DataFrame, classes: Sequence[int], weights: Sequence[float], min_leaf: int
+    rows: DataFrame, classes: Sequence[int], weights: Sequence[float], min_leaf: int, at_most: int | None = None
 ) -> DataFrame:
     """All valid splits of all nodes: (node, feature, threshold, score, l_0.., t_0..).
 
     ``rows`` has (node, features, label). Rows become class counts per (node, feature, value), added up
     before the shuffle; the threshold is the middle between neighbouring values; ``score`` is the
-    weighted gini impurity left after the split, as a share of the node's weight.
+    weighted gini impurity left after the split, as a share of the node's weight. ``at_most`` bounds the
+    number of (node, feature, value) groups.
     """
     names = [f"n_{i}" for i in range(len(classes))]
     counts = (
@@ -134,7 +135,7 @@ def split_candidates(
         .groupBy("node", "feature", "value")
         .agg(*[F.count(F.when(F.col("label") == c, 1)).alias(n) for c, n in zip(classes, names)])
     )
-    ranked = running_totals(counts, ["node", "feature"], "value", names)
+    ranked = running_totals(counts, ["node", "feature"], "value", names, at_most)
 
     def add(parts: list[Column]) -> Column:
         out = parts[0]
@@ -208,7 +209,9 @@ def fit_exact_tree(
         is_active = literal_array([int(i in flags) for i in range(len(nodes))], "int")
         placed = rows.withColumn("node", so_far.leaf(F.col("features"))).where(is_active[F.col("node")] == 1)
         active = []
-        found = best_splits(split_candidates(placed, classes, weights, min_leaf)).collect()
+        n_cells = sum(sum(nodes[i].counts) for i in flags) * len(features)
+        bound = n_cells if n_cells <= SMALL_ROWS else None
+        found = best_splits(split_candidates(placed, classes, weights, min_leaf, bound)).collect()
         for r in sorted(found, key=lambda r: r["node"]):
             below = tuple(r[f"l_{i}"] for i in range(len(classes)))
             above = tuple(r[f"t_{i}"] - b for i, b in enumerate(below))

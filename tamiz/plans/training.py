@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from tamiz.functions.columns import TARGET, Roles, quoted, select_columns, standardise_types
 from tamiz.functions.labels import derive_label_map, drop_unknown_target, map_labels
-from tamiz.operators.balance import NOT_MINORITY, undersample
+from tamiz.operators.balance import NOT_MINORITY, undersample_splits
 from tamiz.operators.encode import fit_factorizer
 from tamiz.operators.evaluate import GOODNESS
 from tamiz.operators.knn import KnnModel, SearchLimits, training_table
@@ -91,9 +91,8 @@ def labelled(df: DataFrame, config: TrainConfig) -> tuple[DataFrame, Mapping[str
 def prepare(df: DataFrame, config: TrainConfig) -> tuple[Preparation, DataFrame]:
     """Split and prepared rows (with a ``split`` column), and what was fitted for it."""
     roles = config.roles
+    # The source is scanned again by each fit, pruned to its columns; nothing is copied.
     rows, label_map = labelled(df, config)
-    # Read several times from here on.
-    rows = materialise(rows, "labelled")
     if config.stratify:
         rows = stratified_split(rows, roles.key, TARGET, config.dev_size, config.seed)
     else:
@@ -135,16 +134,16 @@ def train(df: DataFrame, config: TrainConfig, output: str | None = None) -> Trai
     """Run the whole job; with ``output`` store reports, preparation and best model there."""
     key = config.roles.key
     prep, rows = prepare(df, config)
-    train_rows = rows.where(quoted("split") == "train").drop("split")
-    dev_rows = rows.where(quoted("split") == "dev").drop("split")
     if config.sampling is not None:
         strategy = config.sampling
         if strategy == "auto":
             strategy = 0.5 if len(prep.label_map) == 2 else NOT_MINORITY
-        train_rows = undersample(train_rows, key, TARGET, strategy, config.seed + 1)
-        if config.balance_dev:
-            dev_rows = undersample(dev_rows, key, TARGET, strategy, config.seed + 1)
-    train_rows, dev_rows = materialise(train_rows, "train"), materialise(dev_rows, "dev")
+        parts = ("train", "dev") if config.balance_dev else ("train",)
+        rows = undersample_splits(rows, key, TARGET, strategy, config.seed + 1, "split", parts)
+    # Written once, read by every model of the sweep.
+    rows = materialise(rows, "prepared", partition_by="split")
+    train_rows = rows.where(quoted("split") == "train").drop("split")
+    dev_rows = rows.where(quoted("split") == "dev").drop("split")
 
     features = prep.features
     classes = sorted(prep.label_map.values())
