@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from tamiz.functions.columns import drop_missing_rows, quoted
 from tamiz.operators.encode import Factorizer
 from tamiz.operators.missing import ImputeSpec, Imputer, fit_imputer, fitting_rows
 from tamiz.operators.rescale import Scaler, fit_scaler
-from tamiz.operators.statistics import collect_statistics
+from tamiz.operators.statistics import ALL_ROWS, collect_statistics
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,19 @@ class Preparation:
         gone = self.scaler.dropped if self.scaler else ()
         return tuple(c for c in (*self.numerical, *self.categorical) if c not in gone)
 
+    def for_new_rows(self) -> Preparation:
+        """The same with the statistics of the training rows for every row: new tables have no split."""
+
+        def known(values: Mapping) -> dict:
+            return {c: {ALL_ROWS: by["train"] if "train" in by else by.get(ALL_ROWS)} for c, by in values.items()}
+
+        imputer = Imputer(known(self.imputer.values)) if self.imputer else None
+        scaler = None
+        if self.scaler:
+            pairs = {c: {k: v or (None, None) for k, v in by.items()} for c, by in known(self.scaler.values).items()}
+            scaler = Scaler(pairs, self.scaler.dropped)
+        return replace(self, imputer=imputer, scaler=scaler, split=None)
+
     def encode(self, df: DataFrame) -> DataFrame:
         """Category codes as numbers."""
         if not self.factorizer:

@@ -39,6 +39,7 @@ def score(
 ) -> Scored:
     """Score ``df`` with the statistics of the training rows. ``refill`` instead fills its missing cells
     from the table itself. Rows with an unknown label are scored but not reported."""
+    prep = prep.for_new_rows()
     wanted = [prep.key, *prep.numerical, *prep.categorical, *([target] if target else [])]
     typed = standardise_types(select_columns(df, wanted), Roles(prep.numerical, prep.categorical, key=prep.key))
     if target:

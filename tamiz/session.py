@@ -24,19 +24,23 @@ def local_session(cpus: int | str = 8, name: str = "tamiz") -> SparkSession:
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a local session without either gets a temporary folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tamiz-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tamiz-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
