@@ -9,6 +9,8 @@ import pyarrow as pa
 
 # Distances are compared at this many decimals.
 DECIMALS = 9
+# Distances held at a time.
+TILE = 2_000_000
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -32,6 +34,17 @@ def pair_distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
     return out if p == 1 else np.sqrt(out)
 
 
+def nearest_pivot(points: np.ndarray, pivots: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position of the nearest pivot, distance to it) of each point."""
+    cell, r = np.empty(len(points), dtype=np.int64), np.empty(len(points))
+    step = max(1, TILE // len(pivots))
+    for start in range(0, len(points), step):
+        d = pair_distances(points[start : start + step], pivots, p)
+        cell[start : start + step] = d.argmin(axis=1)
+        r[start : start + step] = d.min(axis=1)
+    return cell, r
+
+
 def _squared_by_product(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
     """Squared Euclidean distances through a matrix product, with a bound of their error."""
     na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
@@ -44,7 +57,7 @@ def nearest_in_block(
     """(query position, training position, rounded distance), the k nearest per query in rank order."""
     parts = []
     k = min(k, len(train))
-    tile = max(1, 2_000_000 // max(1, len(train)))
+    tile = max(1, TILE // max(1, len(train)))
     for start in range(0, len(queries) if k else 0, tile):
         q = queries[start : start + tile]
         if p == 2 and q.shape[1] > 8:
@@ -85,7 +98,7 @@ class Cells:
         """Per query a distance within which its k nearest rows lie; and the (query position, cell) pairs
         where they can lie."""
         reaches, rows, cols = [np.empty(0)], [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
-        step = max(1, 2_000_000 // len(self.pivots))
+        step = max(1, TILE // len(self.pivots))
         for start in range(0, len(queries), step):
             reach, possible = self._candidates(queries[start : start + step], p)
             r, c = np.nonzero(possible)

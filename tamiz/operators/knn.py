@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tamiz.functions import distances
 from tamiz.functions.columns import TARGET, feature_array, literal_array, quoted
-from tamiz.functions.distances import DECIMALS, Cells, matrix, nearest_in_block, nearest_in_cell, pair_distances
+from tamiz.functions.distances import DECIMALS, Cells, matrix, nearest_in_block, nearest_in_cell, nearest_pivot
 from tamiz.functions.hashing import row_hash
 from tamiz.session import materialise
 
@@ -55,17 +55,21 @@ class SearchLimits:
     # Largest training matrix sent to executors (rows, and cells of the matrix: 16 MB).
     direct_rows: int = 65_536
     direct_cells: int = 2_097_152
-    # Distance terms one task of the direct form should compute, and its largest number of tasks.
+    # Distance terms one task of the direct form should compute. Only this many queries are spread anew for
+    # it; more of them come in many input splits anyway.
     task_work: float = 5e7
-    direct_tasks: int = 20_000
+    spread_rows: int = 20_000_000
+    # Largest number of tasks asked for.
+    tasks: int = 20_000
     # Aimed rows per cell, and the largest number of pivots (pivots * features doubles are held per task).
     cell_rows: int = 4_096
     wide_cell_rows: int = 32_768
     max_pivots: int = 2_048
     max_pivot_cells: int = 2_097_152
-    # Block size after salting.
+    # Block size after salting, in rows and in cells of the matrix (32 MB).
     block_train: int = 32_768
     block_queries: int = 16_384
+    block_cells: int = 4_194_304
 
 
 # ---------------------------------------------------------------- direct form
@@ -96,10 +100,10 @@ def _direct(train: DataFrame, queries: DataFrame, k: int, p: int, n_train: int,
                 [*[batch.column(f.name) for f in kept], found], names=[*[f.name for f in kept], "neighbours"]
             )
 
-    # Few large input splits would leave the distances to few tasks.
-    work = queries.select(quoted(key)).count() * n_train * max(1, points.shape[1])
-    tasks = min(limits.direct_tasks, math.ceil(work / limits.task_work))
-    if tasks > 1:
+    # A few large input splits would leave the distances to few tasks.
+    n_queries = queries.select(quoted(key)).count()
+    tasks = min(limits.tasks, math.ceil(n_queries * n_train * max(1, points.shape[1]) / limits.task_work))
+    if tasks > 1 and n_queries <= limits.spread_rows:
         queries = queries.repartition(tasks, quoted(key))
     return queries.mapInArrow(search, schema)
 
@@ -131,9 +135,7 @@ def _build_cells(train: DataFrame, pivots: np.ndarray, k: int, p: int) -> tuple[
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = pair_distances(matrix(batch.column("features")), pivots, p)
-            cell = d.argmin(axis=1) if len(d) else np.empty(0, dtype=np.int64)
-            r = d[np.arange(len(d)), cell] if len(d) else np.empty(0)
+            cell, r = nearest_pivot(matrix(batch.column("features")), pivots, p)
             columns = [*[batch.column(f.name) for f in fields], pa.array(cell.astype(np.int32)), pa.array(r)]
             yield pa.RecordBatch.from_arrays(columns, names=[*[f.name for f in fields], "cell", "r"])
 
@@ -199,9 +201,11 @@ def _partitioned(
     for r in routed.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect():
         asked[r["cell"]] = r["count"]
     # Blocks of a cell: its rows and its queries are salted apart, so a cell of any size stays bounded.
-    t_blocks = literal_array(np.ceil(cells.counts / limits.block_train).astype(int).tolist(), "int")
-    q_blocks = literal_array(np.ceil(asked / limits.block_queries).astype(int).tolist(), "int")
-    t_of, q_of = t_blocks[F.col("cell")], q_blocks[F.col("cell")]
+    block_rows = max(1, limits.block_cells // width)
+    t_blocks = np.ceil(cells.counts / min(limits.block_train, block_rows)).astype(int)
+    q_blocks = np.ceil(asked / min(limits.block_queries, block_rows)).astype(int)
+    t_of = literal_array(t_blocks.tolist(), "int")[F.col("cell")]
+    q_of = literal_array(q_blocks.tolist(), "int")[F.col("cell")]
 
     def copies(blocks: Column) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1))
@@ -241,6 +245,9 @@ def _partitioned(
 
     out_schema = T.StructType([queries.schema[key], *NEIGHBOURS.elementType.fields])
     block = ["cell", "tb", "qb"]
+    # Blocks are much work and few bytes: as many partitions as blocks, not as many as their bytes suggest.
+    tasks = int(min(limits.tasks, max(1, (t_blocks * q_blocks).sum())))
+    left, right = left.repartition(tasks, *block), right.repartition(tasks, *block)
     near = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(search, out_schema)
     rank = Window.partitionBy(quoted(key)).orderBy("distance", "train_id")
     best = (
@@ -255,35 +262,55 @@ def _partitioned(
 # ---------------------------------------------------------------- neighbours
 
 
+@dataclass(frozen=True)
+class SearchTable:
+    """Training points for up to ``k`` neighbours. A table beyond the direct form is stored without the
+    copies that can be no neighbour."""
+
+    points: DataFrame
+    n: int
+    width: int
+    k: int
+    direct: bool
+
+
+def search_table(train: DataFrame, k: int, limits: SearchLimits = SearchLimits()) -> SearchTable:
+    """``train`` has (train_id long, features array<double>, label long)."""
+
+    def size(points: DataFrame) -> tuple[int, int, bool]:
+        r = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width")).first()
+        n, width = r["n"], r["width"] or 0
+        return n, width, n <= limits.direct_rows and n * width <= limits.direct_cells
+
+    n, width, direct = size(train)
+    if not 1 <= k <= n:
+        raise ValueError(f"k = {k} neighbours asked of {n} training rows")
+    if not direct:
+        train = materialise(distinct_points(train, k), "points")
+        n, width, direct = size(train)
+    return SearchTable(train, n, width, k, direct)
+
+
 def nearest_neighbours(
-    train: DataFrame, queries: DataFrame, k: int, p: int = 2, key: str = "row_id", limits: SearchLimits = SearchLimits()
+    train: DataFrame | SearchTable,
+    queries: DataFrame,
+    k: int,
+    p: int = 2,
+    key: str = "row_id",
+    limits: SearchLimits = SearchLimits(),
 ) -> DataFrame:
     """``queries`` without ``features`` but with ``neighbours``: their k nearest training rows in rank order.
 
-    ``train`` has (train_id long, features array<double>, label long), ``queries`` a unique ``key`` and
-    ``features``.
+    ``queries`` has a unique ``key`` and ``features``. Several searches share one ``search_table``.
     """
     if p not in (1, 2):
         raise ValueError(f"p is 1 (Manhattan) or 2 (Euclidean), not {p}")
-    n, width = _size(train)
-    if not 1 <= k <= n:
-        raise ValueError(f"k = {k} neighbours asked of {n} training rows")
-
-    def is_small(rows: int) -> bool:
-        return rows <= limits.direct_rows and rows * width <= limits.direct_cells
-
-    if is_small(n):
-        return _direct(train, queries, k, p, n, key, limits)
-    points = materialise(distinct_points(train, k), "points")
-    n, _ = _size(points)
-    if is_small(n):
-        return _direct(points, queries, k, p, n, key, limits)
-    return _partitioned(points, queries, k, p, n, width, key, limits)
-
-
-def _size(train: DataFrame) -> tuple[int, int]:
-    r = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width")).first()
-    return r["n"], r["width"] or 0
+    table = train if isinstance(train, SearchTable) else search_table(train, k, limits)
+    if k > table.k:
+        raise ValueError(f"the table holds points for {table.k} neighbours, not {k}")
+    if table.direct:
+        return _direct(table.points, queries, k, p, table.n, key, limits)
+    return _partitioned(table.points, queries, k, p, table.n, table.width, key, limits)
 
 
 # ---------------------------------------------------------------- vote

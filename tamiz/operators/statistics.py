@@ -14,9 +14,9 @@ from tamiz.functions.labels import lookup
 from tamiz.functions.running import running_totals
 
 ALL_ROWS = "*"
-# Above this many features the aggregate is done on (feature, value) pairs: an aggregate with thousands
-# of expressions is neither compiled nor small.
-WIDE_TABLE = 64
+# Above this many features the aggregate is done on (feature, value) pairs: an aggregate with hundreds of
+# expressions is not compiled, and measured slower than the pairs.
+WIDE_TABLE = 8
 SKETCH_ACCURACY = 10_000
 
 
@@ -113,6 +113,20 @@ def collect_statistics(
     return out
 
 
+def _brackets(df: DataFrame, features: Sequence[str], split: str | None, margin: float) -> DataFrame:
+    """(scope, feature, n, bracket): approximate quantiles on either side of the middle."""
+
+    def measures(value: Column) -> list[Column]:
+        sketch = F.percentile_approx(value, [0.5 - margin, 0.5 + margin], SKETCH_ACCURACY)
+        return [F.count(value).alias("n"), sketch.alias("bracket")]
+
+    if len(features) > WIDE_TABLE:
+        return unpivot(df, features, split, "double").groupBy("scope", "feature").agg(*measures(F.col("value")))
+    each = [F.struct(F.lit(c).alias("feature"), *measures(nan_to_null(quoted(c).cast("double")))) for c in features]
+    wide = df.groupBy(_scope(split)).agg(F.array(*each).alias("all"))
+    return wide.select("scope", F.explode("all").alias("s")).select("scope", "s.*")
+
+
 def exact_median(df: DataFrame, features: Sequence[str], split: str | None = None) -> DataFrame:
     """(scope, feature, median), exact and interpolated, for any number of distinct values.
 
@@ -120,46 +134,31 @@ def exact_median(df: DataFrame, features: Sequence[str], split: str | None = Non
     n / accuracy). Smaller values are only counted; the few inside the bracket are ordered.
     """
     margin = 2.0 / SKETCH_ACCURACY
-    edges = [0.5 - margin, 0.5 + margin]
-    scope = _scope(split)
-    value = {c: nan_to_null(quoted(c).cast("double")) for c in features}
-    sketch = df.groupBy(scope).agg(
-        *[F.percentile_approx(value[c], edges, SKETCH_ACCURACY).alias(f"b_{i}") for i, c in enumerate(features)]
-    )
-    # One row per scope, two numbers per feature.
-    brackets = {r["scope"]: {c: r[f"b_{i}"] for i, c in enumerate(features)} for r in sketch.collect()}
+    # Three numbers per scope and feature.
+    found = {(r["scope"], r["feature"]): r for r in _brackets(df, features, split, margin).collect() if r["n"]}
 
-    def edge(c: str, side: int) -> Column:
-        return by_scope({k: v[c][side] if v[c] else None for k, v in brackets.items()}, split, "double")
+    def edge(feature: str, side: int) -> Column:
+        return by_scope({k: r["bracket"][side] for (k, f), r in found.items() if f == feature}, split, "double")
 
-    inside = {c: value[c].between(edge(c, 0), edge(c, 1)) for c in features}
-    wide = df.groupBy(scope).agg(
-        *[F.count(value[c]).alias(f"n_{i}") for i, c in enumerate(features)],
-        *[F.count(F.when(value[c] < edge(c, 0), 1)).alias(f"below_{i}") for i, c in enumerate(features)],
-        *[F.count(F.when(inside[c], 1)).alias(f"inside_{i}") for i, c in enumerate(features)],
-    )
-    sizes = {
-        (r["scope"], c): (r[f"n_{i}"], r[f"below_{i}"], r[f"inside_{i}"])
-        for r in wide.collect()
-        for i, c in enumerate(features)
-        if r[f"n_{i}"]
-    }
-    cells = F.array(
-        *[F.when(inside[c], F.struct(F.lit(c).alias("feature"), value[c].alias("value"))) for c in features]
-    )
+    cells = []
+    for c in features:
+        value = nan_to_null(quoted(c).cast("double"))
+        # Below the bracket a cell only counts, under the value NULL.
+        kept = F.struct(F.lit(c).alias("feature"), F.when(value >= edge(c, 0), value).alias("value"))
+        cells.append(F.when(value <= edge(c, 1), kept))
     counted = (
-        df.select(scope, F.explode(F.array_compact(cells)).alias("cell"))
+        df.select(_scope(split), F.explode(F.array(*cells)).alias("cell"))
+        .where(F.col("cell").isNotNull())
         .groupBy("scope", "cell.feature", "cell.value")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    ranked = running_totals(
-        counted, ["scope", "feature"], "value", ["c"], sum(n_inside for _, _, n_inside in sizes.values())
-    )
-    place = F.concat_ws("|", "scope", "feature")
-    n = lookup(place, {f"{k}|{c}": v[0] for (k, c), v in sizes.items()}, "long")
-    below = lookup(place, {f"{k}|{c}": v[1] for (k, c), v in sizes.items()}, "long")
+    # The bracket spans 2 margins, and the sketch may be off by half a margin on either side.
+    at_most = sum(int(3 * margin * r["n"]) + 4 for r in found.values())
+    ranked = running_totals(counted, ["scope", "feature"], "value", ["c"], at_most)
+    sizes = {f"{k}|{f}": r["n"] for (k, f), r in found.items()}
+    n = lookup(F.concat_ws("|", "scope", "feature"), sizes, "long")
     low, high = F.floor((n + 1) / 2), F.floor(n / 2) + 1
-    first, last = below + F.col("c_before") + 1, below + F.col("c_before") + F.col("c")
+    first, last = F.col("c_before") + 1, F.col("c_before") + F.col("c")
     return (
         ranked.where(((first <= low) & (low <= last)) | ((first <= high) & (high <= last)))
         .groupBy("scope", "feature")

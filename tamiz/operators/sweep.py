@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.columns import TARGET, feature_array, quoted
 from tamiz.operators.evaluate import best_model, classification_report, confusion_matrix, goodness
-from tamiz.operators.knn import SearchLimits, nearest_neighbours, training_table, votes, winner
+from tamiz.operators.knn import SearchLimits, nearest_neighbours, search_table, training_table, votes, winner
 from tamiz.operators.tree import ExactTree, MllibTree, fit_exact_tree, fit_mllib_tree
 from tamiz.session import materialise
 
@@ -76,7 +76,7 @@ def sweep_knn(
 ) -> SweepResult:
     """One neighbour search per distance, at the largest k; every model is a vote on its neighbours."""
     vector = features if isinstance(features, Column) else feature_array(features)
-    table = training_table(train, lambda: vector, key, label)
+    table = search_table(training_table(train, lambda: vector, key, label), max(grid.k), limits)
     asked = dev.select(quoted(key), quoted(label), vector.alias("features"))
     models = grid.models()
     parts = []
