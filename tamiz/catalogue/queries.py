@@ -36,7 +36,7 @@ from tamiz.plans.preparation import Preparation, fit_fill_and_scale
 from tamiz.plans.scoring import score, score_stored
 from tamiz.plans.training import TrainConfig, train
 from tamiz.session import materialise, scratch_path
-from tamiz.sources.models import save_model, save_preparation
+from tamiz.sources.models import save_models, save_preparation
 from tamiz.sources.sinks import read_reports, write_csv, write_predictions, write_reports
 from tamiz.sources.tables import read_csv, read_dataset
 
@@ -504,7 +504,7 @@ def fitted_parts(spark, folder, label_map):
     model = KnnModel(training_table(prepared, PART_FEATURES, "p_partkey"), PART_FEATURES, label_map, 5, "uniform", 2)
     path = scratch_path(spark, "model")
     save_preparation(spark, prep, path)
-    save_model(spark, model, path)
+    save_models(spark, {"KNN-k:5-p:2-w:uniform": model}, "KNN-k:5-p:2-w:uniform", path)
     return dev_rows.drop(TARGET), path
 
 

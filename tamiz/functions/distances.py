@@ -91,7 +91,7 @@ class Cells:
     counts: np.ndarray
     radius: np.ndarray  # (cells, 2): smallest and largest distance to the pivot
     kth: np.ndarray  # distance to the pivot within which the cell holds k rows; inf if it has fewer
-    low: np.ndarray  # bounding boxes
+    low: np.ndarray  # (cells, features): bounding boxes, without columns if there are none
     high: np.ndarray
 
     def route(self, queries: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +115,7 @@ class Cells:
         # A row of a cell is nearer to its own pivot than to the pivot nearest to the query.
         np.maximum(bound, (to_pivot - to_pivot.min(axis=1, keepdims=True)) / 2, out=bound)
         gap = np.zeros_like(bound)
-        for j in range(queries.shape[1]):
+        for j in range(self.low.shape[1]):
             x = queries[:, j, None]
             outside = np.maximum(np.maximum(self.low[:, j] - x, x - self.high[:, j]), 0.0)
             gap += outside if p == 1 else outside * outside

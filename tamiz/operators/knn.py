@@ -66,6 +66,8 @@ class SearchLimits:
     wide_cell_rows: int = 32_768
     max_pivots: int = 2_048
     max_pivot_cells: int = 2_097_152
+    # Cells have bounding boxes up to this many features.
+    boxed_features: int = 32
     # Block size after salting, in rows and in cells of the matrix (32 MB).
     block_train: int = 32_768
     block_queries: int = 16_384
@@ -129,7 +131,9 @@ def _choose_pivots(train: DataFrame, n: int, width: int, limits: SearchLimits) -
     return np.unique(matrix(chosen["features"]), axis=0)
 
 
-def _build_cells(train: DataFrame, pivots: np.ndarray, k: int, p: int) -> tuple[DataFrame, Cells]:
+def _build_cells(
+    train: DataFrame, pivots: np.ndarray, k: int, p: int, limits: SearchLimits
+) -> tuple[DataFrame, Cells]:
     fields = [f for f in train.schema.fields]
     schema = T.StructType([*fields, T.StructField("cell", T.IntegerType()), T.StructField("r", T.DoubleType())])
 
@@ -141,12 +145,14 @@ def _build_cells(train: DataFrame, pivots: np.ndarray, k: int, p: int) -> tuple[
 
     placed = materialise(train.mapInArrow(assign, schema), "cells")
     m, width = pivots.shape
-    boxes = placed.groupBy("cell").agg(
+    # Boxes of many features exclude next to nothing, and would take two aggregates per feature.
+    boxed = range(width if width <= limits.boxed_features else 0)
+    summary = placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("r").alias("r0"),
         F.max("r").alias("r1"),
-        F.array(*[F.min(F.col("features")[j]) for j in range(width)]).alias("low"),
-        F.array(*[F.max(F.col("features")[j]) for j in range(width)]).alias("high"),
+        *[F.min(F.col("features")[j]).alias(f"low_{j}") for j in boxed],
+        *[F.max(F.col("features")[j]).alias(f"high_{j}") for j in boxed],
     )
     near = Window.partitionBy("cell").orderBy("r")
     kth = placed.select("cell", "r", F.row_number().over(near).alias("i")).where(F.col("i") <= k)
@@ -157,13 +163,15 @@ def _build_cells(train: DataFrame, pivots: np.ndarray, k: int, p: int) -> tuple[
         np.zeros(m, dtype=np.int64),
         np.zeros((m, 2)),
         np.full(m, np.inf),
-        np.zeros((m, width)),
-        np.zeros((m, width)),
+        np.full((m, len(boxed)), -np.inf),
+        np.full((m, len(boxed)), np.inf),
     )
-    for r in boxes.collect():
-        cells.counts[r["cell"]] = r["n"]
-        cells.radius[r["cell"]] = r["r0"], r["r1"]
-        cells.low[r["cell"]], cells.high[r["cell"]] = r["low"], r["high"]
+    for r in summary.collect():
+        c = r["cell"]
+        cells.counts[c] = r["n"]
+        cells.radius[c] = r["r0"], r["r1"]
+        cells.low[c] = [r[f"low_{j}"] for j in boxed]
+        cells.high[c] = [r[f"high_{j}"] for j in boxed]
     for r in kth.collect():
         cells.kth[r["cell"]] = r["kth"]
     return placed, cells
@@ -173,7 +181,7 @@ def _partitioned(
     train: DataFrame, queries: DataFrame, k: int, p: int, n: int, width: int, key: str, limits: SearchLimits
 ) -> DataFrame:
     pivots = _choose_pivots(train, n, width, limits)
-    placed, cells = _build_cells(train, pivots, k, p)
+    placed, cells = _build_cells(train, pivots, k, p, limits)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

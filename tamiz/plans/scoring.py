@@ -59,10 +59,16 @@ def score(
 
 
 def score_stored(
-    spark: SparkSession, df: DataFrame, folder: str, target: str | None = None, output: str | None = None
+    spark: SparkSession,
+    df: DataFrame,
+    folder: str,
+    target: str | None = None,
+    output: str | None = None,
+    name: str | None = None,
 ) -> Scored:
-    """Load preparation and model from ``folder``, score, and optionally write the predictions."""
-    result = score(df, load_preparation(spark, folder), load_model(spark, folder), target)
+    """Load preparation and model (the best, or one by name) from ``folder``, score, and optionally write the
+    predictions."""
+    result = score(df, load_preparation(spark, folder), load_model(spark, folder, name), target)
     if output is not None:
         write_predictions(result.predictions, output)
     return result

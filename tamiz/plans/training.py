@@ -20,7 +20,7 @@ from tamiz.operators.sweep import KnnGrid, SweepResult, TreeGrid, sweep_knn, swe
 from tamiz.operators.tree import ExactTree
 from tamiz.plans.preparation import Preparation, fit_fill_and_scale
 from tamiz.session import materialise
-from tamiz.sources.models import Model, save_model, save_preparation
+from tamiz.sources.models import Model, save_models, save_preparation
 from tamiz.sources.sinks import write_report_csv, write_reports
 
 ALGORITHMS = ("KNN", "DecisionTree")
@@ -72,7 +72,9 @@ class Trained:
     sweep: SweepResult
     best_name: str
     best_value: float
-    # The best model; the first of the grid if none scored above 0.
+    # All models of the grid by name.
+    models: Mapping[str, Model]
+    # The best one; the first of the grid if none scored above 0.
     model: Model
     train: DataFrame
     dev: DataFrame
@@ -155,31 +157,38 @@ def train(df: DataFrame, config: TrainConfig, output: str | None = None) -> Trai
         sweep = sweep_tree(
             train_rows, dev_rows, features, TARGET, config.tree_grid, config.measure, config.exact_tree, config.max_bins
         )
+    models = build_models(sweep, train_rows, prep, config)
     best = sweep.best.first()
-    name = best["name"] if best["name"] in sweep.models else next(iter(sweep.models))
-    model = build_model(sweep, name, train_rows, prep, config)
-    result = Trained(prep, sweep, best["name"], best["value"], model, train_rows, dev_rows)
+    model = models.get(best["name"]) or next(iter(models.values()))
+    result = Trained(prep, sweep, best["name"], best["value"], models, model, train_rows, dev_rows)
     if output is not None:
         store(result, config, output)
     return result
 
 
-def build_model(sweep: SweepResult, name: str, train_rows: DataFrame, prep: Preparation, config: TrainConfig) -> Model:
-    chosen = sweep.models[name]
+def build_models(
+    sweep: SweepResult, train_rows: DataFrame, prep: Preparation, config: TrainConfig
+) -> dict[str, Model]:
     if config.algorithm == "KNN":
-        k, weights, p = chosen
         table = training_table(train_rows, prep.features, config.roles.key, TARGET)
-        return KnnModel(table, prep.features, dict(prep.label_map), k, weights, p, config.limits)
-    if isinstance(chosen, ExactTree):
-        depth, _ = config.tree_grid.models()[name]
-        return chosen.cut(depth)
-    return chosen
+        labels = dict(prep.label_map)
+        return {
+            name: KnnModel(table, prep.features, labels, k, weights, p, config.limits)
+            for name, (k, weights, p) in sweep.models.items()
+        }
+    depths = config.tree_grid.models()
+    return {
+        name: tree.cut(depths[name][0]) if isinstance(tree, ExactTree) else tree for name, tree in sweep.models.items()
+    }
 
 
 def store(result: Trained, config: TrainConfig, output: str) -> None:
+    """``<output>/reports``, ``<output>/<algorithm>/reports_csv`` and ``<output>/models/<algorithm>``."""
     spark = result.train.sparkSession
     folder = output.rstrip("/")
     write_reports(result.sweep.report, folder, config.algorithm)
     write_report_csv(result.sweep.report, f"{folder}/{config.algorithm}")
-    save_preparation(spark, result.preparation, f"{folder}/best/{config.algorithm}")
-    save_model(spark, result.model, f"{folder}/best/{config.algorithm}")
+    target = f"{folder}/models/{config.algorithm}"
+    save_preparation(spark, result.preparation, target)
+    best = next(name for name, model in result.models.items() if model is result.model)
+    save_models(spark, result.models, best, target)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
@@ -58,31 +59,35 @@ def load_preparation(spark: SparkSession, folder: str) -> Preparation:
     )
 
 
-def save_model(spark: SparkSession, model: Model, folder: str) -> None:
-    """KNN: the training rows as parquet. Trees: their nodes. No row passes the driver."""
-    if isinstance(model, KnnModel):
-        model.train.write.mode("overwrite").parquet(f"{folder}/train")
-        state = {
-            "kind": "knn",
-            "features": model.features,
-            "label_map": model.label_map,
-            "k": model.k,
-            "weights": model.weights,
-            "p": model.p,
-        }
-    elif isinstance(model, ExactTree):
-        state = {"kind": "exact_tree", "tree": model.to_json()}
-    else:
-        model.model.write().overwrite().save(f"{folder}/mllib")
-        state = {"kind": "mllib_tree", "features": model.features}
-    write_text(spark, json.dumps(state), f"{folder}/model")
+def save_models(spark: SparkSession, models: Mapping[str, Model], best: str, folder: str) -> None:
+    """All models of a sweep. KNN models share their training rows, stored once as parquet; exact trees are
+    their nodes; MLlib trees store themselves. No row passes the driver."""
+    states: dict[str, dict] = {}
+    shared = next((m for m in models.values() if isinstance(m, KnnModel)), None)
+    if shared is not None:
+        shared.train.write.mode("overwrite").parquet(f"{folder}/train")
+    for i, (name, model) in enumerate(models.items()):
+        if isinstance(model, KnnModel):
+            state = {"kind": "knn", "features": model.features, "label_map": model.label_map}
+            states[name] = {**state, "k": model.k, "weights": model.weights, "p": model.p}
+        elif isinstance(model, ExactTree):
+            states[name] = {"kind": "exact_tree", "tree": model.to_json()}
+        else:
+            model.model.write().overwrite().save(f"{folder}/mllib/{i}")
+            states[name] = {"kind": "mllib_tree", "features": model.features, "place": i}
+    write_text(spark, json.dumps({"best": best, "models": states}), f"{folder}/models")
 
 
-def load_model(spark: SparkSession, folder: str) -> Model:
-    d = json.loads(read_text(spark, f"{folder}/model"))
+def load_model(spark: SparkSession, folder: str, name: str | None = None) -> Model:
+    """A stored model by name; the best one without a name."""
+    stored = json.loads(read_text(spark, f"{folder}/models"))
+    name = stored["best"] if name is None else name
+    if name not in stored["models"]:
+        raise ValueError(f"no model '{name}' in {folder}, only {sorted(stored['models'])}")
+    d = stored["models"][name]
     if d["kind"] == "knn":
         train = spark.read.parquet(f"{folder}/train")
         return KnnModel(train, tuple(d["features"]), d["label_map"], d["k"], d["weights"], d["p"])
     if d["kind"] == "exact_tree":
         return ExactTree.from_json(d["tree"])
-    return MllibTree(PipelineModel.load(f"{folder}/mllib"), tuple(d["features"]))
+    return MllibTree(PipelineModel.load(f"{folder}/mllib/{d['place']}"), tuple(d["features"]))

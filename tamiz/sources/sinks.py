@@ -24,8 +24,7 @@ def write_report_csv(report: DataFrame, folder: str) -> str:
     path = f"{folder.rstrip('/')}/reports_csv"
     first = [c for c in ("model", "row") if c in report.columns]
     ordered = report.select(*first, *[c for c in report.columns if c not in first])
-    ordered.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    return path
+    return write_csv(ordered.coalesce(1), path)
 
 
 def write_predictions(predictions: DataFrame, folder: str) -> str:
@@ -35,13 +34,15 @@ def write_predictions(predictions: DataFrame, folder: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    options = {"header": True, "emptyValue": "", "quote": '"', "escape": '"'}
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**options, **spaces).csv(path)
     return path
 
 
 def write_text(spark: SparkSession, text: str, path: str) -> None:
     """A small text through Spark's own writer, so that any file system works."""
-    spark.createDataFrame([(text,)], "text string").coalesce(1).write.mode("overwrite").parquet(path)
+    spark.range(1).select(F.lit(text).alias("text")).write.mode("overwrite").parquet(path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

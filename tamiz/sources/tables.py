@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,8 +58,10 @@ def _infer(raw: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return out
 
 
-def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
-    return spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path).columns
+def _reader(spark: SparkSession, sep: str, multiline: bool) -> DataFrameReader:
+    """A quote inside a quoted cell is doubled."""
+    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": multiline}
+    return spark.read.options(**options)
 
 
 def read_csv(
@@ -68,14 +70,16 @@ def read_csv(
     schema: Mapping[str, str] | None = None,
     sep: str = ",",
     na_tokens: Sequence[str] = NA_TOKENS,
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV with a header. Cells that are NA marks become NULL; any other cell must fit its type, or the job
-    fails. Without a ``schema`` ({name: type}) one extra scan finds the types."""
-    columns = _header(spark, path, sep)
+    fails. Without a ``schema`` ({name: type}) one extra scan finds the types. Only with ``multiline`` may a
+    quoted cell hold line ends; a file is then read by one task."""
+    columns = _reader(spark, sep, multiline).csv(path).columns
     text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    # A header scan per file; empty cells arrive as NULL already.
-    scan = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False).schema(text).csv(path)
-    raw = scan.select(*[F.when(~F.trim(quoted(c)).isin(*na_tokens), quoted(c)).alias(c) for c in columns])
+    # All files must have this header.
+    scan = _reader(spark, sep, multiline).option("enforceSchema", False).schema(text).csv(path)
+    raw = scan.select(*[F.when(~quoted(c).isin(*na_tokens), quoted(c)).alias(c) for c in columns])
     if schema is None:
         schema = _infer(raw, columns)
     return apply_schema(raw, {c: schema[c] for c in columns if c in schema})

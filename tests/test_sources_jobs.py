@@ -12,7 +12,7 @@ from tamiz.plans.scoring import score, score_stored
 from tamiz.plans.training import TrainConfig, train
 from tamiz.session import materialise, scratch_dir
 from tamiz.sources.models import load_model, load_preparation
-from tamiz.sources.sinks import read_reports, write_reports
+from tamiz.sources.sinks import read_reports, write_csv, write_reports
 from tamiz.sources.tables import cap_rows, read_csv, read_dataset, with_row_id
 from tests.conftest import collected
 
@@ -49,6 +49,13 @@ def test_csv_with_declared_types(spark, tmp_path):
         read_csv(spark, path, {"a": "decimal"})
 
 
+def test_csv_quotes_and_lines(spark, rows, tmp_path):
+    texts = ['say "so"', "a\nb", " NA", "x,y", "back\\slash"]
+    df = rows("i long, t string", list(enumerate(texts)))
+    path = write_csv(df, f"{tmp_path}/quoted")
+    assert collected(read_csv(spark, path, multiline=True), "i") == list(enumerate(texts))
+
+
 def test_dataset_by_name_and_cap(spark, rows):
     rows("k int, x string, other int", [(i, str(i / 2), 0) for i in range(50)], 5).createOrReplaceTempView("halves")
     df = read_dataset(spark, "halves", {"x": "double", "k": "long"}, limit=3, key="k")
@@ -139,7 +146,7 @@ def test_train_store_and_score(spark, rows, tmp_path, algorithm):
     stored = read_reports(spark, str(tmp_path)).where(F.col("algorithm") == algorithm).drop("algorithm")
     assert collected(stored, "model", "row") == collected(done.sweep.report, "model", "row")
 
-    folder = f"{tmp_path}/best/{algorithm}"
+    folder = f"{tmp_path}/models/{algorithm}"
     scored = score_stored(spark, df, folder, "kind", f"{tmp_path}/out")
     fresh = score(df, done.preparation, done.model, "kind")
     assert collected(scored.predictions, "row_id") == collected(fresh.predictions, "row_id")
@@ -152,6 +159,13 @@ def test_train_store_and_score(spark, rows, tmp_path, algorithm):
     names = [c for c in scored.predictions.columns if c.startswith("probability_")]
     assert names == [f"probability_of_value_{n}" for n in ("one", "two", "three")]
 
+    # Every model of the sweep is stored.
+    other = list(done.models)[-1]
+    by_name = score_stored(spark, df, folder, "kind", name=other).predictions
+    assert collected(by_name, "row_id") == collected(score(df, done.preparation, done.models[other], "kind").predictions, "row_id")
+    with pytest.raises(ValueError, match="no model"):
+        load_model(spark, folder, "KNN-k:99")
+
     unlabelled = score_stored(spark, df.drop("kind"), folder)
     assert unlabelled.report is None and unlabelled.predictions.count() == 150
 
@@ -215,10 +229,10 @@ def test_bad_options():
 def test_stored_preparation_is_equal(spark, rows, tmp_path):
     df = flowers(rows)
     done = train(df, TrainConfig(ROLES, LABELS, knn_grid=KnnGrid((1,), ("uniform",), (2,))), str(tmp_path))
-    prep = load_preparation(spark, f"{tmp_path}/best/KNN")
+    prep = load_preparation(spark, f"{tmp_path}/models/KNN")
     assert prep.features == done.preparation.features and prep.label_map == LABELS
     typed = df.withColumn("at", F.col("at").cast("double"))
     assert collected(prep.transform(typed.drop("kind")).where("row_id < 5"), "row_id") == collected(
         done.preparation.transform(typed.drop("kind")).where("row_id < 5"), "row_id"
     )
-    assert load_model(spark, f"{tmp_path}/best/KNN").k == 1
+    assert load_model(spark, f"{tmp_path}/models/KNN").k == 1
