@@ -357,6 +357,14 @@ TREE2 = f"{PARTS}, {tree('parts', 2, 1, 't')}, {leaves('t', 2)}"
 TREE5 = f"""{PART_SPLIT}, tr AS MATERIALIZED {TRAIN}, dv AS MATERIALIZED {DEV}, {tree('tr', 5, 1, 't')},
     {follow('dv', 't', 5, 'd')}, {leaves('t', 5)}"""
 
+MODEL_GOODNESS = f"""WITH {PART_SPLIT}, {neighbours(DEV, TRAIN, 'p_partkey', point_distance(PART_FEATURES, 2), 5)},
+    {vote('nb', 5, 'uniform', 'v')}, {winners('v', 'w')}, tr AS MATERIALIZED {TRAIN}, dv AS MATERIALIZED {DEV},
+    {tree('tr', 2, 1, 't')}, {follow('dv', 't', 2, 'd')}, {leaves('t', 2)},
+    conf AS (SELECT model, label, prediction, count(*) AS n FROM (
+        SELECT 'KNN-k:5-p:2-w:uniform' AS model, label, predicted_value AS prediction FROM w
+        UNION ALL SELECT 'DecisionTree-z:2-l:1', label, predicted_value FROM d2 JOIN twin2 USING (node)) GROUP BY 1, 2, 3),
+    {report('conf', 'model')} SELECT model, round(f1_score, 6) AS value FROM rep WHERE "row" = 'macro avg'"""
+
 WEIGHTED_ROWS = """labelled AS (SELECT quality::BIGINT AS label, n_chars::DOUBLE AS p_size, doc_id::DOUBLE AS p_retailprice
         FROM labels JOIN documents USING (doc_id))"""
 
@@ -474,6 +482,7 @@ ORACLES: dict[str, str] = {
         FROM t2 x JOIN twin2 USING (node) JOIN tleaf2 l USING (node) GROUP BY p_partkey""",
     "tree_exact_predict": f"WITH {TREE5} SELECT p_partkey, label, predicted_value FROM d5 JOIN twin5 USING (node)",
     "tree_exact_sweep_report": tree_sweep((1, 2), (1, 2)),
+    "model_goodness": MODEL_GOODNESS,
     "scored_dataset": f"""WITH {PART_SPLIT}, {neighbours(DEV, TRAIN, 'p_partkey', point_distance(PART_FEATURES, 2), 5)},
         {vote('nb', 5, 'uniform', 'v')}, {winners('v', 'w')}, pr AS (SELECT qid, {probabilities(PART_TYPES)} FROM v GROUP BY qid)
         SELECT p_partkey, x.p_size, round(x.p_retailprice, 6) AS p_retailprice, x.p_type,

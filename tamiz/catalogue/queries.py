@@ -33,7 +33,7 @@ from tamiz.operators.statistics import exact_median, feature_statistics, mode
 from tamiz.operators.sweep import KnnGrid, TreeGrid, sweep_knn, sweep_tree
 from tamiz.operators.tree import best_splits, fit_exact_tree, fit_mllib_tree, split_candidates
 from tamiz.plans.preparation import Preparation, fit_fill_and_scale
-from tamiz.plans.scoring import score, score_stored
+from tamiz.plans.scoring import evaluate_model, score, score_stored
 from tamiz.plans.training import TrainConfig, train
 from tamiz.session import materialise, scratch_path
 from tamiz.sources.models import save_models, save_preparation
@@ -556,6 +556,16 @@ def scored_dataset(spark, folder):
     return rounded(named, "p_retailprice", *[c for c in named.columns if c.startswith("probability_")])
 
 
+def model_goodness(spark, folder):
+    train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
+    known = training_table(train_rows, PART_FEATURES, "p_partkey", "label")
+    knn = KnnModel(known, PART_FEATURES, PART_TYPES, 5, "uniform", 2)
+    tree = fit_exact_tree(train_rows, PART_FEATURES, "label", max_depth=2)
+    _, by_knn = evaluate_model(knn, dev_rows, "p_partkey", "KNN-k:5-p:2-w:uniform", "macro f1-score", "label")
+    _, by_tree = evaluate_model(tree, dev_rows, "p_partkey", "DecisionTree-z:2-l:1", "macro f1-score", "label")
+    return rounded(by_knn.unionByName(by_tree), "value")
+
+
 def part_config(**changes) -> TrainConfig:
     roles = Roles(PART_FEATURES, target="p_type", key="p_partkey")
     return TrainConfig(roles, PART_TYPES, **changes)
@@ -650,6 +660,7 @@ QUERIES: dict[str, Query] = {
     "tree_mllib_predict": tree_mllib_predict,
     "tree_sweep_report": tree_sweep_report,
     "tree_exact_sweep_report": tree_exact_sweep_report,
+    "model_goodness": model_goodness,
     "scored_dataset": scored_dataset,
     "score_unlabelled": score_unlabelled,
     "score_labelled": score_labelled,

@@ -11,6 +11,9 @@ import pyarrow as pa
 DECIMALS = 9
 # Distances held at a time.
 TILE = 2_000_000
+# Rows looked at first to bound a ring, and the most features for which that pays.
+RING_LOOK = 512
+RING_FEATURES = 16
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -94,61 +97,94 @@ class Cells:
     low: np.ndarray  # (cells, features): bounding boxes, without columns if there are none
     high: np.ndarray
 
-    def route(self, queries: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per query a distance within which its k nearest rows lie; and the (query position, cell) pairs
-        where they can lie."""
-        reaches, rows, cols = [np.empty(0)], [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    def home(self, queries: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+        """(cell of the nearest pivot, distance within which the k nearest rows lie) of each query."""
+        cell, reach = np.empty(len(queries), dtype=np.int64), np.empty(len(queries))
         step = max(1, TILE // len(self.pivots))
         for start in range(0, len(queries), step):
-            reach, possible = self._candidates(queries[start : start + step], p)
-            r, c = np.nonzero(possible)
-            reaches.append(reach)
+            d = pair_distances(queries[start : start + step], self.pivots, p)
+            cell[start : start + step] = d.argmin(axis=1)
+            # Some cell holds k rows within this distance.
+            reach[start : start + step] = (d + self.kth).min(axis=1)
+        return cell, reach
+
+    def others(self, queries: np.ndarray, reach: np.ndarray, home: int, p: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query position, cell) pairs outside the home cell that can hold a row within ``reach``."""
+        rows, cols = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+        step = max(1, TILE // len(self.pivots))
+        for start in range(0, len(queries), step):
+            r, c = np.nonzero(self._possible(queries[start : start + step], reach[start : start + step], home, p))
             rows.append(r + start)
             cols.append(c)
-        return np.concatenate(reaches), np.concatenate(rows), np.concatenate(cols)
+        return np.concatenate(rows), np.concatenate(cols)
 
-    def _candidates(self, queries: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    def _possible(self, queries: np.ndarray, reach: np.ndarray, home: int, p: int) -> np.ndarray:
         to_pivot = pair_distances(queries, self.pivots, p)
-        # Some cell holds k rows within this distance; the slack covers rounding.
-        reach = (to_pivot + self.kth).min(axis=1) * (1 + 1e-9) + 1e-8
         bound = np.maximum(self.radius[:, 0] - to_pivot, to_pivot - self.radius[:, 1])
-        # A row of a cell is nearer to its own pivot than to the pivot nearest to the query.
-        np.maximum(bound, (to_pivot - to_pivot.min(axis=1, keepdims=True)) / 2, out=bound)
+        # A row of a cell is nearer to its own pivot than to the home pivot.
+        np.maximum(bound, (to_pivot - to_pivot[:, home, None]) / 2, out=bound)
         gap = np.zeros_like(bound)
         for j in range(self.low.shape[1]):
             x = queries[:, j, None]
             outside = np.maximum(np.maximum(self.low[:, j] - x, x - self.high[:, j]), 0.0)
             gap += outside if p == 1 else outside * outside
         np.maximum(bound, gap if p == 1 else np.sqrt(gap), out=bound)
-        return reach, (bound <= reach[:, None]) & (self.counts > 0)
+        possible = (bound <= widened(reach)[:, None]) & (self.counts > 0)
+        possible[:, home] = False
+        return possible
+
+
+def widened(reach: np.ndarray) -> np.ndarray:
+    """A distance with slack for the rounding of all distances it is compared with."""
+    return reach * (1 + 1e-9) + 1e-8
 
 
-def nearest_in_cell(
+def by_ring(train: np.ndarray, pivot: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the rows by distance to the pivot, those distances)."""
+    r = pair_distances(train, pivot[None, :], p)[:, 0]
+    order = np.argsort(r, kind="stable")
+    return order, r[order]
+
+
+def nearest_by_ring(
     queries: np.ndarray,
-    reach: np.ndarray,
     train: np.ndarray,
     r: np.ndarray,
     ids: np.ndarray,
     pivot: np.ndarray,
     k: int,
     p: int,
+    reach: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``nearest_in_block`` for rows of one cell, where ``r`` is their distance to the pivot: a row within
-    ``reach`` of a query lies in a ring around the pivot, which is a slice of the rows ordered by ``r``."""
-    if len(queries) == 0 or len(train) == 0:
+    """``nearest_in_block`` for rows ordered by ``r``, their distance to the pivot.
+
+    A row within some distance of a query lies in a ring around the pivot, which is a slice of the rows.
+    The distance is ``reach``, or what the rows next to the query in this order show to be enough.
+    """
+    n, width = train.shape
+    if len(queries) == 0 or n == 0:
         return nearest_in_block(queries, train[:0], ids[:0], k, p)
-    by_r = np.argsort(r, kind="stable")
-    r, train, ids = r[by_r], train[by_r], ids[by_r]
+    reach = np.full(len(queries), np.inf) if reach is None else reach.copy()
     to_pivot = pair_distances(queries, pivot[None, :], p)[:, 0]
-    # Slack for the rounding of both distances to the pivot.
-    slack = 1e-8 + 1e-9 * np.abs(to_pivot)
-    low = np.searchsorted(r, to_pivot - reach - slack, side="left")
-    high = np.searchsorted(r, to_pivot + reach + slack, side="right")
-    by_place = np.lexsort((high, low))
+    order = np.argsort(to_pivot, kind="stable")
+    # Rings of many features hold nearly all rows: a first look would be in vain.
+    look = max(RING_LOOK, k) if width <= RING_FEATURES and n > 4 * max(RING_LOOK, k) else 0
     parts = []
-    for start in range(0, len(queries), 256):
-        tile = by_place[start : start + 256]
-        a, b = low[tile].min(), high[tile].max()
-        q, t, d = nearest_in_block(queries[tile], train[a:b], ids[a:b], k, p)
-        parts.append((tile[q], by_r[t + a], d))
-    return tuple(np.concatenate(x) for x in zip(*parts))
+    # Small groups of queries share a narrow ring; where rings do not pay, larger ones save steps.
+    step = 64 if look else 1024
+    for start in range(0, len(queries), step):
+        tile = order[start : start + step]
+        q = queries[tile]
+        if look:
+            a = int(np.clip(np.searchsorted(r, np.median(to_pivot[tile])) - look // 2, 0, n - look))
+            near = pair_distances(q, train[a : a + look], p)
+            reach[tile] = np.minimum(reach[tile], np.partition(near, k - 1, axis=1)[:, k - 1])
+        span = widened(reach[tile]) + 1e-9 * np.abs(to_pivot[tile])
+        a = np.searchsorted(r, (to_pivot[tile] - span).min(), side="left")
+        b = np.searchsorted(r, (to_pivot[tile] + span).max(), side="right")
+        i, t, d = nearest_in_block(q, train[a:b], ids[a:b], k, p)
+        parts.append((tile[i], t + a, d))
+    rows, cols, distance = (np.concatenate(x) for x in zip(*parts))
+    # Back to query order; rank order within a query stays.
+    back = np.argsort(rows, kind="stable")
+    return rows[back], cols[back], distance[back]

@@ -4,10 +4,10 @@ Neighbours are found in one of two ways with equal results:
 
 * A training matrix of checked size is sent to every executor; queries are answered where they lie,
   without a shuffle.
-* A larger training set is cut into cells around sampled pivots. Triangle inequality and bounding boxes
-  tell which cells can hold a neighbour of a query; only these (query, cell) pairs are shuffled. Cells
-  and their queries are salted into blocks of bounded size, each block returns k rows per query, and
-  the k best of all blocks are kept.
+* A larger training set is cut into cells around sampled pivots. A query first meets its own cell; with
+  the distance found there, triangle inequality and bounding boxes tell which other cells can hold a
+  nearer row, and only these (query, cell) pairs are shuffled. Cells and their queries are salted into
+  blocks of bounded size, each block returns k rows per query, and the k best of all blocks are kept.
 
 Ties in distance go to the smaller training key; distances are compared at 9 decimals.
 """
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tamiz.functions import distances
 from tamiz.functions.columns import TARGET, feature_array, literal_array, quoted
-from tamiz.functions.distances import DECIMALS, Cells, matrix, nearest_in_block, nearest_in_cell, nearest_pivot
+from tamiz.functions.distances import DECIMALS, RING_FEATURES, Cells, by_ring, matrix, nearest_by_ring, nearest_pivot
 from tamiz.functions.hashing import row_hash
 from tamiz.session import materialise
 
@@ -62,8 +62,8 @@ class SearchLimits:
     # Largest number of tasks asked for.
     tasks: int = 20_000
     # Aimed rows per cell, and the largest number of pivots (pivots * features doubles are held per task).
-    cell_rows: int = 4_096
-    wide_cell_rows: int = 32_768
+    cell_rows: int = 1_024
+    wide_cell_rows: int = 16_384
     max_pivots: int = 2_048
     max_pivot_cells: int = 2_097_152
     # Cells have bounding boxes up to this many features.
@@ -74,6 +74,17 @@ class SearchLimits:
     block_cells: int = 4_194_304
 
 
+def lists(n: int, rows: np.ndarray, values: pa.Array) -> pa.ListArray:
+    """One list per position 0 .. n-1 from values ordered by position."""
+    offsets = np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def neighbour_lists(n: int, rows: np.ndarray, distance: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> pa.ListArray:
+    items = [pa.array(distance), pa.array(ids), pa.array(labels)]
+    return lists(n, rows, pa.StructArray.from_arrays(items, names=["distance", "train_id", "label"]))
+
+
 # ---------------------------------------------------------------- direct form
 
 
@@ -82,29 +93,29 @@ def _direct(train: DataFrame, queries: DataFrame, k: int, p: int, n_train: int,
     # n_train rows, checked by the caller against the limits.
     table = train.toArrow()
     points = matrix(table["features"])
-    shared = spark.sparkContext.broadcast(
-        (points, table["train_id"].to_numpy().astype(np.int64), table["label"].to_numpy().astype(np.int64))
-    )
+    pivot = points.mean(axis=0)
+    order, r = by_ring(points, pivot, p)
+    ids = table["train_id"].to_numpy().astype(np.int64)[order]
+    labels = table["label"].to_numpy().astype(np.int64)[order]
+    shared = spark.sparkContext.broadcast((points[order], r, ids, labels, pivot))
     kept = [f for f in queries.schema.fields if f.name != "features"]
     schema = T.StructType([*kept, T.StructField("neighbours", NEIGHBOURS)])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, ids, labels = shared.value
+        t, r, ids, labels, pivot = shared.value
         for batch in batches:
-            rows, cols, distance = nearest_in_block(matrix(batch.column("features")), t, ids, k, p)
-            offsets = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
-            items = pa.StructArray.from_arrays(
-                [pa.array(distance), pa.array(ids[cols]), pa.array(labels[cols])],
-                names=["distance", "train_id", "label"],
-            )
-            found = pa.ListArray.from_arrays(pa.array(offsets), items)
+            rows, cols, distance = nearest_by_ring(matrix(batch.column("features")), t, r, ids, pivot, k, p)
+            found = neighbour_lists(batch.num_rows, rows, distance, ids[cols], labels[cols])
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(f.name) for f in kept], found], names=[*[f.name for f in kept], "neighbours"]
             )
 
     # A few large input splits would leave the distances to few tasks.
     n_queries = queries.select(quoted(key)).count()
-    tasks = min(limits.tasks, math.ceil(n_queries * n_train * max(1, points.shape[1]) / limits.task_work))
+    width = max(1, points.shape[1])
+    # With few features a ring holds a small part of the rows.
+    compared = n_train / 8 if width <= RING_FEATURES else n_train
+    tasks = min(limits.tasks, math.ceil(n_queries * compared * width / limits.task_work))
     if tasks > 1 and n_queries <= limits.spread_rows:
         queries = queries.repartition(tasks, quoted(key))
     return queries.mapInArrow(search, schema)
@@ -177,41 +188,24 @@ def _build_cells(
     return placed, cells
 
 
-def _partitioned(
-    train: DataFrame, queries: DataFrame, k: int, p: int, n: int, width: int, key: str, limits: SearchLimits
+def _by_cell(
+    placed: DataFrame,
+    counts: np.ndarray,
+    asked: DataFrame,
+    key: str,
+    width: int,
+    search: Callable[[tuple, pa.Table, pa.Table], pa.Table],
+    schema: T.StructType,
+    limits: SearchLimits,
 ) -> DataFrame:
-    pivots = _choose_pivots(train, n, width, limits)
-    placed, cells = _build_cells(train, pivots, k, p, limits)
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            q = matrix(batch.column("features"))
-            reach, rows, cols = cells.route(q, p)
-            offsets = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cols.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), batch.column("features"), pa.array(reach), lists],
-                names=[key, "features", "reach", "cells"],
-            )
-
-    schema = T.StructType(
-        [
-            queries.schema[key],
-            queries.schema["features"],
-            T.StructField("reach", T.DoubleType()),
-            T.StructField("cells", T.ArrayType(T.IntegerType())),
-        ]
-    )
-    points = queries.select(quoted(key), "features")
-    routed = materialise(points.mapInArrow(route, schema), "routed")
-
-    asked = np.zeros(len(pivots), dtype=np.int64)
-    for r in routed.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect():
-        asked[r["cell"]] = r["count"]
-    # Blocks of a cell: its rows and its queries are salted apart, so a cell of any size stays bounded.
+    """``search`` over blocks of a cell: its rows and its queries (key, features, reach, cell) are salted
+    apart, so that a cell of any size stays bounded. ``routes`` marks one block per query."""
+    n_asked = np.zeros(len(counts), dtype=np.int64)
+    for r in asked.groupBy("cell").count().collect():
+        n_asked[r["cell"]] = r["count"]
     block_rows = max(1, limits.block_cells // width)
-    t_blocks = np.ceil(cells.counts / min(limits.block_train, block_rows)).astype(int)
-    q_blocks = np.ceil(asked / min(limits.block_queries, block_rows)).astype(int)
+    t_blocks = np.ceil(counts / min(limits.block_train, block_rows)).astype(int)
+    q_blocks = np.ceil(n_asked / min(limits.block_queries, block_rows)).astype(int)
     t_of = literal_array(t_blocks.tolist(), "int")[F.col("cell")]
     q_of = literal_array(q_blocks.tolist(), "int")[F.col("cell")]
 
@@ -223,46 +217,91 @@ def _partitioned(
         .withColumn("tb", F.pmod(F.xxhash64("train_id"), t_of))
         .select("train_id", "label", "features", "r", "cell", "tb", copies(q_of).alias("qb"))
     )
+    hashed = F.xxhash64(quoted(key))
     right = (
-        routed.select(quoted(key), "features", "reach", F.explode("cells").alias("cell"))
-        .withColumn("qb", F.pmod(F.xxhash64(quoted(key)), q_of))
+        asked.withColumn("qb", F.pmod(hashed, q_of))
         .select(quoted(key), "features", "reach", "cell", copies(t_of).alias("tb"), "qb")
+        .withColumn("routes", F.col("tb") == F.pmod(hashed, t_of))
     )
+    block = ["cell", "tb", "qb"]
+    # Blocks are much work and few bytes: partitions by distances to compute, not by bytes.
+    work = math.ceil(float((counts.astype(float) * n_asked).sum()) * width / limits.task_work)
+    least = 3 * placed.sparkSession.sparkContext.defaultParallelism
+    tasks = int(min(limits.tasks, max(1, (t_blocks * q_blocks).sum()), max(work, least)))
+    left, right = left.repartition(tasks, *block), right.repartition(tasks, *block)
+    return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(search, schema)
 
-    def search(block: tuple, rows: pa.Table, asked: pa.Table) -> pa.Table:
-        ids = rows["train_id"].to_numpy().astype(np.int64)
-        labels = rows["label"].to_numpy().astype(np.int64)
-        q, t, d = nearest_in_cell(
-            matrix(asked["features"]),
-            asked["reach"].to_numpy(),
-            matrix(rows["features"]),
-            rows["r"].to_numpy(),
-            ids,
-            pivots[block[0].as_py()],
-            k,
-            p,
-        )
+
+def _partitioned(
+    train: DataFrame, queries: DataFrame, k: int, p: int, n: int, width: int, key: str, limits: SearchLimits
+) -> DataFrame:
+    """Two rounds. The cell a query falls into gives k near rows, and with them a tight bound; the second
+    round visits only the other cells that can hold a row within it."""
+    pivots = _choose_pivots(train, n, width, limits)
+    placed, cells = _build_cells(train, pivots, k, p, limits)
+    key_field, features_field = queries.schema[key], T.StructField("features", T.ArrayType(T.DoubleType()))
+    reach_field = T.StructField("reach", T.DoubleType())
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, reach = cells.home(matrix(batch.column("features")), p)
+            columns = [batch.column(key), batch.column("features"), pa.array(reach), pa.array(cell.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "features", "reach", "cell"])
+
+    def near_rows(block: tuple, rows: pa.Table, asked: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+        """(query matrix, reach narrowed by the rows found, lists of neighbours)."""
+        q, t = matrix(asked["features"]), matrix(rows["features"])
+        r = rows["r"].to_numpy()
+        order = np.argsort(r, kind="stable")
+        ids = rows["train_id"].to_numpy().astype(np.int64)[order]
+        labels = rows["label"].to_numpy().astype(np.int64)[order]
+        reach = asked["reach"].to_numpy().copy()
+        pivot = pivots[block[0].as_py()]
+        i, j, d = nearest_by_ring(q, t[order], r[order], ids, pivot, k, p, reach)
+        full = np.flatnonzero(np.bincount(i, minlength=len(q)) == k)
+        last = np.searchsorted(i, full, side="right") - 1
+        reach[full] = np.minimum(reach[full], d[last])
+        return q, reach, neighbour_lists(len(q), i, d, ids[j], labels[j])
+
+    def first_round(block: tuple, rows: pa.Table, asked: pa.Table) -> pa.Table:
+        q, reach, found = near_rows(block, rows, asked)
+        i, c = cells.others(q, reach, block[0].as_py(), p)
+        # One block of the cell sends its queries on: the bound of any block is good enough.
+        sent = asked["routes"].to_numpy()[i]
         return pa.table(
             {
-                key: asked[key].take(pa.array(q)),
-                "distance": pa.array(d),
-                "train_id": pa.array(ids[t]),
-                "label": pa.array(labels[t]),
+                key: asked[key],
+                "features": asked["features"],
+                "reach": pa.array(reach),
+                "neighbours": found,
+                "cells": lists(len(q), i[sent], pa.array(c[sent].astype(np.int32))),
             }
         )
 
-    out_schema = T.StructType([queries.schema[key], *NEIGHBOURS.elementType.fields])
-    block = ["cell", "tb", "qb"]
-    # Blocks are much work and few bytes: as many partitions as blocks, not as many as their bytes suggest.
-    tasks = int(min(limits.tasks, max(1, (t_blocks * q_blocks).sum())))
-    left, right = left.repartition(tasks, *block), right.repartition(tasks, *block)
-    near = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(search, out_schema)
-    rank = Window.partitionBy(quoted(key)).orderBy("distance", "train_id")
+    def second_round(block: tuple, rows: pa.Table, asked: pa.Table) -> pa.Table:
+        return pa.table({key: asked[key], "neighbours": near_rows(block, rows, asked)[2]})
+
+    points = queries.select(quoted(key), "features")
+    cell_field = T.StructField("cell", T.IntegerType())
+    homed = points.mapInArrow(place, T.StructType([key_field, queries.schema["features"], reach_field, cell_field]))
+    homed = materialise(homed, "homed")
+    found_field = T.StructField("neighbours", NEIGHBOURS)
+    cells_field = T.StructField("cells", T.ArrayType(T.IntegerType()))
+    schema = T.StructType([key_field, features_field, reach_field, found_field, cells_field])
+    first = _by_cell(placed, cells.counts, homed, key, width, first_round, schema, limits)
+    first = materialise(first, "first_round")
+    onward = first.select(quoted(key), "features", "reach", F.explode("cells").alias("cell"))
+    schema = T.StructType([key_field, found_field])
+    second = _by_cell(placed, cells.counts, onward, key, width, second_round, schema, limits)
+
+    found = first.select(quoted(key), "neighbours").unionByName(second)
+    rank = Window.partitionBy(quoted(key)).orderBy("n.distance", "n.train_id")
     best = (
-        near.withColumn("_r", F.row_number().over(rank))
+        found.select(quoted(key), F.explode("neighbours").alias("n"))
+        .withColumn("_r", F.row_number().over(rank))
         .where(F.col("_r") <= k)
         .groupBy(quoted(key))
-        .agg(F.sort_array(F.collect_list(F.struct("distance", "train_id", "label"))).alias("neighbours"))
+        .agg(F.sort_array(F.collect_list("n")).alias("neighbours"))
     )
     return queries.drop("features").join(best, key, "left")
 

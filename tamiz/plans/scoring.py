@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tamiz.functions.columns import TARGET, Roles, quoted, select_columns, standardise_types
 from tamiz.functions.labels import map_labels
-from tamiz.operators.evaluate import classification_report, confusion_matrix
+from tamiz.operators.evaluate import classification_report, confusion_matrix, goodness
 from tamiz.operators.knn import KnnModel
 from tamiz.operators.missing import ImputeSpec, fit_imputer
 from tamiz.operators.score import spread_probabilities
@@ -30,6 +31,15 @@ def predict(model: Model, df: DataFrame, key: str) -> DataFrame:
     return model.transform(df, key) if isinstance(model, KnnModel) else model.transform(df)
 
 
+def evaluate_model(
+    model: Model, df: DataFrame, key: str, name: str, measure: str = "weighted f1-score", target: str = TARGET
+) -> tuple[DataFrame, DataFrame]:
+    """(report, goodness) of a model on prepared rows with a class id; both with a column ``model``."""
+    named = predict(model, df, key).withColumn("model", F.lit(name))
+    report = classification_report(confusion_matrix(named, target, by=["model"]), ["model"])
+    return report, goodness(report, measure)
+
+
 def score(
     df: DataFrame,
     prep: Preparation,

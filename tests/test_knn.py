@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tamiz.functions.columns import feature_array
-from tamiz.functions.distances import nearest_in_block
+from tamiz.functions.distances import by_ring, nearest_by_ring, nearest_in_block
 from tamiz.operators.knn import (
     KnnModel,
     SearchLimits,
@@ -83,6 +83,18 @@ def test_block_search_equals_brute_force(data):
         assert [(a, ids[b]) for a, b in zip(d[q == i], t[q == i])] == expected
 
 
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("kind, width", [("grid", 2), ("hot", 1), ("clusters", 3)])
+def test_ring_search_equals_block_search(kind, width, p):
+    t, q = np.array(points(3, 5000, width, kind)), np.array(points(4, 300, width, kind))
+    ids = np.arange(len(t))[::-1].copy()
+    order, r = by_ring(t, t.mean(axis=0), p)
+    for reach in (None, np.full(len(q), 1e9)):
+        i, j, d = nearest_by_ring(q, t[order], r, ids[order], t.mean(axis=0), 5, p, reach)
+        a, b, c = nearest_in_block(q, t, ids, 5, p)
+        assert (i == a).all() and (ids[order][j] == ids[b]).all() and (d == c).all()
+
+
 def test_more_neighbours_than_rows_is_an_error(spark):
     with pytest.raises(ValueError, match="training rows"):
         search(spark, [(1, [0.0], 0)], [(1, [0.0])], 2, 2, DIRECT)
