@@ -333,7 +333,7 @@ def embedding_neighbours(spark, folder, k, p, limits=SearchLimits()):
 def embedding_vote(p, weights, limits=SearchLimits()) -> Query:
     def query(spark, folder):
         found = embedding_neighbours(spark, folder, 5, p, limits)
-        vote = votes(F.col("neighbours"), EMBEDDING_CLASSES, 5, weights)
+        vote = votes("neighbours", EMBEDDING_CLASSES, 5, weights)
         return found.select("vec_id", "label", winner(vote, EMBEDDING_CLASSES).alias("predicted_value"))
 
     return query
@@ -363,7 +363,7 @@ def part_vote(features, k, p, weights, limits=SearchLimits()) -> Query:
         asked = dev_rows.select("p_partkey", "label", feature_array(features).alias("features"))
         found = nearest_neighbours(known, asked, k, p, "p_partkey", limits)
         classes = sorted(PART_TYPES.values())
-        vote = votes(F.col("neighbours"), classes, k, weights)
+        vote = votes("neighbours", classes, k, weights)
         return found.select("p_partkey", "label", winner(vote, classes).alias("predicted_value"))
 
     return query
@@ -371,7 +371,7 @@ def part_vote(features, k, p, weights, limits=SearchLimits()) -> Query:
 
 def embedding_predictions(spark, folder):
     found = embedding_neighbours(spark, folder, 5, 2)
-    vote = found.withColumn("_v", votes(F.col("neighbours"), EMBEDDING_CLASSES, 5, "distance"))
+    vote = found.withColumn("_v", votes("neighbours", EMBEDDING_CLASSES, 5, "distance"))
     return vote.select(
         "vec_id",
         "label",

@@ -35,13 +35,14 @@ def running_totals(
 
 
 def _by_window(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
-    whole = Window.partitionBy(*[quoted(g) for g in group])
-    smaller = whole.orderBy(quoted(order)).rowsBetween(Window.unboundedPreceding, -1)
-    return df.select(
+    # As SQL text: one call instead of several per sum.
+    part = "PARTITION BY " + ", ".join(f"`{g}`" for g in group)
+    smaller = f"({part} ORDER BY `{order}` ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return df.selectExpr(
         "*",
-        F.lag(quoted(order)).over(whole.orderBy(quoted(order))).alias(f"{order}_prev"),
-        *[F.coalesce(F.sum(quoted(s)).over(smaller), F.lit(0)).alias(f"{s}_before") for s in sums],
-        *[F.sum(quoted(s)).over(whole).alias(f"{s}_total") for s in sums],
+        f"lag(`{order}`) OVER ({part} ORDER BY `{order}`) AS `{order}_prev`",
+        *[f"coalesce(sum(`{s}`) OVER {smaller}, 0) AS `{s}_before`" for s in sums],
+        *[f"sum(`{s}`) OVER ({part}) AS `{s}_total`" for s in sums],
     )
 
 

@@ -363,28 +363,19 @@ def nearest_neighbours(
 # ---------------------------------------------------------------- vote
 
 
-def votes(neighbours: Column, classes: Sequence[int], k: int, weights: str) -> Column:
-    """Vote weight per class, in the order of ``classes``."""
+def votes(neighbours: str, classes: Sequence[int], k: int, weights: str) -> Column:
+    """Vote weight per class, in the order of ``classes``, of the k first in the column ``neighbours``."""
     if weights not in WEIGHTS:
         raise ValueError(f"unknown weights '{weights}', one of {WEIGHTS}")
-    first = F.slice(neighbours, 1, k)
-    if weights == "uniform":
-        weighed = F.transform(first, lambda n: F.struct(n["label"].alias("label"), F.lit(1.0).alias("w")))
-    else:
+    first = f"slice(`{neighbours}`, 1, {int(k)})"
+    weight = "1D"
+    if weights == "distance":
         # A neighbour at distance 0 outweighs all others.
-        hit = F.array_min(F.transform(first, lambda n: n["distance"])) == 0.0
-        weighed = F.transform(
-            first,
-            lambda n: F.struct(
-                n["label"].alias("label"),
-                F.when(hit, (n["distance"] == 0.0).cast("double")).otherwise(F.lit(1.0) / n["distance"]).alias("w"),
-            ),
-        )
-
-    def total(c: Column) -> Column:
-        return F.aggregate(weighed, F.lit(0.0), lambda a, n: a + F.when(n["label"] == c, n["w"]).otherwise(0.0))
-
-    return F.transform(literal_array(classes, "long"), total)
+        hit = f"array_min(transform({first}, x -> x.distance)) = 0D"
+        weight = f"if({hit}, if(n.distance = 0D, 1D, 0D), 1D / n.distance)"
+    of_class = f"aggregate({first}, 0D, (total, n) -> total + if(n.label = c, {weight}, 0D))"
+    each = ", ".join(f"{int(c)}L" for c in classes)
+    return F.expr(f"transform(array({each}), c -> {of_class})")
 
 
 def winner(vote: Column, classes: Sequence[int]) -> Column:
@@ -421,7 +412,7 @@ class KnnModel:
     def transform(self, df: DataFrame, key: str) -> DataFrame:
         """``df`` with ``predicted_value`` and ``probabilities`` (in class id order)."""
         found = self.neighbours(df, key)
-        vote = found.withColumn("_votes", votes(F.col("neighbours"), self.classes, self.k, self.weights))
+        vote = found.withColumn("_votes", votes("neighbours", self.classes, self.k, self.weights))
         return vote.select(
             *[quoted(c) for c in df.columns],
             winner(F.col("_votes"), self.classes).alias("predicted_value"),

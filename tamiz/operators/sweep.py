@@ -83,7 +83,7 @@ def sweep_knn(
     for p in grid.p:
         found = nearest_neighbours(table, asked, max(grid.k), p, key, limits)
         predictions = {
-            name: winner(votes(F.col("neighbours"), classes, k, w), classes)
+            name: winner(votes("neighbours", classes, k, w), classes)
             for name, (k, w, p_of) in models.items()
             if p_of == p
         }

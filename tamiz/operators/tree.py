@@ -129,40 +129,39 @@ def split_candidates(
     weighted gini impurity left after the split, as a share of the node's weight. ``at_most`` bounds the
     number of (node, feature, value) groups.
     """
+    # As SQL text: the formulas have many terms, and each Column operation is a call of its own.
     names = [f"n_{i}" for i in range(len(classes))]
     counts = (
         rows.select("node", "label", F.posexplode("features").alias("feature", "value"))
         .groupBy("node", "feature", "value")
-        .agg(*[F.count(F.when(F.col("label") == c, 1)).alias(n) for c, n in zip(classes, names)])
+        .agg(*[F.expr(f"count_if(label = {c})").alias(n) for c, n in zip(classes, names)])
     )
     ranked = running_totals(counts, ["node", "feature"], "value", names, at_most)
 
-    def add(parts: list[Column]) -> Column:
-        out = parts[0]
-        for p in parts[1:]:
-            out = out + p
-        return out
+    def add(terms: Sequence[str]) -> str:
+        return "(" + " + ".join(terms) + ")"
 
-    below = [F.col(f"{n}_before") for n in names]
-    above = [F.col(f"{n}_total") - F.col(f"{n}_before") for n in names]
+    below = [f"{n}_before" for n in names]
+    above = [f"({n}_total - {n}_before)" for n in names]
+    weight = [f"{float(w)!r}D" for w in weights]
 
-    def impurity(side: list[Column]) -> Column:
+    def impurity(side: Sequence[str]) -> str:
         """Weight of a side times its gini impurity."""
-        weighed = [n * F.lit(float(w)) for n, w in zip(side, weights)]
-        total = add(weighed)
-        return total - F.try_divide(add([w * w for w in weighed]), total)
+        weighed = [f"{n} * {w}" for n, w in zip(side, weight)]
+        squares = add([f"({x}) * ({x})" for x in weighed])
+        return f"({add(weighed)} - try_divide({squares}, {add(weighed)}))"
 
-    whole = add([F.col(f"{n}_total") * F.lit(float(w)) for n, w in zip(names, weights)])
+    whole = add([f"{n}_total * {w}" for n, w in zip(names, weight)])
     return (
-        ranked.where(F.col("value_prev").isNotNull())
-        .where((add(below) >= min_leaf) & (add(above) >= min_leaf))
-        .select(
+        ranked.where("value_prev IS NOT NULL")
+        .where(f"{add(below)} >= {min_leaf} AND {add(above)} >= {min_leaf}")
+        .selectExpr(
             "node",
             "feature",
-            ((F.col("value") + F.col("value_prev")) / 2).alias("threshold"),
-            F.round((impurity(below) + impurity(above)) / whole, DECIMALS).alias("score"),
-            *[b.alias(f"l_{i}") for i, b in enumerate(below)],
-            *[F.col(f"{n}_total").alias(f"t_{i}") for i, n in enumerate(names)],
+            "(value + value_prev) / 2 AS threshold",
+            f"round(({impurity(below)} + {impurity(above)}) / {whole}, {DECIMALS}) AS score",
+            *[f"{b} AS l_{i}" for i, b in enumerate(below)],
+            *[f"{n}_total AS t_{i}" for i, n in enumerate(names)],
         )
     )
 

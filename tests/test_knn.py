@@ -131,7 +131,7 @@ def one_vote(spark, neighbours, k, weights, classes=(0, 1, 2)):
     df = spark.createDataFrame(
         [(1, neighbours)], "row_id long, neighbours array<struct<distance double, train_id long, label long>>"
     )
-    v = votes(F.col("neighbours"), classes, k, weights)
+    v = votes("neighbours", classes, k, weights)
     return df.select(winner(v, classes), shares(v)).first()
 
 
