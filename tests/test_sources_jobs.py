@@ -26,7 +26,7 @@ def text_file(tmp_path, text, name="in.csv"):
 def test_csv_types_and_missing_marks(spark, tmp_path):
     path = text_file(
         tmp_path,
-        "Largo de sepalo,n,word,flag,mixed,empty\n"
+        "petal length,n,word,flag,mixed,empty\n"
         "5.1,1,NaN,True,1,\n,2,b,False,x,NA\nNA,3,null,True,2,null\n 4.5 ,4,\"a,b\",False,3,\n",
     )
     df = read_csv(spark, path)
