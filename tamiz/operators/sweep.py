@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,6 +16,8 @@ from tamiz.operators.knn import SearchLimits, nearest_neighbours, search_table,
 from tamiz.operators.tree import ExactTree, MllibTree, fit_exact_tree, fit_mllib_tree
 from tamiz.session import materialise
 
+FITS_AT_A_TIME = 3
+
 
 @dataclass(frozen=True)
 class KnnGrid:
@@ -102,7 +105,7 @@ def sweep_tree(
     max_bins: int = 256,
 ) -> SweepResult:
     """Trees of all depths and leaf sizes. An exact tree is grown once per leaf size, to the largest depth:
-    a shallower one is its top. MLlib trees are fitted one by one on the stored table."""
+    a shallower one is its top. MLlib trees are fitted apart, a few at a time, on the stored table."""
     names = grid.models()
     if exact:
         grown = {m: fit_exact_tree(train, features, label, max(grid.max_depth), m) for m in grid.min_leaf}
@@ -112,9 +115,13 @@ def sweep_tree(
         scored = dev.select(quoted(label), vector.alias("_x"))
         confusion = _model_confusion(scored, predictions, label)
     else:
-        models = {
-            n: fit_mllib_tree(train, features, label, d, m, max_bins=max_bins) for n, (d, m) in names.items()
-        }
+
+        def fit(size: tuple[int, int]) -> MllibTree:
+            return fit_mllib_tree(train, features, label, *size, max_bins=max_bins)
+
+        # Small jobs of one fit leave the cluster idle; a few fits side by side fill it.
+        with ThreadPoolExecutor(FITS_AT_A_TIME) as pool:
+            models = dict(zip(names, pool.map(fit, names.values())))
         parts = [
             confusion_matrix(t.transform(dev).withColumn("model", F.lit(n)), label, by=["model"])
             for n, t in models.items()
