@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, name: str = "tamiz") -> SparkSession:
-    """A local[N] session; on a cluster the caller brings the session."""
+    """A local[N] session with a scratch folder of its own; on a cluster the caller brings the session."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
@@ -18,29 +17,18 @@ def local_session(cpus: int | str = 8, name: str = "tamiz") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file:///tmp/{name}-scratch")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir``, or the context's checkpoint folder.
-
-    Only a local session without either gets a temporary folder of its own.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tamiz-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir``, or the context's checkpoint folder,
+    else a folder below the warehouse, which every executor must reach anyway."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
