@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tamiz.llm.common import table
 from tamiz.llm.decontaminate import decontaminate
+from tamiz.llm.maxscore import top_k
 from tamiz.llm.pack import pack_documents
+from tamiz.llm.simhash import near_duplicates
 from tamiz.llm.tokens import count_tokens
 
 SEQUENCE = 2048
@@ -37,8 +39,17 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op5_token_counts, op8_pack)
+    f.__name__: f for f in (op1_decontaminate, op5_token_counts, op8_pack, op9_simhash, op10_top_k)
 }
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -66,4 +77,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
-LLM_ORACLES: dict[str, str] = {"op1_decontaminate": OP1}
+OP10 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+term AS (SELECT r, vec_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM v),
+score AS (
+  SELECT q.r AS qr, q.vec_id AS query_id, c.r AS cr, c.vec_id AS vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM term q JOIN term c ON q.i = c.i AND q.r <> c.r WHERE q.vec_id % 20 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id) AS rank FROM score)
+WHERE rank <= 20
+"""
+
+LLM_ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op10_top_k": OP10}
