@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamiz.llm.chat import format_chats
 from tamiz.llm.common import table
 from tamiz.llm.decontaminate import decontaminate
 from tamiz.llm.maxscore import top_k
@@ -35,6 +36,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE)
 
@@ -49,7 +54,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op5_token_counts, op8_pack, op9_simhash, op10_top_k)
+    f.__name__: f for f in (op1_decontaminate, op5_token_counts, op6_chat_format, op8_pack, op9_simhash, op10_top_k)
 }
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -94,4 +99,24 @@ FROM (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id)
 WHERE rank <= 20
 """
 
-LLM_ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op10_top_k": OP10}
+OP6 = """
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, count(*) AS n, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS l
+  FROM t GROUP BY conv_id
+),
+one AS (SELECT min(conv_id) AS conv_id, n, l FROM c GROUP BY n, l),
+kept AS (
+  SELECT * FROM one a
+  WHERE NOT EXISTS (SELECT 1 FROM one b WHERE b.n > a.n AND b.l[1] = a.l[1] AND b.l[1:a.n] = a.l)
+),
+line AS (
+  SELECT conv_id, n, unnest(l) AS x, unnest(range(0, n)) AS i FROM kept
+)
+SELECT conv_id, CAST(i // 256 AS INTEGER) AS part, n AS n_turns,
+  string_agg('<|im_start|>' || replace(coalesce(x.role, ''), '<|', '< |') || chr(10)
+    || replace(coalesce(x.text, ''), '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY i) AS text
+FROM line GROUP BY conv_id, i // 256, n
+"""
+
+LLM_ORACLES: dict[str, str] = {"op6_chat_format": OP6, "op1_decontaminate": OP1, "op10_top_k": OP10}
