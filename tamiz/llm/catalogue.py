@@ -13,10 +13,13 @@ from tamiz.llm.common import table
 from tamiz.llm.decontaminate import decontaminate
 from tamiz.llm.maxscore import top_k
 from tamiz.llm.pack import pack_documents
+from tamiz.llm.pii import KINDS, pseudonymised_spans
 from tamiz.llm.simhash import near_duplicates
 from tamiz.llm.tokens import count_tokens
 
 SEQUENCE = 2048
+# A key of the tests; a job passes its own.
+PII_KEY = b"tamiz test key"
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +43,13 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the text with pseudonyms and how many of each kind."""
+    found = pseudonymised_spans(table(spark, sf_dir, "documents"), PII_KEY)
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", "text", F.size("spans").cast("long").alias("n_found"), *counts)
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE)
 
@@ -54,7 +64,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op5_token_counts, op6_chat_format, op8_pack, op9_simhash, op10_top_k)
+    f.__name__: f for f in (op1_decontaminate, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k)
 }
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
