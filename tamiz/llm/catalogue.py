@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tamiz.llm.chat import format_chats
 from tamiz.llm.common import table
 from tamiz.llm.decontaminate import decontaminate
+from tamiz.llm.html_text import extract_text
 from tamiz.llm.maxscore import top_k
 from tamiz.llm.pack import pack_documents
 from tamiz.llm.pii import KINDS, pseudonymised_spans
@@ -34,6 +35,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, text = extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", text, F.length(text).cast("long").alias("n_chars"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
@@ -64,7 +70,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k)
+    f.__name__: f for f in (op1_decontaminate, op4_main_text, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k)
 }
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
