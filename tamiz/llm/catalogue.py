@@ -17,6 +17,7 @@ from tamiz.llm.pack import pack_documents
 from tamiz.llm.pii import KINDS, pseudonymised_spans
 from tamiz.llm.simhash import near_duplicates
 from tamiz.llm.tokens import count_tokens
+from tamiz.llm.toxicity import fit_toxicity, held_out, with_toxicity
 
 SEQUENCE = 2048
 # A key of the tests; a job passes its own.
@@ -35,6 +36,17 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored, score = with_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col(score).alias("score"),
+        (F.col(score) >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, text = extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", text, F.length(text).cast("long").alias("n_chars"))
@@ -70,7 +82,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op4_main_text, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k)
+    f.__name__: f for f in (op1_decontaminate, op3_toxicity, op4_main_text, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k)
 }
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
