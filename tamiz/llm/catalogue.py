@@ -16,6 +16,7 @@ from tamiz.llm.maxscore import top_k
 from tamiz.llm.pack import pack_documents
 from tamiz.llm.pii import KINDS, pseudonymised_spans
 from tamiz.llm.simhash import near_duplicates
+from tamiz.llm.substrings import deduplicate
 from tamiz.llm.tokens import count_tokens
 from tamiz.llm.toxicity import fit_toxicity, held_out, with_toxicity
 
@@ -36,6 +37,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deduplicate(table(spark, sf_dir, "documents"), length=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored, score = with_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -82,7 +95,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op3_toxicity, op4_main_text, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k)
+    f.__name__: f for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_main_text, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k)
 }
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
