@@ -140,6 +140,30 @@ FROM (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id)
 WHERE rank <= 20
 """
 
+OP2 = """
+WITH doc AS (
+  SELECT row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS k, doc_id, hex(encode(coalesce(text, ''))) AS h
+  FROM documents
+),
+place AS (SELECT r, k, h, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS i FROM doc),
+string AS (SELECT r, k, i, substr(h, 2 * i + 1, 100) AS s FROM place),
+first AS (SELECT s, min(k) AS m FROM string GROUP BY s HAVING min(k) < max(k)),
+hit AS (SELECT r, i FROM string JOIN first USING (s) WHERE m < k),
+step AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM hit),
+part AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM step),
+run AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM part GROUP BY r, g),
+gap AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS p FROM run),
+kept AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS head
+  FROM gap JOIN doc USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
 OP6 = """
 WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
 c AS (
@@ -160,4 +184,9 @@ SELECT conv_id, CAST(i // 256 AS INTEGER) AS part, n AS n_turns,
 FROM line GROUP BY conv_id, i // 256, n
 """
 
-LLM_ORACLES: dict[str, str] = {"op6_chat_format": OP6, "op1_decontaminate": OP1, "op10_top_k": OP10}
+LLM_ORACLES: dict[str, str] = {
+    "op1_decontaminate": OP1,
+    "op2_substrings": OP2,
+    "op6_chat_format": OP6,
+    "op10_top_k": OP10,
+}
