@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from tamiz.catalogue.queries import EMBEDDING_CLASSES, FIVE_TYPES, LINE_FEATURES, PART_FEATURES, PART_TYPES, SEGMENTS
+from tamiz.catalogue.queries import (
+    EMBEDDING_CLASSES,
+    EVENT_TYPES,
+    FIVE_TYPES,
+    LINE_FEATURES,
+    MORE_TYPES,
+    ORDER_STATES,
+    PART_FEATURES,
+    PART_TYPES,
+    SEGMENTS,
+)
 
 TRAIN_BOUND = f"{round(0.8 * 16**8):08x}"
 
@@ -60,13 +70,20 @@ def point_distance(columns, p: int) -> str:
     return "sqrt(" + " + ".join(f"(q.{c} - t.{c}) * (q.{c} - t.{c})" for c in columns) + ")"
 
 
+def significant(x: str) -> str:
+    """``x`` at 12 significant digits."""
+    scale = f"pow(10e0, 11 - floor(log10(abs({x}))))"
+    return f"CASE WHEN abs({x}) > 1e-280 AND abs({x}) < 1e280 THEN round_even({x} * {scale}, 0) / {scale} ELSE {x} END"
+
+
 def neighbours(queries: str, train: str, key: str, distance: str, k: int, out: str = "nb") -> str:
     """CTE (qid, qlabel, tid, tlabel, d, r)."""
     return f"""
     {out} AS MATERIALIZED (SELECT * FROM (
         SELECT qid, qlabel, tid, tlabel, d, row_number() OVER (PARTITION BY qid ORDER BY d, tid) AS r FROM (
-            SELECT q.{key} AS qid, q.label AS qlabel, t.{key} AS tid, t.label AS tlabel, round({distance}, 9) AS d
-            FROM {queries} q CROSS JOIN {train} t)) WHERE r <= {k})"""
+            SELECT * REPLACE ({significant('d')} AS d) FROM (
+                SELECT q.{key} AS qid, q.label AS qlabel, t.{key} AS tid, t.label AS tlabel, {distance} AS d
+                FROM {queries} q CROSS JOIN {train} t))) WHERE r <= {k})"""
 
 
 def vote(source: str, k: int, weights: str, out: str) -> str:
@@ -82,8 +99,9 @@ def vote(source: str, k: int, weights: str, out: str) -> str:
 def winners(source: str, out: str, extra: str = "") -> str:
     """CTE (qid, label, predicted_value)."""
     return f"""
-    {out} AS (SELECT qid, qlabel AS label, tlabel AS predicted_value{extra} FROM {source}
-        QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round(w, 9) DESC, tlabel) = 1)"""
+    {out} AS (SELECT qid, qlabel AS label, tlabel AS predicted_value{extra}
+        FROM (SELECT *, sum(w) OVER (PARTITION BY qid) AS total FROM {source})
+        QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round(w / total, 9) DESC, tlabel) = 1)"""
 
 
 DEV, TRAIN = "(SELECT * FROM s WHERE split = 'dev')", "(SELECT * FROM s WHERE split = 'train')"
@@ -205,7 +223,7 @@ def tree(rows: str, depth: int, min_leaf: int, out: str, classes=tuple(PART_TYPE
         )
         parts.append(f"""
         {cut} AS MATERIALIZED (SELECT node, feature, threshold FROM (
-          SELECT node, feature, (v + prev) / 2 AS threshold,
+          SELECT node, feature, CASE WHEN prev + (v - prev) / 2 < v THEN prev + (v - prev) / 2 ELSE prev END AS threshold,
                  round(({impurity(below)} + {impurity(above)}) / ({whole}), 9) AS score
           FROM (SELECT node, feature, v, lag(v) OVER (PARTITION BY node, feature ORDER BY v) AS prev, {running}
                 FROM (SELECT node, feature, v, {counts} FROM (
@@ -240,12 +258,19 @@ def follow(rows: str, prefix: str, depth: int, out: str) -> str:
     return ", ".join(parts)
 
 
-def tree_sweep(depths, leaf_sizes) -> str:
+def tree_sweep(depths, leaf_sizes, start: str = PART_SPLIT, source: str = "s", mapping=PART_TYPES) -> str:
+    """The whole query: ``start`` gives CTE ``source`` (p_partkey, p_size, p_retailprice, label, split)."""
+    return f"{tree_sweep_report(depths, leaf_sizes, start, source, mapping)} {report_select('model')}"
+
+
+def tree_sweep_report(depths, leaf_sizes, start: str, source: str, mapping) -> str:
+    classes = tuple(mapping.values())
     top = max(depths)
-    parts = [PART_SPLIT, f"tr AS MATERIALIZED {TRAIN}", f"dv AS MATERIALIZED {DEV}"]
+    rows = "(SELECT p_partkey, p_size, p_retailprice, label FROM {} WHERE split = '{}')"
+    parts = [start, f"tr AS MATERIALIZED {rows.format(source, 'train')}", f"dv AS MATERIALIZED {rows.format(source, 'dev')}"]
     models = []
     for m in leaf_sizes:
-        parts += [tree("tr", top, m, f"m{m}_"), follow("dv", f"m{m}_", top, f"d{m}_")]
+        parts += [tree("tr", top, m, f"m{m}_", classes), follow("dv", f"m{m}_", top, f"d{m}_")]
         parts += [leaves(f"m{m}_", d) for d in depths]
     for d in depths:
         for m in leaf_sizes:
@@ -255,7 +280,7 @@ def tree_sweep(depths, leaf_sizes) -> str:
             )
     union = " UNION ALL ".join(models)
     conf = f"conf AS MATERIALIZED (SELECT model, label, prediction, count(*) AS n FROM ({union}) GROUP BY 1, 2, 3)"
-    return f"WITH {', '.join(parts)}, {conf}, {report('conf', 'model')} {report_select('model')}"
+    return f"WITH {', '.join(parts)}, {conf}, {report('conf', 'model')}"
 
 
 def fill(columns, source: str, where: str = "split = 'train'", statistic: str = "avg") -> str:
@@ -269,8 +294,8 @@ def scale(columns, source: str, where: str = "split = 'train'") -> str:
     )
 
 
-def training_job(per_split: bool) -> str:
-    """CTEs to the report of the whole KNN job on the parts with gaps."""
+def prepared_job(per_split: bool, gaps: str, mapping=PART_TYPES) -> str:
+    """CTEs to u: the parts with gaps, split, filled, rescaled and undersampled."""
     p = ", ".join(f"coalesce({c}, avg({c}) OVER (PARTITION BY split)) AS {c}" for c in PART_FEATURES)
     q = ", ".join(
         f"({c} - avg({c}) OVER (PARTITION BY split)) / stddev_samp({c}) OVER (PARTITION BY split) AS {c}"
@@ -279,13 +304,18 @@ def training_job(per_split: bool) -> str:
     filled = p if per_split else fill(PART_FEATURES, "s")
     scaled = q if per_split else scale(PART_FEATURES, "f")
     cut = "TRUE" if per_split else "split = 'train'"
-    return f"""{PARTS_GAPS}, g AS (SELECT p_partkey, p_size, p_retailprice, {class_id('p_type', PART_TYPES)} AS label FROM gaps),
+    return f"""{gaps}, g AS (SELECT p_partkey, p_size, p_retailprice, {class_id('p_type', mapping)} AS label FROM gaps),
     {stratified('g', 'p_partkey', 'label', 's')},
     f AS MATERIALIZED (SELECT p_partkey, label, split, {filled} FROM s),
     z AS MATERIALIZED (SELECT p_partkey, label, split, {scaled} FROM f),
     least AS (SELECT split, min(k) AS k FROM (SELECT split, label, count(*) AS k FROM z GROUP BY 1, 2) GROUP BY 1),
     u AS MATERIALIZED (SELECT z.* FROM z JOIN least USING (split)
-        QUALIFY NOT ({cut}) OR row_number() OVER (PARTITION BY split, label ORDER BY {hashed('p_partkey', 43)}) <= any_value(k) OVER (PARTITION BY split)),
+        QUALIFY NOT ({cut}) OR row_number() OVER (PARTITION BY split, label ORDER BY {hashed('p_partkey', 43)}) <= any_value(k) OVER (PARTITION BY split))"""
+
+
+def training_job(per_split: bool) -> str:
+    """CTEs to the report of the whole KNN job on the parts with gaps."""
+    return f"""{prepared_job(per_split, PARTS_GAPS)},
     {sweep("(SELECT * FROM u WHERE split = 'dev')", "(SELECT * FROM u WHERE split = 'train')", 'p_partkey',
            {p: point_distance(PART_FEATURES, p) for p in (1, 2)})},
     {report('conf', 'model')} {report_select('model')}"""
@@ -368,7 +398,109 @@ MODEL_GOODNESS = f"""WITH {PART_SPLIT}, {neighbours(DEV, TRAIN, 'p_partkey', poi
 WEIGHTED_ROWS = """labelled AS (SELECT quality::BIGINT AS label, n_chars::DOUBLE AS p_size, doc_id::DOUBLE AS p_retailprice
         FROM labels JOIN documents USING (doc_id))"""
 
+# Fewer prices than bins, where binned splits are exact.
+COARSE = "(floor(p_retailprice)::BIGINT % 37)::DOUBLE"
+COARSE_SPLIT = PART_SPLIT.replace("p_size::DOUBLE AS p_size, p_retailprice,", f"p_size::DOUBLE AS p_size, {COARSE} AS p_retailprice,")
+ORDER_ROWS = """gaps AS (SELECT o_orderkey AS p_partkey, o_orderstatus AS p_type, (o_custkey % 6)::DOUBLE AS p_size,
+    (floor(o_totalprice)::BIGINT % 5)::DOUBLE AS p_retailprice FROM orders)"""
+ORDER_SPLIT = f"""{ORDER_ROWS}, orders_g AS (SELECT p_partkey, p_size, p_retailprice, {class_id('p_type', ORDER_STATES)} AS label FROM gaps),
+    {stratified('orders_g', 'p_partkey', 'label', 's')}"""
+ORDER_JOB = prepared_job(False, ORDER_ROWS, ORDER_STATES)
+DEFAULT_TREES = (3, 6, 9), (1, 2)
+
+
+def one_tree(start: str, depth: int, mapping=PART_TYPES) -> str:
+    """CTEs: a tree of the train rows (t...) and the dev rows sent down it (d...)."""
+    classes = tuple(mapping.values())
+    return f"""{start}, tr AS MATERIALIZED {TRAIN}, dv AS MATERIALIZED {DEV}, {tree('tr', depth, 1, 't', classes)},
+    {follow('dv', 't', depth, 'd')}, {leaves('t', depth)}"""
+
+
+BEST_TREE = """SELECT model AS name, round(value, 6) AS value FROM (
+    SELECT model, f1_score AS value, list_position([{names}], model) AS place
+    FROM rep WHERE "row" = 'macro avg') WHERE value > 0 ORDER BY round(value, 12) DESC, place LIMIT 1""".format(
+    names=", ".join(f"'DecisionTree-z:{d}-l:{m}'" for d in DEFAULT_TREES[0] for m in DEFAULT_TREES[1])
+)
+
+TINY_SPLIT = f"""{PARTS}, tiny AS (SELECT p_partkey, label, p_size * 1e-12 AS p_size, p_retailprice * 1e-12 AS p_retailprice FROM parts),
+    {stratified('tiny', 'p_partkey', 'label', 's')}"""
+
+EVENT_SPLIT = f"""s AS MATERIALIZED (SELECT event_id, epoch_us(ts) / 1e6 AS ts, user_id::DOUBLE AS user_id,
+    {class_id('event_type', EVENT_TYPES)} AS label, {random_part('event_id')} AS split FROM events)"""
+
+CATEGORICAL = (*PART_FEATURES, "p_brand")
+
+
+def categorical_job() -> str:
+    """The KNN job with brands: gaps are a category, categories are numbered by first appearance."""
+    known = "split = 'train'"
+    return f"""{PARTS_GAPS}, b AS (SELECT * REPLACE (coalesce(p_brand, 'NULL_CATEGORY') AS p_brand) FROM gaps),
+    code AS (SELECT p_brand AS v, row_number() OVER (ORDER BY min(p_partkey)) - 1 AS c FROM b GROUP BY 1),
+    g AS (SELECT p_partkey, p_size, p_retailprice, c::DOUBLE AS p_brand, {class_id('p_type', PART_TYPES)} AS label
+          FROM b JOIN code ON v = p_brand),
+    {stratified('g', 'p_partkey', 'label', 's')},
+    f AS MATERIALIZED (SELECT p_partkey, label, split, p_brand, {fill(PART_FEATURES, 's')} FROM s),
+    z AS MATERIALIZED (SELECT p_partkey, label, split, {scale(CATEGORICAL, 'f')} FROM f),
+    least AS (SELECT min(k) AS k FROM (SELECT label, count(*) AS k FROM z WHERE {known} GROUP BY 1)),
+    u AS MATERIALIZED (SELECT z.* FROM z, least
+        QUALIFY split = 'dev' OR row_number() OVER (PARTITION BY split, label ORDER BY {hashed('p_partkey', 43)}) <= k),
+    {sweep("(SELECT * FROM u WHERE split = 'dev')", "(SELECT * FROM u WHERE split = 'train')", 'p_partkey',
+           {p: point_distance(CATEGORICAL, p) for p in (1, 2)})},
+    {report('conf', 'model')} {report_select('model')}"""
+
+
+def refilled_dropped() -> str:
+    known = "split = 'train' AND label IS NOT NULL"
+    return f"""WITH {PARTS_GAPS}, g AS MATERIALIZED (SELECT p_partkey, p_size,
+        CASE WHEN p_partkey % 5 > 0 THEN p_retailprice END AS p_retailprice, {class_id('p_type', PART_TYPES)} AS label,
+        {random_part('p_partkey')} AS split FROM gaps WHERE p_size IS NOT NULL),
+    f AS MATERIALIZED (SELECT p_partkey, label, split, p_size, {fill(['p_retailprice'], 'g', known)} FROM g WHERE {known}
+        UNION ALL SELECT p_partkey, label, split, p_size, {fill(['p_retailprice'], 'g', "split = 'dev'")} FROM g WHERE split = 'dev'),
+    z AS MATERIALIZED (SELECT p_partkey, label, split, {scale(PART_FEATURES, 'f')} FROM f),
+    {neighbours("(SELECT * FROM z WHERE split = 'dev')", "(SELECT * FROM z WHERE split = 'train')", 'p_partkey',
+                point_distance(PART_FEATURES, 1), 3)},
+    {vote('nb', 3, 'distance', 'v')}, {winners('v', 'w')} SELECT qid AS p_partkey, predicted_value FROM w"""
+
+
+def vote_of_distance(start: str, key: str, columns) -> str:
+    return f"""WITH {start}, {neighbours(DEV, TRAIN, key, point_distance(columns, 2), 5)},
+    {vote('nb', 5, 'distance', 'v')}, {winners('v', 'w')} SELECT qid AS {key}, label, predicted_value FROM w"""
+
+
+def many_statistics() -> str:
+    columns = ", ".join(f"l_quantity + {i} * l_tax AS f{i}" for i in range(12))
+    rows = " UNION ALL ".join(statistics_row(f"f{i}").replace("lineitem", "m").replace(", 6)", ", 3)") for i in range(12))
+    return f"WITH m AS MATERIALIZED (SELECT {columns} FROM lineitem) {rows}"
+
+
 ORACLES: dict[str, str] = {
+    "csv_codes_and_long_ids": """SELECT p_partkey + 1234567890000000000 AS id,
+        p_size || CASE WHEN p_size % 2 = 0 THEN 'D' ELSE 'F' END AS code FROM part""",
+    "report_csv_again": f"""WITH conf AS (SELECT l_returnflag AS model, (l_linestatus = 'O')::BIGINT AS label,
+            (l_discount > 5e-2)::BIGINT AS prediction, count(*) AS n FROM lineitem GROUP BY 1, 2, 3),
+        {report('conf', 'model')} {report_select('model')}""",
+    "impute_mean_integers": """WITH g AS (SELECT p_partkey, CASE WHEN p_brand <> 'Brand#7' THEN p_size::DOUBLE END AS p_size FROM part)
+        SELECT p_partkey, round(coalesce(p_size, (SELECT avg(p_size) FROM g)), 6) AS p_size FROM g""",
+    "fit_statistics_many": many_statistics(),
+    "knn_unscaled_epoch": vote_of_distance(EVENT_SPLIT, "event_id", ("ts", "user_id")),
+    "knn_small_scale": vote_of_distance(TINY_SPLIT, "p_partkey", PART_FEATURES),
+    "tree_exact_sweep_default": tree_sweep(*DEFAULT_TREES),
+    "tree_sweep_report": tree_sweep(*DEFAULT_TREES, ORDER_SPLIT, "s", ORDER_STATES),
+    "tree_mllib_predict": f"WITH {one_tree(ORDER_SPLIT, 5, ORDER_STATES)} SELECT p_partkey, label, predicted_value FROM d5 JOIN twin5 USING (node)",
+    "tree_probabilities_absent_class": f"""WITH {TREE2} SELECT p_partkey, any_value(x.label) AS label,
+        any_value(predicted_value) AS predicted_value,
+        {', '.join(f'round(coalesce(sum(share) FILTER (l.label = {c}), 0), 6) AS "probability_of_value_{n}"' for n, c in MORE_TYPES.items())}
+        FROM t2 x JOIN twin2 USING (node) JOIN tleaf2 l USING (node) GROUP BY p_partkey""",
+    "tree_auc": f"""WITH {one_tree(PART_SPLIT, 3)}, scores AS (
+        SELECT x.label, c."of", {significant('coalesce(l.share, 0e0)')} AS score
+        FROM d3 x CROSS JOIN (SELECT unnest({sorted(PART_TYPES.values())}) AS "of") c
+        LEFT JOIN tleaf3 l ON l.node = x.node AND l.label = c."of"), {auc('scores')}""",
+    "tree_scored_stored": f"""WITH {one_tree(COARSE_SPLIT, 3)} SELECT model, p_partkey, CASE WHEN known THEN label END AS target, predicted_value
+        FROM d3 JOIN twin3 USING (node), (SELECT unnest(['exact', 'mllib']) AS model), (SELECT unnest([true, false]) AS known)""",
+    "training_job_best_tree": f"{tree_sweep_report(*DEFAULT_TREES, ORDER_JOB, 'u', ORDER_STATES)} {BEST_TREE}",
+    "training_job_tree_report": tree_sweep(*DEFAULT_TREES, ORDER_JOB, "u", ORDER_STATES),
+    "training_job_categorical": f"WITH {categorical_job()}",
+    "score_refilled_dropped": refilled_dropped(),
     "scan_limit": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10000""",
     "preview_rows": "SELECT c_custkey, c_name, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 5",
     "select_except_rename": """SELECT c_custkey, c_nationkey, round(c_acctbal, 6) AS balance, c_mktsegment,
@@ -463,8 +595,9 @@ ORACLES: dict[str, str] = {
     "confusion_matrix": f"WITH {EMBEDDING_CONFUSION} SELECT label, prediction, n FROM conf",
     "classification_report": f"WITH {EMBEDDING_CONFUSION}, {report('conf')} {report_select()}",
     "multiclass_auc": f"""WITH {embedding_vote(2, 'distance')}, scores AS (
-            SELECT w.label, c."of", round(coalesce(sum(v.w) FILTER (v.tlabel = c."of"), 0) / sum(v.w), 9) AS score
-            FROM w JOIN v ON v.qid = w.qid CROSS JOIN (SELECT unnest({EMBEDDING_CLASSES}) AS "of") c GROUP BY w.qid, 1, 2),
+            SELECT label, "of", {significant('x')} AS score FROM (
+            SELECT w.label, c."of", coalesce(sum(v.w) FILTER (v.tlabel = c."of"), 0) / sum(v.w) AS x
+            FROM w JOIN v ON v.qid = w.qid CROSS JOIN (SELECT unnest({EMBEDDING_CLASSES}) AS "of") c GROUP BY w.qid, 1, 2)),
         {auc('scores')}""",
     "multiclass_auc_rows": f"""WITH l AS (SELECT {class_id('l_returnflag', {'A': 0, 'N': 1, 'R': 2})} AS label,
             l_extendedprice, l_quantity, l_discount FROM lineitem),

@@ -6,6 +6,8 @@ Where a query needs missing cells, they follow from another column of the same r
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,13 +39,16 @@ from tamiz.plans.scoring import evaluate_model, score, score_stored
 from tamiz.plans.training import TrainConfig, train
 from tamiz.session import materialise, scratch_path
 from tamiz.sources.models import save_models, save_preparation
-from tamiz.sources.sinks import read_reports, write_csv, write_predictions, write_reports
+from tamiz.sources.sinks import read_reports, write_csv, write_predictions, write_report_csv, write_reports
 from tamiz.sources.tables import read_csv, read_dataset
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SEGMENTS = {"AUTOMOBILE": 0, "BUILDING": 1, "MACHINERY": 2}
 PART_TYPES = {"ECONOMY": 0, "LARGE": 1, "MEDIUM": 2, "PROMO": 3, "SMALL": 4, "STANDARD": 5}
+MORE_TYPES = {**PART_TYPES, "UNUSED": 6}
+ORDER_STATES = {"F": 0, "O": 1, "P": 2}
+EVENT_TYPES = {"click": 0, "error": 1, "purchase": 2, "signup": 3, "view": 4}
 FIVE_TYPES = {"ECONOMY": 0, "LARGE": 1, "MEDIUM": 2, "SMALL": 3, "STANDARD": 4}
 PART_FEATURES = ("p_size", "p_retailprice")
 LINE_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -127,6 +132,17 @@ def csv_declared_types(spark, folder):
     return read_csv(spark, path, {"p_partkey": "long", "p_type": "string", "p_size": "double"})
 
 
+def csv_codes_and_long_ids(spark, folder):
+    """Codes that look like numbers of Java stay text, and ids of 19 digits whole numbers."""
+    path = scratch_path(spark, "csv")
+    codes = table(spark, folder, "part").select(
+        (F.col("p_partkey") + F.lit(1234567890000000000)).alias("id"),
+        F.concat(F.col("p_size").cast("string"), F.when(F.col("p_size") % 2 == 0, "D").otherwise("F")).alias("code"),
+    )
+    write_csv(codes, path)
+    return read_csv(spark, path)
+
+
 # ---------------------------------------------------------------- missing values
 
 
@@ -156,6 +172,12 @@ def impute_mean(spark, folder):
     return rounded(fit_imputer(rows, [ImputeSpec("value", "MEAN")]).transform(rows), "value")
 
 
+def impute_mean_integers(spark, folder):
+    """A whole-number column takes its mean as it is."""
+    parts = table(spark, folder, "part").select("p_partkey", F.when(F.col("p_brand") != "Brand#7", F.col("p_size")).alias("p_size"))
+    return rounded(fit_imputer(parts, [ImputeSpec("p_size", "MEAN")], "self", None).transform(parts), "p_size")
+
+
 def impute_median(spark, folder):
     rows = random_split(parts_with_gaps(spark, folder), "p_partkey").drop("p_brand", "p_type")
     specs = impute_all(PART_FEATURES, "MEDIAN")
@@ -246,16 +268,19 @@ def impute_then_rescale(spark, folder):
     return rounded(scaler.transform(imputer.transform(rows)), *PART_FEATURES)
 
 
-def fit_statistics(spark, folder):
-    lines = table(spark, folder, "lineitem").select(*LINE_FEATURES)
+def statistics_table(rows: DataFrame, features, digits: int = 6) -> DataFrame:
     keys = ["scope", "feature"]
     out = (
-        feature_statistics(lines, LINE_FEATURES)
-        .join(exact_median(lines, LINE_FEATURES), keys)
-        .join(mode(lines, LINE_FEATURES, None, "double"), keys)
+        feature_statistics(rows, features)
+        .join(exact_median(rows, features), keys)
+        .join(mode(rows, features, None, "double"), keys)
         .drop("scope")
     )
-    return rounded(out, "mean", "std", "min", "max", "median", "mode")
+    return rounded(out, "mean", "std", "min", "max", "median", "mode", digits=digits)
+
+
+def fit_statistics(spark, folder):
+    return statistics_table(table(spark, folder, "lineitem").select(*LINE_FEATURES), LINE_FEATURES)
 
 
 # ---------------------------------------------------------------- encoding, splits, balance
@@ -369,6 +394,31 @@ def part_vote(features, k, p, weights, limits=SearchLimits()) -> Query:
     return query
 
 
+def knn_unscaled_epoch(spark, folder):
+    """Seconds since 1970 as they are, with votes by distance."""
+    events = table(spark, folder, "events").select("event_id", "event_type", "ts", "user_id")
+    typed = standardise_types(events, Roles(("ts", "user_id"), ("event_type",), key="event_id"))
+    mapped = drop_unknown_target(map_labels(typed, "event_type", EVENT_TYPES, "label"), "label")
+    train_rows, dev_rows = train_and_dev(random_split(mapped, "event_id"))
+    return vote_of_distance(train_rows, dev_rows, ("ts", "user_id"), "event_id", EVENT_TYPES)
+
+
+def knn_small_scale(spark, folder):
+    """Distances far below 1 decide as others do."""
+    parts = labelled_parts(spark, folder)
+    tiny = parts.select("p_partkey", "label", *[(F.col(c) * F.lit(1e-12)).alias(c) for c in PART_FEATURES])
+    train_rows, dev_rows = train_and_dev(stratified_split(tiny, "p_partkey", "label"))
+    return vote_of_distance(train_rows, dev_rows, PART_FEATURES, "p_partkey", PART_TYPES)
+
+
+def vote_of_distance(train_rows, dev_rows, features, key, label_map):
+    known = training_table(train_rows, features, key, "label")
+    asked = dev_rows.select(key, "label", feature_array(features).alias("features"))
+    classes = sorted(label_map.values())
+    found = nearest_neighbours(known, asked, 5, 2, key)
+    return found.select(key, "label", winner(votes("neighbours", classes, 5, "distance"), classes).alias("predicted_value"))
+
+
 def embedding_predictions(spark, folder):
     found = embedding_neighbours(spark, folder, 5, 2)
     vote = found.withColumn("_v", votes("neighbours", EMBEDDING_CLASSES, 5, "distance"))
@@ -469,14 +519,35 @@ def tree_exact_predict(spark, folder):
     return tree.transform(dev_rows).select("p_partkey", "label", "predicted_value")
 
 
+def coarse(parts: DataFrame) -> DataFrame:
+    """Fewer prices than bins, where binned splits are exact."""
+    return parts.withColumn("p_retailprice", (F.floor("p_retailprice") % 37).cast("double"))
+
+
+def order_rows(spark, folder):
+    """Orders as rows of two features with few values each, as many rows to a value as trees need to be alike."""
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("p_partkey"),
+        F.col("o_orderstatus").alias("p_type"),
+        (F.col("o_custkey") % 6).cast("double").alias("p_size"),
+        (F.floor("o_totalprice") % 5).cast("double").alias("p_retailprice"),
+    )
+    return orders
+
+
+def labelled_orders(spark, folder):
+    mapped = map_labels(order_rows(spark, folder), "p_type", ORDER_STATES, "label").drop("p_type")
+    return train_and_dev(stratified_split(materialise(mapped, "orders"), "p_partkey", "label"))
+
+
 def tree_mllib_predict(spark, folder):
-    train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
+    train_rows, dev_rows = labelled_orders(spark, folder)
     tree = fit_mllib_tree(train_rows, list(PART_FEATURES), "label", max_depth=5)
     return tree.transform(dev_rows).select("p_partkey", "label", "predicted_value")
 
 
 def tree_sweep_report(spark, folder):
-    train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
+    train_rows, dev_rows = labelled_orders(spark, folder)
     sweep = sweep_tree(train_rows, dev_rows, list(PART_FEATURES), "label", TreeGrid(), exact=False)
     return report_columns(sweep.report)
 
@@ -487,6 +558,49 @@ def tree_exact_sweep_report(spark, folder):
     return report_columns(sweep_tree(train_rows, dev_rows, list(PART_FEATURES), "label", grid).report)
 
 
+def tree_exact_sweep_default(spark, folder):
+    train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
+    return report_columns(sweep_tree(train_rows, dev_rows, list(PART_FEATURES), "label", TreeGrid()).report)
+
+
+def tree_probabilities_absent_class(spark, folder):
+    """A class of the label map without rows has probability 0."""
+    parts = stored_parts(spark, folder)
+    tree = fit_exact_tree(parts, PART_FEATURES, "label", max_depth=2, classes=sorted(MORE_TYPES.values()))
+    spread = spread_probabilities(tree.transform(parts), MORE_TYPES).drop(*PART_FEATURES)
+    return rounded(spread, *[c for c in spread.columns if c.startswith("probability_")])
+
+
+def tree_auc(spark, folder):
+    train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
+    scored = fit_exact_tree(train_rows, PART_FEATURES, "label", max_depth=3).transform(dev_rows)
+    columns = {c: f"p_{c}" for c in sorted(PART_TYPES.values())}
+    spread = scored.select("label", *[F.col("probabilities")[c].alias(n) for c, n in columns.items()])
+    return rounded(multiclass_auc(spread, columns, "label"), "auc")
+
+
+def tree_scored_stored(spark, folder):
+    """Both kinds of trees, stored and loaded again, score rows with and without labels."""
+    parts = coarse(stored_parts(spark, folder))
+    train_rows, dev_rows = train_and_dev(stratified_split(parts, "p_partkey", "label"))
+    path, classes = scratch_path(spark, "trees"), sorted(PART_TYPES.values())
+    models = {
+        "exact": fit_exact_tree(train_rows, PART_FEATURES, "label", max_depth=3, classes=classes),
+        "mllib": fit_mllib_tree(train_rows, list(PART_FEATURES), "label", max_depth=3, classes=classes),
+    }
+    save_preparation(spark, Preparation(PART_FEATURES, (), PART_TYPES, "p_partkey"), path)
+    save_models(spark, models, "exact", path)
+    rows = unmap_labels(dev_rows, "label", PART_TYPES, "p_type").drop("label")
+    out = []
+    for name in models:
+        known = score_stored(spark, rows, path, "p_type", name=name).predictions
+        unknown = score_stored(spark, rows.drop("p_type"), path, name=name).predictions
+        out.append(known.select(F.lit(name).alias("model"), "p_partkey", F.col(TARGET).alias("target"), "predicted_value"))
+        none = F.lit(None).cast("long").alias("target")
+        out.append(unknown.select(F.lit(name).alias("model"), "p_partkey", none, "predicted_value"))
+    return reduce(DataFrame.unionByName, out)
+
+
 # ---------------------------------------------------------------- scoring and whole jobs
 
 
@@ -586,10 +700,39 @@ def training_job_per_split(spark, folder):
 
 def training_job_best_tree(spark, folder):
     config = part_config(algorithm="DecisionTree", exact_tree=False, measure="macro f1-score")
-    done = train(parts_with_gaps(spark, folder), config)
+    done = train(order_rows(spark, folder), replace(config, label_map=ORDER_STATES))
     return rounded(done.sweep.best, "value")
 
 
+def training_job_tree_report(spark, folder):
+    """The whole tree job as it is by default: exact trees of the default grid."""
+    config = replace(part_config(algorithm="DecisionTree"), label_map=ORDER_STATES)
+    return report_columns(train(order_rows(spark, folder), config).sweep.report)
+
+
+def training_job_categorical(spark, folder):
+    """Brands with gaps become a category of their own, and then codes."""
+    roles = Roles(PART_FEATURES, ("p_brand",), target="p_type", key="p_partkey")
+    impute = (*impute_all(PART_FEATURES, "MEAN"), ImputeSpec("p_brand", "CREATE_CATEGORY"))
+    config = TrainConfig(roles, PART_TYPES, impute=impute)
+    return report_columns(train(parts_with_gaps(spark, folder), config).sweep.report)
+
+
+def score_refilled_dropped(spark, folder):
+    """Rows without a size leave; prices are filled with the mean of the scored rows."""
+    rows = map_labels(parts_with_gaps(spark, folder).drop("p_brand"), "p_type", PART_TYPES)
+    rows = rows.withColumn("p_retailprice", F.when(F.col("p_partkey") % 5 > 0, F.col("p_retailprice")))
+    train_rows, dev_rows = train_and_dev(random_split(rows, "p_partkey"))
+    known = drop_unknown_target(train_rows)
+    specs, scales = [ImputeSpec("p_retailprice", "MEAN")], rescale_all(PART_FEATURES, "AVGSTD")
+    imputer, scaler = fit_fill_and_scale(known, specs, scales, "self", None, ("p_size",))
+    prep = Preparation(PART_FEATURES, (), PART_TYPES, "p_partkey", ("p_size",), imputer, scaler)
+    table_of = training_table(materialise(prep.transform(known), "prepared"), PART_FEATURES, "p_partkey")
+    model = KnnModel(table_of, PART_FEATURES, PART_TYPES, 3, "distance", 1)
+    scored = score(dev_rows.drop(TARGET, "p_type"), prep, model, refill=tuple(specs)).predictions
+    return scored.select("p_partkey", "predicted_value")
+
+
 def report_sink(spark, folder):
     out = scratch_path(spark, "reports")
     by_flag = table(spark, folder, "lineitem").select(
@@ -602,7 +745,42 @@ def report_sink(spark, folder):
     return report_columns(read_reports(spark, out))
 
 
+def report_csv_again(spark, folder):
+    """A second run over the same folder replaces the CSV report of the first."""
+    out = scratch_path(spark, "reports")
+    for bound in (0.02, 0.05):
+        by_flag = table(spark, folder, "lineitem").select(
+            F.col("l_returnflag").alias("model"),
+            F.when(F.col("l_linestatus") == "O", 1).otherwise(0).cast("long").alias("label"),
+            F.when(F.col("l_discount") > bound, 1).otherwise(0).cast("long").alias("predicted_value"),
+        )
+        counts = confusion_matrix(by_flag, "label", by=["model"])
+        write_report_csv(classification_report(counts, ["model"]), out)
+    kinds = {"model": "string", "row": "string", "precision": "double", "recall": "double", "f1_score": "double", "support": "double"}
+    return report_columns(read_csv(spark, f"{out}/reports_csv", kinds))
+
+
+def fit_statistics_many(spark, folder):
+    """Statistics of twelve features."""
+    lines = table(spark, folder, "lineitem")
+    many = lines.select(*[(F.col("l_quantity") + F.lit(i) * F.col("l_tax")).alias(f"f{i}") for i in range(12)])
+    return statistics_table(many, [f"f{i}" for i in range(12)], 3)
+
+
 QUERIES: dict[str, Query] = {
+    "csv_codes_and_long_ids": csv_codes_and_long_ids,
+    "report_csv_again": report_csv_again,
+    "impute_mean_integers": impute_mean_integers,
+    "fit_statistics_many": fit_statistics_many,
+    "knn_unscaled_epoch": knn_unscaled_epoch,
+    "knn_small_scale": knn_small_scale,
+    "tree_exact_sweep_default": tree_exact_sweep_default,
+    "tree_probabilities_absent_class": tree_probabilities_absent_class,
+    "tree_auc": tree_auc,
+    "tree_scored_stored": tree_scored_stored,
+    "training_job_tree_report": training_job_tree_report,
+    "training_job_categorical": training_job_categorical,
+    "score_refilled_dropped": score_refilled_dropped,
     "scan_limit": scan_limit,
     "preview_rows": preview_rows,
     "select_except_rename": select_except_rename,

@@ -41,6 +41,10 @@ def columns_except(columns: Sequence[str], exceptions: Sequence[str]) -> list[st
     return [c for c in columns if c not in left_out]
 
 
+# Texts that are numbers.
+NUMBER = r"(?i)^\s*[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[-+]?[0-9]+)?\s*$|^\s*[-+]?(?:inf|infinity|nan)\s*$"
+
+
 def select_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[quoted(c) for c in columns])
 
@@ -68,6 +72,13 @@ def as_double(column: Column, data_type: T.DataType, lenient: bool = False) -> C
         return epoch_seconds(column, data_type)
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return nan_to_null(column.cast("double"))
+    if isinstance(data_type, T.StringType):
+        # A cast alone would also take the type suffixes of Java.
+        number = F.when(column.rlike(NUMBER), column)
+        if not lenient:
+            stop = F.raise_error(F.concat(F.lit("no number: "), column)).cast("string")
+            number = F.when(column.isNull(), None).when(column.rlike(NUMBER), column).otherwise(stop)
+        column = F.trim(number)
     if lenient:
         return nan_to_null(column.try_cast("double"))
     # ANSI cast: a value that is no number stops the job.
@@ -109,6 +120,21 @@ def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)).cast("long"))
 
 
+def unused_name(columns: Sequence[str], name: str) -> str:
+    """``name``, or with underscores behind it, whatever no column has (names compare without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def significant(column: Column, digits: int = 12) -> Column:
+    """Rounded to so many significant digits, whatever the scale."""
+    scale = F.pow(F.lit(10.0), F.lit(digits - 1.0) - F.floor(F.log10(F.abs(column))))
+    inside = (F.abs(column) > 1e-280) & (F.abs(column) < 1e280)
+    return F.when(inside, F.rint(column * scale) / scale).otherwise(column)
+
+
 def literal_array(values: Sequence, sql_type: str) -> Column:
     """A constant array as one literal (a single parse instead of one call per element)."""
 

@@ -7,8 +7,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-# Distances are compared at this many decimals.
-DECIMALS = 9
+# Distances are compared at this many significant digits, whatever their scale.
+DIGITS = 12
 # Distances held at a time.
 TILE = 2_000_000
 # Rows looked at first to bound a ring, and the most features for which that pays.
@@ -48,6 +48,15 @@ def nearest_pivot(points: np.ndarray, pivots: np.ndarray, p: int) -> tuple[np.nd
     return cell, r
 
 
+def significant(x: np.ndarray) -> np.ndarray:
+    """Rounded to DIGITS significant digits."""
+    out = x.copy()
+    part = (x > 1e-280) & (x < 1e280)
+    scale = 10.0 ** (DIGITS - 1 - np.floor(np.log10(x[part])))
+    out[part] = np.round(x[part] * scale) / scale
+    return out
+
+
 def _squared_by_product(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
     """Squared Euclidean distances through a matrix product, with a bound of their error."""
     na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
@@ -67,14 +76,14 @@ def nearest_in_block(
             near, error = _squared_by_product(q, train)
             kth = np.sqrt(np.maximum(np.partition(near, k - 1, axis=1)[:, k - 1], 0.0) + error)
             # Everything that could round to the k-th distance; the exact distance decides below.
-            rows, cols = np.nonzero(near <= (np.square(kth + 2e-9) + 2 * error)[:, None])
+            rows, cols = np.nonzero(near <= (np.square(kth * (1 + 1e-10)) + 2 * error)[:, None])
         else:
             near = pair_distances(q, train, p)
             kth = np.partition(near, k - 1, axis=1)[:, k - 1]
-            rows, cols = np.nonzero(near <= (kth * (1 + 1e-12) + 2e-9)[:, None])
+            rows, cols = np.nonzero(near <= (kth * (1 + 1e-10))[:, None])
         step = q[rows] - train[cols]
         exact = np.abs(step).sum(axis=1) if p == 1 else np.sqrt(np.square(step).sum(axis=1))
-        exact = np.round(exact, DECIMALS)
+        exact = significant(exact)
         order = np.lexsort((ids[cols], exact, rows))
         rows, cols, exact = rows[order], cols[order], exact[order]
         first = np.searchsorted(rows, np.arange(len(q)))
@@ -129,7 +138,8 @@ class Cells:
             outside = np.maximum(np.maximum(self.low[:, j] - x, x - self.high[:, j]), 0.0)
             gap += outside if p == 1 else outside * outside
         np.maximum(bound, gap if p == 1 else np.sqrt(gap), out=bound)
-        possible = (bound <= widened(reach)[:, None]) & (self.counts > 0)
+        # Differences of large distances are known to their last digits only.
+        possible = (bound - 1e-12 * to_pivot <= widened(reach)[:, None]) & (self.counts > 0)
         possible[:, home] = False
         return possible
 

@@ -31,7 +31,7 @@ def running_totals(
         at_most = df.count()
     if at_most <= SMALL_ROWS:
         return _by_window(df, group, order, sums)
-    return _by_range(df, group, order, sums)
+    return _by_range(df, group, order, sums, -(-at_most // SMALL_ROWS))
 
 
 def _by_window(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
@@ -46,10 +46,10 @@ def _by_window(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[s
     )
 
 
-def _by_range(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+def _by_range(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str], ranges_wanted: int) -> DataFrame:
     """Per range and group one summary row is kept (at most ranges + groups rows), whose running total is
     added to the total inside the range."""
-    ranged = df.repartitionByRange(*[quoted(g) for g in group], quoted(order))
+    ranged = df.repartitionByRange(max(2, ranges_wanted), *[quoted(g) for g in group], quoted(order))
     # Stored, so that every later use sees the same range numbers.
     ranged = materialise(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
 

@@ -12,20 +12,22 @@ from tamiz.functions.hashing import row_hash
 from tamiz.functions.labels import class_counts, lookup
 from tamiz.operators.split import smallest_hash_cutoffs, within_cutoff
 
-NOT_MINORITY = "not minority"
+NOT_MINORITY, AT_LEAST_HALF = "not minority", "at least half"
 
 
 def undersampling_quotas(counts: Mapping, strategy: str | float) -> dict:
     """Rows to keep of each class that is cut.
 
-    'not minority': every class shrinks to the smallest one. A number r (two classes only): the larger
-    class shrinks until smaller / larger = r.
+    'not minority': every class shrinks to the smallest one. 'at least half': classes of more than twice the smallest
+    shrink to that. A number r (two classes only): the larger class shrinks until smaller / larger = r.
     """
     smallest = min(counts.values())
+    if strategy == AT_LEAST_HALF:
+        return {c: 2 * smallest for c, k in counts.items() if k > 2 * smallest}
     if strategy == NOT_MINORITY:
         return {c: smallest for c, k in counts.items() if k > smallest}
     if not isinstance(strategy, (int, float)) or not 0 < strategy <= 1:
-        raise ValueError(f"strategy is '{NOT_MINORITY}' or a ratio in (0, 1], not {strategy!r}")
+        raise ValueError(f"strategy is '{NOT_MINORITY}', '{AT_LEAST_HALF}' or a ratio in (0, 1], not {strategy!r}")
     if len(counts) != 2:
         raise ValueError("a ratio needs exactly two classes")
     larger = max(counts, key=lambda c: counts[c])
@@ -52,7 +54,8 @@ def _keep_quotas(df: DataFrame, key: str, group: str, seed: int, quotas_of) -> D
 def undersample(
     df: DataFrame, key: str, target: str = TARGET, strategy: str | float = NOT_MINORITY, seed: int = 42
 ) -> DataFrame:
-    """Keep whole the classes that are not cut, and of the others exactly their quota, without replacement."""
+    """Keep whole the classes that are not cut, and of the others exactly their quota, without replacement. Rows without
+    a class belong to no sample."""
     return _keep_quotas(
         df, key, target, seed, lambda sizes: undersampling_quotas(sizes, strategy) if sizes else {}
     )

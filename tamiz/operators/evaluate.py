@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamiz.functions.columns import TARGET, quoted
+from tamiz.functions.columns import TARGET, quoted, significant
 from tamiz.functions.running import running_totals
 
 # Names of the goodness measures, and of the summary rows of a report.
@@ -116,18 +116,18 @@ def best_model(scores: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def multiclass_auc(
-    predictions: DataFrame, probabilities: Mapping[int, str], label: str = TARGET, decimals: int = 9
+    predictions: DataFrame, probabilities: Mapping[int, str], label: str = TARGET, digits: int = 12
 ) -> DataFrame:
     """One row (auc): mean over class pairs of (A(i|j) + A(j|i)) / 2 (Hand and Till, 2001).
 
     A(i|j) is the chance that a row of class i has a higher probability of i than a row of class j, ties
-    counting one half. Rows become counts per (class, score, label) before any ordering. Pairs with a
+    counting one half; scores are compared at ``digits`` significant digits. Rows become counts per (class, score, label) before any ordering. Pairs with a
     class that has no rows are left out.
     """
     classes = sorted(probabilities)
     cells = F.array(
         *[
-            F.struct(F.lit(c).cast("long").alias("of"), (F.rint(quoted(probabilities[c]) * 10.0**decimals) / 10.0**decimals).alias("score"))
+            F.struct(F.lit(c).cast("long").alias("of"), significant(quoted(probabilities[c]).cast("double"), digits).alias("score"))
             for c in classes
         ]
     )

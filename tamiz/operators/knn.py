@@ -9,7 +9,7 @@ Neighbours are found in one of two ways with equal results:
   nearer row, and only these (query, cell) pairs are shuffled. Cells and their queries are salted into
   blocks of bounded size, each block returns k rows per query, and the k best of all blocks are kept.
 
-Ties in distance go to the smaller training key; distances are compared at 9 decimals.
+Ties in distance go to the smaller training key; distances are compared at 12 significant digits, votes as shares.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.functions import distances
-from tamiz.functions.columns import TARGET, feature_array, literal_array, quoted
-from tamiz.functions.distances import DECIMALS, RING_FEATURES, Cells, by_ring, matrix, nearest_by_ring, nearest_pivot
+from tamiz.functions.columns import TARGET, feature_array, literal_array, quoted, unused_name
+from tamiz.functions.distances import RING_FEATURES, Cells, by_ring, matrix, nearest_by_ring, nearest_pivot
 from tamiz.functions.hashing import row_hash
 from tamiz.session import materialise
 
@@ -37,6 +37,8 @@ cloudpickle.register_pickle_by_value(distances)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WEIGHTS = ("uniform", "distance")
+# Shares of a vote, which lie between 0 and 1, are compared at this many decimals.
+SHARE_DECIMALS = 9
 NEIGHBOURS = T.ArrayType(
     T.StructType(
         [
@@ -348,7 +350,8 @@ def nearest_neighbours(
 ) -> DataFrame:
     """``queries`` without ``features`` but with ``neighbours``: their k nearest training rows in rank order.
 
-    ``queries`` has a unique ``key`` and ``features``. Several searches share one ``search_table``.
+    ``queries`` has a ``key`` and ``features``; a key that is repeated or NULL makes no difference, as rows are followed
+    by numbers of their own. Several searches share one ``search_table``.
     """
     if p not in (1, 2):
         raise ValueError(f"p is 1 (Manhattan) or 2 (Euclidean), not {p}")
@@ -357,7 +360,10 @@ def nearest_neighbours(
         raise ValueError(f"the table holds points for {table.k} neighbours, not {k}")
     if table.direct:
         return _direct(table.points, queries, k, p, table.n, key, limits)
-    return _partitioned(table.points, queries, k, p, table.n, table.width, key, limits)
+    number = unused_name(queries.columns, "query_number")
+    # Stored, so that every later use sees the same numbers.
+    numbered = materialise(queries.withColumn(number, F.monotonically_increasing_id()), "queries")
+    return _partitioned(table.points, numbered, k, p, table.n, table.width, number, limits).drop(number)
 
 
 # ---------------------------------------------------------------- vote
@@ -370,9 +376,10 @@ def votes(neighbours: str, classes: Sequence[int], k: int, weights: str) -> Colu
     first = f"slice(`{neighbours}`, 1, {int(k)})"
     weight = "1D"
     if weights == "distance":
-        # A neighbour at distance 0 outweighs all others.
-        hit = f"array_min(transform({first}, x -> x.distance)) = 0D"
-        weight = f"if({hit}, if(n.distance = 0D, 1D, 0D), 1D / n.distance)"
+        # Relative to the nearest, so that no scale is too small or too large. A neighbour at distance 0 outweighs
+        # all others.
+        nearest = f"array_min(transform({first}, x -> x.distance))"
+        weight = f"if({nearest} = 0D, if(n.distance = 0D, 1D, 0D), {nearest} / n.distance)"
     of_class = f"aggregate({first}, 0D, (total, n) -> total + if(n.label = c, {weight}, 0D))"
     each = ", ".join(f"{int(c)}L" for c in classes)
     return F.expr(f"transform(array({each}), c -> {of_class})")
@@ -380,7 +387,7 @@ def votes(neighbours: str, classes: Sequence[int], k: int, weights: str) -> Colu
 
 def winner(vote: Column, classes: Sequence[int]) -> Column:
     """Class with the largest vote, the smallest class id on a tie."""
-    rounded = F.transform(vote, lambda v: F.round(v, DECIMALS))
+    rounded = F.transform(shares(vote), lambda v: F.round(v, SHARE_DECIMALS))
     return literal_array(classes, "long")[(F.array_position(rounded, F.array_max(rounded)) - 1).cast("int")]
 
 
@@ -421,10 +428,13 @@ class KnnModel:
 
 
 def training_table(df: DataFrame, features: Sequence[str] | Callable[[], Column], key: str, label: str = TARGET) -> DataFrame:
-    """(train_id, features, label) of prepared rows."""
+    """(train_id, features, label) of prepared rows. A key that is no integer is replaced by a hash, which then
+    decides ties between equally distant rows."""
     vector = features() if callable(features) else feature_array(features)
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    train_id = quoted(key).cast("long") if whole else F.xxhash64(quoted(key))
     return df.select(
-        quoted(key).cast("long").alias("train_id"),
+        train_id.alias("train_id"),
         vector.alias("features"),
         quoted(label).cast("long").alias("label"),
     )

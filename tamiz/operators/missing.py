@@ -63,6 +63,9 @@ class Imputer:
             column = quoted(field.name)
             if field.name in self.values:
                 sql_type = field.dataType.simpleString()
+                if isinstance(field.dataType, T.IntegralType) and any(map(_fraction, self.values[field.name].values())):
+                    # A whole-number column takes a fraction as it is.
+                    sql_type, column = "double", column.cast("double")
                 if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
                     column = nan_to_null(column)
                 filler = by_scope(self.values[field.name], self.split, sql_type)
@@ -71,6 +74,10 @@ class Imputer:
         return df.select(*out)
 
 
+def _fraction(value: float | str | None) -> bool:
+    return isinstance(value, float) and not value.is_integer()
+
+
 def _is_text(df: DataFrame, feature: str) -> bool:
     return isinstance(df.schema[feature].dataType, T.StringType)
 

@@ -110,11 +110,12 @@ def stratified_split(
     df: DataFrame, key: str, target: str = TARGET, dev_size: float = 0.2, seed: int = 42, split: str = "split"
 ) -> DataFrame:
     """Add ``split`` ('train' or 'dev') with exact class shares. Rows are chosen by hash of their key, so
-    the result does not depend on the partition layout."""
+    the result does not depend on the partition layout. Rows without a class belong to no part: theirs is NULL."""
     hashed = row_hash(key, seed)
     _, cutoffs = smallest_hash_cutoffs(df, target, hashed, lambda sizes: stratified_quotas(sizes, dev_size))
     chosen = within_cutoff(target, hashed, cutoffs)
-    return df.withColumn(split, F.when(chosen, F.lit("dev")).otherwise(F.lit("train")))
+    known = quoted(target).isNotNull()
+    return df.withColumn(split, F.when(chosen, F.lit("dev")).when(known, F.lit("train")))
 
 
 def random_split(df: DataFrame, key: str, train_size: float = 0.8, seed: int = 42, split: str = "split") -> DataFrame:

@@ -159,11 +159,14 @@ def exact_median(df: DataFrame, features: Sequence[str], split: str | None = Non
     n = lookup(F.concat_ws("|", "scope", "feature"), sizes, "long")
     low, high = F.floor((n + 1) / 2), F.floor(n / 2) + 1
     first, last = F.col("c_before") + 1, F.col("c_before") + F.col("c")
-    return (
-        ranked.where(((first <= low) & (low <= last)) | ((first <= high) & (high <= last)))
-        .groupBy("scope", "feature")
-        .agg(((F.min("value") + F.max("value")) / 2).alias("median"))
+    # Both middle ranks must lie among the ordered values: below the bracket (NULL) or beyond it there is none.
+    held = (first <= low) & (low <= last), (first <= high) & (high <= last)
+    middle = ranked.where(held[0] | held[1]).groupBy("scope", "feature").agg(
+        ((F.min("value") + F.max("value")) / 2).alias("median"),
+        (F.max(F.when(held[0] & F.col("value").isNotNull(), 1)) + F.max(F.when(held[1] & F.col("value").isNotNull(), 1))).alias("ends"),
     )
+    missed = F.raise_error(F.lit("the quantile sketch missed the middle ranks")).cast("double")
+    return middle.select("scope", "feature", F.when(F.col("ends") == 2, F.col("median")).otherwise(missed).alias("median"))
 
 
 def by_scope(values: Mapping[str, object], split: str | None, sql_type: str) -> Column:

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.columns import TARGET, feature_array, quoted
+from tamiz.functions.labels import class_counts
 from tamiz.operators.evaluate import best_model, classification_report, confusion_matrix, goodness
 from tamiz.operators.knn import SearchLimits, nearest_neighbours, search_table, training_table, votes, winner
-from tamiz.operators.tree import ExactTree, MllibTree, fit_exact_tree, fit_mllib_tree
+from tamiz.operators.tree import ExactTree, MllibTree, fit_exact_tree, fit_mllib_tree, present
 from tamiz.session import materialise
 
 FITS_AT_A_TIME = 3
@@ -103,21 +104,23 @@ def sweep_tree(
     measure: str = "weighted f1-score",
     exact: bool = True,
     max_bins: int = 256,
+    classes: Sequence[int] | None = None,
 ) -> SweepResult:
     """Trees of all depths and leaf sizes. An exact tree is grown once per leaf size, to the largest depth:
     a shallower one is its top. MLlib trees are fitted apart, a few at a time, on the stored table."""
     names = grid.models()
     if exact:
-        grown = {m: fit_exact_tree(train, features, label, max(grid.max_depth), m) for m in grid.min_leaf}
+        grown = {m: fit_exact_tree(train, features, label, max(grid.max_depth), m, classes=classes) for m in grid.min_leaf}
         models: dict[str, ExactTree | MllibTree] = {n: grown[m] for n, (_, m) in names.items()}
-        vector = feature_array(features)
+        vector = present(feature_array(features))
         predictions = {n: grown[m].predict(F.col("_x"), d) for n, (d, m) in names.items()}
         scored = dev.select(quoted(label), vector.alias("_x"))
         confusion = _model_confusion(scored, predictions, label)
     else:
+        ids = classes if classes is not None else list(class_counts(train, label))
 
         def fit(size: tuple[int, int]) -> MllibTree:
-            return fit_mllib_tree(train, features, label, *size, max_bins=max_bins)
+            return fit_mllib_tree(train, features, label, *size, max_bins=max_bins, classes=ids)
 
         # Small jobs of one fit leave the cluster idle; a few fits side by side fill it.
         with ThreadPoolExecutor(FITS_AT_A_TIME) as pool:

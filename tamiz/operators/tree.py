@@ -11,6 +11,8 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -25,8 +27,14 @@ from tamiz.operators.balance import balanced_weights, with_class_weights
 
 # Impurities are compared at this many decimals, so that rounding noise decides no tie.
 DECIMALS = 9
-# The tree lives on the driver: at most 2^MAX_DEPTH leaves.
-MAX_DEPTH = 16
+# Larger trees go to the executors as arrays instead of SQL text.
+LITERAL_NODES = 1024
+
+
+def present(vector: Column) -> Column:
+    """The vector; a NULL or NaN in it stops the job."""
+    missing = F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+    return F.when(missing, F.raise_error(F.lit("a tree needs features without missing values")).cast("array<double>")).otherwise(vector)
 
 
 # ---------------------------------------------------------------- exact tree
@@ -56,11 +64,13 @@ class ExactTree:
         return max(n.depth for n in self.nodes)
 
     def leaf(self, vector: Column, depth: int | None = None) -> Column:
-        """Node a feature vector ends in, optionally in the tree cut at ``depth``. One expression over
-        constant arrays; its size grows with the tree, not with its depth."""
+        """Node a feature vector ends in, optionally in the tree cut at ``depth``. A small tree is one expression
+        over constant arrays; a larger one is walked by whole Arrow batches."""
         steps = min(self.depth, self.depth if depth is None else depth)
         if steps == 0:
             return F.lit(0)
+        if len(self.nodes) > LITERAL_NODES:
+            return self._walk(vector, steps)
         feature = literal_array([n.feature for n in self.nodes], "int")
         threshold = literal_array([n.threshold for n in self.nodes], "double")
         left = literal_array([n.left for n in self.nodes], "int")
@@ -72,6 +82,23 @@ class ExactTree:
 
         return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0), step)
 
+    def _walk(self, vector: Column, steps: int) -> Column:
+        feature = np.array([n.feature for n in self.nodes], dtype=np.int64)
+        threshold = np.array([n.threshold for n in self.nodes])
+        left, right = (np.array([getattr(n, side) for n in self.nodes], dtype=np.int64) for side in ("left", "right"))
+
+        @F.pandas_udf("int")
+        def walk(vectors: pd.Series) -> pd.Series:
+            x = np.array(vectors.tolist(), dtype=np.float64).reshape(len(vectors), -1)
+            node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+            for _ in range(steps):
+                f = feature[node]
+                to = np.where(x[rows, np.maximum(f, 0)] <= threshold[node], left[node], right[node])
+                node = np.where(f < 0, node, to)
+            return pd.Series(node.astype(np.int32))
+
+        return walk(vector)
+
     def cut(self, depth: int) -> ExactTree:
         """The top of the tree: what growing to ``depth`` only would have given."""
         # Nodes are stored level by level, so the kept ones keep their positions.
@@ -96,15 +123,22 @@ class ExactTree:
         return literal_array(self.leaf_classes(), "long")[self.leaf(vector, depth)]
 
     def transform(self, df: DataFrame, depth: int | None = None) -> DataFrame:
-        """``df`` with ``predicted_value`` and ``probabilities`` (in class id order); map-only."""
-        flat = literal_array([s for shares in self.leaf_shares() for s in shares], "double")
+        """``df`` with ``predicted_value`` and ``probabilities`` (in class id order, 0 for a class without training
+        rows); a row with a missing feature stops the job."""
+        placed = df.withColumn("_leaf", self.leaf(present(feature_array(self.features)), depth))
         c = len(self.classes)
-        return (
-            df.withColumn("_leaf", self.leaf(feature_array(self.features), depth))
-            .withColumn("predicted_value", literal_array(self.leaf_classes(), "long")[F.col("_leaf")])
-            .withColumn("probabilities", F.slice(flat, F.col("_leaf") * c + 1, F.lit(c)))
-            .drop("_leaf")
-        )
+        if len(self.nodes) * c <= LITERAL_NODES * 8:
+            flat = literal_array([s for shares in self.leaf_shares() for s in shares], "double")
+            return (
+                placed.withColumn("predicted_value", literal_array(self.leaf_classes(), "long")[F.col("_leaf")])
+                .withColumn("probabilities", F.slice(flat, F.col("_leaf") * c + 1, F.lit(c)))
+                .drop("_leaf")
+            )
+        spark = df.sparkSession
+        rows = zip(range(len(self.nodes)), self.leaf_classes(), self.leaf_shares())
+        ends = spark.createDataFrame(list(rows), "_leaf int, predicted_value long, probabilities array<double>")
+        # As large as the tree on the driver.
+        return placed.join(F.broadcast(ends), "_leaf", "left").drop("_leaf")
 
     def to_json(self) -> str:
         nodes = [[n.depth, list(n.counts), n.feature, n.threshold, n.left, n.right] for n in self.nodes]
@@ -158,7 +192,8 @@ def split_candidates(
         .selectExpr(
             "node",
             "feature",
-            "(value + value_prev) / 2 AS threshold",
+            # Between neighbouring doubles there is no middle: then the lower one divides.
+            "if(value_prev + (value - value_prev) / 2 < value, value_prev + (value - value_prev) / 2, value_prev) AS threshold",
             f"round(({impurity(below)} + {impurity(above)}) / {whole}, {DECIMALS}) AS score",
             *[f"{b} AS l_{i}" for i, b in enumerate(below)],
             *[f"{n}_total AS t_{i}" for i, n in enumerate(names)],
@@ -180,21 +215,25 @@ def fit_exact_tree(
     max_depth: int = 5,
     min_leaf: int = 1,
     balanced: bool = True,
+    classes: Sequence[int] | None = None,
 ) -> ExactTree:
     """Gini CART with the best split at every node; one job per level, one row per node on the driver.
 
-    ``df`` is read once per level: hand in a stored table.
+    ``df`` is read once per level: hand in a stored table. A missing feature stops the job. ``classes``: all class
+    ids, also those without rows, which then have probability 0; by default those of the rows.
     """
-    if not 0 <= max_depth <= MAX_DEPTH:
-        raise ValueError(f"max_depth is 0 to {MAX_DEPTH}, not {max_depth}")
-    rows = df.select(quoted(label).cast("long").alias("label"), feature_array(features).alias("features"))
+    if max_depth < 0:
+        raise ValueError(f"max_depth is 0 or more, not {max_depth}")
+    rows = df.select(quoted(label).cast("long").alias("label"), present(feature_array(features)).alias("features"))
     sizes = class_counts(rows, "label")
     if not sizes:
         raise ValueError("no rows to fit a tree on")
+    if classes is not None and (unknown := set(sizes) - set(classes)):
+        raise ValueError(f"labels that are no class: {sorted(unknown)}")
     by_class = balanced_weights(sizes) if balanced else {c: 1.0 for c in sizes}
-    classes = sorted(sizes)
-    weights = [by_class[c] for c in classes]
-    nodes = [Node(0, tuple(sizes[c] for c in classes))]
+    classes = sorted(sizes if classes is None else set(classes))
+    weights = [by_class.get(c, 1.0) for c in classes]
+    nodes = [Node(0, tuple(sizes.get(c, 0) for c in classes))]
 
     def may_split(n: Node) -> bool:
         return sum(1 for c in n.counts if c) > 1 and sum(n.counts) >= max(2, 2 * min_leaf)
@@ -205,8 +244,13 @@ def fit_exact_tree(
             break
         so_far = ExactTree(tuple(nodes), tuple(classes), tuple(weights), tuple(features))
         flags = set(active)
-        is_active = literal_array([int(i in flags) for i in range(len(nodes))], "int")
-        placed = rows.withColumn("node", so_far.leaf(F.col("features"))).where(is_active[F.col("node")] == 1)
+        placed = rows.withColumn("node", so_far.leaf(F.col("features")))
+        if len(nodes) <= LITERAL_NODES:
+            is_active = literal_array([int(i in flags) for i in range(len(nodes))], "int")
+            placed = placed.where(is_active[F.col("node")] == 1)
+        else:
+            growing = df.sparkSession.createDataFrame([(i,) for i in active], "node int")
+            placed = placed.join(F.broadcast(growing), "node", "left_semi")
         active = []
         n_cells = sum(sum(nodes[i].counts) for i in flags) * len(features)
         bound = n_cells if n_cells <= SMALL_ROWS else None
@@ -227,17 +271,20 @@ def fit_exact_tree(
 
 @dataclass(frozen=True)
 class MllibTree:
-    """MLlib tree with the same face as the exact one. Its classes are 0 .. n-1."""
+    """MLlib tree with the same face as the exact one. Inside, class ids are their positions in ``classes``."""
 
     model: PipelineModel
     features: tuple[str, ...]
+    classes: tuple[int, ...]
 
     def transform(self, df: DataFrame) -> DataFrame:
         scored = self.model.transform(df)
+        # MLlib knows the classes up to the last that has rows.
+        shares = F.concat(vector_to_array("_probability"), F.array_repeat(F.lit(0.0), len(self.classes)))
         return scored.select(
             *[quoted(c) for c in df.columns],
-            F.col("_prediction").cast("long").alias("predicted_value"),
-            vector_to_array("_probability").alias("probabilities"),
+            literal_array(self.classes, "long")[F.col("_prediction").cast("int")].alias("predicted_value"),
+            F.slice(shares, 1, len(self.classes)).alias("probabilities"),
         )
 
 
@@ -250,9 +297,14 @@ def fit_mllib_tree(
     balanced: bool = True,
     max_bins: int = 256,
     seed: int = 1337,
+    classes: Sequence[int] | None = None,
 ) -> MllibTree:
-    """Gini tree on binned features: a fixed number of passes, sums per bin only."""
-    rows = df.withColumn("_label", quoted(label).cast("double"))
+    """Gini tree on binned features: a fixed number of passes, sums per bin only. ``classes``: all class ids, also
+    those without rows; by default those of the rows."""
+    classes = sorted(class_counts(df, label) if classes is None else set(classes))
+    place = F.array_position(literal_array(classes, "long"), quoted(label).cast("long"))
+    unknown = F.raise_error(F.lit("a label that is no class")).cast("double")
+    rows = df.withColumn("_label", F.when(place > 0, place - 1.0).otherwise(unknown))
     weight = {}
     if balanced:
         rows = with_class_weights(rows, label, "_weight")
@@ -271,4 +323,4 @@ def fit_mllib_tree(
         seed=seed,
         **weight,
     )
-    return MllibTree(Pipeline(stages=[assembler, tree]).fit(rows), tuple(features))
+    return MllibTree(Pipeline(stages=[assembler, tree]).fit(rows), tuple(features), tuple(classes))

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tamiz.functions.columns import drop_missing_rows, quoted
 from tamiz.operators.encode import Factorizer
@@ -17,7 +16,8 @@ from tamiz.operators.statistics import ALL_ROWS, collect_statistics
 
 @dataclass(frozen=True)
 class Preparation:
-    """Order of the steps: encode categories, drop rows, fill, rescale (features without variance leave)."""
+    """Order of the steps: drop rows, fill categories, encode them, fill numbers, rescale (features without variance
+    leave)."""
 
     numerical: tuple[str, ...]
     categorical: tuple[str, ...] = ()
@@ -28,6 +28,8 @@ class Preparation:
     scaler: Scaler | None = None
     factorizer: Factorizer | None = None
     split: str | None = None
+    # Fills categories as text, before they are encoded.
+    text_imputer: Imputer | None = None
 
     @property
     def features(self) -> tuple[str, ...]:
@@ -45,10 +47,13 @@ class Preparation:
         if self.scaler:
             pairs = {c: {k: v or (None, None) for k, v in by.items()} for c, by in known(self.scaler.values).items()}
             scaler = Scaler(pairs, self.scaler.dropped)
-        return replace(self, imputer=imputer, scaler=scaler, split=None)
+        text = Imputer(known(self.text_imputer.values)) if self.text_imputer else None
+        return replace(self, imputer=imputer, scaler=scaler, text_imputer=text, split=None)
 
     def encode(self, df: DataFrame) -> DataFrame:
-        """Category codes as numbers."""
+        """Category codes as numbers, of the filled categories."""
+        if self.text_imputer:
+            df = self.text_imputer.transform(df)
         if not self.factorizer:
             return df
         coded = self.factorizer.transform(df)
@@ -56,7 +61,7 @@ class Preparation:
         return coded.select(*[quoted(c).cast("double").alias(c) if c in codes else quoted(c) for c in coded.columns])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = drop_missing_rows(self.encode(df), self.drop_missing)
+        out = self.encode(drop_missing_rows(df, self.drop_missing))
         if self.imputer:
             out = self.imputer.transform(out)
         if self.scaler:
@@ -81,8 +86,3 @@ def fit_fill_and_scale(
     imputer = fit_imputer(rows, impute, scope, split, statistics) if impute else None
     scaler = fit_scaler(rows, rescale, scope, split, statistics, imputer) if rescale else None
     return imputer, scaler
-
-
-def split_counts(df: DataFrame, target: str, split: str = "split") -> DataFrame:
-    """Class counts of each split."""
-    return df.groupBy(quoted(split), quoted(target)).agg(F.count(F.lit(1)).alias("n"))

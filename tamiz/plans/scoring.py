@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.functions.columns import TARGET, Roles, quoted, select_columns, standardise_types
+from tamiz.functions.columns import TARGET, Roles, drop_missing_rows, quoted, select_columns, standardise_types
 from tamiz.functions.labels import map_labels
 from tamiz.operators.evaluate import classification_report, confusion_matrix, goodness
 from tamiz.operators.knn import KnnModel
@@ -55,7 +55,7 @@ def score(
     if target:
         typed = map_labels(typed, target, prep.label_map).drop(target)
     if refill is not None:
-        encoded = prep.encode(typed)
+        encoded = prep.encode(drop_missing_rows(typed, prep.drop_missing))
         filled = fit_imputer(encoded, refill, "self", None).transform(encoded)
         rows = prep.scaler.transform(filled) if prep.scaler else filled
     else:

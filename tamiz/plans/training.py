@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
-from tamiz.functions.columns import TARGET, Roles, quoted, select_columns, standardise_types
+from tamiz.functions.columns import TARGET, Roles, drop_missing_rows, quoted, select_columns, standardise_types
 from tamiz.functions.labels import derive_label_map, drop_unknown_target, map_labels
-from tamiz.operators.balance import NOT_MINORITY, undersample_splits
+from tamiz.operators.balance import AT_LEAST_HALF, NOT_MINORITY, undersample_splits
 from tamiz.operators.encode import fit_factorizer
 from tamiz.operators.evaluate import GOODNESS
 from tamiz.operators.knn import KnnModel, SearchLimits, training_table
-from tamiz.operators.missing import SCOPES, ImputeSpec, impute_all
+from tamiz.operators.missing import SCOPES, ImputeSpec, fit_imputer, impute_all
 from tamiz.operators.rescale import rescale_all
 from tamiz.operators.split import random_split, stratified_split
 from tamiz.operators.sweep import KnnGrid, SweepResult, TreeGrid, sweep_knn, sweep_tree
@@ -24,6 +24,8 @@ from tamiz.sources.models import Model, save_models, save_preparation
 from tamiz.sources.sinks import write_report_csv, write_reports
 
 ALGORITHMS = ("KNN", "DecisionTree")
+# Fills of a categorical feature that give a category; MEAN and MEDIAN work on its codes.
+TEXT_METHODS = ("MODE", "CREATE_CATEGORY", "CONSTANT")
 
 
 @dataclass(frozen=True)
@@ -100,35 +102,26 @@ def prepare(df: DataFrame, config: TrainConfig) -> tuple[Preparation, DataFrame]
     else:
         rows = random_split(rows, roles.key, 1 - config.dev_size, config.seed)
     base = Preparation(roles.numerical, roles.categorical, label_map, roles.key, split="split")
+    features = [*roles.numerical, *roles.categorical]
+    impute = impute_all(features, "MEAN") if config.impute is None else list(config.impute)
+    in_text = [s for s in impute if s.feature in roles.categorical and s.method in TEXT_METHODS]
+    if config.preprocess:
+        base = replace(base, drop_missing=config.drop_missing)
+        if in_text:
+            # Categories are filled as text, before they become codes.
+            present_rows = drop_missing_rows(rows, config.drop_missing)
+            base = replace(base, text_imputer=fit_imputer(present_rows, in_text, config.scope, "split"))
     if roles.categorical:
         # Codes are fitted on the whole labelled table, before the split, and stored with the model.
-        base = Preparation(
-            roles.numerical,
-            roles.categorical,
-            label_map,
-            roles.key,
-            factorizer=fit_factorizer(rows, roles.categorical, roles.key),
-            split="split",
-        )
+        filled = base.text_imputer.transform(rows) if base.text_imputer else rows
+        base = replace(base, factorizer=fit_factorizer(filled, roles.categorical, roles.key))
     if not config.preprocess:
         return base, base.transform(rows)
-    features = [*roles.numerical, *roles.categorical]
-    impute = impute_all(features, "MEAN") if config.impute is None else list(config.impute)
     rescale = rescale_all(features, "AVGSTD") if config.rescale is None else dict(config.rescale)
-    imputer, scaler = fit_fill_and_scale(
-        base.encode(rows), impute, rescale, config.scope, "split", config.drop_missing
-    )
-    prep = Preparation(
-        roles.numerical,
-        roles.categorical,
-        label_map,
-        roles.key,
-        config.drop_missing,
-        imputer,
-        scaler,
-        base.factorizer,
-        "split",
-    )
+    numbers = [s for s in impute if s not in in_text]
+    encoded = base.encode(drop_missing_rows(rows, config.drop_missing))
+    imputer, scaler = fit_fill_and_scale(encoded, numbers, rescale, config.scope, "split")
+    prep = replace(base, imputer=imputer, scaler=scaler)
     return prep, prep.transform(rows)
 
 
@@ -139,7 +132,7 @@ def train(df: DataFrame, config: TrainConfig, output: str | None = None) -> Trai
     if config.sampling is not None:
         strategy = config.sampling
         if strategy == "auto":
-            strategy = 0.5 if len(prep.label_map) == 2 else NOT_MINORITY
+            strategy = AT_LEAST_HALF if len(prep.label_map) == 2 else NOT_MINORITY
         parts = ("train", "dev") if config.balance_dev else ("train",)
         rows = undersample_splits(rows, key, TARGET, strategy, config.seed + 1, "split", parts)
     # Written once, read by every model of the sweep.
@@ -155,7 +148,15 @@ def train(df: DataFrame, config: TrainConfig, output: str | None = None) -> Trai
         )
     else:
         sweep = sweep_tree(
-            train_rows, dev_rows, features, TARGET, config.tree_grid, config.measure, config.exact_tree, config.max_bins
+            train_rows,
+            dev_rows,
+            features,
+            TARGET,
+            config.tree_grid,
+            config.measure,
+            config.exact_tree,
+            config.max_bins,
+            classes,
         )
     models = build_models(sweep, train_rows, prep, config)
     best = sweep.best.first()

@@ -31,6 +31,7 @@ def save_preparation(spark: SparkSession, prep: Preparation, folder: str) -> Non
         "dropped": prep.scaler.dropped if prep.scaler else (),
         "factor_sizes": prep.factorizer.sizes if prep.factorizer else None,
         "split": prep.split,
+        "text_imputer": prep.text_imputer.values if prep.text_imputer else None,
     }
     write_text(spark, json.dumps(state), f"{folder}/preparation")
     if prep.factorizer:
@@ -56,6 +57,7 @@ def load_preparation(spark: SparkSession, folder: str) -> Preparation:
         scaler=scaler,
         factorizer=factorizer,
         split=d["split"],
+        text_imputer=Imputer(d["text_imputer"], d["split"]) if d["text_imputer"] is not None else None,
     )
 
 
@@ -74,7 +76,7 @@ def save_models(spark: SparkSession, models: Mapping[str, Model], best: str, fol
             states[name] = {"kind": "exact_tree", "tree": model.to_json()}
         else:
             model.model.write().overwrite().save(f"{folder}/mllib/{i}")
-            states[name] = {"kind": "mllib_tree", "features": model.features, "place": i}
+            states[name] = {"kind": "mllib_tree", "features": model.features, "classes": model.classes, "place": i}
     write_text(spark, json.dumps({"best": best, "models": states}), f"{folder}/models")
 
 
@@ -90,4 +92,4 @@ def load_model(spark: SparkSession, folder: str, name: str | None = None) -> Mod
         return KnnModel(train, tuple(d["features"]), d["label_map"], d["k"], d["weights"], d["p"])
     if d["kind"] == "exact_tree":
         return ExactTree.from_json(d["tree"])
-    return MllibTree(PipelineModel.load(f"{folder}/mllib/{d['place']}"), tuple(d["features"]))
+    return MllibTree(PipelineModel.load(f"{folder}/mllib/{d['place']}"), tuple(d["features"]), tuple(d["classes"]))

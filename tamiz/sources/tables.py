@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.functions.columns import as_double, quoted
+from tamiz.functions.columns import NUMBER, as_double, quoted
 from tamiz.session import materialise
 
 # Cell texts a CSV scan reads as missing (the documented defaults of pandas.read_csv).
@@ -44,15 +44,20 @@ def _infer(raw: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     for i, c in enumerate(columns):
         cell = quoted(c)
         aggs.append(F.count(cell).alias(f"n_{i}"))
-        aggs.append(F.count(F.when(cell.rlike(r"^\s*[-+]?[0-9]{1,18}\s*$"), 1)).alias(f"l_{i}"))
-        aggs.append(F.count(cell.try_cast("double")).alias(f"d_{i}"))
+        digits = cell.rlike(r"^\s*[-+]?[0-9]+\s*$")
+        aggs.append(F.count(F.when(digits, cell.try_cast("long"))).alias(f"l_{i}"))
+        aggs.append(F.count(F.when(digits, 1)).alias(f"i_{i}"))
+        aggs.append(F.count(F.when(cell.rlike(NUMBER), cell.try_cast("double"))).alias(f"d_{i}"))
         aggs.append(F.count(F.when(F.lower(cell).isin("true", "false"), 1)).alias(f"b_{i}"))
     r = raw.agg(*aggs).first()
     out = {}
     for i, c in enumerate(columns):
         n = r[f"n_{i}"]
-        if n == 0 or r[f"d_{i}"] == n:
-            out[c] = "long" if n and r[f"l_{i}"] == n else "double"
+        if n and r[f"i_{i}"] == n:
+            # Whole numbers beyond 64 bits stay text: a double would merge different ones.
+            out[c] = "long" if r[f"l_{i}"] == n else "string"
+        elif n == 0 or r[f"d_{i}"] == n:
+            out[c] = "double"
         else:
             out[c] = "boolean" if r[f"b_{i}"] == n else "string"
     return out
@@ -82,6 +87,8 @@ def read_csv(
     raw = scan.select(*[F.when(~quoted(c).isin(*na_tokens), quoted(c)).alias(c) for c in columns])
     if schema is None:
         schema = _infer(raw, columns)
+    if missing := [c for c in schema if c not in columns]:
+        raise ValueError(f"declared columns not in {path}: {missing}")
     return apply_schema(raw, {c: schema[c] for c in columns if c in schema})
 
 
