@@ -76,8 +76,8 @@ def as_double(column: Column, data_type: T.DataType, lenient: bool = False) -> C
         # A cast alone would also take the type suffixes of Java.
         number = F.when(column.rlike(NUMBER), column)
         if not lenient:
-            stop = F.raise_error(F.concat(F.lit("no number: "), column)).cast("string")
-            number = F.when(column.isNull(), None).when(column.rlike(NUMBER), column).otherwise(stop)
+            # Any other text is made one that the cast refuses.
+            number = F.when(column.rlike(NUMBER), column).otherwise(F.concat(F.lit("no number: "), column))
         column = F.trim(number)
     if lenient:
         return nan_to_null(column.try_cast("double"))

@@ -31,7 +31,7 @@ def running_totals(
         at_most = df.count()
     if at_most <= SMALL_ROWS:
         return _by_window(df, group, order, sums)
-    return _by_range(df, group, order, sums, -(-at_most // SMALL_ROWS))
+    return _by_range(df, group, order, sums, -(-at_most // max(1, SMALL_ROWS)))
 
 
 def _by_window(df: DataFrame, group: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:

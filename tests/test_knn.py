@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tamiz.functions.columns import feature_array
-from tamiz.functions.distances import by_ring, nearest_by_ring, nearest_in_block
+from tamiz.functions.distances import by_ring, nearest_by_ring, nearest_in_block, significant
 from tamiz.operators.knn import (
     KnnModel,
     SearchLimits,
@@ -31,7 +31,7 @@ def brute(train, queries, k, p):
         d = []
         for i, t, _ in train:
             step = np.abs(np.array(q) - np.array(t))
-            d.append((round(float(step.sum() if p == 1 else np.sqrt((step**2).sum())), 9), i))
+            d.append((float(significant(np.array([step.sum() if p == 1 else np.sqrt((step**2).sum())]))[0]), i))
         out[key] = sorted(d)[:k]
     return out
 
@@ -78,7 +78,7 @@ def test_block_search_equals_brute_force(data):
     q, t, d = nearest_in_block(np.array(queries), np.array(train), ids, k, p)
     for i, query in enumerate(queries):
         step = np.array(query) - np.array(train)
-        exact = np.round(np.abs(step).sum(axis=1) if p == 1 else np.sqrt((step**2).sum(axis=1)), 9)
+        exact = significant(np.abs(step).sum(axis=1) if p == 1 else np.sqrt((step**2).sum(axis=1)))
         expected = sorted(zip(exact, ids))[:k]
         assert [(a, ids[b]) for a, b in zip(d[q == i], t[q == i])] == expected
 
