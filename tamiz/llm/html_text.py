@@ -23,7 +23,9 @@ from tamiz.llm.common import append, unused
 
 # Labelled pages read for the weights, names whose weights are kept, and the range of a weight.
 FIT_PAGES, FIT_NAMES = 2000, 4096
-WORD_RANGE, TAG_RANGE, GENERIC_TAG = (-0.2, 2.0), (-1.0, -0.01), -0.25
+WORD_RANGE, TAG_RANGE, BOILERPLATE_WORD = (-0.2, 2.0), (-1.0, -0.01), -0.02
+# Weights of tags that mark text, that only group, and that no labelled page has shown.
+TEXT_TAG, GENERIC_TAG, UNKNOWN_TAG = -0.01, -0.1, -0.5
 
 # Elements that end a block, that hold no text of the page, that never have content.
 BLOCKS = frozenset(
@@ -31,6 +33,7 @@ BLOCKS = frozenset(
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre search section select "
     "summary table tbody td tfoot th thead title tr ul".split()
 )
+TEXT_TAGS = frozenset("b blockquote br cite code em h1 h2 h3 h4 h5 h6 i mark p pre q s small strong sub sup time u".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset(("article", "main"))
 GENERIC = frozenset("html body div section span article main".split())
@@ -176,12 +179,16 @@ class Weights:
 
     def of_block(self, block: Block) -> float:
         if block.boilerplate:
-            return WORD_RANGE[0]
+            # Left out in any case, so it hardly parts what stands around it.
+            return BOILERPLATE_WORD
         score = self.word + sum(self.names.get(n, 0.0) for n in block.names)
         return min(max(score, WORD_RANGE[0]), WORD_RANGE[1])
 
     def of_tag(self, tag: str) -> float:
-        return GENERIC_TAG if tag.lstrip("/") in GENERIC else self.tags.get(tag, -0.5)
+        name = tag.lstrip("/")
+        if name in GENERIC:
+            return GENERIC_TAG
+        return self.tags.get(tag, TEXT_TAG if name in TEXT_TAGS else UNKNOWN_TAG)
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
