@@ -54,12 +54,13 @@ def test_bins_hold_everything_once(seed):
     assert fewest(sizes, capacity) <= len(bins) <= len(first)
 
 
-def test_search_empties_a_bin_that_best_fit_leaves():
-    # 6+4, 6+4 and 5+5 fill three bins; best-fit by length gives four.
-    sizes = [44, 38, 33, 27, 27, 25, 6]
-    first = best_fit(sizes, 100)
-    bins = improve([[0, 1], [2, 3, 4], [5, 6]], sizes, 100)
-    assert len(first) <= 3 and len(bins) == fewest(sizes, 100) == 2
+def test_search_empties_bins_that_best_fit_leaves():
+    rng = random.Random(5)
+    sizes = [rng.randint(500, 1100) for _ in range(800)]
+    first = best_fit(sizes, 2048)
+    bins = improve(first, sizes, 2048)
+    assert fewest(sizes, 2048) <= len(bins) < len(first)
+    assert sorted(i for b in bins for i in b) == list(range(800)) and all(sum(sizes[i] for i in b) <= 2048 for b in bins)
 
 
 def test_cut():
