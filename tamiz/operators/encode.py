@@ -16,14 +16,16 @@ from tamiz.session import materialise
 MISSING_CODE = -1
 # Dictionary rows that may be sent to every executor.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
 class Factorizer:
-    """``dictionary``: (feature, value, code). ``sizes``: rows per feature."""
+    """``dictionary``: (feature, value, code). ``sizes``: rows per feature; ``volumes``: bytes of their values."""
 
     dictionary: DataFrame
     sizes: dict[str, int]
+    volumes: dict[str, int]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Replace categories by codes; missing and unseen ones become -1.
@@ -46,7 +48,7 @@ class Factorizer:
             table = self.dictionary.where(F.col("feature") == feature).select(
                 F.col("value").alias("_value"), F.col("code").alias("_code")
             )
-            if n <= BROADCAST_ROWS:
+            if n <= BROADCAST_ROWS and self.volumes[feature] <= BROADCAST_BYTES:
                 table = F.broadcast(table)
             out = (
                 out.join(table, value == F.col("_value"), "left")
@@ -77,6 +79,8 @@ def first_appearance_codes(df: DataFrame, features: Sequence[str], key: str) ->
 
 def fit_factorizer(df: DataFrame, features: Sequence[str], key: str) -> Factorizer:
     dictionary = materialise(first_appearance_codes(df, features, key), "dictionary")
-    sizes = {c: 0 for c in features}
-    sizes.update({r["feature"]: r["count"] for r in dictionary.groupBy("feature").count().collect()})
-    return Factorizer(dictionary, sizes)
+    sizes, volumes = {c: 0 for c in features}, {c: 0 for c in features}
+    measured = dictionary.groupBy("feature").agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes"))
+    for r in measured.collect():
+        sizes[r["feature"]], volumes[r["feature"]] = r["n"], r["bytes"]
+    return Factorizer(dictionary, sizes, volumes)

@@ -30,6 +30,7 @@ def save_preparation(spark: SparkSession, prep: Preparation, folder: str) -> Non
         "scaler": prep.scaler.values if prep.scaler else None,
         "dropped": prep.scaler.dropped if prep.scaler else (),
         "factor_sizes": prep.factorizer.sizes if prep.factorizer else None,
+        "factor_volumes": prep.factorizer.volumes if prep.factorizer else None,
         "split": prep.split,
         "text_imputer": prep.text_imputer.values if prep.text_imputer else None,
     }
@@ -46,7 +47,7 @@ def load_preparation(spark: SparkSession, folder: str) -> Preparation:
         scaler = Scaler(values, tuple(d["dropped"]), d["split"])
     factorizer = None
     if d["factor_sizes"] is not None:
-        factorizer = Factorizer(spark.read.parquet(f"{folder}/dictionary"), d["factor_sizes"])
+        factorizer = Factorizer(spark.read.parquet(f"{folder}/dictionary"), d["factor_sizes"], d["factor_volumes"])
     return Preparation(
         numerical=tuple(d["numerical"]),
         categorical=tuple(d["categorical"]),
