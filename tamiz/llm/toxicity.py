@@ -29,6 +29,9 @@ FIT_ROWS, LEXICON, TABLE = 30_000, 4096, 300_000
 ORDER, BUCKET_BITS = 4, 17
 PREFIXES = (4, 5, 6)
 
+# Log-odds of a text without evidence, where labels give none.
+NO_EVIDENCE = -2.0
+
 # What a sign may stand for.
 LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -306,7 +309,7 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learns from about ``fit_rows`` labelled keys at most, chosen by hash among those not held out; of repeated labels
     the highest counts. Three quarters of them give the lexicon, the others its scale. The character model counts
-    all texts. Without labels of both classes, scores are one half or the share of the one class."""
+    all texts. Without labels of both classes, or words that tell them apart, no text is taken for toxic."""
     counts = count_characters(docs, text)
     marks = labels.select(quoted(key).cast("long").alias("k"), quoted(label).cast("int").alias("toxic"))
     marks = marks.where(F.col("k").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("k")))
@@ -331,6 +334,8 @@ def fit_toxicity(
         strong = found.where((F.col("positive") >= 5) & (F.bit_count("contexts") >= 4)).withColumn("weight", low)
         strong = strong.where("weight >= 2").orderBy(F.desc("weight"), "feature").limit(lexicon_size)
         lexicon = {r["feature"]: r["weight"] for r in strong.select("feature", "weight").collect()}
+    if not lexicon:
+        return ToxicityModel(counts, {}, 0.0, NO_EVIDENCE)
     draft = context.broadcast(ToxicityModel(counts, lexicon, 1.0, 0.0))
     scaled = _evidence(sample.where("scale"), "t", draft, "e").groupBy("e", "toxic").agg(F.count("*").alias("n"))
     # One row per value of the evidence, of at most fit_rows.
@@ -342,7 +347,7 @@ def fit_toxicity(
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.1) -> tuple[float, float]:
     """Weighted logistic regression of one variable by Newton steps, with a small ridge."""
     if not len(x):
-        return 0.0, 0.0
+        return 1.0, NO_EVIDENCE
     design, w = np.stack([x, np.ones_like(x)], axis=1), np.zeros(2)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -35, 35)))

@@ -103,7 +103,7 @@ def test_without_labels_or_rows(spark):
     none = spark.createDataFrame([], LABELS)
     for labels in (none, spark.createDataFrame([(1, 1, 0)], LABELS)):
         out, score = with_toxicity(docs, fit_toxicity(docs, labels))
-        assert all(0 <= r[score] <= 1 for r in out.collect())
+        assert all(0 <= r[score] < 0.5 for r in out.collect())
     empty = docs.limit(0)
     out, score = with_toxicity(empty, fit_toxicity(empty, none))
     assert out.collect() == []
