@@ -1,5 +1,4 @@
 import datetime
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,10 +95,18 @@ class Session:
 def test_scratch_folder():
     assert scratch_dir(Session("yarn", "hdfs:///shared", "hdfs:///other")) == "hdfs:///shared"
     assert scratch_dir(Session("yarn", None, "hdfs:///other")) == "hdfs:///other"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_dir(Session("yarn"))
-    own = scratch_dir(Session("local[2]"))
-    assert os.path.isdir(own) and scratch_dir(Session("local[2]")) == own
+
+
+def test_scratch_folder_without_setting_is_below_the_warehouse(spark):
+    class Unset:
+        sparkContext = Session("yarn").sparkContext
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return {"spark.sql.warehouse.dir": "hdfs:///warehouse/"}.get(name, default)
+
+    assert scratch_dir(Unset()) == "hdfs:///warehouse/_scratch"
 
 
 def test_stored_table_forgets_its_origin(rows):
