@@ -112,7 +112,7 @@ def test_scratch_folder_without_setting_is_below_the_warehouse(spark):
 def test_stored_table_forgets_its_origin(rows):
     df = materialise(rows("x int, p string", [(1, "a"), (2, "b")]), "table", partition_by="p")
     assert collected(df, "x") == [(1, "a"), (2, "b")] and len(df.inputFiles()) == 2
-    assert df.inputFiles()[0].split("://")[-1].lstrip("/").startswith(scratch_dir(df.sparkSession).lstrip("/"))
+    assert df.inputFiles()[0].split("://")[-1].lstrip("/").startswith(scratch_dir(df.sparkSession).split("://")[-1].lstrip("/"))
 
 
 def flowers(rows, n=150):
