@@ -552,6 +552,20 @@ def tree_sweep_report(spark, folder):
     return report_columns(sweep.report)
 
 
+def tree_mllib_predict_prices(spark, folder):
+    """Prices as they are: more values than bins."""
+    train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
+    tree = fit_mllib_tree(train_rows, list(PART_FEATURES), "label", max_depth=5)
+    return tree.transform(dev_rows).select("p_partkey", "label", "predicted_value")
+
+
+def tree_sweep_report_prices(spark, folder):
+    """The default grid of binned trees on prices as they are."""
+    train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
+    sweep = sweep_tree(train_rows, dev_rows, list(PART_FEATURES), "label", TreeGrid(), exact=False)
+    return report_columns(sweep.report)
+
+
 def tree_exact_sweep_report(spark, folder):
     train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
     grid = TreeGrid((1, 2), (1, 2))
@@ -704,6 +718,12 @@ def training_job_best_tree(spark, folder):
     return rounded(done.sweep.best, "value")
 
 
+def training_job_best_tree_gaps(spark, folder):
+    """The job of binned trees on parts: gaps are filled, prices have more values than bins."""
+    config = part_config(algorithm="DecisionTree", exact_tree=False, measure="macro f1-score")
+    return rounded(train(parts_with_gaps(spark, folder), config).sweep.best, "value")
+
+
 def training_job_tree_report(spark, folder):
     """The whole tree job as it is by default: exact trees of the default grid."""
     config = replace(part_config(algorithm="DecisionTree"), label_map=ORDER_STATES)
@@ -837,6 +857,8 @@ QUERIES: dict[str, Query] = {
     "tree_exact_predict": tree_exact_predict,
     "tree_mllib_predict": tree_mllib_predict,
     "tree_sweep_report": tree_sweep_report,
+    "tree_mllib_predict_prices": tree_mllib_predict_prices,
+    "tree_sweep_report_prices": tree_sweep_report_prices,
     "tree_exact_sweep_report": tree_exact_sweep_report,
     "model_goodness": model_goodness,
     "scored_dataset": scored_dataset,
@@ -847,4 +869,5 @@ QUERIES: dict[str, Query] = {
     "training_job_report": training_job_report,
     "training_job_per_split": training_job_per_split,
     "training_job_best_tree": training_job_best_tree,
+    "training_job_best_tree_gaps": training_job_best_tree_gaps,
 }
