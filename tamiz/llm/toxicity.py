@@ -42,10 +42,15 @@ LOOKALIKES = {
 SWAPPED, STRAY, REPEATED, SPACED, BLANK = -1.0, -7.0, -0.7, -0.1, -4.0
 
 SEPARATORS = " .-_*"
-SPACED_RUN = re.compile(r"(?<![^\W_])[^\W_](?:[ .*_-]{1,2}[^\W_](?![^\W_])){2,}")
 LETTER_SIGNS = "$@€£"
+# Members of a spaced run are letters, digits and signs that may stand for a letter, but for those that separate; the
+# last is no punctuation.
+_SIGNS = re.escape("".join(c for c in LOOKALIKES if not c.isalnum() and c not in SEPARATORS))
+_MEMBER, _LAST = rf"(?:[^\W_]|[{_SIGNS}])(?![^\W_])", rf"(?:[^\W_]|[{LETTER_SIGNS}])(?![^\W_])"
+SPACED_RUN = re.compile(rf"(?<![^\W_]){_MEMBER}(?:[ .*_-]{{1,2}}{_MEMBER})+[ .*_-]{{1,2}}{_LAST}")
 TOKEN_SIGNS = "".join(LOOKALIKES) + "_"
 WORD = re.compile(r"[^\W\d_]+")
+DOUBLED = re.compile(r"(.)\1")
 MULTIPLIER = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
@@ -113,7 +118,8 @@ def lattice(token: str, spaced: bool) -> list[list[tuple[str, float]]]:
         if spaced and c in SEPARATORS:
             slots.append([("", SPACED), (" ", BLANK)])
         elif c.isalpha():
-            slots.append([(c * n, 0.0)] if n < 3 else [(c, REPEATED), (c * 2, REPEATED)])
+            # Twice may be meant; three times is not.
+            slots.append([(c, 0.0)] if n == 1 else [(c, REPEATED), (c * 2, 0.0 if n == 2 else REPEATED)])
         elif c in LOOKALIKES:
             options = [(letter * k, SWAPPED) for letter in LOOKALIKES[c] for k in {1, min(n, 2)}]
             slots.append([*options, ("", STRAY)])
@@ -139,44 +145,61 @@ def decode(token: str, model: CharacterModel, spaced: bool = False) -> str:
     return max((score + model.log(at, " "), read) for at, (score, read) in states.items())[1]
 
 
+class Readings(dict):
+    """Readings of words of letters only: a word without a repeated letter is its own."""
+
+    def __init__(self, model: CharacterModel) -> None:
+        self.model = model
+
+    def __missing__(self, word: str) -> str:
+        if len(self) >= TABLE:
+            self.clear()
+        read = decode(word, self.model) if word.isalpha() and DOUBLED.search(word) else word
+        self[word] = read
+        return read
+
+
 class Restorer:
     """Words of a text after deobfuscation; a worker keeps what it has decoded."""
 
     def __init__(self, model: CharacterModel) -> None:
         self.decode = lru_cache(maxsize=1 << 16)(lambda token, spaced: decode(token, model, spaced))
+        self.readings = Readings(model)
 
     def words(self, text: str | None) -> list[str]:
         if not text:
             return []
         text = text.lower()
-        spans = self.disguised(text)
+        spans, readings = self.disguised(text), self.readings
         if not spans:
-            return WORD.findall(text)
+            return [readings[w] for w in WORD.findall(text)]
         out, at = [], 0
         for start, end, spaced in spans:
-            out += WORD.findall(text[at:start])
+            out += [readings[w] for w in WORD.findall(text[at:start])]
             out += WORD.findall(self.decode(text[start:end], spaced))
             at = end
-        return out + WORD.findall(text[at:])
+        return out + [readings[w] for w in WORD.findall(text[at:])]
 
     @staticmethod
     def disguised(text: str) -> list[tuple[int, int, bool]]:
-        """(start, end, spaced) of tokens with more than one reading: a look-alike before a letter, a letter three
-        times over, or at least three letters spaced out."""
+        """(start, end, spaced) of tokens with a letter and a look-alike, wherever it stands, and of at least three
+        letters or look-alikes spaced out. Repeated letters alone are left to the readings of words."""
         points = code_points(text)
-        letter, alnum = LETTER[points], ALNUM[points]
+        letter, alnum, sign = LETTER[points], ALNUM[points], SIGN[points]
         spans: list[tuple[int, int, bool]] = []
-        alone = alnum & ~np.append(False, alnum[:-1]) & ~np.append(alnum[1:], False)
+        alone = (alnum | sign) & ~np.append(False, alnum[:-1]) & ~np.append(alnum[1:], False)
         near = np.flatnonzero(alone)
         if len(near) > 2 and (near[2:] - near[:-2] <= 6).any():
             spans = [(*m.span(), True) for m in SPACED_RUN.finditer(text)]
-        swapped = np.flatnonzero(SIGN[points[:-1]] & letter[1:])
-        same = points[1:] == points[:-1]
-        tripled = np.flatnonzero(same[1:] & same[:-1] & letter[2:])
-        taken = [s[:2] for s in spans]
+        # A token with a letter and a look-alike has a place where a look-alike meets what is none.
+        other = (alnum | (points == ord("_"))) & ~sign
+        meet = sign & (np.append(False, other[:-1]) | np.append(other[1:], False))
+        taken, run = spans.copy(), 0
         last = 0
-        for at in np.union1d(swapped, tripled).tolist():
-            if at < last or any(a <= at < b for a, b in taken):
+        for at in np.flatnonzero(meet).tolist():
+            while run < len(taken) and taken[run][1] <= at:
+                run += 1
+            if at < last or (run < len(taken) and taken[run][0] <= at):
                 continue
             start, end = at, at + 1
             while start > last and (alnum[start - 1] or text[start - 1] in TOKEN_SIGNS):
@@ -184,13 +207,12 @@ class Restorer:
             while end < len(text) and (alnum[end] or text[end] in TOKEN_SIGNS):
                 end += 1
             last = end
-            tail = end
-            while not alnum[tail - 1]:
-                tail -= 1
-            # Punctuation behind a token stands for nothing, but for one or two signs that are letters only.
-            if end - tail > 2 or any(c not in LETTER_SIGNS for c in text[tail:end]):
-                end = tail
-            if any(letter[start:end]) and not any(a < end and start < b for a, b in taken):
+            # Punctuation behind a token stands for nothing, but for signs that are letters only.
+            while end > start and not alnum[end - 1] and text[end - 1] not in LETTER_SIGNS:
+                end -= 1
+            if not letter[start:end].any() or not sign[start:end].any():
+                continue
+            if not (run < len(taken) and taken[run][0] < end) and not (run and taken[run - 1][1] > start):
                 spans.append((start, end, False))
         return sorted(spans)
 

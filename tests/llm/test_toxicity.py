@@ -118,3 +118,29 @@ def test_counts_cover_all_texts(spark):
             CharacterModel.count(f" {t.lower()} ", want)
     assert (count_characters(df, "text") == want).all()
     assert ToxicityModel(want, {}, 0.0, 0.0).counts is want
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("hell0 there", ["hello", "there"]),
+        ("garbag3!", ["garbage"]),
+        ("idi07", ["idiot"]),
+        ("you a55", ["you", "ass"]),
+        ("dumb@$$!!", ["dumbass"]),
+        ("stuupid, iidioott", ["stupid", "idiot"]),
+        ("t r @ s h", ["trash"]),
+        ("$ t u p i d house", ["stupid", "house"]),
+        ("s t u p i d! s t u p i d !", ["stupid", "stupid"]),
+        ("hello all good dogs", ["hello", "all", "good", "dogs"]),
+        ("2024 $5 100% no!!! *** a", ["no", "a"]),
+    ],
+)
+def test_every_token_of_several_readings_is_decoded(text, want):
+    model = model_of([" ".join([*BAD * 3, *["garbage", "ass", "dumbass", "hello", "all", "good", "dogs", "no"] * 3, *GOOD * 5])])
+    assert Restorer(model).words(text) == want
+
+
+def test_many_disguised_tokens_take_time_by_their_number():
+    words = Restorer(MODEL).words("m0r0n t r @ s h, " * 20_000)
+    assert words == ["moron", "trash"] * 20_000
