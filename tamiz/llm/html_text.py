@@ -11,7 +11,7 @@ import html
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -46,6 +46,10 @@ BOILERPLATE_NAMES = frozenset(
     "sidebar complementary contentinfo comment comments reply replies respond discussion disqus login signup search "
     "toc skip copyright legal disclaimer paywall trending".split()
 )
+# Elements that hold a page or its text: no class, id or role makes them boilerplate.
+WHOLE = frozenset("html body main article".split())
+# Words beside a name that tell of a state of the page ("no-sidebar", "comments-open"), not of what an element is.
+STATES = frozenset("no not non has have with without is hide show open opened closed enabled disabled on off active".split())
 # A header names boilerplate only outside an article.
 HEADERS = frozenset(("header", "topbar"))
 
@@ -67,6 +71,7 @@ class Block:
     names: frozenset[str]
     boilerplate: bool
     container: int  # number of the outermost article or main element; 0 outside
+    named: int = 0  # number of the outermost element that a class, id or role made boilerplate; 0 outside
     parts: list[str] = field(default_factory=list)
 
     def text(self) -> str:
@@ -79,6 +84,7 @@ class Element:
     names: frozenset[str]
     boilerplate: bool
     container: int
+    named: int = 0
 
 
 def _names(tag: str, attributes: str) -> tuple[set[str], bool]:
@@ -91,14 +97,21 @@ def _names(tag: str, attributes: str) -> tuple[set[str], bool]:
         elif kind == "style":
             hidden |= "display:none" in value.replace(" ", "")
         elif kind in ("class", "id", "role"):
-            names.update("." + w for w in re.findall(r"[^\W\d_]+", value))
+            for token in value.split():
+                words = re.findall(r"[^\W\d_]+", token)
+                if not STATES.isdisjoint(words):
+                    words = ["-".join(words)]
+                if tag in WHOLE:
+                    words = [w for w in words if w not in BOILERPLATE_NAMES and w not in HEADERS]
+                names.update("." + w for w in words)
     return names, hidden
 
 
-def read_page(page: str) -> Iterator[str | Block]:
-    """Tag names ("/name" for ends) and blocks of text in page order."""
+def read_page(page: str, spared: Set[int] = frozenset()) -> Iterator[str | Block]:
+    """Tag names ("/name" for ends) and blocks of text in page order. Elements are numbered by their start tags;
+    names do not make those ``spared`` boilerplate."""
     root = Element("", frozenset(), False, 0)
-    stack, containers = [root], 0
+    stack, containers, number = [root], 0, 0
     block: Block | None = None
     at = 0
 
@@ -114,7 +127,7 @@ def read_page(page: str) -> Iterator[str | Block]:
         if block is None:
             if not raw.strip():
                 return
-            block = Block(top.names, top.boilerplate, top.container)
+            block = Block(top.names, top.boilerplate, top.container, top.named)
         elif raw.strip():
             # A block is as good as the best place of its text.
             block.names = block.names & top.names if block.boilerplate == top.boilerplate else block.names
@@ -156,19 +169,42 @@ def read_page(page: str) -> Iterator[str | Block]:
             stack.pop()
         names, hidden = _names(tag, m[4] or "")
         top = stack[-1]
-        bad = hidden or tag in BOILERPLATE_TAGS or any(n[0] == "." and n[1:] in BOILERPLATE_NAMES for n in names)
-        if not top.container and (tag in HEADERS or any(n[1:] in HEADERS for n in names if n[0] == ".")):
-            bad = True
+        number += 1
+        classes = {n[1:] for n in names if n[0] == "."} if number not in spared else set()
+        bad = hidden or tag in BOILERPLATE_TAGS or (tag in HEADERS and not top.container)
+        named = top.named
+        if not bad and (classes & BOILERPLATE_NAMES or (not top.container and classes & HEADERS)):
+            bad, named = True, named or number
         container = top.container
         if tag in CONTAINERS and not container and not top.boilerplate and not bad:
             containers += 1
             container = containers
-        stack.append(Element(tag, top.names | names, top.boilerplate or bad, container))
+        stack.append(Element(tag, top.names | names, top.boilerplate or bad, container, named if not top.boilerplate or top.named else 0))
     if at < len(page):
         add(page[at:])
     yield from flush()
 
 
+def read_whole(page: str) -> list[str | Block]:
+    """Tags and blocks of a page. An element that holds most of its words is no boilerplate by its names, unless an
+    article or main element elsewhere has text."""
+    spared: set[int] = set()
+    while True:
+        tokens = list(read_page(page, spared))
+        blocks = [t for t in tokens if isinstance(t, Block)]
+        if any(b.container for b in blocks) or not any(b.boilerplate and b.named for b in blocks):
+            return tokens
+        words: Counter[int] = Counter()
+        for b in blocks:
+            words[b.named if b.boilerplate else 0] += len("".join(b.parts).split())
+        total = sum(words.values())
+        del words[0]
+        named, most = words.most_common(1)[0]
+        if 2 * most <= total:
+            return tokens
+        spared.add(named)
+
+
 @dataclass(frozen=True)
 class Weights:
     """Log-odds of the main text: a word's from the names it stands under, a tag's from its own name."""
@@ -207,7 +243,7 @@ def main_text(page: str | None, weights: Weights) -> str:
     """The blocks of the best region, or of the whole article element that most of it lies in."""
     if not page:
         return ""
-    tokens = list(read_page(page))
+    tokens = read_whole(page)
     texts = [t.text() if isinstance(t, Block) else "" for t in tokens]
     each = [weights.of_block(t) if isinstance(t, Block) else 0.0 for t in tokens]
     scores = [
@@ -234,7 +270,7 @@ def page_counts(page: str | None) -> Counter:
     """(kind, name, 1 inside the named article or 0 outside) with counts; empty for pages without such an element."""
     counts: Counter = Counter()
     inside, found = 0, False
-    for token in read_page(page or ""):
+    for token in read_whole(page or ""):
         if isinstance(token, Block):
             good = int(bool(token.container) and not token.boilerplate)
             n = len(token.text().split())

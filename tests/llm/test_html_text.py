@@ -77,3 +77,20 @@ def test_table(spark):
     assert got[7, "u"] == "title 7\ntext number 7\nmore of it" and got[90, "u"] == "" and got[91, None] == ""
     empty, column = extract_text(df.limit(0))
     assert empty.collect() == []
+
+
+STORY = "<h1>T</h1><p>one two three four five</p><p>six seven</p>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<html class="no-sidebar"><body class="search no-sidebar">{STORY}</body></html>',
+        f'<body><article class="post comments-open related">{STORY}</article></body>',
+        f'<body><div id="page" class="has-related">{STORY}</div></body>',
+        f'<body><div class="widget"><div class="share">{STORY}</div><div class="ad">buy now</div></div></body>',
+        f'<body><main id="search">{STORY}</main><div class="comments"><p>{"nice post " * 50}</p></div></body>',
+    ],
+)
+def test_names_do_not_condemn_the_whole_page(html):
+    assert main_text(html, PLAIN) == "T\none two three four five\nsix seven"
