@@ -240,7 +240,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, weights: Weights) -> str:
-    """The blocks of the best region, or of the whole article element that most of it lies in."""
+    """The blocks of the best region, and the others of the article element that most of it lies in."""
     if not page:
         return ""
     tokens = read_whole(page)
@@ -258,11 +258,12 @@ def main_text(page: str | None, weights: Weights) -> str:
     if held:
         container, most = held.most_common(1)[0]
         if container and 2 * most > sum(held.values()):
-            good = [
+            whole = {
                 i
                 for i, t in enumerate(tokens)
                 if isinstance(t, Block) and t.container == container and not t.boilerplate and texts[i]
-            ]
+            }
+            good = sorted(whole.union(good))
     return "\n".join(texts[i] for i in good)
 
 

@@ -94,3 +94,22 @@ STORY = "<h1>T</h1><p>one two three four five</p><p>six seven</p>"
 )
 def test_names_do_not_condemn_the_whole_page(html):
     assert main_text(html, PLAIN) == "T\none two three four five\nsix seven"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<body><article><p>one two three four five six</p></article><article><p>seven eight nine</p></article></body>",
+        "<body><p>one two three four</p><article><p>five six seven eight nine ten</p></article></body>",
+    ],
+)
+def test_region_beyond_one_article(html):
+    """The article element with most of the region does not cut off the rest of it."""
+    words = "one two three four five six seven eight nine ten".split()
+    assert main_text(html, PLAIN).split() == [w for w in words if w in html]
+
+
+def test_article_extends_the_region():
+    """A short block of the article behind a gap of many tags."""
+    gap = "<div><hr></div>" * 30
+    assert main_text(f"<article><p>one two three four five</p>{gap}<p>end</p></article>", PLAIN).split()[-1] == "end"
