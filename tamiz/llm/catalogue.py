@@ -12,6 +12,7 @@ from tamiz.llm.chat import format_chats
 from tamiz.llm.common import table
 from tamiz.llm.decontaminate import decontaminate
 from tamiz.llm.html_text import extract_text
+from tamiz.llm.lines import drop_repeated_lines
 from tamiz.llm.maxscore import top_k
 from tamiz.llm.pack import pack_documents
 from tamiz.llm.pii import KINDS, pseudonymised_spans
@@ -94,8 +95,15 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, lines = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", f"{lines}.n_lines", f"{lines}.n_dropped", F.sha2(F.col(f"{lines}.kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_main_text, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k)
+    f.__name__: f for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_main_text, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k, op13_line_dedup)
 }
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -184,9 +192,34 @@ SELECT conv_id, CAST(i // 256 AS INTEGER) AS part, n AS n_turns,
 FROM line GROUP BY conv_id, i // 256, n
 """
 
+OP13 = """
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+line AS (SELECT r, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM doc),
+named AS (
+  SELECT r, doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM line
+),
+often AS (
+  SELECT k, max(doc_id) AS top FROM named WHERE len(k) >= 20
+  GROUP BY k HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 3
+),
+marked AS (
+  SELECT r, i, line, often.k IS NOT NULL AND (doc_id IS NULL OR doc_id < top) AS gone FROM named LEFT JOIN often USING (k)
+),
+kept AS (
+  SELECT r, count(*) AS n_lines, count_if(gone) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS kept
+  FROM marked GROUP BY r
+)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(kept) AS kept_sha256
+FROM doc JOIN kept USING (r)
+"""
+
 LLM_ORACLES: dict[str, str] = {
     "op1_decontaminate": OP1,
     "op2_substrings": OP2,
     "op6_chat_format": OP6,
     "op10_top_k": OP10,
+    "op13_line_dedup": OP13,
 }
