@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.llm.chat import format_chats
+from tamiz.llm.codes import train_codes, with_label_errors
 from tamiz.llm.common import table
 from tamiz.llm.decontaminate import decontaminate
 from tamiz.llm.html_text import extract_text
@@ -17,6 +18,7 @@ from tamiz.llm.maxscore import top_k
 from tamiz.llm.pack import pack_documents
 from tamiz.llm.pii import KINDS, pseudonymised_spans
 from tamiz.llm.simhash import near_duplicates
+from tamiz.llm.spelling import spelling_groups
 from tamiz.llm.substrings import deduplicate
 from tamiz.llm.tokens import count_tokens
 from tamiz.llm.toxicity import fit_toxicity, held_out, with_toxicity
@@ -95,6 +97,17 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = train_codes(table(spark, sf_dir, "embeddings"))
+    return with_label_errors(codes).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"), slip_every=97)
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, lines = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -103,7 +116,7 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_main_text, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k, op13_line_dedup)
+    f.__name__: f for f in (op1_decontaminate, op2_substrings, op3_toxicity, op4_main_text, op5_token_counts, op6_chat_format, op7_pii, op8_pack, op9_simhash, op10_top_k, op11_vector_codes, op12_spelling, op13_line_dedup)
 }
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -192,6 +205,55 @@ SELECT conv_id, CAST(i // 256 AS INTEGER) AS part, n AS n_turns,
 FROM line GROUP BY conv_id, i // 256, n
 """
 
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Lloyd rounds as chained tables: c<n> are the entries after n rounds, a<n> what is nearest to them."""
+    parts = [
+        """
+v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, len(embedding) // 8 AS width,
+    list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+x AS (
+  SELECT r, (i - 1) // width AS p, (i - 1) % width AS i, x
+  FROM (SELECT r, width, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM v)
+),
+c0 AS (
+  SELECT p, k, i, x AS c
+  FROM x JOIN (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS k FROM v ORDER BY k LIMIT 16) USING (r)
+)"""
+    ]
+    for n in range(rounds + 1):
+        parts.append(
+            f"""
+a{n} AS (
+  SELECT r, p, min(16 * d + k) % 16 AS k, min(16 * d + k) // 16 AS d
+  FROM (SELECT r, x.p, k, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM x JOIN c{n} AS c ON x.p = c.p AND x.i = c.i GROUP BY r, x.p, k)
+  GROUP BY r, p
+)"""
+        )
+        if n < rounds:
+            parts.append(
+                f"""
+c{n + 1} AS (
+  SELECT c.p, c.k, c.i, coalesce((s - ((s % m + m) % m)) // m, c) AS c
+  FROM c{n} AS c LEFT JOIN (
+    SELECT x.p, k, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS m FROM x JOIN a{n} AS a ON x.r = a.r AND x.p = a.p GROUP BY ALL
+  ) AS m ON c.p = m.p AND c.k = m.k AND c.i = m.i
+)"""
+            )
+    return f"""
+WITH {",".join(parts)},
+code AS (SELECT r, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  sha256((SELECT string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, k, i) FROM c{rounds})) AS codebooks_sha256
+FROM v JOIN code USING (r)
+"""
+
+
 OP13 = """
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 line AS (SELECT r, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM doc),
@@ -221,5 +283,6 @@ LLM_ORACLES: dict[str, str] = {
     "op2_substrings": OP2,
     "op6_chat_format": OP6,
     "op10_top_k": OP10,
+    "op11_vector_codes": _codes_sql(),
     "op13_line_dedup": OP13,
 }

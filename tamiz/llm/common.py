@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tamiz.functions.columns import quoted
+from tamiz.session import scratch_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,3 +64,33 @@ def row_hash(df: DataFrame) -> Column:
     """A 64-bit hash of all columns of a row."""
     maps = [f.name for f in df.schema if isinstance(f.dataType, T.MapType)]
     return F.xxhash64(*[F.to_json(quoted(c)) if c in maps else quoted(c) for c in df.columns])
+
+
+class ScratchTables:
+    """Tables of a database of its own in the shared scratch folder, each dropped with its files when it is done."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.database = spark, f"scratch_{uuid.uuid4().hex}"
+        self.frames: list[DataFrame] = []
+        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{scratch_path(spark, 'tables')}'")
+
+    def store(self, df: DataFrame, buckets: int = 0, by: Sequence[str] = ()) -> DataFrame:
+        """``df`` written and read again, with ``buckets`` sorted in them by the columns ``by``."""
+        name = f"{self.database}.t{len(self.frames)}"
+        writer = df.write.bucketBy(buckets, *by).sortBy(*by) if buckets else df.write
+        writer.saveAsTable(name)
+        self.frames.append(self.spark.table(name))
+        return self.frames[-1]
+
+    def replace(self, old: DataFrame, df: DataFrame) -> DataFrame:
+        """Stores ``df`` and drops ``old``, a table that it was made from."""
+        found = self.store(df)
+        self.remove(old)
+        return found
+
+    def remove(self, table: DataFrame) -> None:
+        at = next(i for i, f in enumerate(self.frames) if f is table)
+        self.spark.sql(f"DROP TABLE {self.database}.t{at}")
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP DATABASE {self.database} CASCADE")

@@ -11,8 +11,6 @@ Lines are told apart by 128 bits: two hashes of 64 bits, the second seeded by th
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.functions.columns import quoted
-from tamiz.llm.common import append, unused
-from tamiz.session import materialise, scratch_path
+from tamiz.llm.common import ScratchTables, append, unused
+from tamiz.session import materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \t\n\x0b\x0c\r"
@@ -43,23 +41,17 @@ def line_hash(key: Column) -> Column:
 
 
 class LineRuns:
-    """Levelled runs (h1, h2, n, top) in a scratch database of its own. ``n`` is exact up to ``min_docs``; beyond it
-    a line that is hot in no batch may count fewer documents than it has."""
+    """Levelled runs (h1, h2, n, top). ``n`` is exact up to ``min_docs``; beyond it a line that is hot in no batch may
+    count fewer documents than it has."""
 
     def __init__(self, spark: SparkSession, min_docs: int, buckets: int | None = None) -> None:
         self.spark, self.min_docs = spark, min_docs
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.database = f"runs_{uuid.uuid4().hex}"
-        self.levels: dict[int, str] = {}
-        self.tables = 0
-        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{scratch_path(spark, 'runs')}'")
-
-    def _store(self, run: DataFrame) -> str:
-        self.tables += 1
-        name = f"{self.database}.run_{self.tables}"
-        writer = run.write.bucketBy(self.buckets, *HASHES).sortBy(*HASHES)
-        writer.saveAsTable(name)
-        return name
+        self.tables = ScratchTables(spark)
+        self.levels: dict[int, DataFrame] = {}
+
+    def _store(self, run: DataFrame) -> DataFrame:
+        return self.tables.store(run.sortWithinPartitions(*HASHES), self.buckets, HASHES)
 
     def add(self, entries: DataFrame, hot: int) -> None:
         """Adds the batch ``entries`` (h1, h2, doc), of smaller documents than all before. Lines of ``hot`` documents or
@@ -68,29 +60,20 @@ class LineRuns:
         # NULL ids are one document, below all others.
         run = distinct.groupBy(*HASHES).agg(F.count("*").alias("n"), F.max("doc").alias("top"))
         run = run.repartition(self.buckets, *HASHES)
-        for name in self.levels.values():
-            known = self.spark.table(name).where(F.col("n") >= self.min_docs).alias("k")
+        for level in self.levels.values():
+            known = level.where(F.col("n") >= self.min_docs).alias("k").hint("merge")
             same = [F.col(f"r.{h}") == F.col(f"k.{h}") for h in HASHES]
-            run = run.alias("r").join(known.hint("merge"), [*same, F.col("r.n") < hot], "left_anti")
-        self._settle(self._store(run.sortWithinPartitions(*HASHES)), 0)
+            run = run.alias("r").join(known, [*same, F.col("r.n") < hot], "left_anti")
+        self._settle(self._store(run), 0)
 
-    def _settle(self, name: str, level: int) -> None:
+    def _settle(self, run: DataFrame, level: int) -> None:
         while level in self.levels:
             other = self.levels.pop(level)
-            merged = self._store(self._merged(other, name))
-            for old in (other, name):
-                self.spark.sql(f"DROP TABLE {old}")
-            name, level = merged, level + 1
-        self.levels[level] = name
-
-    def _merged(self, left: str, right: str) -> DataFrame:
-        a, b = (self.spark.table(n).alias(x).hint("merge") for n, x in ((left, "a"), (right, "b")))
-        both = a.join(b, [F.col(f"a.{h}") == F.col(f"b.{h}") for h in HASHES], "full_outer")
-        return both.select(
-            *[F.coalesce(f"a.{h}", f"b.{h}").alias(h) for h in HASHES],
-            (F.coalesce("a.n", F.lit(0)) + F.coalesce("b.n", F.lit(0))).alias("n"),
-            F.greatest("a.top", "b.top").alias("top"),
-        ).sortWithinPartitions(*HASHES)
+            merged = self._store(merged_runs(other, run))
+            self.tables.remove(other)
+            self.tables.remove(run)
+            run, level = merged, level + 1
+        self.levels[level] = run
 
     def repeated(self) -> DataFrame:
         """(h1, h2, n, top) of the lines of at least ``min_docs`` documents; all runs become one."""
@@ -100,10 +83,20 @@ class LineRuns:
             self._settle(self.levels.pop(low), high)
         if not self.levels:
             return self.spark.createDataFrame([], "h1 long, h2 long, n long, top long")
-        return self.spark.table(*self.levels.values()).where(F.col("n") >= self.min_docs)
+        return next(iter(self.levels.values())).where(F.col("n") >= self.min_docs)
 
     def drop(self) -> None:
-        self.spark.sql(f"DROP DATABASE {self.database} CASCADE")
+        self.tables.drop()
+
+
+def merged_runs(left: DataFrame, right: DataFrame) -> DataFrame:
+    a, b = left.alias("a").hint("merge"), right.alias("b").hint("merge")
+    both = a.join(b, [F.col(f"a.{h}") == F.col(f"b.{h}") for h in HASHES], "full_outer")
+    return both.select(
+        *[F.coalesce(f"a.{h}", f"b.{h}").alias(h) for h in HASHES],
+        (F.coalesce("a.n", F.lit(0)) + F.coalesce("b.n", F.lit(0))).alias("n"),
+        F.greatest("a.top", "b.top").alias("top"),
+    )
 
 
 def line_entries(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tamiz.llm.lines import LineRuns, drop_repeated_lines
+from tamiz.llm.lines import LineRuns, drop_repeated_lines, merged_runs
 
 SPACE = " \t\n\x0b\x0c\r"
 LONG = "a line of more than twenty characters"
@@ -131,7 +131,7 @@ def test_levels_hold_one_run_each_and_old_tables_go(spark):
     for i in range(7):
         runs.add(entries(spark, [i], [100 - i]), 100)
     assert sorted(runs.levels) == [0, 1, 2]
-    assert spark.sql(f"SHOW TABLES IN {runs.database}").count() == 3
+    assert spark.sql(f"SHOW TABLES IN {runs.tables.database}").count() == 3
     runs.drop()
 
 
@@ -141,7 +141,7 @@ def test_neither_merges_nor_anti_joins_shuffle_a_run(spark):
     first = runs.levels[0]
     runs.levels.clear()
     runs.add(entries(spark, [2, 3], [8]), 100)
-    merged = runs._merged(first, runs.levels[0])
+    merged = merged_runs(first, runs.levels[0])
     assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
     runs.levels[1] = first
     runs.drop()
