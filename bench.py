@@ -28,6 +28,7 @@ HEADLINE = (
     "tree_exact_predict",
     "tree_mllib_predict",
     "tree_sweep_report",
+    "tree_binned_sweep_report",
     "tree_scored_stored",
     "score_labelled_report",
     "training_job_report",

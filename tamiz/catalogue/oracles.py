@@ -294,7 +294,7 @@ def scale(columns, source: str, where: str = "split = 'train'") -> str:
     )
 
 
-def prepared_job(per_split: bool, gaps: str, mapping=PART_TYPES) -> str:
+def prepared_job(per_split: bool, gaps: str, mapping=PART_TYPES, rescaled: bool = True) -> str:
     """CTEs to u: the parts with gaps, split, filled, rescaled and undersampled."""
     p = ", ".join(f"coalesce({c}, avg({c}) OVER (PARTITION BY split)) AS {c}" for c in PART_FEATURES)
     q = ", ".join(
@@ -303,6 +303,7 @@ def prepared_job(per_split: bool, gaps: str, mapping=PART_TYPES) -> str:
     )
     filled = p if per_split else fill(PART_FEATURES, "s")
     scaled = q if per_split else scale(PART_FEATURES, "f")
+    scaled = scaled if rescaled else ", ".join(PART_FEATURES)
     cut = "TRUE" if per_split else "split = 'train'"
     return f"""{gaps}, g AS (SELECT p_partkey, p_size, p_retailprice, {class_id('p_type', mapping)} AS label FROM gaps),
     {stratified('g', 'p_partkey', 'label', 's')},
@@ -485,8 +486,9 @@ ORACLES: dict[str, str] = {
     "knn_unscaled_epoch": vote_of_distance(EVENT_SPLIT, "event_id", ("ts", "user_id")),
     "knn_small_scale": vote_of_distance(TINY_SPLIT, "p_partkey", PART_FEATURES),
     "tree_exact_sweep_default": tree_sweep(*DEFAULT_TREES),
-    "tree_sweep_report": tree_sweep(*DEFAULT_TREES, ORDER_SPLIT, "s", ORDER_STATES),
-    "tree_mllib_predict": f"WITH {one_tree(ORDER_SPLIT, 5, ORDER_STATES)} SELECT p_partkey, label, predicted_value FROM d5 JOIN twin5 USING (node)",
+    "tree_sweep_report_orders": tree_sweep(*DEFAULT_TREES, ORDER_SPLIT, "s", ORDER_STATES),
+    "tree_binned_sweep_orders": tree_sweep(*DEFAULT_TREES, ORDER_SPLIT, "s", ORDER_STATES),
+    "tree_mllib_predict_orders": f"WITH {one_tree(ORDER_SPLIT, 5, ORDER_STATES)} SELECT p_partkey, label, predicted_value FROM d5 JOIN twin5 USING (node)",
     "tree_probabilities_absent_class": f"""WITH {TREE2} SELECT p_partkey, any_value(x.label) AS label,
         any_value(predicted_value) AS predicted_value,
         {', '.join(f'round(coalesce(sum(share) FILTER (l.label = {c}), 0), 6) AS "probability_of_value_{n}"' for n, c in MORE_TYPES.items())}
@@ -497,8 +499,13 @@ ORACLES: dict[str, str] = {
         LEFT JOIN tleaf3 l ON l.node = x.node AND l.label = c."of"), {auc('scores')}""",
     "tree_scored_stored": f"""WITH {one_tree(COARSE_SPLIT, 3)} SELECT model, p_partkey, CASE WHEN known THEN label END AS target, predicted_value
         FROM d3 JOIN twin3 USING (node), (SELECT unnest(['exact', 'mllib']) AS model), (SELECT unnest([true, false]) AS known)""",
-    "training_job_best_tree": f"{tree_sweep_report(*DEFAULT_TREES, ORDER_JOB, 'u', ORDER_STATES)} {BEST_TREE}",
-    "training_job_tree_report": tree_sweep(*DEFAULT_TREES, ORDER_JOB, "u", ORDER_STATES),
+    "training_job_best_tree_orders": f"{tree_sweep_report(*DEFAULT_TREES, ORDER_JOB, 'u', ORDER_STATES)} {BEST_TREE}",
+    "training_job_tree_report_orders": tree_sweep(*DEFAULT_TREES, ORDER_JOB, "u", ORDER_STATES),
+    "training_job_tree_report_raw": tree_sweep(*DEFAULT_TREES, prepared_job(False, PARTS_GAPS, rescaled=False), "u"),
+    "tree_binned_probabilities": f"""WITH {PARTS}, {tree('parts', 4, 1, 't')}, {leaves('t', 4)}
+        SELECT p_partkey, any_value(x.label) AS label, any_value(predicted_value) AS predicted_value,
+        {', '.join(f'round(coalesce(sum(share) FILTER (l.label = {c}), 0), 6) AS "probability_of_value_{n}"' for n, c in PART_TYPES.items())}
+        FROM t4 x JOIN twin4 USING (node) JOIN tleaf4 l USING (node) GROUP BY p_partkey""",
     "training_job_categorical": f"WITH {categorical_job()}",
     "score_refilled_dropped": refilled_dropped(),
     "scan_limit": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10000""",

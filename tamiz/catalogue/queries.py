@@ -33,7 +33,7 @@ from tamiz.operators.score import attach, restore_labels, spread_probabilities
 from tamiz.operators.split import random_split, stratified_split
 from tamiz.operators.statistics import exact_median, feature_statistics, mode
 from tamiz.operators.sweep import KnnGrid, TreeGrid, sweep_knn, sweep_tree
-from tamiz.operators.tree import best_splits, fit_exact_tree, fit_mllib_tree, split_candidates
+from tamiz.operators.tree import best_splits, fit_exact_tree, fit_mllib_tree, fit_trees, split_candidates
 from tamiz.plans.preparation import Preparation, fit_fill_and_scale
 from tamiz.plans.scoring import evaluate_model, score, score_stored
 from tamiz.plans.training import TrainConfig, train
@@ -540,26 +540,48 @@ def labelled_orders(spark, folder):
     return train_and_dev(stratified_split(materialise(mapped, "orders"), "p_partkey", "label"))
 
 
-def tree_mllib_predict(spark, folder):
+def tree_mllib_predict_orders(spark, folder):
     train_rows, dev_rows = labelled_orders(spark, folder)
     tree = fit_mllib_tree(train_rows, list(PART_FEATURES), "label", max_depth=5)
     return tree.transform(dev_rows).select("p_partkey", "label", "predicted_value")
 
 
-def tree_sweep_report(spark, folder):
+def tree_sweep_report_orders(spark, folder):
     train_rows, dev_rows = labelled_orders(spark, folder)
     sweep = sweep_tree(train_rows, dev_rows, list(PART_FEATURES), "label", TreeGrid(), exact=False)
     return report_columns(sweep.report)
 
 
-def tree_mllib_predict_prices(spark, folder):
+def tree_binned_sweep_orders(spark, folder):
+    """The default grid grown at once, where bins hold one value each."""
+    train_rows, dev_rows = labelled_orders(spark, folder)
+    sweep = sweep_tree(train_rows, dev_rows, list(PART_FEATURES), "label", TreeGrid(), method="binned")
+    return report_columns(sweep.report)
+
+
+def tree_binned_sweep_report(spark, folder):
+    """The default grid grown at once from 256 bins, on prices as they are."""
+    train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
+    sweep = sweep_tree(train_rows, dev_rows, list(PART_FEATURES), "label", TreeGrid(), method="binned")
+    return report_columns(sweep.report)
+
+
+def tree_binned_probabilities(spark, folder):
+    """Shares of unpruned leaves; the SQL is that of the exact tree, which it equals up to 4,096 prices."""
+    parts = stored_parts(spark, folder)
+    tree = fit_trees(parts, PART_FEATURES, "label", 4, (1,), exact=False, max_bins=4096)[1]
+    spread = spread_probabilities(tree.transform(parts), PART_TYPES).drop(*PART_FEATURES)
+    return rounded(spread, *[c for c in spread.columns if c.startswith("probability_")])
+
+
+def tree_mllib_predict(spark, folder):
     """Prices as they are: more values than bins."""
     train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
     tree = fit_mllib_tree(train_rows, list(PART_FEATURES), "label", max_depth=5)
     return tree.transform(dev_rows).select("p_partkey", "label", "predicted_value")
 
 
-def tree_sweep_report_prices(spark, folder):
+def tree_sweep_report(spark, folder):
     """The default grid of binned trees on prices as they are."""
     train_rows, dev_rows = train_and_dev(stratified_split(stored_parts(spark, folder), "p_partkey", "label"))
     sweep = sweep_tree(train_rows, dev_rows, list(PART_FEATURES), "label", TreeGrid(), exact=False)
@@ -712,20 +734,32 @@ def training_job_per_split(spark, folder):
     return report_columns(train(parts_with_gaps(spark, folder), config).sweep.report)
 
 
-def training_job_best_tree(spark, folder):
+def training_job_best_tree_orders(spark, folder):
     config = part_config(algorithm="DecisionTree", exact_tree=False, measure="macro f1-score")
     done = train(order_rows(spark, folder), replace(config, label_map=ORDER_STATES))
     return rounded(done.sweep.best, "value")
 
 
-def training_job_best_tree_gaps(spark, folder):
+def training_job_best_tree(spark, folder):
     """The job of binned trees on parts: gaps are filled, prices have more values than bins."""
     config = part_config(algorithm="DecisionTree", exact_tree=False, measure="macro f1-score")
     return rounded(train(parts_with_gaps(spark, folder), config).sweep.best, "value")
 
 
 def training_job_tree_report(spark, folder):
-    """The whole tree job as it is by default: exact trees of the default grid."""
+    """The whole tree job as it is by default, on parts with gaps: exact trees of the default grid."""
+    return report_columns(train(parts_with_gaps(spark, folder), part_config(algorithm="DecisionTree")).sweep.report)
+
+
+def training_job_tree_report_raw(spark, folder):
+    """The same without rescaling: a price of the dev rows in the middle between two of the training rows then lies on
+    the same side of the cut in every engine."""
+    config = part_config(algorithm="DecisionTree", rescale={})
+    return report_columns(train(parts_with_gaps(spark, folder), config).sweep.report)
+
+
+def training_job_tree_report_orders(spark, folder):
+    """The default job on rows of few values."""
     config = replace(part_config(algorithm="DecisionTree"), label_map=ORDER_STATES)
     return report_columns(train(order_rows(spark, folder), config).sweep.report)
 
@@ -857,8 +891,11 @@ QUERIES: dict[str, Query] = {
     "tree_exact_predict": tree_exact_predict,
     "tree_mllib_predict": tree_mllib_predict,
     "tree_sweep_report": tree_sweep_report,
-    "tree_mllib_predict_prices": tree_mllib_predict_prices,
-    "tree_sweep_report_prices": tree_sweep_report_prices,
+    "tree_mllib_predict_orders": tree_mllib_predict_orders,
+    "tree_sweep_report_orders": tree_sweep_report_orders,
+    "tree_binned_sweep_orders": tree_binned_sweep_orders,
+    "tree_binned_sweep_report": tree_binned_sweep_report,
+    "tree_binned_probabilities": tree_binned_probabilities,
     "tree_exact_sweep_report": tree_exact_sweep_report,
     "model_goodness": model_goodness,
     "scored_dataset": scored_dataset,
@@ -869,5 +906,7 @@ QUERIES: dict[str, Query] = {
     "training_job_report": training_job_report,
     "training_job_per_split": training_job_per_split,
     "training_job_best_tree": training_job_best_tree,
-    "training_job_best_tree_gaps": training_job_best_tree_gaps,
+    "training_job_best_tree_orders": training_job_best_tree_orders,
+    "training_job_tree_report_raw": training_job_tree_report_raw,
+    "training_job_tree_report_orders": training_job_tree_report_orders,
 }

@@ -14,10 +14,11 @@ from tamiz.functions.columns import TARGET, feature_array, quoted
 from tamiz.functions.labels import class_counts
 from tamiz.operators.evaluate import best_model, classification_report, confusion_matrix, goodness
 from tamiz.operators.knn import SearchLimits, nearest_neighbours, search_table, training_table, votes, winner
-from tamiz.operators.tree import ExactTree, MllibTree, fit_exact_tree, fit_mllib_tree, present
+from tamiz.operators.tree import ExactTree, MllibTree, fit_mllib_tree, fit_trees, present
 from tamiz.session import materialise
 
 FITS_AT_A_TIME = 3
+TREE_METHODS = ("exact", "binned", "mllib")
 
 
 @dataclass(frozen=True)
@@ -95,6 +96,14 @@ def sweep_knn(
     return _result(reduce(DataFrame.unionByName, parts), models, measure)
 
 
+def tree_method(method: str | None, exact: bool = True) -> str:
+    if method is None:
+        return "exact" if exact else "mllib"
+    if method not in TREE_METHODS:
+        raise ValueError(f"unknown trees '{method}', one of {TREE_METHODS}")
+    return method
+
+
 def sweep_tree(
     train: DataFrame,
     dev: DataFrame,
@@ -105,12 +114,18 @@ def sweep_tree(
     exact: bool = True,
     max_bins: int = 256,
     classes: Sequence[int] | None = None,
+    method: str | None = None,
 ) -> SweepResult:
-    """Trees of all depths and leaf sizes. An exact tree is grown once per leaf size, to the largest depth:
-    a shallower one is its top. MLlib trees are fitted apart, a few at a time, on the stored table."""
+    """Trees of all depths and leaf sizes. ``method``: "exact" and "binned" trees are grown once for all models, to the
+    largest depth, where a shallower one is the top; "mllib" trees are fitted apart, a few at a time, on the stored
+    table. Without it ``exact`` tells whether the trees are exact or of MLlib."""
+    method = tree_method(method, exact)
     names = grid.models()
-    if exact:
-        grown = {m: fit_exact_tree(train, features, label, max(grid.max_depth), m, classes=classes) for m in grid.min_leaf}
+    if method != "mllib":
+        grown = fit_trees(
+            train, features, label, max(grid.max_depth), grid.min_leaf, classes=classes,
+            exact=method == "exact", max_bins=max_bins if method == "binned" else None,
+        )
         models: dict[str, ExactTree | MllibTree] = {n: grown[m] for n, (_, m) in names.items()}
         vector = present(feature_array(features))
         predictions = {n: grown[m].predict(F.col("_x"), d) for n, (d, m) in names.items()}

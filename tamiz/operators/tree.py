@@ -1,8 +1,7 @@
-"""Decision trees: MLlib's binned tree for labels at any scale, and an exact CART grown level by level.
+"""Decision trees: CART grown level by level, exact or binned, and MLlib's binned tree.
 
 MLlib merges sibling leaves with equal prediction and never takes a split without gain, so its class
-probabilities differ from those of an unpruned tree. The exact tree has neither limit: each level is one
-aggregation of class counts per (node, feature, value).
+probabilities differ from those of an unpruned tree. The trees of ``growth`` have neither limit.
 """
 
 from __future__ import annotations
@@ -22,11 +21,10 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.columns import TARGET, feature_array, literal_array, quoted
 from tamiz.functions.labels import class_counts
-from tamiz.functions.running import SMALL_ROWS, running_totals
+from tamiz.functions.running import running_totals
 from tamiz.operators.balance import balanced_weights, with_class_weights
+from tamiz.operators.growth import DECIMALS, Grown, Growth
 
-# Impurities are compared at this many decimals, so that rounding noise decides no tie.
-DECIMALS = 9
 # Larger trees go to the executors as arrays instead of SQL text.
 LITERAL_NODES = 1024
 
@@ -217,14 +215,33 @@ def fit_exact_tree(
     balanced: bool = True,
     classes: Sequence[int] | None = None,
 ) -> ExactTree:
-    """Gini CART with the best split at every node; one job per level, one row per node on the driver.
+    """Gini CART with the best split at every node.
 
-    ``df`` is read once per level: hand in a stored table. A missing feature stops the job. ``classes``: all class
-    ids, also those without rows, which then have probability 0; by default those of the rows.
+    A missing feature stops the job. ``classes``: all class ids, also those without rows, which then have probability 0;
+    by default those of the rows.
     """
+    return fit_trees(df, features, label, max_depth, (min_leaf,), balanced, classes)[min_leaf]
+
+
+def fit_trees(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str = TARGET,
+    max_depth: int = 5,
+    leaf_sizes: Sequence[int] = (1,),
+    balanced: bool = True,
+    classes: Sequence[int] | None = None,
+    exact: bool = True,
+    max_bins: int | None = None,
+) -> dict[int, ExactTree]:
+    """A tree for each leaf size, all grown from the same passes over the rows. Not ``exact``: cut only between
+    ``max_bins`` bins a feature, which is the same where it has no more values. Exact trees do not depend on it."""
     if max_depth < 0:
         raise ValueError(f"max_depth is 0 or more, not {max_depth}")
-    rows = df.select(quoted(label).cast("long").alias("label"), present(feature_array(features)).alias("features"))
+    if max_bins is not None and max_bins < 2:
+        raise ValueError(f"max_bins is 2 or more, not {max_bins}")
+    labelled = df.where(quoted(label).isNotNull())
+    rows = labelled.select(quoted(label).cast("long").alias("label"), present(feature_array(features)).alias("features"))
     sizes = class_counts(rows, "label")
     if not sizes:
         raise ValueError("no rows to fit a tree on")
@@ -232,38 +249,31 @@ def fit_exact_tree(
         raise ValueError(f"labels that are no class: {sorted(unknown)}")
     by_class = balanced_weights(sizes) if balanced else {c: 1.0 for c in sizes}
     classes = sorted(sizes if classes is None else set(classes))
-    weights = [by_class.get(c, 1.0) for c in classes]
-    nodes = [Node(0, tuple(sizes.get(c, 0) for c in classes))]
-
-    def may_split(n: Node) -> bool:
-        return sum(1 for c in n.counts if c) > 1 and sum(n.counts) >= max(2, 2 * min_leaf)
-
-    active = [0] if may_split(nodes[0]) else []
-    for depth in range(max_depth):
-        if not active:
-            break
-        so_far = ExactTree(tuple(nodes), tuple(classes), tuple(weights), tuple(features))
-        flags = set(active)
-        placed = rows.withColumn("node", so_far.leaf(F.col("features")))
-        if len(nodes) <= LITERAL_NODES:
-            is_active = literal_array([int(i in flags) for i in range(len(nodes))], "int")
-            placed = placed.where(is_active[F.col("node")] == 1)
-        else:
-            growing = df.sparkSession.createDataFrame([(i,) for i in active], "node int")
-            placed = placed.join(F.broadcast(growing), "node", "left_semi")
-        active = []
-        n_cells = sum(sum(nodes[i].counts) for i in flags) * len(features)
-        bound = n_cells if n_cells <= SMALL_ROWS else None
-        found = best_splits(split_candidates(placed, classes, weights, min_leaf, bound)).collect()
-        for r in sorted(found, key=lambda r: r["node"]):
-            below = tuple(r[f"l_{i}"] for i in range(len(classes)))
-            above = tuple(r[f"t_{i}"] - b for i, b in enumerate(below))
-            left = len(nodes)
-            nodes += [Node(depth + 1, below), Node(depth + 1, above)]
-            parent = nodes[r["node"]]
-            nodes[r["node"]] = Node(parent.depth, parent.counts, r["feature"], r["threshold"], left, left + 1)
-            active += [i for i in (left, left + 1) if may_split(nodes[i])]
-    return ExactTree(tuple(nodes), tuple(classes), tuple(weights), tuple(features))
+    weights = tuple(by_class.get(c, 1.0) for c in classes)
+    counts, wanted = [sizes.get(c, 0) for c in classes], tuple(dict.fromkeys(leaf_sizes))
+    if not exact and max_bins is None:
+        max_bins = 256
+    grown = Growth(rows, classes, weights, counts, len(features), wanted, max_depth, max_bins, exact).run()
+    return {m: ExactTree(tuple(_level_by_level(grown, m)), tuple(classes), weights, tuple(features)) for m in wanted}
+
+
+def _level_by_level(grown: Grown, leaf_size: int) -> list[Node]:
+    """The nodes of one tree, numbered anew: level by level, left before right."""
+    splits = grown.splits[leaf_size]
+    order = [0]
+    for node in order:
+        if node in splits:
+            order += [splits[node].left, splits[node].right]
+    place = {node: i for i, node in enumerate(order)}
+    out = []
+    for node in order:
+        known = grown.nodes[node]
+        rest = ()
+        if node in splits:
+            s = splits[node]
+            rest = (s.feature, s.threshold, place[s.left], place[s.right])
+        out.append(Node(known.depth, tuple(known.counts.tolist()), *rest))
+    return out
 
 
 # ---------------------------------------------------------------- MLlib tree

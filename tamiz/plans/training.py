@@ -16,7 +16,7 @@ from tamiz.operators.knn import KnnModel, SearchLimits, training_table
 from tamiz.operators.missing import SCOPES, ImputeSpec, fit_imputer, impute_all
 from tamiz.operators.rescale import rescale_all
 from tamiz.operators.split import random_split, stratified_split
-from tamiz.operators.sweep import KnnGrid, SweepResult, TreeGrid, sweep_knn, sweep_tree
+from tamiz.operators.sweep import KnnGrid, SweepResult, TreeGrid, sweep_knn, sweep_tree, tree_method
 from tamiz.operators.tree import ExactTree
 from tamiz.plans.preparation import Preparation, fit_fill_and_scale
 from tamiz.session import materialise
@@ -52,6 +52,8 @@ class TrainConfig:
     tree_grid: TreeGrid = field(default_factory=TreeGrid)
     exact_tree: bool = True
     max_bins: int = 256
+    # "exact", "binned" or "mllib"; without it ``exact_tree`` tells exact trees from those of MLlib.
+    tree_method: str | None = None
     limits: SearchLimits = field(default_factory=SearchLimits)
 
     def __post_init__(self):
@@ -62,6 +64,7 @@ class TrainConfig:
         ):
             if value not in allowed:
                 raise ValueError(f"'{value}' is none of {allowed}")
+        tree_method(self.tree_method, self.exact_tree)
         if not self.roles.target:
             raise ValueError("training needs a target column")
         if not 0 < self.dev_size < 1:
@@ -157,6 +160,7 @@ def train(df: DataFrame, config: TrainConfig, output: str | None = None) -> Trai
             config.exact_tree,
             config.max_bins,
             classes,
+            config.tree_method,
         )
     models = build_models(sweep, train_rows, prep, config)
     best = sweep.best.first()

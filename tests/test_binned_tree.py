@@ -111,7 +111,7 @@ def test_prediction_on_more_prices_than_bins(spark, folder):
     assert len({y for _, y, _ in known}) > BINS
     tree = binned_tree(known, 5, 1)
     want = {r["p_partkey"]: predict(tree, (r[X], r[Y])) for r in dev_rows.collect()}
-    got = queries.QUERIES["tree_mllib_predict_prices"](spark, folder).collect()
+    got = queries.QUERIES["tree_mllib_predict"](spark, folder).collect()
     assert {r["p_partkey"]: r["predicted_value"] for r in got} == want
 
 
@@ -129,7 +129,7 @@ def test_sweep_on_more_prices_than_bins(spark, folder):
         made += [(name, c, predict(tree, (x, y))) for x, y, c in asked]
     df = spark.createDataFrame(made, "model string, label long, predicted_value long")
     want = queries.report_columns(classification_report(confusion_matrix(df, "label", by=["model"]), ["model"]))
-    got = queries.QUERIES["tree_sweep_report_prices"](spark, folder).collect()
+    got = queries.QUERIES["tree_sweep_report"](spark, folder).collect()
     assert {r["model"] for r in got} == set(TreeGrid().models())
     assert sorted(str(r) for r in got if r["model"] in shallow()) == sorted(map(str, want.collect()))
 
@@ -148,5 +148,5 @@ def test_job_fills_gaps_and_bins_prices(spark, folder):
     for name, (depth, leaf) in shallow().items():
         tree = binned_tree(known, depth, leaf)
         assert values[name] == round(best_f1([c for *_, c in asked], [predict(tree, r) for r in asked]), 6)
-    (best,) = queries.QUERIES["training_job_best_tree_gaps"](spark, folder).collect()
+    (best,) = queries.QUERIES["training_job_best_tree"](spark, folder).collect()
     assert best["value"] == max(values.values()) == values[best["name"]]

@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import tamiz.functions.running as running
-import tamiz.operators.tree as tree_module
 from tamiz.operators.sweep import KnnGrid, TreeGrid, sweep_knn, sweep_tree
 from tamiz.operators.tree import ExactTree, fit_exact_tree, fit_mllib_tree
 from tests.conftest import collected
@@ -51,7 +50,6 @@ def shares_of(node, x, weights, classes):
 @pytest.mark.parametrize("min_leaf", [1, 4])
 def test_exact_tree_equals_definition(rows, monkeypatch, small, min_leaf):
     monkeypatch.setattr(running, "SMALL_ROWS", small)
-    monkeypatch.setattr(tree_module, "SMALL_ROWS", small)
     data = [(i, float(i * 37 % 23), float(i * 11 % 19), (i * i + i // 7) % 3) for i in range(60)]
     df = rows(SCHEMA, data, 5)
     classes = [0, 1, 2]
