@@ -641,3 +641,6 @@ ORACLES: dict[str, str] = {
     "training_job_report": f"WITH {training_job(False)}",
     "training_job_per_split": f"WITH {training_job(True)}",
 }
+# The same rows found another way.
+ORACLES["knn_two_levels_distance_l2"] = ORACLES["knn_distance_l2"]
+ORACLES["score_unlabelled_index"] = ORACLES["score_unlabelled"]

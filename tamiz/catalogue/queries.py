@@ -57,6 +57,7 @@ EMBEDDING_CLASSES = list(range(10))
 ALWAYS_PARTITIONED = SearchLimits(
     direct_rows=0, cell_rows=256, wide_cell_rows=256, block_train=512, block_queries=256
 )
+TWO_LEVELS = SearchLimits(direct_rows=0, cell_rows=64, wide_cell_rows=64, flat_pivots=4)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -640,7 +641,7 @@ def tree_scored_stored(spark, folder):
 # ---------------------------------------------------------------- scoring and whole jobs
 
 
-def fitted_parts(spark, folder, label_map):
+def fitted_parts(spark, folder, label_map, limits=SearchLimits()):
     """A model on the training part of the parts, fitted and stored; the rows to score; and where it lies."""
     rows = map_labels(parts_with_gaps(spark, folder).drop("p_brand"), "p_type", label_map)
     rows = random_split(rows, "p_partkey")
@@ -651,7 +652,8 @@ def fitted_parts(spark, folder, label_map):
     )
     prep = Preparation(PART_FEATURES, (), label_map, "p_partkey", (), imputer, scaler)
     prepared = materialise(prep.transform(known), "prepared")
-    model = KnnModel(training_table(prepared, PART_FEATURES, "p_partkey"), PART_FEATURES, label_map, 5, "uniform", 2)
+    known = training_table(prepared, PART_FEATURES, "p_partkey")
+    model = KnnModel(known, PART_FEATURES, label_map, 5, "uniform", 2, limits)
     path = scratch_path(spark, "model")
     save_preparation(spark, prep, path)
     save_models(spark, {"KNN-k:5-p:2-w:uniform": model}, "KNN-k:5-p:2-w:uniform", path)
@@ -664,6 +666,13 @@ def score_unlabelled(spark, folder):
     return rounded(predictions, *[c for c in predictions.columns if c != "p_partkey" and c != "predicted_value"])
 
 
+def score_unlabelled_index(spark, folder):
+    """The same with an index of cells on two levels, stored with the model and loaded for scoring."""
+    rows, path = fitted_parts(spark, folder, PART_TYPES, TWO_LEVELS)
+    predictions = score_stored(spark, rows.drop("p_type"), path).predictions
+    return rounded(predictions, *[c for c in predictions.columns if c != "p_partkey" and c != "predicted_value"])
+
+
 def score_labelled(spark, folder):
     # PROMO has no class id: such rows are scored, but have no true class.
     rows, path = fitted_parts(spark, folder, FIVE_TYPES)
@@ -876,6 +885,7 @@ QUERIES: dict[str, Query] = {
     "knn_distance_l2": part_vote(PART_FEATURES, 5, 2, "distance"),
     "knn_distance_l1": part_vote(PART_FEATURES, 5, 1, "distance"),
     "knn_partitioned_distance_l2": part_vote(PART_FEATURES, 5, 2, "distance", ALWAYS_PARTITIONED),
+    "knn_two_levels_distance_l2": part_vote(PART_FEATURES, 5, 2, "distance", TWO_LEVELS),
     "knn_partitioned_distance_l1": part_vote(PART_FEATURES, 5, 1, "distance", ALWAYS_PARTITIONED),
     "knn_distance_ties": part_vote(("p_size",), 5, 2, "distance"),
     "knn_partitioned_ties": part_vote(("p_size",), 5, 1, "distance", ALWAYS_PARTITIONED),
@@ -900,6 +910,7 @@ QUERIES: dict[str, Query] = {
     "model_goodness": model_goodness,
     "scored_dataset": scored_dataset,
     "score_unlabelled": score_unlabelled,
+    "score_unlabelled_index": score_unlabelled_index,
     "score_labelled": score_labelled,
     "score_labelled_report": score_labelled_report,
     "score_refilled": score_refilled,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -95,9 +95,24 @@ def nearest_in_block(
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def ring_bound(to_pivot: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """[query, cell]: no row of a cell is nearer, by its smallest and largest distance to the pivot."""
+    return np.maximum(radius[:, 0] - to_pivot, to_pivot - radius[:, 1])
+
+
+def box_bound(queries: np.ndarray, low: np.ndarray, high: np.ndarray, p: int) -> np.ndarray:
+    """[query, cell]: the distance to each bounding box; without boxes 0."""
+    gap = np.zeros((len(queries), len(low)))
+    for j in range(low.shape[1]):
+        x = queries[:, j, None]
+        outside = np.maximum(np.maximum(low[:, j] - x, x - high[:, j]), 0.0)
+        gap += outside if p == 1 else outside * outside
+    return gap if p == 1 else np.sqrt(gap)
+
+
 @dataclass(frozen=True)
-class Cells:
-    """Pivots and per-cell summaries, at most ``max_pivots`` rows."""
+class Summary:
+    """What is known of the rows of some cells, in arrays over the cells."""
 
     pivots: np.ndarray
     counts: np.ndarray
@@ -106,42 +121,99 @@ class Cells:
     low: np.ndarray  # (cells, features): bounding boxes, without columns if there are none
     high: np.ndarray
 
+    def part(self, a: int, b: int) -> Summary:
+        return Summary(*(getattr(self, f.name)[a:b] for f in fields(self)))
+
+    def possible(self, queries: np.ndarray, reach: np.ndarray, p: int, home: int | None) -> np.ndarray:
+        """[query, cell]: whether the cell can hold a row within ``reach``. ``home``: a cell among these whose rows
+        would have gone to any of the others if its pivot were nearer."""
+        to_pivot = pair_distances(queries, self.pivots, p)
+        bound = np.maximum(ring_bound(to_pivot, self.radius), box_bound(queries, self.low, self.high, p))
+        if home is not None:
+            # A row of a cell is nearer to its own pivot than to the home pivot.
+            np.maximum(bound, (to_pivot - to_pivot[:, home, None]) / 2, out=bound)
+        # Differences of large distances are known to their last digits only.
+        return (bound - 1e-12 * to_pivot <= widened(reach)[:, None]) & (self.counts > 0)
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Two levels: rows belong to the nearest pivot of ``tops``, and among the cells of that top to the nearest pivot
+    of ``leaves``. Leaves are ordered by top: those of top t are ``starts[t]`` to ``starts[t + 1]``."""
+
+    tops: Summary
+    leaves: Summary
+    starts: np.ndarray
+
+    @property
+    def top_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+
+    def place(self, points: np.ndarray, p: int) -> tuple[np.ndarray, ...]:
+        """(cell, distance to its pivot, top, distance to its pivot) of each point."""
+        top, r_top = nearest_pivot(points, self.tops.pivots, p)
+        cell, r = np.empty(len(points), dtype=np.int64), np.empty(len(points))
+        for t, rows in _groups(top):
+            a, b = self.starts[t], self.starts[t + 1]
+            if b - a == 1:
+                cell[rows] = a
+                r[rows] = pair_distances(points[rows], self.leaves.pivots[a:b], p)[:, 0]
+            else:
+                near, r[rows] = nearest_pivot(points[rows], self.leaves.pivots[a:b], p)
+                cell[rows] = a + near
+        return cell, r, top, r_top
+
     def home(self, queries: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
-        """(cell of the nearest pivot, distance within which the k nearest rows lie) of each query."""
-        cell, reach = np.empty(len(queries), dtype=np.int64), np.empty(len(queries))
-        step = max(1, TILE // len(self.pivots))
+        """(cell, distance within which the k nearest rows lie) of each query."""
+        cell, _, top, _ = self.place(queries, p)
+        reach = np.empty(len(queries))
+        step = max(1, TILE // len(self.tops.pivots))
         for start in range(0, len(queries), step):
-            d = pair_distances(queries[start : start + step], self.pivots, p)
-            cell[start : start + step] = d.argmin(axis=1)
-            # Some cell holds k rows within this distance.
-            reach[start : start + step] = (d + self.kth).min(axis=1)
+            d = pair_distances(queries[start : start + step], self.tops.pivots, p)
+            # Some top holds k rows within this distance.
+            reach[start : start + step] = (d + self.tops.kth).min(axis=1)
+        for t, rows in _groups(top):
+            own = self.leaves.part(self.starts[t], self.starts[t + 1])
+            if len(own.pivots) > 1:
+                d = pair_distances(queries[rows], own.pivots, p)
+                reach[rows] = np.minimum(reach[rows], (d + own.kth).min(axis=1))
         return cell, reach
 
     def others(self, queries: np.ndarray, reach: np.ndarray, home: int, p: int) -> tuple[np.ndarray, np.ndarray]:
         """(query position, cell) pairs outside the home cell that can hold a row within ``reach``."""
         rows, cols = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
-        step = max(1, TILE // len(self.pivots))
+        home_top = int(np.searchsorted(self.starts, home, side="right")) - 1
+        step = max(1, TILE // len(self.tops.pivots))
         for start in range(0, len(queries), step):
-            r, c = np.nonzero(self._possible(queries[start : start + step], reach[start : start + step], home, p))
-            rows.append(r + start)
-            cols.append(c)
+            q, within = queries[start : start + step], reach[start : start + step]
+            tops = self.tops.possible(q, within, p, home_top)
+            for t in np.flatnonzero(tops.any(axis=0)).tolist():
+                a, b = int(self.starts[t]), int(self.starts[t + 1])
+                if b - a == 1 and t == home_top:
+                    continue
+                asking = np.flatnonzero(tops[:, t])
+                if b - a == 1:
+                    rows.append(asking + start)
+                    cols.append(np.full(len(asking), a))
+                    continue
+                own = self.leaves.part(a, b)
+                part = max(1, TILE // (b - a))
+                for low in range(0, len(asking), part):
+                    some = asking[low : low + part]
+                    near = own.possible(q[some], within[some], p, home - a if t == home_top else None)
+                    if t == home_top:
+                        near[:, home - a] = False
+                    r, c = np.nonzero(near)
+                    rows.append(some[r] + start)
+                    cols.append(c + a)
         return np.concatenate(rows), np.concatenate(cols)
 
-    def _possible(self, queries: np.ndarray, reach: np.ndarray, home: int, p: int) -> np.ndarray:
-        to_pivot = pair_distances(queries, self.pivots, p)
-        bound = np.maximum(self.radius[:, 0] - to_pivot, to_pivot - self.radius[:, 1])
-        # A row of a cell is nearer to its own pivot than to the home pivot.
-        np.maximum(bound, (to_pivot - to_pivot[:, home, None]) / 2, out=bound)
-        gap = np.zeros_like(bound)
-        for j in range(self.low.shape[1]):
-            x = queries[:, j, None]
-            outside = np.maximum(np.maximum(self.low[:, j] - x, x - self.high[:, j]), 0.0)
-            gap += outside if p == 1 else outside * outside
-        np.maximum(bound, gap if p == 1 else np.sqrt(gap), out=bound)
-        # Differences of large distances are known to their last digits only.
-        possible = (bound - 1e-12 * to_pivot <= widened(reach)[:, None]) & (self.counts > 0)
-        possible[:, home] = False
-        return possible
+
+def _groups(of: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(value, positions) of each value."""
+    order = np.argsort(of, kind="stable")
+    values, first = np.unique(of[order], return_index=True)
+    return list(zip(values.tolist(), np.split(order, first[1:]), strict=True)) if len(values) else []
 
 
 def widened(reach: np.ndarray) -> np.ndarray:

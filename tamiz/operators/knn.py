@@ -4,10 +4,8 @@ Neighbours are found in one of two ways with equal results:
 
 * A training matrix of checked size is sent to every executor; queries are answered where they lie,
   without a shuffle.
-* A larger training set is cut into cells around sampled pivots. A query first meets its own cell; with
-  the distance found there, triangle inequality and bounding boxes tell which other cells can hold a
-  nearer row, and only these (query, cell) pairs are shuffled. Cells and their queries are salted into
-  blocks of bounded size, each block returns k rows per query, and the k best of all blocks are kept.
+* A larger training set is indexed by cells (``cells``), which tell what a query need not meet. The index serves any
+  number of searches, and is stored with a model.
 
 Ties in distance go to the smaller training key; distances are compared at 12 significant digits, votes as shares.
 """
@@ -26,65 +24,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.functions import distances
 from tamiz.functions.columns import TARGET, feature_array, literal_array, quoted, unused_name
-from tamiz.functions.distances import RING_FEATURES, Cells, by_ring, matrix, nearest_by_ring, nearest_pivot
-from tamiz.functions.hashing import row_hash
+from tamiz.functions.distances import RING_FEATURES, by_ring, matrix, nearest_by_ring
+from tamiz.operators.cells import NEIGHBOURS, NeighbourIndex, SearchLimits, build_index, neighbour_lists
 from tamiz.session import materialise
 
-# The few functions that run in tasks travel with them: executors need no copy of this package.
-cloudpickle.register_pickle_by_value(distances)
+# The functions that run in tasks travel with them.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WEIGHTS = ("uniform", "distance")
 # Shares of a vote, which lie between 0 and 1, are compared at this many decimals.
 SHARE_DECIMALS = 9
-NEIGHBOURS = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("distance", T.DoubleType()),
-            T.StructField("train_id", T.LongType()),
-            T.StructField("label", T.LongType()),
-        ]
-    )
-)
-
-
-@dataclass(frozen=True)
-class SearchLimits:
-    """Sizes that decide how neighbours are found; none of them changes the result."""
-
-    # Largest training matrix sent to executors (rows, and cells of the matrix: 16 MB).
-    direct_rows: int = 65_536
-    direct_cells: int = 2_097_152
-    # Distance terms one task of the direct form should compute. Only this many queries are spread anew for
-    # it; more of them come in many input splits anyway.
-    task_work: float = 5e7
-    spread_rows: int = 20_000_000
-    # Largest number of tasks asked for.
-    tasks: int = 20_000
-    # Aimed rows per cell, and the largest number of pivots (pivots * features doubles are held per task).
-    cell_rows: int = 1_024
-    wide_cell_rows: int = 16_384
-    max_pivots: int = 2_048
-    max_pivot_cells: int = 2_097_152
-    # Cells have bounding boxes up to this many features.
-    boxed_features: int = 32
-    # Block size after salting, in rows and in cells of the matrix (32 MB).
-    block_train: int = 32_768
-    block_queries: int = 16_384
-    block_cells: int = 4_194_304
-
-
-def lists(n: int, rows: np.ndarray, values: pa.Array) -> pa.ListArray:
-    """One list per position 0 .. n-1 from values ordered by position."""
-    offsets = np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), values)
-
-
-def neighbour_lists(n: int, rows: np.ndarray, distance: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> pa.ListArray:
-    items = [pa.array(distance), pa.array(ids), pa.array(labels)]
-    return lists(n, rows, pa.StructArray.from_arrays(items, names=["distance", "train_id", "label"]))
 
 
 # ---------------------------------------------------------------- direct form
@@ -123,7 +73,7 @@ def _direct(train: DataFrame, queries: DataFrame, k: int, p: int, n_train: int,
     return queries.mapInArrow(search, schema)
 
 
-# ---------------------------------------------------------------- partitioned form
+# ---------------------------------------------------------------- neighbours
 
 
 def distinct_points(train: DataFrame, k: int) -> DataFrame:
@@ -135,192 +85,23 @@ def distinct_points(train: DataFrame, k: int) -> DataFrame:
     return train.withColumn("_r", F.row_number().over(same)).where(F.col("_r") <= k).drop("_r")
 
 
-def _choose_pivots(train: DataFrame, n: int, width: int, limits: SearchLimits) -> np.ndarray:
-    rows = limits.cell_rows if width <= 16 else limits.wide_cell_rows
-    most = min(limits.max_pivots, max(1, limits.max_pivot_cells // max(1, width)))
-    m = max(1, min(most, n // rows))
-    # A per-partition top-m by hash; m * width numbers reach the driver.
-    chosen = train.select("features", row_hash("train_id", 7).alias("h")).orderBy("h").limit(m).toArrow()
-    return np.unique(matrix(chosen["features"]), axis=0)
-
-
-def _build_cells(
-    train: DataFrame, pivots: np.ndarray, k: int, p: int, limits: SearchLimits
-) -> tuple[DataFrame, Cells]:
-    fields = [f for f in train.schema.fields]
-    schema = T.StructType([*fields, T.StructField("cell", T.IntegerType()), T.StructField("r", T.DoubleType())])
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cell, r = nearest_pivot(matrix(batch.column("features")), pivots, p)
-            columns = [*[batch.column(f.name) for f in fields], pa.array(cell.astype(np.int32)), pa.array(r)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*[f.name for f in fields], "cell", "r"])
-
-    placed = materialise(train.mapInArrow(assign, schema), "cells")
-    m, width = pivots.shape
-    # Boxes of many features exclude next to nothing, and would take two aggregates per feature.
-    boxed = range(width if width <= limits.boxed_features else 0)
-    summary = placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("r").alias("r0"),
-        F.max("r").alias("r1"),
-        *[F.min(F.col("features")[j]).alias(f"low_{j}") for j in boxed],
-        *[F.max(F.col("features")[j]).alias(f"high_{j}") for j in boxed],
-    )
-    near = Window.partitionBy("cell").orderBy("r")
-    kth = placed.select("cell", "r", F.row_number().over(near).alias("i")).where(F.col("i") <= k)
-    kth = kth.where(F.col("i") == k).select("cell", F.col("r").alias("kth"))
-
-    cells = Cells(
-        pivots,
-        np.zeros(m, dtype=np.int64),
-        np.zeros((m, 2)),
-        np.full(m, np.inf),
-        np.full((m, len(boxed)), -np.inf),
-        np.full((m, len(boxed)), np.inf),
-    )
-    for r in summary.collect():
-        c = r["cell"]
-        cells.counts[c] = r["n"]
-        cells.radius[c] = r["r0"], r["r1"]
-        cells.low[c] = [r[f"low_{j}"] for j in boxed]
-        cells.high[c] = [r[f"high_{j}"] for j in boxed]
-    for r in kth.collect():
-        cells.kth[r["cell"]] = r["kth"]
-    return placed, cells
-
-
-def _by_cell(
-    placed: DataFrame,
-    counts: np.ndarray,
-    asked: DataFrame,
-    key: str,
-    width: int,
-    search: Callable[[tuple, pa.Table, pa.Table], pa.Table],
-    schema: T.StructType,
-    limits: SearchLimits,
-) -> DataFrame:
-    """``search`` over blocks of a cell: its rows and its queries (key, features, reach, cell) are salted
-    apart, so that a cell of any size stays bounded. ``routes`` marks one block per query."""
-    n_asked = np.zeros(len(counts), dtype=np.int64)
-    for r in asked.groupBy("cell").count().collect():
-        n_asked[r["cell"]] = r["count"]
-    block_rows = max(1, limits.block_cells // width)
-    t_blocks = np.ceil(counts / min(limits.block_train, block_rows)).astype(int)
-    q_blocks = np.ceil(n_asked / min(limits.block_queries, block_rows)).astype(int)
-    t_of = literal_array(t_blocks.tolist(), "int")[F.col("cell")]
-    q_of = literal_array(q_blocks.tolist(), "int")[F.col("cell")]
-
-    def copies(blocks: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1))
-
-    left = (
-        placed.where(q_of > 0)
-        .withColumn("tb", F.pmod(F.xxhash64("train_id"), t_of))
-        .select("train_id", "label", "features", "r", "cell", "tb", copies(q_of).alias("qb"))
-    )
-    hashed = F.xxhash64(quoted(key))
-    right = (
-        asked.withColumn("qb", F.pmod(hashed, q_of))
-        .select(quoted(key), "features", "reach", "cell", copies(t_of).alias("tb"), "qb")
-        .withColumn("routes", F.col("tb") == F.pmod(hashed, t_of))
-    )
-    block = ["cell", "tb", "qb"]
-    # Blocks are much work and few bytes: partitions by distances to compute, not by bytes.
-    work = math.ceil(float((counts.astype(float) * n_asked).sum()) * width / limits.task_work)
-    least = 3 * placed.sparkSession.sparkContext.defaultParallelism
-    tasks = int(min(limits.tasks, max(1, (t_blocks * q_blocks).sum()), max(work, least)))
-    left, right = left.repartition(tasks, *block), right.repartition(tasks, *block)
-    return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(search, schema)
-
-
-def _partitioned(
-    train: DataFrame, queries: DataFrame, k: int, p: int, n: int, width: int, key: str, limits: SearchLimits
-) -> DataFrame:
-    """Two rounds. The cell a query falls into gives k near rows, and with them a tight bound; the second
-    round visits only the other cells that can hold a row within it."""
-    pivots = _choose_pivots(train, n, width, limits)
-    placed, cells = _build_cells(train, pivots, k, p, limits)
-    key_field, features_field = queries.schema[key], T.StructField("features", T.ArrayType(T.DoubleType()))
-    reach_field = T.StructField("reach", T.DoubleType())
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cell, reach = cells.home(matrix(batch.column("features")), p)
-            columns = [batch.column(key), batch.column("features"), pa.array(reach), pa.array(cell.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=[key, "features", "reach", "cell"])
-
-    def near_rows(block: tuple, rows: pa.Table, asked: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
-        """(query matrix, reach narrowed by the rows found, lists of neighbours)."""
-        q, t = matrix(asked["features"]), matrix(rows["features"])
-        r = rows["r"].to_numpy()
-        order = np.argsort(r, kind="stable")
-        ids = rows["train_id"].to_numpy().astype(np.int64)[order]
-        labels = rows["label"].to_numpy().astype(np.int64)[order]
-        reach = asked["reach"].to_numpy().copy()
-        pivot = pivots[block[0].as_py()]
-        i, j, d = nearest_by_ring(q, t[order], r[order], ids, pivot, k, p, reach)
-        full = np.flatnonzero(np.bincount(i, minlength=len(q)) == k)
-        last = np.searchsorted(i, full, side="right") - 1
-        reach[full] = np.minimum(reach[full], d[last])
-        return q, reach, neighbour_lists(len(q), i, d, ids[j], labels[j])
-
-    def first_round(block: tuple, rows: pa.Table, asked: pa.Table) -> pa.Table:
-        q, reach, found = near_rows(block, rows, asked)
-        i, c = cells.others(q, reach, block[0].as_py(), p)
-        # One block of the cell sends its queries on: the bound of any block is good enough.
-        sent = asked["routes"].to_numpy()[i]
-        return pa.table(
-            {
-                key: asked[key],
-                "features": asked["features"],
-                "reach": pa.array(reach),
-                "neighbours": found,
-                "cells": lists(len(q), i[sent], pa.array(c[sent].astype(np.int32))),
-            }
-        )
-
-    def second_round(block: tuple, rows: pa.Table, asked: pa.Table) -> pa.Table:
-        return pa.table({key: asked[key], "neighbours": near_rows(block, rows, asked)[2]})
-
-    points = queries.select(quoted(key), "features")
-    cell_field = T.StructField("cell", T.IntegerType())
-    homed = points.mapInArrow(place, T.StructType([key_field, queries.schema["features"], reach_field, cell_field]))
-    homed = materialise(homed, "homed")
-    found_field = T.StructField("neighbours", NEIGHBOURS)
-    cells_field = T.StructField("cells", T.ArrayType(T.IntegerType()))
-    schema = T.StructType([key_field, features_field, reach_field, found_field, cells_field])
-    first = _by_cell(placed, cells.counts, homed, key, width, first_round, schema, limits)
-    first = materialise(first, "first_round")
-    onward = first.select(quoted(key), "features", "reach", F.explode("cells").alias("cell"))
-    schema = T.StructType([key_field, found_field])
-    second = _by_cell(placed, cells.counts, onward, key, width, second_round, schema, limits)
-
-    found = first.select(quoted(key), "neighbours").unionByName(second)
-    rank = Window.partitionBy(quoted(key)).orderBy("n.distance", "n.train_id")
-    best = (
-        found.select(quoted(key), F.explode("neighbours").alias("n"))
-        .withColumn("_r", F.row_number().over(rank))
-        .where(F.col("_r") <= k)
-        .groupBy(quoted(key))
-        .agg(F.sort_array(F.collect_list("n")).alias("neighbours"))
-    )
-    return queries.drop("features").join(best, key, "left")
-
-
-# ---------------------------------------------------------------- neighbours
-
-
 @dataclass(frozen=True)
 class SearchTable:
-    """Training points for up to ``k`` neighbours. A table beyond the direct form is stored without the
-    copies that can be no neighbour."""
+    """Training points for up to ``k`` neighbours. A table beyond the direct form is without the copies that can be no
+    neighbour, and keeps an index for each distance once it has been asked."""
 
     points: DataFrame
     n: int
     width: int
     k: int
     direct: bool
+    limits: SearchLimits = field(default_factory=SearchLimits)
+    indexes: dict[int, NeighbourIndex] = field(default_factory=dict)
+
+    def index(self, p: int) -> NeighbourIndex:
+        if p not in self.indexes:
+            self.indexes[p] = build_index(self.points, self.n, self.width, self.k, p, self.limits)
+        return self.indexes[p]
 
 
 def search_table(train: DataFrame, k: int, limits: SearchLimits = SearchLimits()) -> SearchTable:
@@ -337,7 +118,7 @@ def search_table(train: DataFrame, k: int, limits: SearchLimits = SearchLimits()
     if not direct:
         train = materialise(distinct_points(train, k), "points")
         n, width, direct = size(train)
-    return SearchTable(train, n, width, k, direct)
+    return SearchTable(train, n, width, k, direct, limits)
 
 
 def nearest_neighbours(
@@ -363,7 +144,7 @@ def nearest_neighbours(
     number = unused_name(queries.columns, "query_number")
     # Stored, so that every later use sees the same numbers.
     numbered = materialise(queries.withColumn(number, F.monotonically_increasing_id()), "queries")
-    return _partitioned(table.points, numbered, k, p, table.n, table.width, number, limits).drop(number)
+    return table.index(p).search(numbered, k, number, limits).drop(number)
 
 
 # ---------------------------------------------------------------- vote
@@ -398,7 +179,8 @@ def shares(vote: Column) -> Column:
 
 @dataclass(frozen=True)
 class KnnModel:
-    """Training rows as a table, and the parameters of the vote."""
+    """Training rows as a table, and the parameters of the vote. ``table``: the rows as they are searched; without it
+    every search makes its own."""
 
     train: DataFrame
     features: tuple[str, ...]
@@ -407,6 +189,7 @@ class KnnModel:
     weights: str = "uniform"
     p: int = 2
     limits: SearchLimits = field(default_factory=SearchLimits)
+    table: SearchTable | None = None
 
     @property
     def classes(self) -> list[int]:
@@ -414,7 +197,7 @@ class KnnModel:
 
     def neighbours(self, df: DataFrame, key: str) -> DataFrame:
         asked = df.withColumn("features", feature_array(self.features))
-        return nearest_neighbours(self.train, asked, self.k, self.p, key, self.limits)
+        return nearest_neighbours(self.table or self.train, asked, self.k, self.p, key, self.limits)
 
     def transform(self, df: DataFrame, key: str) -> DataFrame:
         """``df`` with ``predicted_value`` and ``probabilities`` (in class id order)."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tamiz.functions.columns import TARGET, feature_array, quoted
 from tamiz.functions.labels import class_counts
 from tamiz.operators.evaluate import best_model, classification_report, confusion_matrix, goodness
-from tamiz.operators.knn import SearchLimits, nearest_neighbours, search_table, training_table, votes, winner
+from tamiz.operators.knn import SearchLimits, SearchTable, nearest_neighbours, search_table, training_table, votes, winner
 from tamiz.operators.tree import ExactTree, MllibTree, fit_mllib_tree, fit_trees, present
 from tamiz.session import materialise
 
@@ -46,11 +46,13 @@ class TreeGrid:
 
 @dataclass(frozen=True)
 class SweepResult:
-    """``report``: (model, row, precision, recall, f1_score, support). ``best``: one row (name, value)."""
+    """``report``: (model, row, precision, recall, f1_score, support). ``best``: one row (name, value). ``table``: the
+    training rows as neighbours were searched among them."""
 
     report: DataFrame
     best: DataFrame
     models: Mapping[str, object]
+    table: SearchTable | None = None
 
 
 def _model_confusion(scored: DataFrame, predictions: Mapping[str, Column], label: str) -> DataFrame:
@@ -93,7 +95,7 @@ def sweep_knn(
             if p_of == p
         }
         parts.append(_model_confusion(found, predictions, label))
-    return _result(reduce(DataFrame.unionByName, parts), models, measure)
+    return replace(_result(reduce(DataFrame.unionByName, parts), models, measure), table=table)
 
 
 def tree_method(method: str | None, exact: bool = True) -> str:

@@ -178,7 +178,7 @@ def build_models(
         table = training_table(train_rows, prep.features, config.roles.key, TARGET)
         labels = dict(prep.label_map)
         return {
-            name: KnnModel(table, prep.features, labels, k, weights, p, config.limits)
+            name: KnnModel(table, prep.features, labels, k, weights, p, config.limits, sweep.table)
             for name, (k, weights, p) in sweep.models.items()
         }
     depths = config.tree_grid.models()

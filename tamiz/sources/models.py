@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tamiz.operators.encode import Factorizer
-from tamiz.operators.knn import KnnModel
+from tamiz.operators.cells import NeighbourIndex
+from tamiz.operators.knn import KnnModel, SearchTable, search_table
 from tamiz.operators.missing import Imputer
 from tamiz.operators.rescale import Scaler
 from tamiz.operators.tree import ExactTree, MllibTree
@@ -63,12 +64,12 @@ def load_preparation(spark: SparkSession, folder: str) -> Preparation:
 
 
 def save_models(spark: SparkSession, models: Mapping[str, Model], best: str, folder: str) -> None:
-    """All models of a sweep. KNN models share their training rows, stored once as parquet; exact trees are
-    their nodes; MLlib trees store themselves. No row passes the driver."""
+    """All models of a sweep. KNN models share their training rows, stored once as parquet, and beyond the direct form
+    one index for each distance; exact trees are their nodes; MLlib trees store themselves. No row passes the driver."""
     states: dict[str, dict] = {}
-    shared = next((m for m in models.values() if isinstance(m, KnnModel)), None)
-    if shared is not None:
-        shared.train.write.mode("overwrite").parquet(f"{folder}/train")
+    nearest = [m for m in models.values() if isinstance(m, KnnModel)]
+    if nearest:
+        save_search(spark, nearest, folder)
     for i, (name, model) in enumerate(models.items()):
         if isinstance(model, KnnModel):
             state = {"kind": "knn", "features": model.features, "label_map": model.label_map}
@@ -81,6 +82,29 @@ def save_models(spark: SparkSession, models: Mapping[str, Model], best: str, fol
     write_text(spark, json.dumps({"best": best, "models": states}), f"{folder}/models")
 
 
+def save_search(spark: SparkSession, models: Sequence[KnnModel], folder: str) -> None:
+    """What neighbours are searched among, for models that share their training rows."""
+    shared = models[0]
+    shared.train.write.mode("overwrite").parquet(f"{folder}/train")
+    k = max(m.k for m in models)
+    table = shared.table if shared.table is not None and shared.table.k >= k else search_table(shared.train, k, shared.limits)
+    state = {"n": table.n, "width": table.width, "k": table.k, "direct": table.direct, "p": sorted({m.p for m in models})}
+    if not table.direct:
+        for p in state["p"]:
+            table.index(p).save(f"{folder}/index/{p}")
+    write_text(spark, json.dumps(state), f"{folder}/search")
+
+
+def load_search(spark: SparkSession, folder: str, p: int, train: DataFrame) -> SearchTable:
+    """Only what searches by the distance ``p`` need."""
+    d = json.loads(read_text(spark, f"{folder}/search"))
+    if d["direct"]:
+        return SearchTable(train, d["n"], d["width"], d["k"], True)
+    index = NeighbourIndex.load(spark, f"{folder}/index/{p}")
+    points = index.points.select("train_id", "features", "label")
+    return SearchTable(points, d["n"], d["width"], d["k"], False, indexes={p: index})
+
+
 def load_model(spark: SparkSession, folder: str, name: str | None = None) -> Model:
     """A stored model by name; the best one without a name."""
     stored = json.loads(read_text(spark, f"{folder}/models"))
@@ -90,7 +114,8 @@ def load_model(spark: SparkSession, folder: str, name: str | None = None) -> Mod
     d = stored["models"][name]
     if d["kind"] == "knn":
         train = spark.read.parquet(f"{folder}/train")
-        return KnnModel(train, tuple(d["features"]), d["label_map"], d["k"], d["weights"], d["p"])
+        table = load_search(spark, folder, d["p"], train)
+        return KnnModel(train, tuple(d["features"]), d["label_map"], d["k"], d["weights"], d["p"], table=table)
     if d["kind"] == "exact_tree":
         return ExactTree.from_json(d["tree"])
     return MllibTree(PipelineModel.load(f"{folder}/mllib/{d['place']}"), tuple(d["features"]), tuple(d["classes"]))

@@ -21,6 +21,8 @@ from tests.conftest import collected
 DIRECT = SearchLimits()
 # Forces the partitioned form, with several cells and several blocks per cell.
 CELLS = SearchLimits(direct_rows=0, cell_rows=40, wide_cell_rows=40, block_train=16, block_queries=8)
+# Pivots on two levels.
+LEVELS = SearchLimits(direct_rows=0, cell_rows=4, wide_cell_rows=4, flat_pivots=10, block_train=16, block_queries=8)
 ONE_CELL = SearchLimits(direct_rows=0, cell_rows=10**6, wide_cell_rows=10**6, block_train=50)
 
 
@@ -56,7 +58,7 @@ def points(seed, n, width, kind):
     return [row.tolist() for row in x]
 
 
-@pytest.mark.parametrize("limits", [DIRECT, CELLS, ONE_CELL], ids=["direct", "cells", "one_cell"])
+@pytest.mark.parametrize("limits", [DIRECT, CELLS, LEVELS, ONE_CELL], ids=["direct", "cells", "levels", "one_cell"])
 @pytest.mark.parametrize("kind, width", [("grid", 2), ("hot", 3), ("clusters", 12)])
 @pytest.mark.parametrize("p", [1, 2])
 def test_search_equals_brute_force(spark, limits, kind, width, p):
