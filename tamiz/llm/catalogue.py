@@ -21,7 +21,7 @@ from tamiz.llm.simhash import near_duplicates
 from tamiz.llm.spelling import spelling_groups
 from tamiz.llm.substrings import deduplicate
 from tamiz.llm.tokens import count_tokens
-from tamiz.llm.toxicity import fit_toxicity, held_out, with_toxicity
+from tamiz.llm.toxicity import held_out, toxicity
 
 SEQUENCE = 2048
 # A key of the tests; a job passes its own.
@@ -54,7 +54,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored, score = with_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    scored, score = toxicity(docs, table(spark, sf_dir, "labels"))
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),

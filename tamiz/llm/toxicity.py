@@ -3,14 +3,21 @@
 A writer's word passes a channel that swaps letters for look-alikes, spaces letters out and repeats them. Disguised
 tokens become lattices of what each sign may stand for; a Viterbi search picks the reading that a character
 language model, counted over all texts, finds likeliest. Words of the restored text are scored with a lexicon of
-words and word beginnings learned from labelled documents.
+words and word beginnings, once or repeated in a text, learned from labelled documents.
+
+One pass over the texts counts the character n-grams of their words, exactly and in a table that grows with them, and
+gathers the distinct tokens of more than one reading. These are decoded once, in blocks; a block is joined with the
+counts that its lattices can ask for. Texts are then scored by lookups: in the lexicon, and in a table of those tokens
+whose reading holds a word of it.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import zlib
+from collections import Counter
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -25,9 +32,14 @@ from tamiz.session import materialise
 
 # Labelled rows of the fit (the bound of the sample), features kept, entries of a task's tables.
 FIT_ROWS, LEXICON, TABLE = 30_000, 4096, 300_000
-# Orders of the character model and buckets of each.
-ORDER, BUCKET_BITS = 4, 17
-PREFIXES = (4, 5, 6)
+# Order of the character model, and tokens that are decoded together.
+ORDER, BLOCK = 4, 50_000
+# Tokens with a word of the lexicon that one pass of scoring takes along.
+HITS = 500_000
+PREFIXES = (4, 5, 6, 7, 8)
+REPEATED_MARK = "#2"
+# What a feature needs: documents, words before it, and the lower end of its weight.
+DOCUMENTS, CONTEXTS, WEIGHT = 5, 4, 1.0
 
 # Log-odds of a text without evidence, where labels give none.
 NO_EVIDENCE = -2.0
@@ -51,8 +63,7 @@ SPACED_RUN = re.compile(rf"(?<![^\W_]){_MEMBER}(?:[ .*_-]{{1,2}}{_MEMBER})+[ .*_
 TOKEN_SIGNS = "".join(LOOKALIKES) + "_"
 WORD = re.compile(r"[^\W\d_]+")
 DOUBLED = re.compile(r"(.)\1")
-MULTIPLIER = 0x9E3779B97F4A7C15
-MASK = (1 << 64) - 1
+PLAIN, SPACED_OUT, GRAM = 0, 1, 2
 
 
 def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,43 +84,59 @@ def code_points(text: str) -> np.ndarray:
 
 
 class CharacterModel:
-    """Interpolated character n-grams, counted in hashed buckets: of one size whatever the corpus."""
+    """Interpolated character n-grams from exact counts; a gram that is not there was never seen."""
 
     WEIGHTS = (0.04, 0.16, 0.3, 0.5)
 
-    def __init__(self, counts: np.ndarray) -> None:
-        self.counts, self.total = counts, max(1, int(counts[0].sum()))
+    def __init__(self, counts: Mapping[str, int], total: int) -> None:
+        self.counts, self.total = counts, max(1, total)
         self.log = lru_cache(maxsize=1 << 16)(self._log)
 
-    @staticmethod
-    def count(text: str, counts: np.ndarray) -> None:
-        points = code_points(text)
-        points = np.where(LETTER[points], points, 32).astype(np.uint64)
-        if len(points) < 2:
-            return
-        points = points[np.append(True, (points[1:] != 32) | (points[:-1] != 32))]
-        h = np.zeros(len(points), dtype=np.uint64)
-        for order in range(min(ORDER, len(points))):
-            h = (h[: len(points) - order] ^ points[order:]) * np.uint64(MULTIPLIER)
-            at = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-            counts[order] += np.bincount(at, minlength=1 << BUCKET_BITS)
-            h = h[:-1]
-
-    def _count(self, gram: str) -> int:
-        h = 0
-        for c in gram:
-            h = ((h ^ ord(c)) * MULTIPLIER) & MASK
-        return int(self.counts[len(gram) - 1][h >> (64 - BUCKET_BITS)])
-
     def _log(self, context: str, c: str) -> float:
-        p = self.WEIGHTS[0] * (self._count(c) / self.total + 1e-6)
+        count = self.counts.get
+        p = self.WEIGHTS[0] * (count(c, 0) / self.total + 1e-6)
         for n in range(1, min(len(context), ORDER - 1) + 1):
-            before = self._count(context[-n:])
-            if before:
-                p += self.WEIGHTS[n] * self._count(context[-n:] + c) / before
+            if before := count(context[-n:], 0):
+                p += self.WEIGHTS[n] * count(context[-n:] + c, 0) / before
         return math.log(p)
 
 
+def count_grams(words: Mapping[str, int]) -> list[tuple[str, int]]:
+    """Counts of the n-grams up to ORDER of words that stand between blanks, from the words and how often they come."""
+    if not words:
+        return []
+    joined = "".join([f" {w} \0" for w in words])
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    alphabet, ids = np.unique(points, return_inverse=True)
+    if len(alphabet) > 1 << 16:  # sixteen bits a letter below
+        names = list(words)
+        half = len(names) // 2
+        return count_grams({w: words[w] for w in names[:half]}) + count_grams({w: words[w] for w in names[half:]})
+    weights = np.repeat(np.array(list(words.values()), dtype=np.int64), [len(w) + 3 for w in words])
+    # What begins at each place, four letters long; behind the end of a word there are only separators.
+    inside = ids.astype(np.uint64)
+    ends = np.append(ids, np.zeros(ORDER, ids.dtype)) == 0
+    key, closed = np.zeros(len(ids), dtype=np.uint64), np.zeros(len(ids), dtype=bool)
+    for n in range(ORDER):
+        closed |= ends[n : n + len(ids)]
+        shifted = np.append(inside[n:], np.zeros(n, np.uint64))
+        key = (key << np.uint64(16)) | np.where(closed, np.uint64(0), shifted)
+    at = key > 0
+    grams, of = np.unique(key[at], return_inverse=True)
+    n_of = np.bincount(of, weights[at]).astype(np.int64)
+    out: list[tuple[str, int]] = []
+    for order in range(1, ORDER + 1):
+        head = grams >> np.uint64(16 * (ORDER - order))
+        whole = (head & np.uint64(0xFFFF)) > 0
+        found, of = np.unique(head[whole], return_inverse=True)
+        counts = np.bincount(of, n_of[whole], minlength=len(found)).astype(np.int64)
+        letters = np.stack([(found >> np.uint64(16 * i)) & np.uint64(0xFFFF) for i in reversed(range(order))], axis=1)
+        text = alphabet[letters.astype(np.int64)].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        out += [(text[i : i + order], n) for i, n in zip(range(0, len(text), order), counts.tolist(), strict=True)]
+    # The blank before a word is where it begins, not a letter of it.
+    return [(g, n // 2 if g == " " else n) for g, n in out]
+
+
 def lattice(token: str, spaced: bool) -> list[list[tuple[str, float]]]:
     """For each run of one sign, the strings that it may stand for and their log-probabilities."""
     slots = []
@@ -145,40 +172,64 @@ def decode(token: str, model: CharacterModel, spaced: bool = False) -> str:
     return max((score + model.log(at, " "), read) for at, (score, read) in states.items())[1]
 
 
-class Readings(dict):
-    """Readings of words of letters only: a word without a repeated letter is its own."""
+def asked_grams(token: str, spaced: bool) -> set[str]:
+    """Every n-gram whose count ``decode`` may look up for a token."""
+    contexts, out = {" "}, {" "}
+    for slot in [*lattice(token, spaced), [(" ", 0.0)]]:
+        following = set()
+        for at in contexts:
+            for string, _ in slot:
+                end = at
+                for c in string:
+                    for n in range(len(end) + 1):
+                        out.add(end[len(end) - n :] + c)
+                        out.add(end[len(end) - n :])
+                    end = (end + c)[1 - ORDER :]
+                following.add(end)
+        contexts = following
+    out.discard("")
+    return out
 
-    def __init__(self, model: CharacterModel) -> None:
-        self.model = model
 
-    def __missing__(self, word: str) -> str:
-        if len(self) >= TABLE:
-            self.clear()
-        read = decode(word, self.model) if word.isalpha() and DOUBLED.search(word) else word
-        self[word] = read
-        return read
+def words_of(text: str) -> Iterable[str]:
+    """Runs of letters; those of a very long text one by one."""
+    return WORD.findall(text) if len(text) < 1 << 20 else (m.group() for m in WORD.finditer(text))
 
 
 class Restorer:
-    """Words of a text after deobfuscation; a worker keeps what it has decoded."""
+    """Words of a text after deobfuscation. ``readings``: words by (token, spaced); a token that is not there has its
+    letters for words."""
 
-    def __init__(self, model: CharacterModel) -> None:
-        self.decode = lru_cache(maxsize=1 << 16)(lambda token, spaced: decode(token, model, spaced))
-        self.readings = Readings(model)
+    def __init__(self, readings: Mapping[tuple[str, bool], Sequence[str]]) -> None:
+        self.readings = readings
 
     def words(self, text: str | None) -> list[str]:
+        out: list[str] = []
+        for piece, spaced in self.pieces(text):
+            if spaced is not None:
+                read = self.readings.get((piece, spaced))
+                out += WORD.findall(piece) if read is None else read
+                continue
+            for word in words_of(piece):
+                read = self.readings.get((word, False)) if DOUBLED.search(word) else None
+                if read is None:
+                    out.append(word)
+                else:
+                    out += read
+        return out
+
+    @classmethod
+    def pieces(cls, text: str | None) -> Iterator[tuple[str, bool | None]]:
+        """The text in lower case: disguised tokens with whether they are spaced, and what lies between (None)."""
         if not text:
-            return []
+            return
         text = text.lower()
-        spans, readings = self.disguised(text), self.readings
-        if not spans:
-            return [readings[w] for w in WORD.findall(text)]
-        out, at = [], 0
-        for start, end, spaced in spans:
-            out += [readings[w] for w in WORD.findall(text[at:start])]
-            out += WORD.findall(self.decode(text[start:end], spaced))
+        at = 0
+        for start, end, spaced in cls.disguised(text):
+            yield text[at:start], None
+            yield text[start:end], spaced
             at = end
-        return out + [readings[w] for w in WORD.findall(text[at:])]
+        yield text[at:], None
 
     @staticmethod
     def disguised(text: str) -> list[tuple[int, int, bool]]:
@@ -217,66 +268,103 @@ class Restorer:
         return sorted(spans)
 
 
-def features(word: str) -> list[str]:
+@lru_cache(maxsize=1 << 16)
+def features(word: str) -> tuple[str, ...]:
     """A word and its beginnings."""
-    return [word, *[word[:n] + "*" for n in PREFIXES if len(word) > n]]
+    return (word, *[word[:n] + "*" for n in PREFIXES if len(word) > n])
 
 
-@dataclass(frozen=True)
-class ToxicityModel:
-    counts: np.ndarray  # of the character model, per order and bucket
-    lexicon: dict[str, float]
-    slope: float
-    base: float
+# ---------------------------------------------------------------- what all texts tell
 
 
-class Scorer:
-    def __init__(self, model: ToxicityModel) -> None:
-        self.restorer, self.model = Restorer(CharacterModel(model.counts)), model
-        self.known: dict[str, float] = {}
-
-    def evidence(self, text: str | None) -> float:
-        """Sum over the distinct words of the weight of the strongest feature."""
-        total, lexicon = 0.0, self.model.lexicon
-        for word in set(self.restorer.words(text)):
-            weight = self.known.get(word)
-            if weight is None:
-                if len(self.known) >= TABLE:
-                    self.known.clear()
-                self.known[word] = weight = max([lexicon.get(f, 0.0) for f in features(word)])
-            total += weight
-        return round(total, 6)
+@dataclass(frozen=True)
+class Corpus:
+    """``grams`` (gram, n) of the words of all texts, ``total``: the letters and blanks they were counted over, and
+    ``tokens`` (token, spaced), the distinct tokens of more than one reading."""
 
-    def score(self, evidence: float) -> float:
-        x = self.model.base + self.model.slope * evidence
-        return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
+    grams: DataFrame
+    tokens: DataFrame
+    total: int
 
 
-def count_characters(docs: DataFrame, text: str) -> np.ndarray:
-    """Counts of character n-grams over all texts; a row per order and bucket reaches the driver, whatever the size."""
+def survey(docs: DataFrame, text: str = "text") -> Corpus:
+    """One pass over all whole texts; words and tokens are combined before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((ORDER, 1 << BUCKET_BITS), dtype=np.int64)
+        words: Counter[str] = Counter()
+        tokens: set[tuple[str, bool]] = set()
+
+        def rows() -> pa.RecordBatch:
+            tokens.update((w, False) for w in words if DOUBLED.search(w))
+            made = [(SPACED_OUT if s else PLAIN, t, 1) for t, s in tokens] + [(GRAM, g, n) for g, n in count_grams(words)]
+            words.clear()
+            tokens.clear()
+            kinds = zip((pa.int32(), pa.string(), pa.int64()), list(zip(*made, strict=True)) or [[]] * 3, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for k, c in kinds], names=["kind", "token", "n"])
+
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                for low in range(0, len(t or ""), 1 << 20):
-                    CharacterModel.count(" " + t[low : low + (1 << 20)].lower() + " ", counts)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.ravel()[at])], names=["at", "n"])
+                for piece, spaced in Restorer.pieces(t):
+                    if spaced is None:
+                        words.update(words_of(piece))
+                    else:
+                        tokens.add((piece, spaced))
+                if len(words) + len(tokens) > TABLE:
+                    yield rows()
+        yield rows()
+
+    found = docs.select(quoted(text)).mapInArrow(run, "kind int, token string, n long")
+    found = materialise(found.groupBy("kind", "token").agg(F.sum("n").alias("n")), "survey", partition_by="kind")
+    grams = found.where(F.col("kind") == GRAM).select(F.col("token").alias("gram"), "n")
+    total = grams.where(F.length("gram") == 1).agg(F.sum("n")).first()[0] or 0
+    tokens = found.where(F.col("kind") != GRAM).select("token", (F.col("kind") == SPACED_OUT).alias("spaced"))
+    return Corpus(grams, tokens, total)
 
-    parts = docs.select(quoted(text)).mapInArrow(run, "at long, n long")
-    counts = np.zeros(ORDER << BUCKET_BITS, dtype=np.int64)
-    found = parts.groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    counts[found["at"].to_numpy()] = found["n"].to_numpy()
-    return counts.reshape(ORDER, -1)
 
+def read_tokens(corpus: Corpus, block: int = BLOCK) -> DataFrame:
+    """(token, spaced, words): each token decoded once, with the counts that its block asks for."""
+    blocks, total = max(1, -(-corpus.tokens.count() // block)), corpus.total
+    tokens = corpus.tokens.withColumn("block", F.pmod(F.xxhash64("token"), F.lit(blocks)).cast("int"))
 
-def _statistics(sample: DataFrame, restorer_of) -> DataFrame:
+    def ask(rows: pa.Table) -> pa.Table:
+        out: set[str] = set()
+        for token, spaced in zip(rows["token"].to_pylist(), rows["spaced"].to_pylist(), strict=True):
+            out |= asked_grams(token, spaced)
+        number = rows["block"][0].as_py() if rows.num_rows else 0
+        return pa.table({"block": pa.array([number] * len(out), pa.int32()), "gram": pa.array(list(out), pa.string())})
+
+    def read(rows: pa.Table, counts: pa.Table) -> pa.Table:
+        model = CharacterModel(dict(zip(counts["gram"].to_pylist(), counts["n"].to_pylist(), strict=True)), total)
+        token, spaced = rows["token"].to_pylist(), rows["spaced"].to_pylist()
+        words = [WORD.findall(decode(t, model, s)) for t, s in zip(token, spaced, strict=True)]
+        return pa.table({"token": rows["token"], "spaced": rows["spaced"], "words": pa.array(words, pa.list_(pa.string()))})
+
+    asked = tokens.groupBy("block").applyInArrow(ask, "block int, gram string").join(corpus.grams, "gram")
+    both = tokens.groupBy("block").cogroup(asked.groupBy("block"))
+    return materialise(both.applyInArrow(read, "token string, spaced boolean, words array<string>"), "readings")
+
+
+# ---------------------------------------------------------------- fit
+
+
+@dataclass(frozen=True)
+class ToxicityModel:
+    """``lexicon``: weights of features, those with REPEATED_MARK of features that a text has twice or more."""
+
+    lexicon: Mapping[str, float]
+    slope: float
+    base: float
+
+    def score(self, evidence: Column) -> Column:
+        return 1 / (1 + F.exp(-(F.lit(self.base) + F.lit(self.slope) * evidence)))
+
+
+def _statistics(sample: DataFrame, shared) -> DataFrame:
     """(feature, positive, negative, contexts): documents of each class that hold a feature, and 64 bits of the words
     that stand before it in toxic documents, so that copies of one document do not look like many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = restorer_of()
+        restorer = Restorer(shared.value)
         table: dict[str, list[int]] = {}
 
         def emit() -> pa.RecordBatch:
@@ -290,21 +378,25 @@ def _statistics(sample: DataFrame, restorer_of) -> DataFrame:
 
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                before: dict[str, str] = {}
+                bits: dict[str, int] = {}
+                often: Counter[str] = Counter()
                 previous = ""
                 for word in restorer.words(text):
-                    before.setdefault(word, previous)
+                    bit = 1 << (sum(previous.encode()) * 7 + len(previous)) % 64 if toxic else 0
+                    bits[word] = bits.get(word, 0) | bit
+                    often[word] += 1
                     previous = word
-                seen: dict[str, int] = {}
-                for word, previous in before.items():
-                    bit = 1 << (sum(previous.encode()) * 7 + len(previous)) % 64
+                seen: dict[str, list[int]] = {}
+                for word, own in bits.items():
                     for f in features(word):
-                        seen[f] = seen.get(f, 0) | bit
-                for f, bits in seen.items():
-                    entry = table.setdefault(f, [0, 0, 0])
-                    entry[1 - toxic] += 1
-                    if toxic:
-                        entry[2] |= bits
+                        entry = seen.setdefault(f, [0, 0])
+                        entry[0] |= own
+                        entry[1] += often[word]
+                for f, (own, n) in seen.items():
+                    for name in (f, f + REPEATED_MARK)[: min(n, 2)]:
+                        entry = table.setdefault(name, [0, 0, 0])
+                        entry[1 - toxic] += 1
+                        entry[2] |= own
                 if len(table) > TABLE:
                     yield emit()
         yield emit()
@@ -323,6 +415,7 @@ def held_out(key: Column) -> Column:
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
+    readings: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
@@ -330,9 +423,8 @@ def fit_toxicity(
     lexicon_size: int = LEXICON,
 ) -> ToxicityModel:
     """Learns from about ``fit_rows`` labelled keys at most, chosen by hash among those not held out; of repeated labels
-    the highest counts. Three quarters of them give the lexicon, the others its scale. The character model counts
-    all texts. Without labels of both classes, or words that tell them apart, no text is taken for toxic."""
-    counts = count_characters(docs, text)
+    the highest counts. Three quarters of them give the lexicon, the others its scale. ``readings`` are those of the
+    tokens of all texts. Without labels of both classes, or words that tell them apart, no text is taken for toxic."""
     marks = labels.select(quoted(key).cast("long").alias("k"), quoted(label).cast("int").alias("toxic"))
     marks = marks.where(F.col("k").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("k")))
     marks = materialise(marks.groupBy("k").agg(F.max("toxic").alias("toxic")), "labels")
@@ -342,28 +434,33 @@ def fit_toxicity(
     texts = docs.select(quoted(key).cast("long").alias("k"), quoted(text).alias("t"))
     # The sample is bounded by fit_rows, so it is small enough to be sent to the texts.
     sample = materialise(texts.join(F.broadcast(chosen), "k").select("t", "toxic", "scale").repartition(24), "sample")
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast(counts)
     learn = sample.where(~F.col("scale")).select("t", "toxic")
     per_class = {r["toxic"]: r["n"] for r in learn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     lexicon = {}
     if len(per_class) == 2:
-        found = _statistics(learn, lambda: Restorer(CharacterModel(shared.value)))
+        found = _statistics(learn, _readings_of(sample, readings))
         pos, neg = F.col("positive") + 0.5, F.col("negative") + 0.5
         odds = F.log(pos / (per_class[1] + 1)) - F.log(neg / (per_class[0] + 1))
         # The lower end of an interval of two standard errors.
         low = F.round(odds - 2 * F.sqrt(1 / pos + 1 / neg), 4)
-        strong = found.where((F.col("positive") >= 5) & (F.bit_count("contexts") >= 4)).withColumn("weight", low)
-        strong = strong.where("weight >= 2").orderBy(F.desc("weight"), "feature").limit(lexicon_size)
+        strong = found.where((F.col("positive") >= DOCUMENTS) & (F.bit_count("contexts") >= CONTEXTS)).withColumn("weight", low)
+        strong = strong.where(F.col("weight") >= WEIGHT).orderBy(F.desc("weight"), "feature").limit(lexicon_size)
         lexicon = {r["feature"]: r["weight"] for r in strong.select("feature", "weight").collect()}
     if not lexicon:
-        return ToxicityModel(counts, {}, 0.0, NO_EVIDENCE)
-    draft = context.broadcast(ToxicityModel(counts, lexicon, 1.0, 0.0))
-    scaled = _evidence(sample.where("scale"), "t", draft, "e").groupBy("e", "toxic").agg(F.count("*").alias("n"))
+        return ToxicityModel({}, 0.0, NO_EVIDENCE)
+    scaled, evidence = _with_evidence(sample.where("scale").select("t", "toxic"), "t", lexicon, readings)
+    scaled = scaled.groupBy(F.col(evidence).alias("e"), "toxic").agg(F.count("*").alias("n"))
     # One row per value of the evidence, of at most fit_rows.
     points = scaled.toPandas()
     slope, base = _logistic(points["e"].to_numpy(float), points["toxic"].to_numpy(float), points["n"].to_numpy(float))
-    return ToxicityModel(counts, lexicon, slope, base)
+    return ToxicityModel(lexicon, slope, base)
+
+
+def _readings_of(sample: DataFrame, readings: DataFrame):
+    """The readings of the tokens of the sample, sent to all executors: no more than the bounded sample has."""
+    own = survey(sample, "t").tokens
+    rows = readings.join(own, ["token", "spaced"], "left_semi").collect()
+    return sample.sparkSession.sparkContext.broadcast({(r["token"], r["spaced"]): r["words"] for r in rows})
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.1) -> tuple[float, float]:
@@ -382,22 +479,121 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.1) -
     return max(0.0, float(w[0])), float(w[1])
 
 
-def _evidence(df: DataFrame, text: str, shared, name: str) -> DataFrame:
-    def make():
-        scorer = Scorer(shared.value)
-        return lambda texts: [scorer.evidence(t) for t in texts.to_pylist()]
+# ---------------------------------------------------------------- scores
+
 
-    return append(df, [text], make, "double", name)
+def head(word: str) -> str:
+    """Words that share a feature begin alike."""
+    return word[: min(PREFIXES)]
 
 
-def with_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str = "toxicity") -> tuple[DataFrame, str]:
+class Scorer:
+    """Evidence of a text: the sum over its distinct words of the weight of the strongest feature. ``hits``: the words
+    of the lexicon in the reading of a token."""
+
+    def __init__(self, lexicon: Mapping[str, float], hits: Mapping[tuple[str, bool], Sequence[str]]) -> None:
+        self.lexicon, self.hits = lexicon, hits
+        self.known: dict[str, tuple[str, ...]] = {}
+
+    def features(self, word: str) -> tuple[str, ...]:
+        """Those of the word that the lexicon has."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= TABLE:
+                self.known.clear()
+            lexicon = self.lexicon
+            found = tuple(f for f in features(word) if f in lexicon or f + REPEATED_MARK in lexicon)
+            self.known[word] = found
+        return found
+
+    def evidence(self, text: str | None) -> float:
+        raw: Counter[tuple[str, bool] | str] = Counter()
+        for piece, spaced in Restorer.pieces(text):
+            if spaced is None:
+                raw.update(words_of(piece))
+            else:
+                raw[piece, spaced] += 1
+        often: Counter[str] = Counter()
+        for token, n in raw.items():
+            if isinstance(token, str):
+                if not DOUBLED.search(token):
+                    if self.features(token):
+                        often[token] += n
+                    continue
+                token = token, False
+            for word in self.hits.get(token, ()):
+                often[word] += n
+        if not often:
+            return 0.0
+        total: Counter[str] = Counter()
+        for word, n in often.items():
+            for f in self.features(word):
+                total[f] += n
+        weight = self.lexicon.get
+        return sum(
+            max([max(weight(f, 0.0), weight(f + REPEATED_MARK, 0.0) if total[f] > 1 else 0.0) for f in self.features(word)])
+            for word in often
+        )
+
+
+def token_hits(readings: DataFrame, lexicon: Mapping[str, float]) -> DataFrame:
+    """(token, spaced, word): the words of the lexicon, as often as a reading has them."""
+    names = sorted({f.removesuffix(REPEATED_MARK) for f in lexicon})
+    words = readings.select("token", "spaced", F.explode("words").alias("word"))
+    beginnings = [F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in PREFIXES]
+    # As many rows as the lexicon has features.
+    known = readings.sparkSession.createDataFrame([(n,) for n in names], "feature string")
+    pairs = words.withColumn("feature", F.explode(F.array_compact(F.array("word", *beginnings))))
+    relevant = pairs.join(F.broadcast(known), "feature", "left_semi").select("word").distinct()
+    return words.join(relevant, "word", "left_semi")
+
+
+def _with_evidence(
+    df: DataFrame, text: str, lexicon: Mapping[str, float], readings: DataFrame, most: int = HITS
+) -> tuple[DataFrame, str]:
+    """``df`` with the evidence of each text, and the column's name. Evidence adds up over the beginnings of words, so
+    tokens beyond ``most`` take further passes, each with the words of some beginnings."""
+    context, name = df.sparkSession.sparkContext, unused(df.columns, "evidence")
+    hits = materialise(token_hits(readings, lexicon), "hits")
+    slices = max(1, -(-hits.count() // most))
+
+    def share(word: str) -> int:
+        return int(zlib.crc32(head(word).encode())) % slices
+
+    at = F.pmod(F.crc32(F.substring("word", 1, min(PREFIXES)).cast("binary")), F.lit(slices))
+    total = F.lit(0.0)
+    for i in range(slices):
+        own: dict[tuple[str, bool], list[str]] = {}
+        for r in hits.where(at == i).toLocalIterator():
+            own.setdefault((r["token"], r["spaced"]), []).append(r["word"])
+        weights = {f: w for f, w in lexicon.items() if share(f.removesuffix(REPEATED_MARK).removesuffix("*")) == i}
+        shared = context.broadcast((weights, own))
+
+        def make(shared=shared):
+            scorer = Scorer(*shared.value)
+            return lambda texts: [scorer.evidence(t) for t in texts.to_pylist()]
+
+        part = unused(df.columns, f"evidence_{i}")
+        df = append(df, [text], make, "double", part)
+        total = total + quoted(part)
+    return df.select(*[quoted(c) for c in df.columns[:-slices]], F.round(total, 6).alias(name)), name
+
+
+def with_toxicity(
+    docs: DataFrame, model: ToxicityModel, readings: DataFrame, text: str = "text", name: str = "toxicity"
+) -> tuple[DataFrame, str]:
     """``docs`` with the score (0 to 1) of each text as one more column, and that column's name (``name`` or one like
-    it). NULL and empty texts have the score of no evidence; repeated rows score alike."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    it). ``readings`` are those of the tokens of these texts. NULL and empty texts have the score of no evidence;
+    repeated rows score alike."""
     column = unused(docs.columns, name)
+    scored, evidence = _with_evidence(docs, text, model.lexicon, readings)
+    score = model.score(quoted(evidence)).alias(column)
+    return scored.select(*[quoted(c) for c in docs.columns], score), column
 
-    def make():
-        scorer = Scorer(shared.value)
-        return lambda texts: [scorer.score(scorer.evidence(t)) for t in texts.to_pylist()]
 
-    return append(docs, [text], make, "double", column), column
+def toxicity(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", name: str = "toxicity"
+) -> tuple[DataFrame, str]:
+    """``docs`` scored by a model learned from them and ``labels``: survey, readings, fit and scores."""
+    readings = read_tokens(survey(docs, text))
+    return with_toxicity(docs, fit_toxicity(docs, labels, readings, key, text, label), readings, text, name)

@@ -11,9 +11,10 @@ from tamiz.llm.catalogue import PII_KEY, SEQUENCE
 from tamiz.llm.common import table
 from tamiz.llm.pack import cut
 from tamiz.llm.pii import replace_personal
-from tamiz.llm.toxicity import Scorer, fit_toxicity
+from tamiz.llm.toxicity import fit_toxicity, read_tokens, survey
 from tests.llm.test_decontaminate import brute as contaminated
 from tests.llm.test_simhash import groups
+from tests.llm.test_toxicity import plain_scores
 
 FOLDER = os.environ.get("TAMIZ_TEST_TABLES", "/root/testdata/sf0.001")
 
@@ -24,8 +25,8 @@ def test_stages_equal_a_plain_version(spark, tmp_path):
     columns = docs.columns
     at = {c: i for i, c in enumerate(columns)}
     rows = sorted(map(tuple, docs.collect()))
-    scorer = Scorer(fit_toxicity(docs, table(spark, FOLDER, "labels")))
-    expected = [r for r in rows if scorer.score(scorer.evidence(r[at["text"]])) < 0.5]
+    model = fit_toxicity(docs, table(spark, FOLDER, "labels"), read_tokens(survey(docs)))
+    expected = [r for r, x in zip(rows, plain_scores([r[at["text"]] for r in rows], model), strict=True) if x < 0.5]
     results = []
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["toxicity", "near_duplicates", "decontamination", "pii", "packing"]
