@@ -14,7 +14,7 @@ from tamiz.llm.decontaminate import drop_contaminated
 from tamiz.llm.pack import pack_documents
 from tamiz.llm.pii import pseudonymise
 from tamiz.llm.simhash import keep_one
-from tamiz.llm.toxicity import fit_toxicity, with_toxicity
+from tamiz.llm.toxicity import toxicity
 from tamiz.session import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,7 +22,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below one half of toxicity, by a model fitted on the documents that come in."""
-    scored, score = with_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    scored, score = toxicity(docs, table(spark, sf_dir, "labels"))
     return scored.where(F.col(score) < 0.5).drop(score)
 
 
