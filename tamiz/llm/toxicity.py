@@ -17,7 +17,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -31,7 +31,7 @@ from tamiz.llm.common import append, unused
 from tamiz.session import materialise
 
 # Labelled rows of the fit (the bound of the sample), features kept, entries of a task's tables.
-FIT_ROWS, LEXICON, TABLE = 30_000, 4096, 300_000
+FIT_ROWS, LEXICON, TABLE = 12_000, 4096, 300_000
 # Order of the character model, and tokens that are decoded together.
 ORDER, BLOCK = 4, 50_000
 # Tokens with a word of the lexicon that one pass of scoring takes along.
@@ -67,20 +67,39 @@ PLAIN, SPACED_OUT, GRAM = 0, 1, 2
 
 
 def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tables over the code points of the basic plane: letters, letters and digits, look-alike signs."""
-    points = [chr(i) for i in range(1 << 16)]
-    letter = np.array([c.isalpha() for c in points] + [False])
-    alnum = np.array([c.isalnum() for c in points] + [False])
-    sign = np.array([c in LOOKALIKES for c in points] + [False])
+    """Tables over all code points: letters, letters and digits, look-alike signs."""
+    letter, alnum, sign = (np.zeros(0x110000, dtype=bool) for _ in range(3))
+    for i in range(0x40000):  # no letter stands beyond the fourth plane
+        c = chr(i)
+        if c.isalnum():
+            alnum[i], letter[i] = True, c.isalpha()
+    sign[[ord(c) for c in LOOKALIKES]] = True
     return letter, alnum, sign
 
 
 LETTER, ALNUM, SIGN = _kinds()
+# Characters that are looked at together. Longer texts are cut at line ends, which no token reaches over, or where
+# there is none so far, at any place.
+SLICE = 1 << 20
 
 
 def code_points(text: str) -> np.ndarray:
-    """Code points; those beyond the basic plane are one, that is no letter."""
-    return np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), 1 << 16)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def slices(text: str) -> Iterator[str]:
+    at = 0
+    while len(text) - at > 2 * SLICE:
+        end = text.find("\n", at + SLICE, at + 2 * SLICE)
+        end = at + 2 * SLICE if end < 0 else end
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def words_of(points: np.ndarray, letter: np.ndarray) -> list[str]:
+    """Runs of letters."""
+    return np.where(letter, points, 32).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").split()
 
 
 class CharacterModel:
@@ -191,11 +210,6 @@ def asked_grams(token: str, spaced: bool) -> set[str]:
     return out
 
 
-def words_of(text: str) -> Iterable[str]:
-    """Runs of letters; those of a very long text one by one."""
-    return WORD.findall(text) if len(text) < 1 << 20 else (m.group() for m in WORD.finditer(text))
-
-
 class Restorer:
     """Words of a text after deobfuscation. ``readings``: words by (token, spaced); a token that is not there has its
     letters for words."""
@@ -210,7 +224,8 @@ class Restorer:
                 read = self.readings.get((piece, spaced))
                 out += WORD.findall(piece) if read is None else read
                 continue
-            for word in words_of(piece):
+            points = code_points(piece)
+            for word in words_of(points, LETTER[points]):
                 read = self.readings.get((word, False)) if DOUBLED.search(word) else None
                 if read is None:
                     out.append(word)
@@ -221,21 +236,28 @@ class Restorer:
     @classmethod
     def pieces(cls, text: str | None) -> Iterator[tuple[str, bool | None]]:
         """The text in lower case: disguised tokens with whether they are spaced, and what lies between (None)."""
-        if not text:
-            return
-        text = text.lower()
-        at = 0
-        for start, end, spaced in cls.disguised(text):
-            yield text[at:start], None
-            yield text[start:end], spaced
-            at = end
-        yield text[at:], None
+        for part in slices(text.lower() if text else ""):
+            at = 0
+            for start, end, spaced in cls.disguised(part, code_points(part)):
+                yield part[at:start], None
+                yield part[start:end], spaced
+                at = end
+            yield part[at:], None
+
+    @classmethod
+    def parts(cls, text: str | None) -> Iterator[tuple[list[str], list[tuple[str, bool]]]]:
+        """The words between the disguised tokens, and these tokens with whether they are spaced; by slices."""
+        for part in slices(text.lower() if text else ""):
+            points = code_points(part)
+            spans, letter = cls.disguised(part, points), LETTER[points]
+            for start, end, _ in spans:
+                letter[start:end] = False
+            yield words_of(points, letter), [(part[start:end], spaced) for start, end, spaced in spans]
 
     @staticmethod
-    def disguised(text: str) -> list[tuple[int, int, bool]]:
+    def disguised(text: str, points: np.ndarray) -> list[tuple[int, int, bool]]:
         """(start, end, spaced) of tokens with a letter and a look-alike, wherever it stands, and of at least three
         letters or look-alikes spaced out. Repeated letters alone are left to the readings of words."""
-        points = code_points(text)
         letter, alnum, sign = LETTER[points], ALNUM[points], SIGN[points]
         spans: list[tuple[int, int, bool]] = []
         alone = (alnum | sign) & ~np.append(False, alnum[:-1]) & ~np.append(alnum[1:], False)
@@ -304,11 +326,9 @@ def survey(docs: DataFrame, text: str = "text") -> Corpus:
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                for piece, spaced in Restorer.pieces(t):
-                    if spaced is None:
-                        words.update(words_of(piece))
-                    else:
-                        tokens.add((piece, spaced))
+                for plain, disguised in Restorer.parts(t):
+                    words.update(plain)
+                    tokens.update(disguised)
                 if len(words) + len(tokens) > TABLE:
                     yield rows()
         yield rows()
@@ -493,46 +513,44 @@ class Scorer:
 
     def __init__(self, lexicon: Mapping[str, float], hits: Mapping[tuple[str, bool], Sequence[str]]) -> None:
         self.lexicon, self.hits = lexicon, hits
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.idle: set[str] = set()  # words met that say nothing
 
-    def features(self, word: str) -> tuple[str, ...]:
+    def features(self, word: str) -> list[str]:
         """Those of the word that the lexicon has."""
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= TABLE:
-                self.known.clear()
-            lexicon = self.lexicon
-            found = tuple(f for f in features(word) if f in lexicon or f + REPEATED_MARK in lexicon)
-            self.known[word] = found
-        return found
+        return [f for f in features(word) if f in self.lexicon or f + REPEATED_MARK in self.lexicon]
+
+    def read(self, word: str) -> Sequence[str]:
+        """The words of the lexicon that a word of letters stands for."""
+        if DOUBLED.search(word):
+            return self.hits.get((word, False), ())
+        return [word] if self.features(word) else ()
 
     def evidence(self, text: str | None) -> float:
-        raw: Counter[tuple[str, bool] | str] = Counter()
-        for piece, spaced in Restorer.pieces(text):
-            if spaced is None:
-                raw.update(words_of(piece))
-            else:
-                raw[piece, spaced] += 1
         often: Counter[str] = Counter()
-        for token, n in raw.items():
-            if isinstance(token, str):
-                if not DOUBLED.search(token):
-                    if self.features(token):
-                        often[token] += n
+        for words, tokens in Restorer.parts(text):
+            for word in set(words).difference(self.idle):
+                found = self.read(word)
+                if not found:
+                    if len(self.idle) >= 4 * TABLE:
+                        self.idle.clear()
+                    self.idle.add(word)
                     continue
-                token = token, False
-            for word in self.hits.get(token, ()):
-                often[word] += n
+                n = words.count(word)
+                for w in found:
+                    often[w] += n
+            for token in tokens:
+                for w in self.hits.get(token, ()):
+                    often[w] += 1
         if not often:
             return 0.0
+        own = {w: self.features(w) for w in often}
         total: Counter[str] = Counter()
-        for word, n in often.items():
-            for f in self.features(word):
+        for w, n in often.items():
+            for f in own[w]:
                 total[f] += n
         weight = self.lexicon.get
         return sum(
-            max([max(weight(f, 0.0), weight(f + REPEATED_MARK, 0.0) if total[f] > 1 else 0.0) for f in self.features(word)])
-            for word in often
+            max([max(weight(f, 0.0), weight(f + REPEATED_MARK, 0.0) if total[f] > 1 else 0.0) for f in own[w]]) for w in sorted(often)
         )
 
 
