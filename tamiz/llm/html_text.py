@@ -46,6 +46,22 @@ BOILERPLATE_NAMES = frozenset(
     "sidebar complementary contentinfo comment comments reply replies respond discussion disqus login signup search "
     "toc skip copyright legal disclaimer paywall trending".split()
 )
+# Of these, the names of what is in an article only by accident, whatever it holds; the others also name
+# sections of articles, and need evidence there. Words that beside them only tell of the layout.
+STRONG_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "newsletter subscribe subscription breadcrumb breadcrumbs pagination pager popup modal overlay toolbar navbar "
+    "sidebar contentinfo comment comments reply replies respond disqus login signup paywall".split()
+)
+LAYOUT = frozenset(
+    "area bar block box btn button buttons card container content entry footer form group header inner item items links "
+    "list main module outer panel post posts row section site title unit widget wrap wrapper".split()
+)
+# Text whose own class or id says nothing of what it is, without evidence.
+PASSAGES = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption table tr td th dl dt dd".split())
+# Words up to which an element with such a name is too short for a section; names kept of an element, and elements
+# around a text whose names count.
+SHORT, NAMES, AROUND = 12, 32, 32
 # Elements that hold a page or its text: no class, id or role makes them boilerplate.
 WHOLE = frozenset("html body main article".split())
 # Words beside a name that tell of a state of the page ("no-sidebar", "comments-open"), not of what an element is.
@@ -53,13 +69,17 @@ STATES = frozenset("no not non has have with without is hide show open opened cl
 # A header names boilerplate only outside an article.
 HEADERS = frozenset(("header", "topbar"))
 
+# Elements whose content is no text of the page, if they end: raw text goes on to the end of the page otherwise.
+RAW = frozenset("script style textarea".split())
+UNSEEN = frozenset("noscript template iframe svg object canvas video audio annotation annotation-xml".split())
+ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW | UNSEEN}
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|math|object|canvas|video|audio)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^<>\"']+|\"[^\"]*\"|'[^']*')*+[^>]*)(?:>|\Z)"
     r"|</[^>]*(?:>|\Z)",
-    re.S | re.I,
+    re.S,
 )
 NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
@@ -71,138 +91,209 @@ class Block:
     names: frozenset[str]
     boilerplate: bool
     container: int  # number of the outermost article or main element; 0 outside
-    named: int = 0  # number of the outermost element that a class, id or role made boilerplate; 0 outside
+    named: tuple[int, ...] = ()  # numbers of elements around it that a class, id or role made boilerplate
     parts: list[str] = field(default_factory=list)
+    link_words: int = 0
 
     def text(self) -> str:
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
-@dataclass
+@dataclass(frozen=True)
 class Element:
     tag: str
     names: frozenset[str]
     boilerplate: bool
     container: int
-    named: int = 0
-
-
-def _names(tag: str, attributes: str) -> tuple[set[str], bool]:
-    """Names that an element brings, and whether it is hidden."""
-    names, hidden = set() if tag in GENERIC else {tag}, False
-    for m in NAMED.finditer(attributes):
-        kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if kind == "hidden" or (kind == "aria-hidden" and value == "true"):
-            hidden = True
-        elif kind == "style":
-            hidden |= "display:none" in value.replace(" ", "")
-        elif kind in ("class", "id", "role"):
-            for token in value.split():
-                words = re.findall(r"[^\W\d_]+", token)
-                if not STATES.isdisjoint(words):
-                    words = ["-".join(words)]
-                if tag in WHOLE:
-                    words = [w for w in words if w not in BOILERPLATE_NAMES and w not in HEADERS]
-                names.update("." + w for w in words)
-    return names, hidden
-
-
-def read_page(page: str, spared: Set[int] = frozenset()) -> Iterator[str | Block]:
-    """Tag names ("/name" for ends) and blocks of text in page order. Elements are numbered by their start tags;
-    names do not make those ``spared`` boilerplate."""
-    root = Element("", frozenset(), False, 0)
-    stack, containers, number = [root], 0, 0
-    block: Block | None = None
-    at = 0
-
-    def flush() -> Iterator[Block]:
-        nonlocal block
-        if block is not None and block.parts:
-            yield block
-        block = None
-
-    def add(raw: str) -> None:
-        nonlocal block
-        top = stack[-1]
+    named: tuple[int, ...] = ()
+    around: tuple[frozenset[str], ...] = ()  # names of the nearest elements
+
+
+class Page:
+    """Tag names ("/name" for ends) and blocks of text in page order. Elements are numbered by their start tags; names
+    do not make those ``spared`` boilerplate. Time and memory go with the length of the page."""
+
+    def __init__(self, page: str, spared: Set[int] = frozenset()) -> None:
+        self.page, self.spared = page, spared
+        self.stack, self.open = [Element("", frozenset(), False, 0)], Counter()
+        self.containers = self.number = 0
+        self.block: Block | None = None
+        self.weak: set[int] = set()  # elements of an article that need evidence
+        self.passages: set[int] = set()  # those of them that are no more than a passage
+        self.endless: set[str] = set()
+
+    def tokens(self) -> Iterator[str | Block]:
+        page, at = self.page, 0
+        while (m := TOKEN.search(page, at)) is not None:
+            if m.start() > at:
+                self.add(page[at : m.start()])
+            at = m.end()
+            if m[2] is None:
+                continue
+            tag = m[2].lower()
+            if m[1]:
+                yield from self.end(tag)
+                continue
+            if tag in ENDS and not m[0].endswith("/>"):
+                if tag in self.endless:
+                    end = None
+                elif (end := ENDS[tag].search(page, at)) is None:
+                    self.endless.add(tag)
+                if end is not None or tag in RAW:
+                    at = len(page) if end is None else end.end()
+                    continue
+            elif tag in ENDS and tag not in RAW:
+                continue
+            yield from self.start(tag, m[3] or "")
+        if at < len(page):
+            self.add(page[at:])
+        yield from self.flush()
+
+    def flush(self) -> Iterator[Block]:
+        if self.block is not None and self.block.parts:
+            yield self.block
+        self.block = None
+
+    def add(self, raw: str) -> None:
+        top, block = self.stack[-1], self.block
+        words = len(raw.split())
         if block is None:
-            if not raw.strip():
+            if not words:
                 return
-            block = Block(top.names, top.boilerplate, top.container, top.named)
-        elif raw.strip():
+            block = self.block = Block(top.names, top.boilerplate, top.container, top.named)
+        elif words:
             # A block is as good as the best place of its text.
             block.names = block.names & top.names if block.boilerplate == top.boilerplate else block.names
             block.boilerplate &= top.boilerplate
         block.parts.append(raw)
+        block.link_words += words if self.open["a"] else 0
+
+    def pop(self) -> str:
+        tag = self.stack.pop().tag
+        self.open[tag] -= 1
+        return tag
 
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        if m[3] is None:
-            continue
-        tag, ends = m[3].lower(), bool(m[2])
+    def end(self, tag: str) -> Iterator[str | Block]:
         if tag == "br":
-            if block is not None:
-                block.parts.append(" ")
-            yield tag
-            continue
+            yield from self.line_break()
+            return
         if tag in BLOCKS:
-            yield from flush()
-        if ends:
-            if any(e.tag == tag for e in stack[1:]):
-                while stack.pop().tag != tag:
-                    pass
-            yield "/" + tag
-            continue
+            yield from self.flush()
+        if self.open[tag]:
+            while self.pop() != tag:
+                pass
+        yield "/" + tag
+
+    def line_break(self) -> Iterator[str]:
+        if self.block is not None:
+            self.block.parts.append(" ")
+        yield "br"
+
+    def start(self, tag: str, attributes: str) -> Iterator[str | Block]:
+        if tag == "br":
+            yield from self.line_break()
+            return
+        if tag in BLOCKS:
+            yield from self.flush()
         yield tag
         if tag in VOID:
-            continue
-        if tag in BLOCKS and stack[-1].tag == "p":
-            stack.pop()
-        elif tag in BLOCKS and any(e.tag == "p" for e in stack):
+            return
+        if tag in BLOCKS and self.open["p"]:
             # An open paragraph ends here, and inline elements left open in it with it.
-            while stack[-1].tag not in BLOCKS:
-                stack.pop()
-            if stack[-1].tag == "p":
-                stack.pop()
-        if tag == "li" and stack[-1].tag == "li":
-            stack.pop()
-        names, hidden = _names(tag, m[4] or "")
-        top = stack[-1]
-        number += 1
-        classes = {n[1:] for n in names if n[0] == "."} if number not in spared else set()
+            while self.stack[-1].tag not in BLOCKS and len(self.stack) > 1:
+                self.pop()
+            if self.stack[-1].tag == "p":
+                self.pop()
+        if tag == "li" and self.stack[-1].tag == "li":
+            self.pop()
+        own, tokens, hidden = _names(tag, attributes)
+        top = self.stack[-1]
+        self.number += 1
         bad = hidden or tag in BOILERPLATE_TAGS or (tag in HEADERS and not top.container)
         named = top.named
-        if not bad and (classes & BOILERPLATE_NAMES or (not top.container and classes & HEADERS)):
-            bad, named = True, named or number
+        if not bad and self.number not in self.spared and (strength := condemned(tag, tokens, top.container > 0)):
+            bad, named = True, (*named, self.number)[-AROUND:]
+            if strength == "weak":
+                self.weak.add(self.number)
+                if tag in PASSAGES:
+                    self.passages.add(self.number)
         container = top.container
         if tag in CONTAINERS and not container and not top.boilerplate and not bad:
-            containers += 1
-            container = containers
-        stack.append(Element(tag, top.names | names, top.boilerplate or bad, container, named if not top.boilerplate or top.named else 0))
-    if at < len(page):
-        add(page[at:])
-    yield from flush()
+            self.containers += 1
+            container = self.containers
+        around = (*top.around, frozenset(own))[-AROUND:] if own else top.around
+        names = frozenset().union(*around) if own else top.names
+        if top.boilerplate and not top.named:
+            named = ()  # it is boilerplate whatever names say
+        self.stack.append(Element(tag, names, top.boilerplate or bad, container, named, around))
+        self.open[tag] += 1
+
+
+def _names(tag: str, attributes: str) -> tuple[set[str], list[list[str]], bool]:
+    """Names that an element brings, its classes, ids and roles as lists of words, and whether it is hidden."""
+    names, tokens, hidden = set() if tag in GENERIC else {tag}, [], False
+    for m in NAMED.finditer(attributes):
+        kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if kind == "hidden" or (kind == "aria-hidden" and value == "true"):
+            hidden = True
+        elif kind == "style":
+            hidden |= "display:none" in value.replace(" ", "")
+        elif kind in ("class", "id", "role"):
+            for token in value.split():
+                words = re.findall(r"[^\W\d_]+", token)
+                if not STATES.isdisjoint(words):
+                    words = ["-".join(words)]
+                if tag in WHOLE:
+                    words = [w for w in words if w not in BOILERPLATE_NAMES and w not in HEADERS]
+                if len(names) + len(words) <= NAMES:
+                    names.update("." + w for w in words)
+                    tokens.append(words)
+    return names, tokens, hidden
+
+
+def condemned(tag: str, tokens: list[list[str]], inside: bool) -> str:
+    """Whether names take an element for boilerplate: "" (no), "weak" (if its content bears that out) or "strong".
+    Outside an article each word of a name counts; inside, a name counts as a whole."""
+    if not inside:
+        words = {w for t in tokens for w in t}
+        return "strong" if words & BOILERPLATE_NAMES or words & HEADERS else ""
+    found = ""
+    for t in tokens:
+        named = [w for w in t if w in BOILERPLATE_NAMES]
+        if named and all(w in BOILERPLATE_NAMES or w in LAYOUT for w in t):
+            strong = any(w in STRONG_NAMES for w in named) and not (tag in PASSAGES and tag != "p")
+            found = "strong" if strong else found or "weak"
+    return found
+
+
+def read_page(page: str, spared: Set[int] = frozenset()) -> list[str | Block]:
+    return list(Page(page, spared).tokens())
 
 
 def read_whole(page: str) -> list[str | Block]:
-    """Tags and blocks of a page. An element that holds most of its words is no boilerplate by its names, unless an
-    article or main element elsewhere has text."""
+    """Tags and blocks of a page. Names do not make an element boilerplate that holds most of the words, unless an
+    article or main element elsewhere has text; nor, inside an article, one that only shares its name with boilerplate:
+    a passage, or a section of more than a few words, less than half of them links."""
     spared: set[int] = set()
     while True:
-        tokens = list(read_page(page, spared))
+        reader = Page(page, spared)
+        tokens = list(reader.tokens())
         blocks = [t for t in tokens if isinstance(t, Block)]
-        if any(b.container for b in blocks) or not any(b.boilerplate and b.named for b in blocks):
-            return tokens
         words: Counter[int] = Counter()
+        links: Counter[int] = Counter()
+        total = 0
         for b in blocks:
-            words[b.named if b.boilerplate else 0] += len("".join(b.parts).split())
-        total = sum(words.values())
-        del words[0]
-        named, most = words.most_common(1)[0]
-        if 2 * most <= total:
+            n = sum(len(x.split()) for x in b.parts)
+            total += n
+            for number in b.named if b.boilerplate else ():
+                words[number] += n
+                links[number] += b.link_words
+        more = {i for i in reader.weak if words[i] and 2 * links[i] < words[i] and (words[i] > SHORT or i in reader.passages)}
+        if not any(b.container for b in blocks):
+            more |= {i for i, n in words.items() if 2 * n > total}
+        if not more - spared:
             return tokens
-        spared.add(named)
+        spared |= more
 
 
 @dataclass(frozen=True)

@@ -86,6 +86,10 @@ def integer_weights(vectors: DataFrame, key: str, vector: str, scale: float) ->
 
     df = vectors.select(quoted(key).cast("long").alias("id"), quoted(vector).cast("array<double>").alias("v"))
     df = df.where(F.col("id").isNotNull() & x.isNotNull()).where(~F.exists(x, bad))
+    longest, largest = df.agg(F.max(F.size(x)), F.max(F.array_max(F.transform(x, F.abs)))).first()
+    weight = (largest or 0.0) * abs(scale) + 1
+    if not weight < 2.0**32 or not (longest or 0) * weight * weight < 2.0**63:
+        raise ValueError(f"scores do not fit 63 bits: {longest} components of up to {weight:.6g}")
 
     def make():
         def step(column: pa.Array) -> list[bytes]:
@@ -120,7 +124,7 @@ def top_k(
 
     Rows without id or vector, or with a component that is NULL or not finite, take no part. Vectors of unequal
     lengths count as zero beyond their end. Repeated rows are rows of their own: each is found by the others, and
-    each asks. Scores must fit 63 bits.
+    each asks. Weights whose scores might not fit 63 bits stop the job.
     """
     ids = materialise(integer_weights(vectors, key, vector, scale), "weights")
     n = max(1, -(-ids.count() // shard_rows))
@@ -128,7 +132,7 @@ def top_k(
     rows = ids.select(F.pmod(F.xxhash64("row"), F.lit(n)).cast("int").alias("shard"), F.lit(False).alias("asks"), "*")
     asked = ids.withColumnRenamed("id", key).where(queries).withColumnRenamed(key, "id")
     asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"), F.lit(True).alias("asks"), "*")
-    streams = rows.unionByName(asked).repartition(n, "shard").sortWithinPartitions("shard", "asks")
+    streams = rows.unionByName(asked).repartitionById(n, "shard").sortWithinPartitions("shard", "asks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held, postings = None, [], None

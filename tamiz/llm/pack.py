@@ -17,10 +17,10 @@ from heapq import heapify, heappop, heappush
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.functions.columns import quoted
 from tamiz.llm.common import append, unused
@@ -243,17 +243,21 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[li
     return full + [b for b in part if b]
 
 
+PIECE = ["key", "row", "piece", "start", "length", "ids_crc32", "shard"]
+
+
 def _pack_shards(pieces: DataFrame, capacity: int, level: int) -> DataFrame:
     """Packs each shard; adds sequence_id, offset and full (the bin is not packed again)."""
-    schema = "key long, row long, piece int, start long, length long, ids_crc32 long, shard long, sequence_id long, offset long, full boolean"
+    pieces = pieces.select(*PIECE)
+    added = T._parse_datatype_string("sequence_id long, offset long, full boolean").fields
 
-    def run(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["row", "piece"], ignore_index=True)
-        lengths = rows["length"].tolist()
+    def run(keys: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.select(PIECE).sort_by([("row", "ascending"), ("piece", "ascending")])
+        lengths = rows["length"].to_pylist()
         bins = improve(best_fit(lengths, capacity), lengths, capacity)
-        bin_of, offset, full = [0] * len(rows), [0] * len(rows), [False] * len(rows)
+        bin_of, offset, full = [0] * len(lengths), [0] * len(lengths), [False] * len(lengths)
         # Sequence numbers: round, shard, bin. A shard has fewer than 2^24 bins.
-        base = (level << 56) + (int(keys[0]) << 24)
+        base = (level << 56) + (keys[0].as_py() << 24)
         for b, members in enumerate(bins):
             at = 0
             for i in members:
@@ -261,11 +265,11 @@ def _pack_shards(pieces: DataFrame, capacity: int, level: int) -> DataFrame:
                 at += lengths[i]
             for i in members:
                 full[i] = at >= FILLED * capacity
-        return rows.assign(sequence_id=bin_of, offset=offset, full=full)[
-            ["key", "row", "piece", "start", "length", "ids_crc32", "shard", "sequence_id", "offset", "full"]
-        ]
+        for name, values in (("sequence_id", pa.array(bin_of, pa.int64())), ("offset", pa.array(offset, pa.int64())), ("full", pa.array(full))):
+            rows = rows.append_column(name, values)
+        return rows
 
-    return pieces.groupBy("shard").applyInPandas(run, schema)
+    return pieces.groupBy("shard").applyInArrow(run, T.StructType([*pieces.schema.fields, *added]))
 
 
 def pack_documents(
@@ -279,7 +283,7 @@ def pack_documents(
     """Per piece: key, piece, start, length, ids_crc32, sequence_id and offset.
 
     A document is the ids of its whole text by the tokenizer file at ``path`` and the end mark 0; a NULL or empty
-    text is the end mark alone. Pieces longer than ``capacity`` do not exist; a cut document fills sequences
+    text is the end mark alone. Keys are of any type, NULL among them. Pieces longer than ``capacity`` do not exist; a cut document fills sequences
     of its own but for its first piece. Repeated rows are packed as documents of their own. No rows, no sequences.
     """
     pieces = materialise(token_pieces(docs, path, capacity, key, text), "pieces")

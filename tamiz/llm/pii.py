@@ -209,14 +209,20 @@ def secret(text: str, key: bytes, back: bool) -> str | None:
     value = text[len(head) :]
     if not any(c.isdigit() for c in value):
         return None
+    form = _form(head, value)
+    alphabets = {"hex": (HEX_LOWER,), "mark": (DIGITS + UPPER,), "text": (DIGITS, UPPER, LOWER)}[form]
+    moved = value
+    while True:
+        moved = move_characters(moved, key, f"secret|{len(alphabets)}", back, alphabets)
+        # Another form would not be found again: walk on along the permutation, which comes back to one of this form.
+        if any(c.isdigit() for c in moved) and _form(head, moved) == form:
+            return head + moved
+
+
+def _form(head: str, value: str) -> str:
     if all(c in HEX_LOWER for c in value):
-        alphabets: tuple[str, ...] = (HEX_LOWER,)
-    elif head in ("AKIA", "ASIA"):
-        alphabets = (DIGITS + UPPER,)
-    else:
-        alphabets = (DIGITS, UPPER, LOWER)
-    moved = move_characters(value, key, f"secret|{len(alphabets)}", back, alphabets)
-    return None if not any(c.isdigit() for c in moved) and len(alphabets) == 1 else head + moved
+        return "hex"
+    return "mark" if head in ("AKIA", "ASIA") else "text"
 
 
 KINDS: dict[str, tuple[str, Callable[[str, bytes, bool], str | None]]] = {
@@ -246,15 +252,20 @@ def replace_personal(text: str, key: bytes, back: bool = False) -> tuple[str, li
     """The text with pseudonyms, and (start, end, kind) of each. Earlier kinds of the list win where two overlap."""
     if not MAYBE.search(text):
         return text, []
-    spans: list[tuple[int, int, str, str]] = []
+    spans: list[tuple[int, int, str, str]] = []  # in order, none overlaps another
     for kind, pattern, change in PATTERNS:
+        found, at = [], 0
         for m in pattern.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b, _, _ in spans):
+            # Matches come in order, so those of earlier kinds are passed once.
+            while at < len(spans) and spans[at][1] <= m.start():
+                at += 1
+            if at < len(spans) and spans[at][0] < m.end():
                 continue
             new = change(m.group(), key, back)
             if new is not None:
-                spans.append((m.start(), m.end(), kind, new))
-    spans.sort()
+                found.append((m.start(), m.end(), kind, new))
+        if found:
+            spans = sorted(spans + found)
     out, at = [], 0
     for start, end, _, new in spans:
         out += [text[at:start], new]

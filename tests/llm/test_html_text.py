@@ -1,6 +1,7 @@
 """Main text of pages."""
 
 import random
+import time
 
 import pytest
 
@@ -113,3 +114,80 @@ def test_article_extends_the_region():
     """A short block of the article behind a gap of many tags."""
     gap = "<div><hr></div>" * 30
     assert main_text(f"<article><p>one two three four five</p>{gap}<p>end</p></article>", PLAIN).split()[-1] == "end"
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', "one two\nthree"),
+        ('<article><p>one <svg class="i"><title>icon</title><path d="M0"/></svg> two</p><p>three</p></article>', "one two\nthree"),
+        ('<article><p>one <svg class="i"> two</p><p>three</p></article>', "one two\nthree"),
+        ("<article><p>for <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x = 2</annotation></math> holds</p></article>", "for x=2 holds"),
+        ("<article><p>one</p><iframe src='a'></iframe><p>two</p><video><p>no video</p></video><object data='b'></article>", "one\ntwo"),
+        ("<article><p>one</p><noscript><p>turn it on</p></noscript><p>two</p><template>t</template></article>", "one\ntwo"),
+        ("<article><p>one</p><script>if (a < b) '</p>'</script><p>two</p><SCRIPT>never ends", "one\ntwo"),
+    ],
+)
+def test_foreign_and_unseen_elements(html, want):
+    assert main_text(html, PLAIN) == want
+
+
+SECTION = "<p>" + "words of a section that goes on for some time and says what it has to say " * 2 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        f'<section id="discussion">{SECTION}</section>',
+        f'<h2 id="related-work">{SECTION[3:-4]}</h2>',
+        f'<div class="legal-history">{SECTION}</div>',
+        '<p class="search-notes">a few words</p>',
+        '<p class="share">she had her share</p>',
+        f'<div class="notice">{SECTION}</div>',
+        f'<section id="copyright" class="section">{SECTION}</section>',
+    ],
+)
+def test_sections_whose_names_are_like_those_of_boilerplate_stay(part):
+    text = main_text(f"<article><h1>T</h1><p>one two three</p>{part}<p>end</p></article>", PLAIN)
+    words = [w for w in " ".join(x.split(">")[-1] for x in part.split("<")).split()]
+    assert text.split() == ["T", "one", "two", "three", *words, "end"]
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="share"><a href="a">this page</a> <a href="b">that page</a></div>',
+        '<div class="social-links">tell friends</div>',
+        f'<div class="related"><a href="a">{SECTION[3:-4]}</a></div>',
+        f'<section id="comments">{SECTION}</section>',
+        f'<div class="comments-area">{SECTION}</div>',
+        f'<div class="cookie-notice">{SECTION}</div>',
+        f'<div class="ad">{SECTION}</div>',
+        '<p class="advert">buy now</p>',
+        '<ul class="breadcrumbs"><li>home<li>news</ul>',
+    ],
+)
+def test_boilerplate_in_an_article_goes(part):
+    assert main_text(f"<article><h1>T</h1><p>one two three</p>{part}<p>end</p></article>", PLAIN) == "T\none two three\nend"
+
+
+def seconds(html):
+    start = time.perf_counter()
+    main_text(html, PLAIN)
+    return time.perf_counter() - start
+
+
+@pytest.mark.parametrize(
+    "made",
+    [
+        lambda n: "<article>" + "<div>" * n + "deep",
+        lambda n: "<article>" + "".join(f'<div class="c{i}"><b>word' for i in range(n)),
+        lambda n: "<article>" + "<p>a<i>" * n + "</i>" * n,
+        lambda n: "<article>" + "<svg>a" * n,
+        lambda n: "<article>" + '<div class="share">x' * (n // 10),
+    ],
+)
+def test_deep_and_odd_pages_take_time_by_their_length(made):
+    seconds(made(2000))
+    small, large = min(seconds(made(20_000)) for _ in range(2)), seconds(made(200_000))
+    assert large < 25 * small + 0.5

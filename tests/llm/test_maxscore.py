@@ -64,3 +64,16 @@ def test_stages_and_probes_lose_nothing(monkeypatch, large):
         full = weights @ weights[own]
         order = [i for i in np.lexsort((ids, -full)) if i != own][:5]
         assert sorted(at.tolist()) == sorted(order) and sorted(scores.tolist()) == sorted(full[order].tolist())
+
+
+@pytest.mark.parametrize("x", [2e8, 1e300, -1e300])
+def test_scores_that_do_not_fit_stop_the_job(spark, x):
+    df = spark.createDataFrame([(20, [x, 1.0]), (21, [x, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="63 bits"):
+        top_k(df, F.col("vec_id") % 20 == 0, 20)
+
+
+def test_large_scores_that_fit_are_exact(spark):
+    rows = [(20, [2.0**24, 1.0]), (21, [2.0**24, 3.0]), (22, [-(2.0**24), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k(df, F.col("vec_id") % 20 == 0, 20).collect())) == brute(rows, 20)

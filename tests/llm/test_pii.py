@@ -1,6 +1,8 @@
 """Pseudonyms: permutations, validity, formats, round trips."""
 
+import random
 import re
+import time
 from datetime import date, timedelta
 
 import pytest
@@ -118,3 +120,29 @@ def test_long_text():
     text = "word " * 200_000 + "1.2.3.4 " + "@" * 10_000 + "9" * 10_000
     new, spans = replace_personal(text, KEY)
     assert [s[2] for s in spans] == ["ipv4"] and len(new) == len(text)
+
+
+def test_many_values_take_time_by_their_number():
+    def seconds(n):
+        text = " ".join(f"10.{i % 200}.{i % 7}.{i % 250} x@y{i}.com" for i in range(n))
+        start = time.perf_counter()
+        _, spans = replace_personal(text, KEY)
+        assert len(spans) == 2 * n
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(20_000) < 25 * seconds(2_000)
+
+
+def test_every_named_value_moves_and_turns_back():
+    rng = random.Random(4)
+    for i in range(6000):
+        size = rng.choice([8, 8, 9, 16])
+        signs = rng.choice(["0123456789abcdef", "0123456789", "abcdef0", "0123456789abcdefgxyzAB_-"])
+        value = "".join(rng.choice(signs) for _ in range(size))
+        if not any(c.isdigit() for c in value):
+            continue
+        text = f"token={value} {i}"
+        new, spans = replace_personal(text, KEY)
+        assert [s[2] for s in spans] == ["secret"], text
+        assert replace_personal(new, KEY, back=True)[0] == text

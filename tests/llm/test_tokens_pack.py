@@ -96,3 +96,14 @@ def test_packing(spark):
         least = -(-sum(n for (_, _, _, n, _), c in want.items() for _ in range(c)) // capacity)
         assert len(places) <= least * 1.1 + 1
     assert pack_documents(df.limit(0), path, capacity).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("kind", "keys"), [("long", [9007199254740993, (1 << 60) + 3, None, 5]), ("string", ["a", "ä", None, ""])]
+)
+def test_keys_come_back_as_they_are(spark, kind, keys):
+    df = spark.createDataFrame([(k, "some words " * 40) for k in keys], f"doc_id {kind}, text string").repartition(2)
+    for shard_rows in (10**6, 1):
+        found = pack_documents(df, public_tokenizers.path(FILES[1]), 64, shard_rows=shard_rows)
+        assert {r["doc_id"] for r in found.collect()} == set(keys)
+        assert dict(found.dtypes)["doc_id"] == {"long": "bigint"}.get(kind, kind)
