@@ -1,10 +1,11 @@
 """Token counts and ids with a two-tier map-side lookup, equal to the tokenizers library.
 
-A text of Latin-1 characters without control characters is cut at blanks into chunks, and a chunk into pre-tokens
-by a byte pattern. A chunk or pre-token is looked up, first in a compact table of frequent ones that every task
-gets, then in caches of the worker, which ask the library for what they miss. No pre-token is shuffled. Any other
-text goes to the library whole. The vocabularies encode pre-tokens independently of each other, and no pre-token
-reaches over a single blank, so sums and joins are exact.
+A text is cut at blanks into chunks, and a chunk into pre-tokens: by a byte pattern where it has Latin-1 characters
+only, else by the library's own rules. A chunk or pre-token is looked up, first in a compact table of frequent ones
+that every task gets, counted over all texts, then in caches of the worker, which ask the library for what they miss.
+No pre-token is shuffled but for the count, where equal ones of a task are one. Only a text with a control character or
+a special string goes to the library whole. The vocabularies encode pre-tokens independently of each other, and no
+pre-token reaches over a single blank, so sums and joins are exact.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import os
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,14 +23,14 @@ from tokenizers import Tokenizer
 from tamiz.functions.columns import quoted
 from tamiz.llm.common import append, unused
 
-# Pre-tokens of the first tier, rows read to choose them (a hint for speed only), entries of a worker's cache.
-FREQUENT, HINT_ROWS, CACHE = 1 << 15, 2000, 1 << 19
+# Pre-tokens of the first tier, entries of a worker's cache, and different chunks that a task counts at a time.
+FREQUENT, CACHE, COUNTED = 1 << 15, 1 << 19, 1 << 18
 
 # Latin-1 characters by kind, as the tokenizers' patterns see them.
 LETTERS = rb"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 NUMBERS = rb"0-9\xb2\xb3\xb9\xbc-\xbe"
 BLANKS = rb"\t-\r \x85\xa0"
-CONTROL = re.compile(rb"[\x1c-\x1f]")
+CONTROL, WIDE_CONTROL = re.compile(rb"[\x1c-\x1f]"), re.compile("[\x1c-\x1f]")
 LOWER = bytes(ord(chr(b).lower()) if len(chr(b).lower()) == 1 and ord(chr(b).lower()) < 256 else b for b in range(256))
 
 # The pre-token patterns of the two public tokenizers. Alternatives of different first characters are
@@ -67,6 +68,17 @@ class Library:
             return None
         return plain.translate(LOWER) if self.lower else plain
 
+    def wide(self, text: str) -> str | None:
+        """A text with other characters as the library normalises it; None if it is to be encoded whole."""
+        if WIDE_CONTROL.search(text) or self.special.search(text.encode("utf-8", "surrogatepass")):
+            return None
+        return self.tokenizer.normalizer.normalize_str(text) if self.lower else text
+
+    def wide_words(self, text: str) -> bytes:
+        """Ids of a normalised text, cut by the library's own rules."""
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+        return b"".join([pack(t.id for t in self.tokenizer.model.tokenize(p)) for p, _ in pieces])
+
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -112,8 +124,11 @@ class Chunks(dict):
         self.library, self.frequent, self.value = library, frequent, value
         self.words = PreTokens(library)
 
-    def __missing__(self, chunk: bytes):
-        if not self.library.lower:
+    def __missing__(self, chunk: bytes | str):
+        """Chunks of texts of Latin-1 characters are bytes, others are text."""
+        if isinstance(chunk, str):
+            found = self._wide(chunk)
+        elif not self.library.lower:
             if not chunk or chunk[0] in BLANK_BYTES or chunk[-1] in BLANK_BYTES:
                 raise _Blanks
             found = self.value(self.words.encode(b" " + chunk))
@@ -127,13 +142,36 @@ class Chunks(dict):
         self[chunk] = found
         return found
 
+    def _wide(self, chunk: str):
+        if not self.library.lower and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
+            raise _Blanks
+        try:
+            plain = chunk.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.value(self.library.wide_words(chunk if self.library.lower else " " + chunk))
+        return self[plain]
+
+    def wide_values(self, text: str) -> list:
+        found = self.library.wide(text)
+        if found is None:
+            return [self.value(pack(self.library.ids(text)))]
+        if self.library.lower:
+            return list(map(self.__getitem__, filter(None, found.split(" "))))
+        first, *rest = found.split(" ")
+        try:
+            if not first or first[-1].isspace():
+                raise _Blanks
+            return [self.value(self.library.wide_words(first)), *map(self.__getitem__, rest)]
+        except _Blanks:
+            return [self.value(self.library.wide_words(found))]
+
     def values_of(self, text: str | None) -> list:
         """What ``value`` makes of the ids of each part of the text, in order."""
         if not text:
             return []
         plain = self.library.plain(text)
         if plain is None:
-            return [self.value(pack(self.library.ids(text)))]
+            return self.wide_values(text)
         if self.library.lower:
             return list(map(self.__getitem__, plain.split()))
         first, *rest = plain.split(b" ")
@@ -157,14 +195,44 @@ def pack(numbers: Iterable[int]) -> bytes:
     return b"".join(i.to_bytes(4, "little") for i in numbers)
 
 
-def frequent_lengths(docs: DataFrame, text: str, path: str, most: int, rows: int) -> dict[bytes, int]:
-    """Lengths of the most frequent chunks of the heads of ``rows`` rows. Only speed depends on the choice."""
-    library, seen = Library(path), Counter()
-    for row in docs.select(F.substring(quoted(text), 1, 20_000).alias("t")).limit(rows).toLocalIterator():
-        plain = library.plain(row["t"] or "")
-        seen.update(w for w in (plain or b"").split() if w.isalpha())
-    table = lengths(library)
-    return {w: table[w] for w, _ in seen.most_common(most)}
+def chunk_counts(docs: DataFrame, text: str, path: str) -> DataFrame:
+    """(chunk, n) of all whole texts, as text in lower case if the tokenizer takes it so; chunks that stand once in what
+    a task holds at a time are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library, seen = Library(path), Counter()
+
+        def rows() -> pa.RecordBatch:
+            often = [(c.decode("latin-1") if isinstance(c, bytes) else c, n) for c, n in seen.items() if n > 1]
+            seen.clear()
+            chunks, counts = list(zip(*often, strict=True)) or ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(chunks, pa.string()), pa.array(counts, pa.int64())], names=["chunk", "n"])
+
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                plain = library.plain(t or "")
+                if plain is not None:
+                    seen.update(plain.split())
+                elif (wide := library.wide(t)) is not None:
+                    seen.update(wide.split())
+                if len(seen) > COUNTED:
+                    yield rows()
+        yield rows()
+
+    parts = docs.select(quoted(text)).mapInArrow(run, "chunk string, n long")
+    return parts.groupBy("chunk").agg(F.sum("n").alias("n"))
+
+
+def frequent_lengths(docs: DataFrame, text: str, path: str, most: int) -> dict[bytes | str, int]:
+    """Lengths of the ``most`` most frequent chunks of all texts. Only speed depends on the choice."""
+    table, out = lengths(Library(path)), {}
+    for r in chunk_counts(docs, text, path).orderBy(F.desc("n"), "chunk").limit(most).collect():
+        try:
+            chunk = r["chunk"].encode("latin-1")
+        except UnicodeEncodeError:
+            chunk = r["chunk"]
+        out[chunk] = table[chunk]
+    return out
 
 
 def count_tokens(
@@ -173,15 +241,14 @@ def count_tokens(
     key: str = "doc_id",
     text: str = "text",
     frequent: int = FREQUENT,
-    hint_rows: int = HINT_ROWS,
 ) -> DataFrame:
     """Per row: key, n_bytes (UTF-8) and n_tokens of the whole text, as the tokenizer file at ``path`` (reachable by
     every executor) gives them, without added special tokens; special strings inside a text count as the library
     takes them. A NULL text is empty and has no tokens. Repeated rows give repeated results.
 
-    The first tier holds at most ``frequent`` pre-tokens, found on ``hint_rows`` rows; it changes speed only.
+    The first tier holds at most ``frequent`` chunks; it changes speed only.
     """
-    hint = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, text, path, frequent, hint_rows))
+    hint = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, text, path, frequent))
 
     def make():
         table = lengths(Library(path), hint.value)

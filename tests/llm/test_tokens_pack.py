@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tamiz.llm.pack import best_fit, cut, fewest, improve, pack, pack_documents
-from tamiz.llm.tokens import Library, count_tokens, ids, lengths
+from tamiz.llm.tokens import Library, chunk_counts, count_tokens, frequent_lengths, ids, lengths
 
 DOCS = "doc_id long, text string"
 FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
@@ -23,8 +23,8 @@ TEXTS = [
 
 
 @pytest.mark.parametrize("file", FILES)
-@given(st.text(alphabet="ab É'stmdrelv\n\t\r\x85\xa09½!?$\x1d日<|>", max_size=40))
-@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab É'stmdrelv\n\t\r\x85\xa09½!?$\x1d日<|>", max_size=40) | st.text(max_size=30) | st.text("aé ́ΣσI İ日—’\u2003\u3000😀\n", max_size=30))
+@settings(max_examples=700, deadline=None)
 def test_any_text_equals_the_library(file, text):
     library = LIBRARY[file]
     want = library.ids(text)
@@ -32,6 +32,28 @@ def test_any_text_equals_the_library(file, text):
     assert b"".join(ids(library).values_of(text)) == pack(want)
 
 
+def test_texts_of_any_script_are_looked_up():
+    """The library encodes no text whole, and a chunk that comes again is not cut again."""
+    library = Library(public_tokenizers.path(FILES[0]))
+    text = "Съешь ещё этих мягких — “французских” булок, да 日本語 выпей же чаю’ " * 50
+    want, calls = len(library.ids(text)), []
+    library.ids, cut_wide = None, library.wide_words
+    library.wide_words = lambda chunk: calls.append(chunk) or cut_wide(chunk)
+    table = lengths(library)
+    assert sum(table.values_of(text)) == want and sum(table.values_of(text)) == want
+    assert len(calls) == len(set(calls)) <= 14
+
+
+def test_frequent_chunks_are_counted_over_all_texts(spark):
+    rows = [(i, "Alpha alpha beta " + ("日本 日本" if i % 2 else "")) for i in range(40)] + [(50, None), (51, "gamma \x1d beta")]
+    df = spark.createDataFrame(rows, DOCS).repartition(5)
+    path = public_tokenizers.path(FILES[0])
+    found = {r["chunk"]: r["n"] for r in chunk_counts(df, "text", path).collect()}
+    assert found == {"alpha": 80, "beta": 40, "日本": 40}
+    top = frequent_lengths(df, "text", path, 2)
+    assert set(top) == {b"alpha", b"beta"} and top[b"beta"] == len(LIBRARY[FILES[0]].ids("beta"))
+
+
 def test_counts(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(50, None), (1, TEXTS[1]), (None, "a b")]
     df = spark.createDataFrame([(*r, 1) for r in rows], DOCS + ", n_tokens int").repartition(2)
