@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,6 +143,38 @@ class Chunks(dict):
         self[chunk] = found
         return found
 
+    def known(self, chunks: list[bytes]) -> list:
+        """What ``value`` makes of each chunk; those that are missing are asked for together."""
+        found = list(map(self.get, chunks))
+        if None not in found:
+            return found
+        missing = list({c for c, f in zip(chunks, found, strict=True) if f is None})
+        if not self.library.lower and any(not c or c[0] in BLANK_BYTES or c[-1] in BLANK_BYTES for c in missing):
+            raise _Blanks
+        if len(self) + len(missing) >= len(self.frequent) + CACHE:
+            self.clear()
+            self.update(self.frequent)
+            missing = list(set(chunks).difference(self))
+        self.learn(missing)
+        found = list(map(self.__getitem__, chunks))
+        for chunk in missing:
+            if b"\n" in chunk:  # two words around a line end hardly come again
+                self.pop(chunk, None)
+        return found
+
+    def learn(self, chunks: list[bytes]) -> None:
+        """One call of the library for all: its numbers of pre-tokens tell where a chunk ends."""
+        library, before = self.library, b"" if self.library.lower else b" "
+        ends = np.cumsum([len(library.pattern.findall(before + c)) for c in chunks])
+        made = library.tokenizer.encode((before + b" ".join(chunks)).decode("latin-1"), add_special_tokens=False)
+        of = np.array(made.word_ids, dtype=np.int64)
+        if not len(of) or of[-1] + 1 != ends[-1]:
+            return  # each is asked for by itself then
+        packed = np.array(made.ids, dtype="<u4").tobytes()
+        at = [0, *(4 * np.searchsorted(of, ends)).tolist()]
+        for chunk, a, b in zip(chunks, at, at[1:], strict=True):
+            self[chunk] = self.value(packed[a:b])
+
     def _wide(self, chunk: str):
         if not self.library.lower and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
             raise _Blanks
@@ -173,12 +206,12 @@ class Chunks(dict):
         if plain is None:
             return self.wide_values(text)
         if self.library.lower:
-            return list(map(self.__getitem__, plain.split()))
+            return self.known(plain.split())
         first, *rest = plain.split(b" ")
         try:
             if not first or first[-1] in BLANK_BYTES:
                 raise _Blanks
-            return [self.value(self.words.encode(first)), *map(self.__getitem__, rest)]
+            return [self.value(self.words.encode(first)), *self.known(rest)]
         except _Blanks:
             return [self.value(self.words.encode(plain))]
 
