@@ -172,7 +172,7 @@ class Chunks(dict):
             return  # each is asked for by itself then
         packed = np.array(made.ids, dtype="<u4").tobytes()
         at = [0, *(4 * np.searchsorted(of, ends)).tolist()]
-        for chunk, a, b in zip(chunks, at, at[1:], strict=True):
+        for chunk, a, b in zip(chunks, at[:-1], at[1:], strict=True):
             self[chunk] = self.value(packed[a:b])
 
     def _wide(self, chunk: str):
