@@ -44,20 +44,6 @@ def test_texts_of_any_script_are_looked_up():
     assert len(calls) == len(set(calls)) <= 14
 
 
-@pytest.mark.parametrize("file", FILES)
-def test_missing_chunks_are_asked_for_together(file, monkeypatch):
-    rng = random.Random(6)
-    texts = [" ".join("".join(rng.choices("abcdeéß.,'!?3\n-", k=rng.randint(1, 9))).strip() or "x" for _ in range(80)) for _ in range(60)]
-    for most in (1 << 19, 100):
-        monkeypatch.setattr("tamiz.llm.tokens.CACHE", most)
-        table, calls = ids(LIBRARY[file]), []
-        learn = table.learn
-        table.learn = lambda chunks: calls.append(chunks) or learn(chunks)
-        for t in texts:
-            assert b"".join(table.values_of(t)) == pack(LIBRARY[file].ids(t))
-        assert len(calls) <= len(texts)
-
-
 def test_frequent_chunks_are_counted_over_all_texts(spark):
     rows = [(i, "Alpha alpha beta " + ("日本 日本" if i % 2 else "")) for i in range(40)] + [(50, None), (51, "gamma \x1d beta")]
     df = spark.createDataFrame(rows, DOCS).repartition(5)
