@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -77,7 +78,7 @@ class Library:
     def wide_words(self, text: str) -> bytes:
         """Ids of a normalised text, cut by the library's own rules."""
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
-        return b"".join([pack(t.id for t in self.tokenizer.model.tokenize(p)) for p, _ in pieces])
+        return b"".join([pack([t.id for t in self.tokenizer.model.tokenize(p)]) for p, _ in pieces])
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -92,6 +93,8 @@ def _byte_letters() -> list[str]:
 
 
 BYTE_LETTERS = _byte_letters()
+# The letters of each Latin-1 character.
+LETTERS_OF = ["".join([BYTE_LETTERS[b] for b in chr(i).encode()]) for i in range(256)]
 
 
 class _Blanks(Exception):
@@ -108,12 +111,13 @@ class PreTokens(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE:
             self.clear()
-        letters = "".join([BYTE_LETTERS[b] for b in word.decode("latin-1").encode()])
-        self[word] = packed = pack(t.id for t in self.library.tokenizer.model.tokenize(letters))
+        letters = "".join(map(LETTERS_OF.__getitem__, word))
+        self[word] = packed = pack([t.id for t in self.library.tokenizer.model.tokenize(letters)])
         return packed
 
     def encode(self, plain: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, self.library.pattern.findall(plain)))
+        words = self.library.pattern.findall(plain)
+        return self[words[0]] if len(words) == 1 else b"".join(map(self.__getitem__, words))
 
 
 class Chunks(dict):
@@ -191,8 +195,8 @@ def ids(library: Library) -> Chunks:
     return Chunks(library, {}, lambda packed: packed)
 
 
-def pack(numbers: Iterable[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in numbers)
+def pack(numbers: Sequence[int]) -> bytes:
+    return struct.pack(f"<{len(numbers)}I", *numbers)
 
 
 def chunk_counts(docs: DataFrame, text: str, path: str) -> DataFrame:
