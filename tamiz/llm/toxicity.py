@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -120,17 +121,25 @@ class CharacterModel:
         return math.log(p)
 
 
-def count_grams(words: Mapping[str, int]) -> list[tuple[str, int]]:
-    """Counts of the n-grams up to ORDER of words that stand between blanks, from the words and how often they come."""
-    if not words:
-        return []
+def count_grams(words: Mapping[str, int], part: int = 1 << 15) -> dict[str, int]:
+    """Counts of the n-grams up to ORDER of words that stand between blanks, from the words and how often they come;
+    ``part`` words at a time."""
+    out: Counter[str] = Counter()
+    names = iter(words)
+    while some := list(islice(names, part)):
+        for gram, n in _grams_of({w: words[w] for w in some}):
+            out[gram] += n
+    return out
+
+
+def _grams_of(words: Mapping[str, int]) -> list[tuple[str, int]]:
     joined = "".join([f" {w} \0" for w in words])
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
     alphabet, ids = np.unique(points, return_inverse=True)
     if len(alphabet) > 1 << 16:  # sixteen bits a letter below
         names = list(words)
         half = len(names) // 2
-        return count_grams({w: words[w] for w in names[:half]}) + count_grams({w: words[w] for w in names[half:]})
+        return _grams_of({w: words[w] for w in names[:half]}) + _grams_of({w: words[w] for w in names[half:]})
     weights = np.repeat(np.array(list(words.values()), dtype=np.int64), [len(w) + 3 for w in words])
     # What begins at each place, four letters long; behind the end of a word there are only separators.
     inside = ids.astype(np.uint64)
@@ -318,7 +327,7 @@ def survey(docs: DataFrame, text: str = "text") -> Corpus:
 
         def rows() -> pa.RecordBatch:
             tokens.update((w, False) for w in words if DOUBLED.search(w))
-            made = [(SPACED_OUT if s else PLAIN, t, 1) for t, s in tokens] + [(GRAM, g, n) for g, n in count_grams(words)]
+            made = [(SPACED_OUT if s else PLAIN, t, 1) for t, s in tokens] + [(GRAM, g, n) for g, n in count_grams(words).items()]
             words.clear()
             tokens.clear()
             kinds = zip((pa.int32(), pa.string(), pa.int64()), list(zip(*made, strict=True)) or [[]] * 3, strict=True)
@@ -531,7 +540,7 @@ class Scorer:
             for word in set(words).difference(self.idle):
                 found = self.read(word)
                 if not found:
-                    if len(self.idle) >= 4 * TABLE:
+                    if len(self.idle) >= TABLE:
                         self.idle.clear()
                     self.idle.add(word)
                     continue
