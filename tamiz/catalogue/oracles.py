@@ -644,3 +644,7 @@ ORACLES: dict[str, str] = {
 # The same rows found another way.
 ORACLES["knn_two_levels_distance_l2"] = ORACLES["knn_distance_l2"]
 ORACLES["score_unlabelled_index"] = ORACLES["score_unlabelled"]
+ORACLES["fit_statistics_268"] = """WITH cells AS (SELECT i, CASE WHEN (l_orderkey + i) % 11 > 0
+        THEN l_quantity * (i % 7 + 1) + l_extendedprice / (i + 1e0) END AS v FROM lineitem, range(268) t(i))
+    SELECT 'f' || i AS feature, count(*) AS n_rows, count(v) AS n, round(avg(v), 3) AS mean, round(stddev_samp(v), 3) AS std,
+        round(min(v), 3) AS min, round(max(v), 3) AS max FROM cells GROUP BY i"""

@@ -830,7 +830,19 @@ def fit_statistics_many(spark, folder):
     return statistics_table(many, [f"f{i}" for i in range(12)], 3)
 
 
+def fit_statistics_268(spark, folder):
+    """Moments and ranges of 268 features with gaps."""
+    lines = table(spark, folder, "lineitem")
+    cells = [
+        F.when((F.col("l_orderkey") + i) % 11 > 0, F.col("l_quantity") * F.lit(i % 7 + 1) + F.col("l_extendedprice") / F.lit(i + 1.0)).alias(f"f{i}")
+        for i in range(268)
+    ]
+    found = feature_statistics(lines.select(*cells), [f"f{i}" for i in range(268)]).drop("scope")
+    return rounded(found, "mean", "std", "min", "max", digits=3)
+
+
 QUERIES: dict[str, Query] = {
+    "fit_statistics_268": fit_statistics_268,
     "csv_codes_and_long_ids": csv_codes_and_long_ids,
     "report_csv_again": report_csv_again,
     "impute_mean_integers": impute_mean_integers,

@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+import sys
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.functions.columns import nan_to_null, quoted
+from tamiz.functions.columns import literal_array, nan_to_null, quoted
 from tamiz.functions.labels import lookup
 from tamiz.functions.running import running_totals
 
+# The functions that run in tasks travel with them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ALL_ROWS = "*"
-# Above this many features the aggregate is done on (feature, value) pairs: an aggregate with hundreds of
-# expressions is not compiled, and measured slower than the pairs.
+# Above this many features no aggregate of hundreds of expressions is made, which would not be compiled: moments are
+# added up in Arrow blocks, sketches over (feature, value) pairs.
 WIDE_TABLE = 8
 SKETCH_ACCURACY = 10_000
 
@@ -77,13 +84,10 @@ def _aggregates(value: Column) -> list[Column]:
 
 
 def feature_statistics(df: DataFrame, features: Sequence[str], split: str | None = None) -> DataFrame:
-    """(scope, feature, n_rows, n, mean, std, min, max): all features in one aggregate of one scan."""
+    """(scope, feature, n_rows, n, mean, std, min, max): all features in one scan, by one aggregate or, of many features,
+    by moments that each task adds up."""
     if len(features) > WIDE_TABLE:
-        return (
-            unpivot(df, features, split, "double")
-            .groupBy("scope", "feature")
-            .agg(F.count(F.lit(1)).alias("n_rows"), *_aggregates(F.col("value")))
-        )
+        return _merged(_moments(df, features, split), features)
     names = ["n", "mean", "std", "min", "max"]
     columns = [F.count(F.lit(1)).alias("n_rows")]
     for i, c in enumerate(features):
@@ -101,6 +105,93 @@ def feature_statistics(df: DataFrame, features: Sequence[str], split: str | None
     return wide.select("scope", F.explode(long).alias("s")).select("scope", "s.*")
 
 
+def _moments(df: DataFrame, features: Sequence[str], split: str | None) -> DataFrame:
+    """(scope, feature, n_rows, n, mean, m2, min, max), a row per task, scope and feature (its place): rows become blocks
+    of numbers and are never multiplied by the features."""
+    columns = [quoted(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]
+    schema = "scope string, feature int, n_rows long, n long, mean double, m2 double, min double, max double"
+
+    def of_block(x: np.ndarray) -> Moments:
+        there = ~np.isnan(x)
+        n = there.sum(axis=0)
+        mean = np.divide(np.where(there, x, 0.0).sum(axis=0), n, out=np.zeros(x.shape[1]), where=n > 0)
+        with np.errstate(invalid="ignore"):
+            m2 = np.square(np.where(there, x - mean, 0.0)).sum(axis=0)
+        low, high = (f(np.where(there, x, e), axis=0, initial=e) for f, e in ((np.min, np.inf), (np.max, -np.inf)))
+        return Moments(len(x), n, mean, m2, low, high)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str | None, Moments] = {}
+        for batch in batches:
+            scopes = batch.column(0).dictionary_encode()
+            at = scopes.indices.fill_null(-1).to_numpy()
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], axis=1)
+            for code in np.unique(at).tolist():
+                scope = scopes.dictionary[code].as_py() if code >= 0 else None
+                own = of_block(x[at == code])
+                total[scope] = total[scope].plus(own) if scope in total else own
+        for scope, m in total.items():
+            k = len(features)
+            known = m.n > 0
+            arrays = [pa.array([scope] * k, pa.string()), pa.array(np.arange(k, dtype=np.int32)), pa.array([m.rows] * k, pa.int64())]
+            arrays += [pa.array(m.n), *[pa.array(v, mask=~known) for v in (m.mean, m.m2, m.low, m.high)]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["scope", "feature", "n_rows", "n", "mean", "m2", "min", "max"])
+
+    return df.select(_scope(split), *columns).mapInArrow(run, schema)
+
+
+@dataclass(frozen=True)
+class Moments:
+    rows: int
+    n: np.ndarray
+    mean: np.ndarray
+    m2: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def plus(self, other: Moments) -> Moments:
+        n = self.n + other.n
+        step, share = other.mean - self.mean, np.divide(other.n, n, out=np.zeros(len(n)), where=n > 0)
+        return Moments(
+            self.rows + other.rows,
+            n,
+            np.where(other.n > 0, self.mean + step * share, self.mean),
+            self.m2 + other.m2 + step * step * self.n * share,
+            np.minimum(self.low, other.low),
+            np.maximum(self.high, other.high),
+        )
+
+
+def _merged(parts: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The parts of all tasks as one, in an order that does not depend on them: a list has as many as there are tasks."""
+    part = F.when(F.col("n") > 0, F.struct(F.col("n").cast("double").alias("n"), "mean", "m2"))
+    grouped = parts.groupBy("scope", "feature").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n").alias("n"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        F.sort_array(F.collect_list(part)).alias("parts"),
+    )
+    none = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def plus(a: Column, b: Column) -> Column:
+        n, step = a["n"] + b["n"], b["mean"] - a["mean"]
+        mean, m2 = a["mean"] + step * (b["n"] / n), a["m2"] + b["m2"] + step * step * a["n"] * (b["n"] / n)
+        return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
+
+    whole = grouped.withColumn("whole", F.aggregate("parts", none, plus))
+    return whole.select(
+        "scope",
+        literal_array(features, "string")[F.col("feature")].alias("feature"),
+        "n_rows",
+        "n",
+        F.when(F.col("n") > 0, F.col("whole.mean")).alias("mean"),
+        F.when(F.col("n") > 1, F.sqrt(F.col("whole.m2") / (F.col("n") - 1))).alias("std"),
+        "min",
+        "max",
+    )
+
+
 def collect_statistics(
     df: DataFrame, features: Sequence[str], split: str | None = None
 ) -> dict[str, dict[str, FeatureStats]]:

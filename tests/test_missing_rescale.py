@@ -165,3 +165,24 @@ def test_filled_statistics_in_closed_form():
     values = [1.0, 2.0, 3.0, 7.0, 7.0]
     assert (s.n, s.min, s.max) == (5, 1.0, 7.0)
     assert s.mean == pytest.approx(statistics.mean(values)) and s.std == pytest.approx(statistics.stdev(values))
+
+
+def test_moments_of_wide_tables(rows):
+    """Many features, gaps, splits, a large mean with a small spread; the same for every layout."""
+    wide = [f"f{i}" for i in range(12)]
+    schema = "part string, " + ", ".join(f"{c} double" for c in wide)
+    data = [("a" if i % 3 else "b", *[None if (i + j) % 4 == 0 else 1e9 + i * 0.5 + j for j in range(10)], float("nan"), 7.0) for i in range(50)]
+    for partitions in (1, 4, 17):
+        found = collect_statistics(rows(schema, data, partitions), wide, "part")
+        for scope in ("a", "b"):
+            own = [r for r in data if r[0] == scope]
+            for j in range(10):
+                values = [r[j + 1] for r in own if r[j + 1] is not None]
+                mean = math.fsum(values) / len(values)
+                std = math.sqrt(math.fsum((v - mean) ** 2 for v in values) / (len(values) - 1))
+                s = found[scope][f"f{j}"]
+                assert (s.n_rows, s.n, s.min, s.max) == (len(own), len(values), min(values), max(values))
+                assert s.mean == pytest.approx(mean, rel=1e-14) and s.std == pytest.approx(std, rel=1e-7)
+            assert found[scope]["f10"] == FeatureStats(len(own), 0, None, None, None, None)
+            assert found[scope]["f11"] == FeatureStats(len(own), len(own), 7.0, 0.0, 7.0, 7.0)
+    assert collect_statistics(rows(schema, []), wide) == {}
