@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, fields
 
 import numpy as np
@@ -9,8 +10,11 @@ import pyarrow as pa
 
 # Distances are compared at this many significant digits, whatever their scale.
 DIGITS = 12
-# Distances held at a time.
+# Distances held at a time, and those of a block that stay in a core's cache while features are added up.
 TILE = 2_000_000
+BLOCK = 262_144
+# Vectors of more features are first compared roughly: by a matrix product, or in single precision.
+ROUGH_FEATURES = 8
 # Rows looked at first to bound a ring, and the most features for which that pays.
 RING_LOOK = 512
 RING_FEATURES = 16
@@ -60,41 +64,117 @@ def significant(x: np.ndarray) -> np.ndarray:
 def _squared_by_product(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
     """Squared Euclidean distances through a matrix product, with a bound of their error."""
     na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
-    return na[:, None] + nb[None, :] - 2.0 * (a @ b.T), 1e-12 * float(na.max() + nb.max())
+    out = a @ b.T
+    out *= -2.0
+    out += na[:, None]
+    out += nb[None, :]
+    return out, 1e-12 * float(na.max() + nb.max())
+
+
+def _in_single_precision(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
+    """Manhattan distances of single precision, with a bound of their error (infinite if they do not fit)."""
+    centre = b[0]
+    a, b = a - centre, b - centre
+    largest = float(np.abs(a).sum(axis=1).max() + np.abs(b).sum(axis=1).max())
+    if not 1e-20 < largest < 1e30:
+        return np.zeros((len(a), len(b)), dtype=np.float32), math.inf
+    left, right = (np.ascontiguousarray(x.T, dtype=np.float32) for x in (a, b))
+    out, step = np.zeros((len(a), len(b)), dtype=np.float32), np.empty((len(a), len(b)), dtype=np.float32)
+    for x, y in zip(left, right):
+        np.subtract.outer(x, y, out=step)
+        np.abs(step, out=step)
+        out += step
+    return out, 2.0**-22 * (len(left) + 2) * largest
+
+
+def _close(q: np.ndarray, t: np.ndarray, k: int, p: int, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query position, row position): every row that could round to a distance within ``limit``, which shrinks in place
+    to what k rows of this block lie within."""
+    many = 4 * k * len(q)
+    if q.shape[1] > ROUGH_FEATURES:
+        if p == 2:
+            near, error = _squared_by_product(q, t)
+
+            def within() -> np.ndarray:
+                return near <= (np.square(limit) + 2 * error)[:, None]
+
+        else:
+            near, error = _in_single_precision(q, t)
+
+            def within() -> np.ndarray:
+                return near <= np.minimum(limit + 2 * error, 1e38).astype(np.float32)[:, None]
+
+        close = within()
+        if math.isfinite(error) and np.count_nonzero(close) > many and len(t) >= k:
+            kth = np.partition(near, k - 1, axis=1)[:, k - 1].astype(np.float64) + error
+            np.minimum(limit, widened(np.sqrt(np.maximum(kth, 0.0)) if p == 2 else kth), out=limit)
+            close = within()
+        # Where values are large beside their differences, rough distances tell nothing.
+        if np.count_nonzero(close) <= 4 * many:
+            return np.nonzero(close)
+    near = pair_distances(q, t, p)
+    close = near <= limit[:, None]
+    if np.count_nonzero(close) > many and len(t) >= k:
+        np.minimum(limit, widened(np.partition(near, k - 1, axis=1)[:, k - 1]), out=limit)
+        close = near <= limit[:, None]
+    return np.nonzero(close)
+
+
+def k_first(rows: np.ndarray, distance: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k nearest hits of each row, by row and rank; equal distances by id."""
+    order = np.lexsort((ids, distance, rows))
+    mine = rows[order]
+    return order[np.arange(len(mine)) - np.searchsorted(mine, mine) < k]
+
+
+def shrink(reach: np.ndarray, rows: np.ndarray, distance: np.ndarray, k: int) -> None:
+    """Lower ``reach`` in place to the k-th distance of rows with k hits, which are ordered by row and rank."""
+    full = np.flatnonzero(np.bincount(rows, minlength=len(reach)) >= k)
+    reach[full] = np.minimum(reach[full], distance[np.searchsorted(rows, full) + k - 1])
 
 
 def nearest_in_block(
-    queries: np.ndarray, train: np.ndarray, ids: np.ndarray, k: int, p: int
+    queries: np.ndarray, train: np.ndarray, ids: np.ndarray, k: int, p: int, reach: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query position, training position, rounded distance), the k nearest per query in rank order."""
+    """(query position, training position, rounded distance), the k nearest per query in rank order. With ``reach``
+    farther rows may be left out."""
     parts = []
     k = min(k, len(train))
-    tile = max(1, TILE // max(1, len(train)))
-    for start in range(0, len(queries) if k else 0, tile):
-        q = queries[start : start + tile]
-        if p == 2 and q.shape[1] > 8:
-            near, error = _squared_by_product(q, train)
-            kth = np.sqrt(np.maximum(np.partition(near, k - 1, axis=1)[:, k - 1], 0.0) + error)
-            # Everything that could round to the k-th distance; the exact distance decides below.
-            rows, cols = np.nonzero(near <= (np.square(kth * (1 + 1e-10)) + 2 * error)[:, None])
-        else:
-            near = pair_distances(q, train, p)
-            kth = np.partition(near, k - 1, axis=1)[:, k - 1]
-            rows, cols = np.nonzero(near <= (kth * (1 + 1e-10))[:, None])
-        step = q[rows] - train[cols]
-        exact = np.abs(step).sum(axis=1) if p == 1 else np.sqrt(np.square(step).sum(axis=1))
-        exact = significant(exact)
-        order = np.lexsort((ids[cols], exact, rows))
-        rows, cols, exact = rows[order], cols[order], exact[order]
-        first = np.searchsorted(rows, np.arange(len(q)))
-        keep = np.arange(len(rows)) - first[rows] < k
-        parts.append((rows[keep] + start, cols[keep], exact[keep]))
+    for start in range(0, len(queries) if k else 0, 1024):
+        q = queries[start : start + 1024]
+        limit = np.full(len(q), np.inf) if reach is None else widened(reach[start : start + 1024])
+        held, size = [], 0
+        step = max(k, BLOCK // len(q))
+        for low in range(0, len(train), step):
+            t = train[low : low + step]
+            rows, cols = _close(q, t, k, p, limit)
+            if not len(rows):
+                continue
+            gap = q[rows] - t[cols]
+            exact = np.abs(gap).sum(axis=1) if p == 1 else np.sqrt(np.square(gap).sum(axis=1))
+            held.append((rows, cols + low, significant(exact)))
+            size += len(rows)
+            if size > 4 * k * len(q):
+                held = [_merged(held, ids, k, limit)]
+                size = len(held[0][0])
+        if held:
+            rows, cols, exact = _merged(held, ids, k, limit)
+            parts.append((rows + start, cols, exact))
     if not parts:
         empty = np.empty(0, dtype=np.int64)
         return empty, empty, np.empty(0)
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def _merged(held: list[tuple], ids: np.ndarray, k: int, limit: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The k nearest of the hits (query, row, distance) held so far; they lower the limit in place."""
+    rows, cols, exact = (np.concatenate(x) for x in zip(*held))
+    best = k_first(rows, exact, ids[cols], k)
+    rows, cols, exact = rows[best], cols[best], exact[best]
+    shrink(limit, rows, widened(exact), k)
+    return rows, cols, exact
+
+
 def ring_bound(to_pivot: np.ndarray, radius: np.ndarray) -> np.ndarray:
     """[query, cell]: no row of a cell is nearer, by its smallest and largest distance to the pivot."""
     return np.maximum(radius[:, 0] - to_pivot, to_pivot - radius[:, 1])
@@ -124,14 +204,13 @@ class Summary:
     def part(self, a: int, b: int) -> Summary:
         return Summary(*(getattr(self, f.name)[a:b] for f in fields(self)))
 
-    def possible(self, queries: np.ndarray, reach: np.ndarray, p: int, home: int | None) -> np.ndarray:
-        """[query, cell]: whether the cell can hold a row within ``reach``. ``home``: a cell among these whose rows
-        would have gone to any of the others if its pivot were nearer."""
+    def possible(self, queries: np.ndarray, reach: np.ndarray, p: int, to_home: np.ndarray) -> np.ndarray:
+        """[query, cell]: whether the cell can hold a row within ``reach``. ``to_home``: how far a pivot is to which the
+        rows of these cells would have gone if it were nearer; infinite if there is none."""
         to_pivot = pair_distances(queries, self.pivots, p)
         bound = np.maximum(ring_bound(to_pivot, self.radius), box_bound(queries, self.low, self.high, p))
-        if home is not None:
-            # A row of a cell is nearer to its own pivot than to the home pivot.
-            np.maximum(bound, (to_pivot - to_pivot[:, home, None]) / 2, out=bound)
+        # A row of a cell is nearer to its own pivot than to the home pivot.
+        np.maximum(bound, (to_pivot - to_home[:, None]) / 2, out=bound)
         # Differences of large distances are known to their last digits only.
         return (bound - 1e-12 * to_pivot <= widened(reach)[:, None]) & (self.counts > 0)
 
@@ -153,7 +232,7 @@ class Cells:
         """(cell, distance to its pivot, top, distance to its pivot) of each point."""
         top, r_top = nearest_pivot(points, self.tops.pivots, p)
         cell, r = np.empty(len(points), dtype=np.int64), np.empty(len(points))
-        for t, rows in _groups(top):
+        for t, rows in groups(top):
             a, b = self.starts[t], self.starts[t + 1]
             if b - a == 1:
                 cell[rows] = a
@@ -172,44 +251,58 @@ class Cells:
             d = pair_distances(queries[start : start + step], self.tops.pivots, p)
             # Some top holds k rows within this distance.
             reach[start : start + step] = (d + self.tops.kth).min(axis=1)
-        for t, rows in _groups(top):
+        for t, rows in groups(top):
             own = self.leaves.part(self.starts[t], self.starts[t + 1])
             if len(own.pivots) > 1:
                 d = pair_distances(queries[rows], own.pivots, p)
                 reach[rows] = np.minimum(reach[rows], (d + own.kth).min(axis=1))
         return cell, reach
 
-    def others(self, queries: np.ndarray, reach: np.ndarray, home: int, p: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query position, cell) pairs outside the home cell that can hold a row within ``reach``."""
+    def others(
+        self, queries: np.ndarray, reach: np.ndarray, homes: np.ndarray, p: int, low: int = 0, high: int | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(query position, cell) pairs outside the home cells that can hold a row within ``reach``, among the cells
+        from ``low`` up to ``high``."""
+        high = len(self.leaves.pivots) if high is None else high
         rows, cols = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
-        home_top = int(np.searchsorted(self.starts, home, side="right")) - 1
-        step = max(1, TILE // len(self.tops.pivots))
+        first, last = np.searchsorted(self.starts, [low, high - 1], side="right") - 1
+        home_top = np.searchsorted(self.starts, homes, side="right") - 1
+        to_leaf, to_top = _to_own(queries, self.leaves.pivots, homes, p), _to_own(queries, self.tops.pivots, home_top, p)
+        step = max(1, TILE // (last + 1 - first))
         for start in range(0, len(queries), step):
-            q, within = queries[start : start + step], reach[start : start + step]
-            tops = self.tops.possible(q, within, p, home_top)
-            for t in np.flatnonzero(tops.any(axis=0)).tolist():
-                a, b = int(self.starts[t]), int(self.starts[t + 1])
-                if b - a == 1 and t == home_top:
-                    continue
-                asking = np.flatnonzero(tops[:, t])
-                if b - a == 1:
-                    rows.append(asking + start)
-                    cols.append(np.full(len(asking), a))
-                    continue
+            tile = slice(start, start + step)
+            tops = self.tops.part(first, last + 1).possible(queries[tile], reach[tile], p, to_top[tile])
+            if len(self.tops.pivots) == len(self.leaves.pivots):
+                r, c = np.nonzero(tops)
+                rows.append(r + start)
+                cols.append(c + first)
+                continue
+            for t in (np.flatnonzero(tops.any(axis=0)) + first).tolist():
+                a, b = max(low, int(self.starts[t])), min(high, int(self.starts[t + 1]))
+                asking = np.flatnonzero(tops[:, t - first]) + start
                 own = self.leaves.part(a, b)
                 part = max(1, TILE // (b - a))
-                for low in range(0, len(asking), part):
-                    some = asking[low : low + part]
-                    near = own.possible(q[some], within[some], p, home - a if t == home_top else None)
-                    if t == home_top:
-                        near[:, home - a] = False
-                    r, c = np.nonzero(near)
-                    rows.append(some[r] + start)
+                for at in range(0, len(asking), part):
+                    some = asking[at : at + part]
+                    to_home = np.where(home_top[some] == t, to_leaf[some], np.inf)
+                    r, c = np.nonzero(own.possible(queries[some], reach[some], p, to_home))
+                    rows.append(some[r])
                     cols.append(c + a)
-        return np.concatenate(rows), np.concatenate(cols)
+        rows, cols = np.concatenate(rows), np.concatenate(cols)
+        away = cols != homes[rows]
+        return rows[away], cols[away]
+
+
+def _to_own(queries: np.ndarray, pivots: np.ndarray, own: np.ndarray, p: int) -> np.ndarray:
+    """Distance of each query to the pivot named for it."""
+    out = np.zeros(len(queries))
+    for j in range(queries.shape[1]):
+        gap = queries[:, j] - pivots[own, j]
+        out += np.abs(gap) if p == 1 else gap * gap
+    return out if p == 1 else np.sqrt(out)
 
 
-def _groups(of: np.ndarray) -> list[tuple[int, np.ndarray]]:
+def groups(of: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(value, positions) of each value."""
     order = np.argsort(of, kind="stable")
     values, first = np.unique(of[order], return_index=True)
@@ -264,7 +357,7 @@ def nearest_by_ring(
         span = widened(reach[tile]) + 1e-9 * np.abs(to_pivot[tile])
         a = np.searchsorted(r, (to_pivot[tile] - span).min(), side="left")
         b = np.searchsorted(r, (to_pivot[tile] + span).max(), side="right")
-        i, t, d = nearest_in_block(q, train[a:b], ids[a:b], k, p)
+        i, t, d = nearest_in_block(q, train[a:b], ids[a:b], k, p, reach[tile])
         parts.append((tile[i], t + a, d))
     rows, cols, distance = (np.concatenate(x) for x in zip(*parts))
     # Back to query order; rank order within a query stays.

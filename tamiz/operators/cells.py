@@ -6,9 +6,11 @@ cells. What is known of the cells (radii, bounding boxes, where k rows lie) stay
 tasks; the points are a table by cell.
 
 A query first meets the cell it falls into. With the distance found there, triangle inequality and boxes tell which
-other cells can hold a nearer row, and only these (query, cell) pairs are shuffled. The rows of a cell come first in
-their task and its queries stream past them, so a cell's rows are sent once, however many queries there are; only a
-cell that a million queries meet is sent again for each further million.
+other cells can hold a nearer row. Cells are sent by shelves: runs of neighbouring cells of bounded size, whose number
+does not grow with the table as long as they fit a task. A query is sent once to each shelf with a cell that it must
+meet, however many cells of the shelf these are, and sends back only what lies within its bound. The rows of a shelf
+come first in their task and the queries stream past them; they are sent again only where one task would have too many
+distances to compute.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import json
 import math
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,18 @@ from pyspark.sql import types as T
 
 from tamiz.functions import distances
 from tamiz.functions.columns import literal_array, quoted
-from tamiz.functions.distances import Cells, Summary, by_ring, matrix, nearest_by_ring, nearest_pivot
+from tamiz.functions.distances import (
+    TILE,
+    Cells,
+    Summary,
+    groups,
+    k_first,
+    matrix,
+    nearest_by_ring,
+    nearest_pivot,
+    shrink,
+    widened,
+)
 from tamiz.functions.hashing import row_hash
 from tamiz.session import materialise
 from tamiz.sources.sinks import read_text, write_text
@@ -37,6 +50,9 @@ from tamiz.sources.sinks import read_text, write_text
 cloudpickle.register_pickle_by_value(distances)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Blocks of rows and queries aimed at for each core, and rows that are not worth a block of their own.
+BLOCKS_A_CORE = 3
+FEW_ROWS = 1_024
 NEIGHBOURS = T.ArrayType(
     T.StructType(
         [
@@ -70,10 +86,13 @@ class SearchLimits:
     flat_pivots: int = 2_048
     # Cells have bounding boxes up to this many features.
     boxed_features: int = 32
-    # Rows of a cell that one task holds, also in cells of the matrix (32 MB), and queries that stream past them.
+    # Rows that one task holds and queries that stream past them. A search sizes both by its tables (``grown``), so that
+    # the number of blocks and with it the copies sent do not grow with them, up to these cells of the matrix of rows
+    # (32 MB) and this many distance terms of a block.
     block_train: int = 32_768
     block_queries: int = 1_048_576
     block_cells: int = 4_194_304
+    block_work: float = 2e11
 
 
 def lists(n: int, rows: np.ndarray, values: pa.Array) -> pa.ListArray:
@@ -247,61 +266,103 @@ def build_index(points: DataFrame, n: int, width: int, k: int, p: int, limits: S
 
 
 def blocks(counts: np.ndarray, asked: np.ndarray, width: int, limits: SearchLimits) -> tuple[np.ndarray, np.ndarray]:
-    """(blocks of the rows, blocks of the queries) of each cell. A row is sent once for each block of queries, which
+    """(blocks of the rows, blocks of the queries) of each shelf. A row is sent once for each block of queries, which
     stream and so may be many; a query once for each block of rows."""
     rows = max(1, min(limits.block_train, limits.block_cells // max(1, width)))
-    return np.ceil(counts / rows).astype(int), np.ceil(asked / limits.block_queries).astype(int)
+    t_blocks = np.ceil(counts / rows).astype(int)
+    held = np.maximum(1, np.ceil(counts / np.maximum(1, t_blocks))) * max(1, width)
+    return t_blocks, np.ceil(asked / np.clip(limits.block_work // held, 1, limits.block_queries)).astype(int)
+
+
+def grown(limits: SearchLimits, n: int, n_queries: int, asked: int, work: float, parallelism: int) -> SearchLimits:
+    """``limits`` with blocks for a table of ``n`` rows: some for each core, whatever the size, instead of more with every
+    row, cut so that rows and queries are copied alike. ``asked``: the queries of the busiest shelf; ``work``: all
+    distance terms."""
+    some = BLOCKS_A_CORE * parallelism
+    cuts = max(1.0, math.sqrt(some * n / max(1, n_queries)))
+    return replace(
+        limits,
+        block_train=max(min(limits.block_train, FEW_ROWS), math.ceil(n / cuts)),
+        block_queries=max(limits.block_queries, math.ceil(asked / max(1.0, some / cuts))),
+        block_work=max(limits.task_work, min(limits.block_work, work / some)),
+    )
+
+
+def shelves(counts: np.ndarray, rows: int) -> np.ndarray:
+    """First cell of each run of neighbouring cells that together have at most so many rows, or are one cell; and the
+    end."""
+    starts, held = [0], 0
+    for cell, n in enumerate(counts.tolist()):
+        if held + n > rows and cell > starts[-1]:
+            starts.append(cell)
+            held = 0
+        held += n
+    return np.array([*starts, len(counts)])
 
 
-def _by_cell(
-    index: NeighbourIndex, asked: DataFrame, key: str, k: int, onward: bool, limits: SearchLimits
+def _by_shelf(
+    index: NeighbourIndex, starts: np.ndarray, asked: DataFrame, key: str, k: int, onward: bool, n_queries: int, limits: SearchLimits
 ) -> DataFrame:
-    """Nearest rows of a cell for the queries ``asked`` (key, features, reach, cell) of it: (key, neighbours) and, with
-    ``onward``, (features, reach, cells): the other cells to ask."""
-    counts = index.cells.leaves.counts
-    n_asked = np.zeros(len(counts), dtype=np.int64)
-    sizes = asked.groupBy("cell").count().toArrow()
-    n_asked[sizes["cell"].to_numpy()] = sizes["count"].to_numpy()
+    """Nearest rows for the queries ``asked`` (key, features, reach, cell, shelf, low, high) among cells of a shelf:
+    (key, neighbours), all that lie within the reach and can be among the k nearest.
+
+    With ``onward`` in the cell of the query, and with (features, reach, cell, shelves, low, high): the other shelves to
+    ask, and the first and last cell to meet there. Without, in all cells that can hold a row within the reach but
+    the query's own."""
+    spark, p, parallelism = index.points.sparkSession, index.p, index.points.sparkSession.sparkContext.defaultParallelism
+    counts = np.add.reduceat(index.cells.leaves.counts, starts[:-1])
     width = index.cells.leaves.pivots.shape[1]
-    t_blocks, q_blocks = blocks(counts, n_asked, width, limits)
-    met = np.flatnonzero(n_asked)
+    sizes = asked.groupBy("shelf").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    sizes = sizes.toArrow()
+    n_asked = np.zeros(len(counts), dtype=np.int64)
+    n_asked[sizes["shelf"].to_numpy()] = sizes["n"].to_numpy()
+    total = float((counts.astype(float) * n_asked).sum()) * width
+    sized = grown(limits, int(counts.sum()), n_queries, int(n_asked.max(initial=0)), total, parallelism)
+    t_blocks, q_blocks = blocks(counts, n_asked, width, sized)
     points = index.points
-    if len(met) and met[-1] - met[0] + 1 < len(counts):
-        # Statistics of the files tell which of them hold such cells.
-        points = points.where(F.col("cell").between(int(met[0]), int(met[-1])))
-    split = _block_numbers(index.points.sparkSession, t_blocks, q_blocks, met, limits)
+    if len(sizes):
+        low, high = int(min(sizes["low"].to_pylist())), int(max(sizes["high"].to_pylist()))
+        if high - low + 1 < len(index.cells.leaves.counts):
+            # Statistics of the files tell which of them hold such cells.
+            points = points.where(F.col("cell").between(low, high))
+    # Blocks are much work and few bytes: partitions by distances to compute, not by bytes. They are dealt in turn.
+    n_blocks = t_blocks * q_blocks
+    work = math.ceil(total / limits.task_work)
+    tasks = int(min(limits.tasks, max(1, n_blocks.sum()), max(work, BLOCKS_A_CORE * parallelism)))
+    before = np.cumsum(n_blocks) - n_blocks
+    shelf_of = np.repeat(np.arange(len(counts)), np.diff(starts))
+    by_cell = _numbers(spark, "cell", {"shelf": shelf_of, "tn": t_blocks[shelf_of], "qn": q_blocks[shelf_of], "before": before[shelf_of]}, limits)
+    by_shelf = _numbers(spark, "shelf", {"tn": t_blocks, "qn": q_blocks, "before": before}, limits)
 
     def copies(count: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), count - 1))
 
+    place = ["shelf", "tb", "qb"]
+    part = F.pmod(F.col("before") + F.col("tb") * F.col("qn") + F.col("qb"), F.lit(tasks)).cast("int").alias("part")
     rows = (
-        split(points)
+        by_cell(points)
         .where(F.col("qn") > 0)
         .withColumn("tb", F.pmod(F.xxhash64("train_id"), F.col("tn")).cast("int"))
-        .select("cell", "tb", copies(F.col("qn")).alias("qb"), F.lit(False).alias("asks"), F.col("train_id").alias("id"),
-                "label", "features", "r", F.lit(False).alias("routes"))
+        .withColumn("qb", copies(F.col("qn")))
+        .select(part, *place, F.lit(False).alias("asks"), F.col("train_id").alias("id"), "label", "features", "r", "cell",
+                F.lit(False).alias("routes"))
     )
     hashed = F.xxhash64(quoted(key))
     queries = (
-        split(asked)
+        by_shelf(asked)
         .withColumn("qb", F.pmod(hashed, F.col("qn")).cast("int"))
-        .select("cell", copies(F.col("tn")).alias("tb"), "qb", F.lit(True).alias("asks"), quoted(key).alias("id"),
-                F.lit(0).cast("long").alias("label"), "features", F.col("reach").alias("r"), F.pmod(hashed, F.col("tn")).cast("int").alias("own"))
-        # One block of the cell sends its queries on: the bound of any block is good enough.
-        .withColumn("routes", F.col("tb") == F.col("own")).drop("own")
+        # One block of the shelf sends its queries on: the bound of any block is good enough.
+        .withColumn("own", F.pmod(hashed, F.col("tn")).cast("int"))
+        .withColumn("tb", copies(F.col("tn")))
+        .select(part, *place, F.lit(True).alias("asks"), quoted(key).alias("id"), F.lit(0).cast("long").alias("label"),
+                "features", F.col("reach").alias("r"), "cell", (F.col("tb") == F.col("own")).alias("routes"))
     )
-    # Blocks are much work and few bytes: partitions by distances to compute, not by bytes.
-    spark = index.points.sparkSession
-    work = math.ceil(float((counts.astype(float) * n_asked).sum()) * width / limits.task_work)
-    least = 3 * spark.sparkContext.defaultParallelism
-    tasks = int(min(limits.tasks, max(1, (t_blocks * q_blocks).sum()), max(work, least)))
-    place = ["cell", "tb", "qb"]
-    streams = rows.unionByName(queries).repartition(tasks, *place).sortWithinPartitions(*place, "asks")
-    shared = spark.sparkContext.broadcast(index.cells)
-    p = index.p
+    streams = rows.unionByName(queries).repartitionById(tasks, F.col("part"))
+    streams = streams.drop("part").sortWithinPartitions(*place, "asks", "cell")
+    shared = spark.sparkContext.broadcast((index.cells, starts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, block, held, ready = shared.value, None, [], None
+        (cells, starts), block, held, ready = shared.value, None, [], None
         for batch in batches:
             for mine, part in _stretches(batch):
                 if mine[:3] != block:
@@ -310,90 +371,153 @@ def _by_cell(
                     held.append(part)
                     continue
                 if ready is None:
-                    ready, held = _ordered(held, len(cells.leaves.pivots[0])), []
-                t, r, ids, labels = ready
+                    ready, held = _ordered(held, cells.leaves.pivots.shape[1]), []
                 q, reach = matrix(part.column("features")), part.column("r").to_numpy().copy()
-                i, j, d = nearest_by_ring(q, t, r, ids, cells.leaves.pivots[block[0]], k, p, reach)
+                homes = part.column("cell").to_numpy().astype(np.int64)
+                if onward:
+                    i, d, ids, labels = _met(ready, q, reach, np.arange(len(q)), homes, cells, k, p)
+                else:
+                    a, b = int(starts[block[0]]), int(starts[block[0] + 1])
+                    found = []
+                    for at in _tiles(len(q), b - a):
+                        rows, cols = cells.others(q[at], reach[at], homes[at], p, a, b)
+                        found.append(_met(ready, q, reach, rows + at.start, cols, cells, k, p))
+                    i, d, ids, labels = (np.concatenate(x) for x in zip(*found))
                 names = ["id", "neighbours"]
-                out = [part.column("id"), neighbour_lists(len(q), i, d, ids[j], labels[j])]
+                out = [part.column("id"), neighbour_lists(len(q), i, d, ids, labels)]
                 if onward:
-                    full = np.flatnonzero(np.bincount(i, minlength=len(q)) == k)
-                    last = np.searchsorted(i, full, side="right") - 1
-                    reach[full] = np.minimum(reach[full], d[last])
+                    names += ["features", "reach", "cell", "shelves", "low", "high"]
                     routes = part.column("routes").to_numpy(zero_copy_only=False)
-                    rows, others = cells.others(q[routes], reach[routes], block[0], p)
-                    rows = np.flatnonzero(routes)[rows]
-                    order = np.argsort(rows, kind="stable")
-                    names += ["features", "reach", "cells"]
-                    out += [part.column("features"), pa.array(reach), lists(len(q), rows[order], pa.array(others[order].astype(np.int32)))]
+                    out += [part.column("features"), pa.array(reach), part.column("cell")]
+                    out += _onward(q, reach, homes, np.flatnonzero(routes), cells, starts, p)
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
     schema = [T.StructField("id", T.LongType()), T.StructField("neighbours", NEIGHBOURS)]
     if onward:
-        schema += T._parse_datatype_string("features array<double>, reach double, cells array<int>").fields
+        added = "features array<double>, reach double, cell int, shelves array<int>, low int, high int"
+        schema += T._parse_datatype_string(added).fields
     return streams.mapInArrow(run, T.StructType(schema)).withColumnRenamed("id", key)
 
 
-def _block_numbers(spark: SparkSession, t_blocks: np.ndarray, q_blocks: np.ndarray, met: np.ndarray, limits: SearchLimits):
-    """A function that adds (tn, qn), the blocks of the row's cell, to a table; qn is 0 for cells that no query meets."""
-    if len(t_blocks) <= limits.flat_pivots:
-        t_of = literal_array(t_blocks.tolist(), "int")[F.col("cell")]
-        q_of = literal_array(q_blocks.tolist(), "int")[F.col("cell")]
-        return lambda df: df.withColumn("tn", t_of).withColumn("qn", q_of)
-    table = pa.table({"cell": pa.array(met.astype(np.int32)), "tn": pa.array(t_blocks[met].astype(np.int32)), "qn": pa.array(q_blocks[met].astype(np.int32))})
+def _tiles(n: int, cells: int) -> Iterator[slice]:
+    """Ranges of queries for which all pairs with so many cells can be held."""
+    step = max(1, TILE // max(1, cells))
+    return (slice(start, min(n, start + step)) for start in range(0, n, step))
+
+
+def _met(
+    block: tuple[np.ndarray, ...], q: np.ndarray, reach: np.ndarray, rows: np.ndarray, cols: np.ndarray, cells: Cells, k: int, p: int
+) -> tuple[np.ndarray, ...]:
+    """(query position, distance, id, label), by query and rank, of the rows that the pairs (query position, cell) find
+    in the block within ``reach``, which shrinks in place to what k rows of a cell lie within."""
+    points, r, ids, labels, cell = block
+    held, size = [(np.empty(0, dtype=np.int64), np.empty(0), ids[:0], labels[:0])], 0
+    for c, pairs in groups(cols):
+        a, b = np.searchsorted(cell, [c, c + 1])
+        mine = rows[pairs]
+        i, j, d = nearest_by_ring(q[mine], points[a:b], r[a:b], ids[a:b], cells.leaves.pivots[c], k, p, reach[mine])
+        i = mine[i]
+        keep = d <= widened(reach[i])
+        i, j, d = i[keep], j[keep] + a, d[keep]
+        if len(i):
+            shrink(reach, i, d, k)
+            held.append((i, d, ids[j], labels[j]))
+            size += len(i)
+            if size > TILE:
+                held = [_best(held, k)]
+                size = len(held[0][0])
+    i, d, ids, labels = _best(held, k)
+    keep = d <= widened(reach[i])
+    return i[keep], d[keep], ids[keep], labels[keep]
+
+
+def _best(held: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    found = [np.concatenate(x) for x in zip(*held)]
+    best = k_first(found[0], found[1], found[2], k)
+    return tuple(x[best] for x in found)
+
+
+def _onward(
+    q: np.ndarray, reach: np.ndarray, homes: np.ndarray, routes: np.ndarray, cells: Cells, starts: np.ndarray, p: int
+) -> list[pa.Array]:
+    """For each query the other shelves to ask, and the first and last cell to meet there; none but for ``routes``."""
+    rows, cols = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    low, high = np.full(len(q), np.iinfo(np.int32).max), np.full(len(q), -1)
+    for at in _tiles(len(routes), len(cells.leaves.pivots)):
+        some = routes[at]
+        i, c = cells.others(q[some], reach[some], homes[some], p)
+        np.minimum.at(low, some[i], c)
+        np.maximum.at(high, some[i], c)
+        pairs = np.unique(some[i] * len(starts) + np.searchsorted(starts, c, side="right") - 1)
+        rows.append(pairs // len(starts))
+        cols.append(pairs % len(starts))
+    rows, cols = np.concatenate(rows), np.concatenate(cols)
+    return [lists(len(q), rows, pa.array(cols.astype(np.int32))), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))]
+
+
+def _numbers(spark: SparkSession, name: str, numbers: dict[str, np.ndarray], limits: SearchLimits):
+    """A function that adds the numbers of the row's cell or shelf, its ``name``, to a table."""
+    n = len(next(iter(numbers.values())))
+    if n <= limits.flat_pivots:
+        of = {c: literal_array(x.tolist(), "int")[F.col(name)] for c, x in numbers.items()}
+        return lambda df: df.withColumns(of)
+    table = pa.table({name: pa.array(np.arange(n, dtype=np.int32)), **{c: pa.array(x.astype(np.int32)) for c, x in numbers.items()}})
     # At most limits.max_pivots rows.
     known = F.broadcast(spark.createDataFrame(table))
-    return lambda df: df.join(known, "cell")
+    return lambda df: df.join(known, name)
 
 
 def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """((cell, row block, query block, whether queries), rows) of each stretch of a sorted batch."""
+    """((shelf, row block, query block, whether queries), rows) of each stretch of a sorted batch."""
     if not batch.num_rows:
         return
-    place = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("cell", "tb", "qb", "asks")], axis=1)
+    place = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("shelf", "tb", "qb", "asks")], axis=1)
     ends = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1).tolist(), len(place)]
     for a, b in zip(ends, ends[1:]):
         yield tuple(place[a].tolist()), batch.slice(a, b - a)
 
 
 def _ordered(held: list[pa.RecordBatch], width: int) -> tuple[np.ndarray, ...]:
-    """(points, distances to the pivot, ids, labels) by distance to the pivot."""
+    """(points, distances to the pivot, ids, labels, cells) by cell and distance to its pivot."""
     if not held:
         none = np.empty(0, dtype=np.int64)
-        return np.empty((0, width)), np.empty(0), none, none
+        return np.empty((0, width)), np.empty(0), none, none, none
     rows = pa.Table.from_batches(held)
-    r = rows["r"].to_numpy()
-    order = np.argsort(r, kind="stable")
+    r, cell = rows["r"].to_numpy(), rows["cell"].to_numpy().astype(np.int64)
+    order = np.lexsort((r, cell))
     ids, labels = (rows[c].to_numpy().astype(np.int64)[order] for c in ("id", "label"))
-    return matrix(rows["features"])[order], r[order], ids, labels
+    return matrix(rows["features"])[order], r[order], ids, labels, cell[order]
 
 
 def _search(index: NeighbourIndex, queries: DataFrame, k: int, key: str, limits: SearchLimits) -> DataFrame:
     """Two rounds. The cell a query falls into gives k near rows, and with them a tight bound; the second
     round visits only the other cells that can hold a row within it."""
-    shared, p = queries.sparkSession.sparkContext.broadcast(index.cells), index.p
+    spark, p = queries.sparkSession, index.p
+    counts, width = index.cells.leaves.counts, index.cells.leaves.pivots.shape[1]
+    n_queries = queries.select(quoted(key)).count()
+    sized = grown(limits, int(counts.sum()), n_queries, 0, 0.0, spark.sparkContext.defaultParallelism)
+    starts = shelves(counts, max(1, min(sized.block_train, sized.block_cells // max(1, width))))
+    shared = spark.sparkContext.broadcast((index.cells, starts))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, starts = shared.value
         for batch in batches:
             if batch.num_rows:
-                cell, reach = shared.value.home(matrix(batch.column("features")), p)
-                columns = [batch.column(key), batch.column("features"), pa.array(reach), pa.array(cell.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=[key, "features", "reach", "cell"])
+                cell, reach = cells.home(matrix(batch.column("features")), p)
+                shelf = np.searchsorted(starts, cell, side="right") - 1
+                columns = [batch.column(key), batch.column("features"), pa.array(reach)]
+                columns += [pa.array(x.astype(np.int32)) for x in (cell, shelf, cell, cell)]
+                yield pa.RecordBatch.from_arrays(columns, names=[key, "features", "reach", "cell", "shelf", "low", "high"])
 
     points = queries.select(quoted(key), "features")
-    added = T._parse_datatype_string("reach double, cell int").fields
+    added = T._parse_datatype_string("reach double, cell int, shelf int, low int, high int").fields
     homed = points.mapInArrow(place, T.StructType([*points.schema.fields, *added]))
     homed = materialise(homed, "homed")
-    first = materialise(_by_cell(index, homed, key, k, True, limits), "first_round")
-    onward = first.select(quoted(key), "features", "reach", F.explode("cells").alias("cell"))
-    second = _by_cell(index, onward, key, k, False, limits)
+    first = materialise(_by_shelf(index, starts, homed, key, k, True, n_queries, limits), "first_round")
+    onward = first.select(quoted(key), "features", "reach", "cell", F.explode("shelves").alias("shelf"), "low", "high")
+    second = _by_shelf(index, starts, onward, key, k, False, n_queries, limits)
     found = first.select(quoted(key), "neighbours").unionByName(second)
-    rank = Window.partitionBy(quoted(key)).orderBy("n.distance", "n.train_id")
-    best = (
-        found.select(quoted(key), F.explode("neighbours").alias("n"))
-        .withColumn("_r", F.row_number().over(rank))
-        .where(F.col("_r") <= k)
-        .groupBy(quoted(key))
-        .agg(F.sort_array(F.collect_list("n")).alias("neighbours"))
-    )
+    # Few rows a query: each block sends at most k, and only those within the bound.
+    merged = found.groupBy(quoted(key)).agg(F.flatten(F.collect_list("neighbours")).alias("n"))
+    best = merged.select(quoted(key), F.slice(F.array_sort("n"), 1, k).alias("neighbours"))
     return queries.drop("features").join(best, key, "left")

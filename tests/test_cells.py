@@ -1,12 +1,14 @@
 """The stored index of training points."""
 
+import math
+
 import numpy as np
 import pytest
 
 import tamiz.operators.cells as cells_module
 import tamiz.operators.knn as knn_module
 from tamiz.functions.distances import pair_distances
-from tamiz.operators.cells import NeighbourIndex, SearchLimits, blocks, build_index, two_levels
+from tamiz.operators.cells import NeighbourIndex, SearchLimits, blocks, build_index, grown, shelves, two_levels
 from tamiz.operators.knn import KnnModel, search_table, training_table
 from tamiz.plans.preparation import Preparation
 from tamiz.plans.scoring import score_stored
@@ -76,6 +78,52 @@ def test_rows_are_sent_once_however_many_queries_there_are():
     assert blocks(counts, np.array([0, 3_000_000, 1]), 4, limits)[1].tolist() == [0, 3, 1]
 
 
+@pytest.mark.parametrize("limits", [SearchLimits(), SearchLimits(direct_rows=0, block_train=512, block_queries=256)])
+@pytest.mark.parametrize("cell_rows", [256, 16_384])
+def test_copies_sent_and_work_of_a_task_stay_in_proportion(limits, cell_rows):
+    cores, width, sent = 12, 64, []
+    for n in (100_000, 600_000):
+        queries, counts = n // 4, np.full(math.ceil(n / cell_rows), cell_rows)
+        sized = grown(limits, n, queries, 0, 0.0, cores)
+        starts = shelves(counts, sized.block_train)
+        held = np.add.reduceat(counts, starts[:-1])
+        asked = np.full(len(held), queries)  # unstructured: every query meets every shelf
+        work = float((held * asked).sum()) * width
+        t, q = blocks(held, asked, width, grown(limits, n, queries, queries, work, cores))
+        sent.append((held * q).sum() + (asked * t).sum())
+        assert (t * q).sum() >= 2 * cores
+        terms = np.ceil(held / t) * np.ceil(asked / q) * width
+        assert terms.max() <= max(work / cores, limits.block_work)
+    assert sent[1] <= 8 * sent[0] and sent[0] < 20 * 100_000
+
+
+def test_shelves_are_runs_of_cells_of_bounded_size():
+    counts = np.array([3, 4, 0, 50, 1, 1, 8, 2])
+    assert shelves(counts, 8).tolist() == [0, 3, 4, 6, 7, 8]
+    assert shelves(counts, 1000).tolist() == [0, 8] and shelves(counts[:1], 1).tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("limits", [CELLS, LEVELS], ids=["one_level", "two_levels"])
+def test_a_search_sends_a_query_once_to_a_shelf(spark, monkeypatch, limits):
+    x = points(9, 400, 20, "hot")
+    train, queries = [(i, v, 0) for i, v in enumerate(x)], list(enumerate(points(10, 60, 20, "hot")))
+    index, stored_first, write = build_index(table_of(spark, train), 400, 20, 4, 1, limits), [], cells_module.materialise
+
+    def spy(df, name):
+        out = write(df, name)
+        if name == "first_round":
+            stored_first.append(out)
+        return out
+
+    monkeypatch.setattr(cells_module, "materialise", spy)
+    asked = spark.createDataFrame(queries, "row_id long, features array<double>")
+    assert neighbours(index.search(asked, 4, "row_id", limits)) == brute(train, queries, 4, 1)
+    shelves_asked = [r["shelves"] for r in stored_first[0].collect()]
+    assert all(len(set(s)) == len(s) for s in shelves_asked)
+    # Shelves hold at least as many rows as are worth a block, here several cells.
+    assert max(map(len, shelves_asked)) < len(index.cells.leaves.pivots)
+
+
 def stored(spark, folder, limits):
     train = spark.createDataFrame([(i, float(x[0]), float(x[1]), i % 3) for i, x in enumerate(points(5, 240, 2, "clusters"))],
                                   "row_id long, x double, y double, `__target__` long")

@@ -85,6 +85,19 @@ def test_block_search_equals_brute_force(data):
         assert [(a, ids[b]) for a, b in zip(d[q == i], t[q == i])] == expected
 
 
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("scale, offset", [(1.0, 0.0), (1e-12, 0.0), (1e-3, 1e9), (1e60, 0.0)])
+def test_rough_distances_decide_nothing(p, scale, offset):
+    x = np.array(points(11, 900, 40, "hot"))
+    t, ids = x[:800] * scale + offset, np.arange(800)[::-1].copy()
+    q = np.concatenate([x[800:] * scale + offset, t[:30]])
+    d = np.stack([significant(np.abs(t - a).sum(axis=1) if p == 1 else np.sqrt(np.square(t - a).sum(axis=1))) for a in q])
+    want = [sorted(zip(row, ids))[:5] for row in d]
+    for reach in (None, np.array([w[-1][0] for w in want])):
+        i, j, near = nearest_in_block(q, t, ids, 5, p, reach)
+        assert [list(zip(near[i == n], ids[j[i == n]])) for n in range(len(q))] == want
+
+
 @pytest.mark.parametrize("p", [1, 2])
 @pytest.mark.parametrize("kind, width", [("grid", 2), ("hot", 1), ("clusters", 3)])
 def test_ring_search_equals_block_search(kind, width, p):
