@@ -310,8 +310,9 @@ def groups(of: np.ndarray) -> list[tuple[int, np.ndarray]]:
 
 
 def widened(reach: np.ndarray) -> np.ndarray:
-    """A distance with slack for the rounding of all distances it is compared with."""
-    return reach * (1 + 1e-9) + 1e-8
+    """A distance with slack for the rounding of all distances it is compared with. In proportion only: features may be
+    of any scale."""
+    return reach * (1 + 1e-9)
 
 
 def by_ring(train: np.ndarray, pivot: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ import pytest
 
 import tamiz.operators.cells as cells_module
 import tamiz.operators.knn as knn_module
-from tamiz.functions.distances import pair_distances
+from tamiz.functions.distances import pair_distances, widened
 from tamiz.operators.cells import NeighbourIndex, SearchLimits, blocks, build_index, grown, shelves, two_levels
 from tamiz.operators.knn import KnnModel, search_table, training_table
 from tamiz.plans.preparation import Preparation
@@ -103,6 +103,20 @@ def test_shelves_are_runs_of_cells_of_bounded_size():
     assert shelves(counts, 1000).tolist() == [0, 8] and shelves(counts[:1], 1).tolist() == [0, 1]
 
 
+@pytest.mark.parametrize("limits", [CELLS, LEVELS], ids=["one_level", "two_levels"])
+@pytest.mark.parametrize("p", [1, 2])
+def test_small_scales_exclude_as_many_cells(spark, limits, p):
+    x, q = np.array(points(7, 300, 2, "clusters")), np.array(points(8, 50, 2, "clusters"))
+    met = []
+    for scale in (1.0, 2.0**-40):
+        train = [(i, (row * scale).tolist(), 0) for i, row in enumerate(x)]
+        cells = build_index(table_of(spark, train), 300, 2, 3, p, limits).cells
+        home, reach = cells.home(q * scale, p)
+        met.append(len(cells.others(q * scale, reach, home, p)[0]))
+    assert met[0] == met[1] < 50 * len(cells.leaves.pivots) / 2
+    assert widened(np.array([1e-12]))[0] < 1.001e-12
+
+
 @pytest.mark.parametrize("limits", [CELLS, LEVELS], ids=["one_level", "two_levels"])
 def test_a_search_sends_a_query_once_to_a_shelf(spark, monkeypatch, limits):
     x = points(9, 400, 20, "hot")
