@@ -154,27 +154,37 @@ def votes(neighbours: str, classes: Sequence[int], k: int, weights: str) -> Colu
     """Vote weight per class, in the order of ``classes``, of the k first in the column ``neighbours``."""
     if weights not in WEIGHTS:
         raise ValueError(f"unknown weights '{weights}', one of {WEIGHTS}")
-    first = f"slice(`{neighbours}`, 1, {int(k)})"
-    weight = "1D"
+    first, nearest, weight = f"slice(`{neighbours}`, 1, {int(k)})", "0D", "1D"
     if weights == "distance":
         # Relative to the nearest, so that no scale is too small or too large. A neighbour at distance 0 outweighs
         # all others.
         nearest = f"array_min(transform({first}, x -> x.distance))"
-        weight = f"if({nearest} = 0D, if(n.distance = 0D, 1D, 0D), {nearest} / n.distance)"
-    of_class = f"aggregate({first}, 0D, (total, n) -> total + if(n.label = c, {weight}, 0D))"
+        weight = "if(f.nearest = 0D, if(n.distance = 0D, 1D, 0D), f.nearest / n.distance)"
+    of_class = f"aggregate(f.first, 0D, (total, n) -> total + if(n.label = c, {weight}, 0D))"
     each = ", ".join(f"{int(c)}L" for c in classes)
-    return F.expr(f"transform(array({each}), c -> {of_class})")
+    # A list of one binds what would be computed again for each class and neighbour.
+    bound = f"array(named_struct('first', {first}, 'nearest', {nearest}))"
+    return F.expr(f"transform({bound}, f -> transform(array({each}), c -> {of_class}))[0]")
+
+
+def _bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` computed once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
 
 
 def winner(vote: Column, classes: Sequence[int]) -> Column:
     """Class with the largest vote, the smallest class id on a tie."""
     rounded = F.transform(shares(vote), lambda v: F.round(v, SHARE_DECIMALS))
-    return literal_array(classes, "long")[(F.array_position(rounded, F.array_max(rounded)) - 1).cast("int")]
+    place = _bound(rounded, lambda r: F.array_position(r, F.array_max(r)))
+    return literal_array(classes, "long")[(place - 1).cast("int")]
 
 
 def shares(vote: Column) -> Column:
-    total = F.aggregate(vote, F.lit(0.0), lambda a, v: a + v)
-    return F.transform(vote, lambda v: v / total)
+    def of(votes: Column) -> Column:
+        total = F.aggregate(votes, F.lit(0.0), lambda a, v: a + v)
+        return _bound(total, lambda t: F.transform(votes, lambda v: v / t))
+
+    return _bound(vote, of)
 
 
 @dataclass(frozen=True)

@@ -186,3 +186,18 @@ def test_layout_does_not_matter(spark):
         near = nearest_neighbours(t, q.repartition(partitions), 4, 1, "row_id", CELLS)
         got.append(collected(near, "row_id"))
     assert got[0] == got[1] == got[2]
+
+
+@pytest.mark.parametrize("weights", ["uniform", "distance"])
+def test_a_vote_computes_nothing_again_for_each_class(spark, weights):
+    classes = list(range(6))
+    vote = winner(votes("neighbours", classes, 5, weights), classes)
+    # Once as the neighbours that vote, once for the nearest of them.
+    assert vote._jc.toString().count("slice(") <= 2
+    lists = spark.createDataFrame(
+        [(1, [(2.0, 7, 4), (2.0, 8, 1), (4.0, 9, 1)]), (2, [(0.0, 7, 5), (1.0, 8, 1), (1.0, 9, 1)]), (3, None)],
+        "id int, neighbours array<struct<distance double, train_id long, label long>>",
+    )
+    got = collected(lists.select("id", vote.alias("v"), shares(votes("neighbours", classes, 1, weights)).alias("s")), "id")
+    assert [r[1] for r in got] == [1, 1 if weights == "uniform" else 5, None]
+    assert got[0][2] == [0.0, 0.0, 0.0, 0.0, 1.0, 0.0] and got[2][2] == [None] * 6
