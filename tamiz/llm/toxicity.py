@@ -79,6 +79,14 @@ def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 LETTER, ALNUM, SIGN = _kinds()
+# The same as bits of one table, which is looked up once a character: letters, letters and digits, look-alike signs,
+# members of a token that are no look-alikes, all members, and those that may end one.
+IS_LETTER, IS_ALNUM, IS_SIGN, IS_OTHER, IS_MEMBER, IS_LAST = 1, 2, 4, 8, 16, 32
+KIND = (LETTER * IS_LETTER + ALNUM * IS_ALNUM + SIGN * IS_SIGN).astype(np.uint8)
+KIND[(ALNUM | (np.arange(len(KIND)) == ord("_"))) & ~SIGN] |= IS_OTHER
+KIND[ALNUM] |= IS_MEMBER | IS_LAST
+KIND[[ord(c) for c in TOKEN_SIGNS]] |= IS_MEMBER
+KIND[[ord(c) for c in LETTER_SIGNS]] |= IS_LAST
 # Characters that are looked at together. Longer texts are cut at line ends, which no token reaches over, or where
 # there is none so far, at any place.
 SLICE = 1 << 20
@@ -247,7 +255,7 @@ class Restorer:
         """The text in lower case: disguised tokens with whether they are spaced, and what lies between (None)."""
         for part in slices(text.lower() if text else ""):
             at = 0
-            for start, end, spaced in cls.disguised(part, code_points(part)):
+            for start, end, spaced in cls.disguised(part, KIND.take(code_points(part))):
                 yield part[at:start], None
                 yield part[start:end], spaced
                 at = end
@@ -258,41 +266,45 @@ class Restorer:
         """The words between the disguised tokens, and these tokens with whether they are spaced; by slices."""
         for part in slices(text.lower() if text else ""):
             points = code_points(part)
-            spans, letter = cls.disguised(part, points), LETTER[points]
+            kind = KIND.take(points)
+            spans, letter = cls.disguised(part, kind), (kind & IS_LETTER).view(bool)
             for start, end, _ in spans:
                 letter[start:end] = False
             yield words_of(points, letter), [(part[start:end], spaced) for start, end, spaced in spans]
 
     @staticmethod
-    def disguised(text: str, points: np.ndarray) -> list[tuple[int, int, bool]]:
+    def disguised(text: str, kind: np.ndarray) -> list[tuple[int, int, bool]]:
         """(start, end, spaced) of tokens with a letter and a look-alike, wherever it stands, and of at least three
-        letters or look-alikes spaced out. Repeated letters alone are left to the readings of words."""
-        letter, alnum, sign = LETTER[points], ALNUM[points], SIGN[points]
+        letters or look-alikes spaced out. Repeated letters alone are left to the readings of words. ``kind``: those of
+        the characters."""
         spans: list[tuple[int, int, bool]] = []
-        alone = (alnum | sign) & ~np.append(False, alnum[:-1]) & ~np.append(alnum[1:], False)
+        beside = np.zeros(len(kind), dtype=np.uint8)
+        beside[1:] = kind[:-1]
+        beside[:-1] |= kind[1:]
+        alone = ((kind & (IS_ALNUM | IS_SIGN)) != 0) & ((beside & IS_ALNUM) == 0)
         near = np.flatnonzero(alone)
         if len(near) > 2 and (near[2:] - near[:-2] <= 6).any():
             spans = [(*m.span(), True) for m in SPACED_RUN.finditer(text)]
         # A token with a letter and a look-alike has a place where a look-alike meets what is none.
-        other = (alnum | (points == ord("_"))) & ~sign
-        meet = sign & (np.append(False, other[:-1]) | np.append(other[1:], False))
+        meet = ((kind & IS_SIGN) != 0) & ((beside & IS_OTHER) != 0)
         taken, run = spans.copy(), 0
-        last = 0
+        last, of = 0, kind.tobytes()
         for at in np.flatnonzero(meet).tolist():
             while run < len(taken) and taken[run][1] <= at:
                 run += 1
             if at < last or (run < len(taken) and taken[run][0] <= at):
                 continue
             start, end = at, at + 1
-            while start > last and (alnum[start - 1] or text[start - 1] in TOKEN_SIGNS):
+            while start > last and of[start - 1] & IS_MEMBER:
                 start -= 1
-            while end < len(text) and (alnum[end] or text[end] in TOKEN_SIGNS):
+            while end < len(text) and of[end] & IS_MEMBER:
                 end += 1
             last = end
             # Punctuation behind a token stands for nothing, but for signs that are letters only.
-            while end > start and not alnum[end - 1] and text[end - 1] not in LETTER_SIGNS:
+            while end > start and not of[end - 1] & IS_LAST:
                 end -= 1
-            if not letter[start:end].any() or not sign[start:end].any():
+            token = np.bitwise_or.reduce(kind[start:end]) if end > start else 0
+            if not token & IS_LETTER or not token & IS_SIGN:
                 continue
             if not (run < len(taken) and taken[run][0] < end) and not (run and taken[run - 1][1] > start):
                 spans.append((start, end, False))

@@ -261,3 +261,17 @@ def test_every_token_of_several_readings_is_decoded(text, want):
 def test_many_disguised_tokens_take_time_by_their_number():
     words = Restorer(Decoded(MODEL)).words("m0r0n t r @ s h, " * 20_000)
     assert words == ["moron", "trash"] * 20_000
+
+
+def test_one_table_tells_the_kinds_of_all_characters():
+    from tamiz.llm import toxicity as t
+
+    for i in [*range(0x3000), 0xD800, 0x10FFFF]:
+        c, kind = chr(i), int(t.KIND[i])
+        alnum, sign = c.isalnum(), c in t.LOOKALIKES
+        assert bool(kind & t.IS_LETTER) == (alnum and c.isalpha()) and bool(kind & t.IS_ALNUM) == alnum
+        assert bool(kind & t.IS_SIGN) == sign and bool(kind & t.IS_OTHER) == ((alnum or c == "_") and not sign)
+        assert bool(kind & t.IS_MEMBER) == (alnum or c in t.TOKEN_SIGNS)
+        assert bool(kind & t.IS_LAST) == (alnum or c in t.LETTER_SIGNS)
+    parts = list(Restorer.parts("so b4d! __ s.t.u.p.i.d 1984 a_1_b and x$"))
+    assert parts == [(["so", "and"], [("b4d", False), ("s.t.u.p.i.d", True), ("a_1_b", False), ("x$", False)])]
